@@ -186,19 +186,22 @@ def f13(spark, sf):
 
 @query(
     "f14_ratio",
-    # Half-up division in whole cents, so that ties do not hang on binary fractions.
+    # Half-up division of whole numbers, so that ties do not hang on binary fractions.
     """WITH c AS (SELECT l_orderkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT) AS p,
            CAST(l_quantity AS BIGINT) AS q, CAST(round(l_tax * 100) AS BIGINT) AS t,
            CAST(round(l_discount * 100) AS BIGINT) AS d FROM lineitem)
-       SELECT l_orderkey, l_linenumber, (2 * p + q) // (2 * q) / 100.0 AS unit_price,
+       SELECT l_orderkey, l_linenumber, (200 * p + q) // (2 * q) / 100.0 AS unit_cents,
          CASE WHEN d > 0 THEN (200 * t + d) // (2 * d) / 100.0 ELSE 0.0 END AS tax_ratio FROM c""",
 )
 def f14(spark, sf):
+    def whole(name):
+        return F.round(F.col(name) * 100)
+
     return table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        numbers.ratio(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
-        numbers.ratio(F.col("l_tax"), F.col("l_discount")).alias("tax_ratio"),
+        numbers.ratio(whole("l_extendedprice"), F.col("l_quantity")).alias("unit_cents"),
+        numbers.ratio(whole("l_tax"), whole("l_discount")).alias("tax_ratio"),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from marquetry.functions.text import clean_text, encode_base64
+from marquetry.schemas import ARTIST_PAYLOAD, PERSON_PAYLOAD
 from marquetry.session import scratch_path
 from marquetry.sources import payloads, readers, sizes, writers
 
@@ -212,6 +213,13 @@ def s13_records(spark, sf):
     return frame.join(counts, "status").withColumnRenamed("count", "n")
 
 
+def _land(spark, lines, name, schema):
+    """Write payload lines and scan them, as a collector's landing folder is."""
+    path = scratch_path(spark, name)
+    lines.write.text(path)
+    return payloads.read_payloads(spark, path, schema)
+
+
 def people_payloads(spark, sf):
     """One payload per customer, with one to three people."""
 
@@ -229,9 +237,10 @@ def people_payloads(spark, sf):
         )
 
     people = F.transform(F.sequence(F.lit(0), (F.col("c_custkey") % 3).cast("int")), person)
-    return table(spark, sf, "customer").select(
+    lines = table(spark, sf, "customer").select(
         F.to_json(F.struct(people.alias("results"))).alias("value")
     )
+    return _land(spark, lines, "people", PERSON_PAYLOAD)
 
 
 @query(
@@ -272,7 +281,8 @@ def artist_payloads(spark, sf):
         F.transform(F.sequence(F.lit(0), (F.col("o_orderkey") % 2).cast("int")), album)
         .alias("albums"),
     )
-    return table(spark, sf, "orders").select(F.to_json(doc).alias("value"))
+    lines = table(spark, sf, "orders").select(F.to_json(doc).alias("value"))
+    return _land(spark, lines, "artists", ARTIST_PAYLOAD)
 
 
 TRACKS_SQL = """tracks AS (

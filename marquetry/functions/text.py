@@ -14,14 +14,23 @@ def collapse_spaces(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, BLANKS, " "))
 
 
+def blank_to_null(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
+
+
+def differs(c: Column, tidy: Column) -> Column:
+    """True where cleaning changed a value; a NULL is not a correction."""
+    return F.coalesce(tidy != c, F.lit(False))
+
+
 def clean_text(c: Column) -> Column:
     """``collapse_spaces``, with nothing left over read as NULL."""
-    return F.nullif(collapse_spaces(c), F.lit(""))
+    return blank_to_null(collapse_spaces(c))
 
 
 def text_corrected(c: Column) -> Column:
-    """True where cleaning changed the text; a NULL is not a correction."""
-    return F.coalesce(collapse_spaces(c) != c, F.lit(False))
+    """True where ``collapse_spaces`` changes the text."""
+    return differs(c, collapse_spaces(c))
 
 
 def _digits(c: Column) -> Column:

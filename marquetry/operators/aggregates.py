@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact_avg, exact_sum
+from ..functions.numbers import cents, exact_avg
 from .ordering import top_k
 
 
@@ -62,12 +62,15 @@ def extreme_groups(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Sum per group and its share of all groups in percent."""
-    sums = df.groupBy(*keys).agg(exact_sum(F.col(value)).alias("total"))
-    whole = df.agg(exact_sum(F.col(value))).scalar()
-    return sums.withColumn(
-        "share", F.round(F.when(whole > 0, F.col("total") / whole * 100).otherwise(0.0), 1)
-    )
+    """Sum per group and its share of all groups in percent.
+
+    The whole is summed from the groups, which Spark computes once for both.
+    """
+    sums = df.groupBy(*keys).agg(F.sum(cents(F.col(value))).alias("_total"))
+    whole = sums.agg(F.sum("_total").cast("double")).scalar()
+    total = F.coalesce(F.col("_total").cast("double"), F.lit(0.0))
+    share = F.when(whole > 0, total / whole * 100).otherwise(0.0)
+    return sums.select(*keys, total.alias("total"), F.round(share, 1).alias("share"))
 
 
 def profile(df: DataFrame) -> DataFrame:

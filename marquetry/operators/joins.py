@@ -40,15 +40,19 @@ def salted_join(
     keys: Sequence[str],
     how: str,
     rows_per_task: int = ROWS_PER_TASK,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join (inner, left, left_semi, left_anti) whose hot left keys go to many tasks.
 
     Left rows of a hot key get one of the key's parts; the matching right rows are
     repeated once per part. All other keys have a single part. The part of a row follows
     from its values and its input partition, so a re-run task assigns it again.
+
+    ``counted_on`` is a frame that is cheaper to read than ``left`` and has at least its
+    rows per key; the hot keys are counted there.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left, keys, rows_per_task))
+    hot = F.broadcast(hot_keys(left if counted_on is None else counted_on, keys, rows_per_task))
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
     marked = left.join(hot, keys, "left").withColumn(
@@ -72,9 +76,11 @@ def keep_with_parents(
     df: DataFrame, parents: Sequence[tuple[DataFrame, str]], **salting
 ) -> DataFrame:
     """Rows whose keys all exist in their parent frames."""
+    kept = df
     for parent, key in parents:
-        df = salted_join(df, parent.select(key).distinct(), [key], "left_semi", **salting)
-    return df
+        known = parent.select(key).distinct()
+        kept = salted_join(kept, known, [key], "left_semi", counted_on=df, **salting)
+    return kept
 
 
 def orphans(df: DataFrame, parent: DataFrame, key: str, **salting) -> DataFrame:
@@ -103,13 +109,16 @@ def orphan_report(df: DataFrame, parents: Sequence[tuple[DataFrame, str]]) -> Da
     )
 
 
-def match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on all keys."""
-    return left.join(right, list(keys))
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], **salting) -> DataFrame:
+    """Inner join on all keys. The larger side goes left; its hot keys are spread."""
+    return salted_join(left, right, keys, "inner", **salting)
 
 
 def align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All keys of either side; values of the other side are NULL where absent."""
+    """All keys of either side; values of the other side are NULL where absent.
+
+    Meant for series, which hold each key once.
+    """
     return left.join(right, list(keys), "full")
 
 

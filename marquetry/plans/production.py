@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import (
-    clean_text,
+    blank_to_null,
     clean_year,
+    collapse_spaces,
+    differs,
     int_corrected,
-    text_corrected,
     tolerant_int,
     year_corrected,
 )
@@ -72,27 +73,32 @@ def _by_key(raw: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
     )
 
 
+def _tidied(raw: DataFrame, column: str) -> DataFrame:
+    """Add the collapsed text as ``_tidy``: its own step, so that it is computed once."""
+    return raw.withColumn("_tidy", collapse_spaces(F.col(column)))
+
+
 def people_by_key(raw: DataFrame) -> DataFrame:
-    name = F.col("nome")
+    name, tidy = F.col("nome"), F.col("_tidy")
     return _by_key(
-        raw,
+        _tidied(raw, "nome"),
         "id_pessoa",
-        {"nome": clean_text(name), "corrections": text_corrected(name).cast("int")},
+        {"nome": blank_to_null(tidy), "corrections": differs(name, tidy).cast("int")},
     )
 
 
 def productions_by_key(raw: DataFrame) -> DataFrame:
-    title, year, kind = F.col("titulo"), F.col("ano"), F.col("tipo_id")
+    title, year, kind, tidy = (F.col(c) for c in ("titulo", "ano", "tipo_id", "_tidy"))
     corrections = (
-        text_corrected(title).cast("int")
+        differs(title, tidy).cast("int")
         + year_corrected(year).cast("int")
         + int_corrected(kind).cast("int")
     )
     return _by_key(
-        raw,
+        _tidied(raw, "titulo"),
         "id_producao",
         {
-            "titulo": clean_text(title),
+            "titulo": blank_to_null(tidy),
             "ano": clean_year(year),
             "tipo_id": tolerant_int(kind),
             "corrections": corrections,
@@ -101,33 +107,49 @@ def productions_by_key(raw: DataFrame) -> DataFrame:
     )
 
 
-def crew_by_key(raw: DataFrame, people: DataFrame, productions: DataFrame) -> DataFrame:
-    """One row per (production, person, cleaned role): copies, corrections, orphan flag.
+def fold_crew(raw: DataFrame) -> DataFrame:
+    """One row per (production, person, cleaned role): copies and corrections.
 
-    Copies are folded before the joins. A key that still has many distinct rows is salted.
+    Rows that fail to parse or lack a key collapse to one row per reason.
     """
     keys = ["id_producao", "id_pessoa"]
-    status = _status(keys)
-    folded = (
-        raw.select(
+    status, tidy = _status(keys), F.col("_tidy")
+    return (
+        _tidied(raw, "papel")
+        .select(
             status.alias("status"),
             *[F.when(status == "ok", F.col(k)).alias(k) for k in keys],
-            F.when(status == "ok", clean_text(F.col("papel"))).alias("papel"),
-            text_corrected(F.col("papel")).cast("int").alias("corrected"),
+            F.when(status == "ok", blank_to_null(tidy)).alias("papel"),
+            differs(F.col("papel"), tidy).cast("int").alias("corrected"),
         )
         .groupBy("status", *keys, "papel")
         .agg(_n().alias("copies"), F.sum("corrected").alias("corrections"))
     )
+
+
+def flag_orphans(
+    folded: DataFrame, people: DataFrame, productions: DataFrame, counted_on: DataFrame
+) -> DataFrame:
+    """Folded crew with status ``orphan`` where the person or production is unknown.
+
+    Copies were folded before; a key that still has many rows is salted. ``counted_on``
+    is the frame that tells which keys those are.
+    """
     person = people.select("id_pessoa").distinct().withColumn("_person", F.lit(True))
     production = productions.select("id_producao").distinct().withColumn("_work", F.lit(True))
-    known = salted_join(folded, person, ["id_pessoa"], "left")
-    known = salted_join(known, production, ["id_producao"], "left")
+    known = salted_join(folded, person, ["id_pessoa"], "left", counted_on=counted_on)
+    known = salted_join(known, production, ["id_producao"], "left", counted_on=counted_on)
     orphan = (F.col("status") == "ok") & (F.col("_person").isNull() | F.col("_work").isNull())
     return known.withColumn("status", F.when(orphan, "orphan").otherwise(F.col("status"))).drop(
         "_person", "_work"
     )
 
 
+def crew_by_key(raw: DataFrame, people: DataFrame, productions: DataFrame) -> DataFrame:
+    """Folded crew with its orphans flagged, for raw rows that are cheap to read twice."""
+    return flag_orphans(fold_crew(raw), people, productions, counted_on=raw)
+
+
 def clean_rows(by_key: DataFrame) -> DataFrame:
     """The rows to keep, without the bookkeeping columns."""
     extra = [c for c in ("status", "copies", "corrections", "no_title") if c in by_key.columns]
@@ -163,8 +185,10 @@ def run(spark: SparkSession, source: str, target: str) -> DataFrame:
     }
     people = staged(people_by_key(raw["pessoa"]), "pessoa")
     productions = staged(productions_by_key(raw["producao"]), "producao")
+    folded = staged(fold_crew(raw["equipe"]), "equipe-folded")
     crew = staged(
-        crew_by_key(raw["equipe"], clean_rows(people), clean_rows(productions)), "equipe"
+        flag_orphans(folded, clean_rows(people), clean_rows(productions), counted_on=folded),
+        "equipe",
     )
     reports = []
     for name, by_key in (("pessoa", people), ("producao", productions), ("equipe", crew)):

@@ -1,13 +1,16 @@
-"""Nested payloads, as landed by a collector, to flat rows."""
+"""Nested payloads, as landed by a collector, to flat rows.
+
+The JSON reader parses each payload once, in the scan, and only the fields in use.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import default_to, full_name
 from ..operators.projections import threshold
-from ..schemas import ARTIST_PAYLOAD, PERSON_PAYLOAD
 
 # The age from which a person manages, and what each role earns.
 MANAGER_AGE = 30
@@ -17,11 +20,16 @@ SECTOR = "TI"
 NO_DATE = "N/A"
 
 
-def employee_documents(payloads: DataFrame, column: str = "value") -> DataFrame:
-    """People payloads as employee documents: role and salary follow from the age."""
-    people = payloads.select(
-        F.explode(F.from_json(F.col(column), PERSON_PAYLOAD)["results"]).alias("p")
-    )
+def read_payloads(
+    spark: SparkSession, path: str | list[str], schema: StructType, whole_files: bool = False
+) -> DataFrame:
+    """Landed payloads, one per line or one per file."""
+    return spark.read.schema(schema).option("multiLine", whole_files).json(path)
+
+
+def employee_documents(payloads: DataFrame) -> DataFrame:
+    """``PERSON_PAYLOAD`` rows as employee documents: role and salary follow from the age."""
+    people = payloads.select(F.explode("results").alias("p"))
     age = F.col("p.dob.age")
     return people.select(
         full_name(F.col("p.name.first"), F.col("p.name.last")).alias("nome"),
@@ -34,11 +42,10 @@ def employee_documents(payloads: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def track_rows(payloads: DataFrame, column: str = "value") -> DataFrame:
-    """Artist payloads as one row per track; an artist that was not found gives none."""
-    docs = payloads.select(F.from_json(F.col(column), ARTIST_PAYLOAD).alias("d"))
-    albums = docs.filter(F.size("d.artists.items") > 0).select(
-        F.col("d.name").alias("artista"), F.explode("d.albums").alias("a")
+def track_rows(payloads: DataFrame) -> DataFrame:
+    """``ARTIST_PAYLOAD`` rows as one row per track; an artist without a hit gives none."""
+    albums = payloads.filter(F.size("artists.items") > 0).select(
+        F.col("name").alias("artista"), F.explode("albums").alias("a")
     )
     tracks = albums.select("artista", "a", F.explode("a.tracks").alias("t"))
     return tracks.select(
