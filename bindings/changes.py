@@ -232,7 +232,7 @@ def m10_get(spark, sf):
        FROM events""",
 )
 def m11(spark, sf):
-    return keyvalue.list_items(_log(spark, sf, F.col("event_type").alias("item")), width=1000)
+    return keyvalue.list_items(_log(spark, sf, F.col("event_type").alias("item")))
 
 
 @query(
@@ -243,8 +243,7 @@ def m11(spark, sf):
        SELECT key, pos, item FROM l WHERE pos >= 1 AND pos <= n - 2""",
 )
 def m11_range(spark, sf):
-    items = keyvalue.list_items(_log(spark, sf, F.col("event_type").alias("item")))
-    return keyvalue.list_range(items, 1, -2)
+    return keyvalue.list_range(_log(spark, sf, F.col("event_type").alias("item")), 1, -2)
 
 
 @query(

@@ -359,7 +359,7 @@ def s18(spark, sf):
         "goals": goals(spark, sf),
     }
     path = scratch_path(spark, "s18")
-    writers.write_backup(path, tables, {"transactions": "date"})
+    writers.write_backup(path, tables, {"transactions": ["date", "id"]})
     back = readers.read_backup(spark, path, {name: df.schema for name, df in tables.items()})
     parts = [
         df.agg(

@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.dates import clamp_day, in_period
 from ..functions.ids import stable_id
@@ -30,6 +31,28 @@ def insert_rows(
     return table.unionByName(new.select(*filled))
 
 
+def add_transactions(transactions: DataFrame, new: DataFrame, seq: str = "seq") -> DataFrame:
+    """Insert entries: an id where none is given, and the time of creation.
+
+    ``seq`` numbers the new rows, so that equal rows get ids of their own.
+    """
+    defaults = {
+        "id": stable_id(F.col("date"), F.col("description"), F.col("value"), F.col(seq)),
+        "created_at": F.current_timestamp(),
+    }
+    return insert_rows(transactions, new, defaults)
+
+
+def add_recurring(recurring: DataFrame, new: DataFrame, seq: str = "seq") -> DataFrame:
+    """Insert templates, active unless told otherwise."""
+    defaults = {
+        "id": stable_id(F.col("description"), F.col("category"), F.col("value"), F.col(seq)),
+        "active": F.lit(1),
+        "created_at": F.current_timestamp(),
+    }
+    return insert_rows(recurring, new, defaults)
+
+
 def _matched(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     renamed = changes.select(
         F.col(key),
@@ -86,7 +109,14 @@ def replace_goals(goals: DataFrame) -> DataFrame:
 def import_rows(
     table: DataFrame, incoming: DataFrame, key: str, order: Sequence[Column | str]
 ) -> DataFrame:
-    """Add incoming rows whose id is new; of equal ids the first in order counts."""
+    """Add incoming rows whose id is new; of equal ids the first in order counts.
+
+    A row without an id gets one from its values, which should include a sequence number
+    so that equal rows stay apart.
+    """
+    if isinstance(incoming.schema[key].dataType, StringType):
+        made = stable_id(*[F.col(c) for c in incoming.columns])
+        incoming = incoming.withColumn(key, F.coalesce(F.nullif(key, F.lit("")), made))
     fresh = absent_from(keep_first(incoming, [key], order), table, [key])
     return insert_rows(table, fresh)
 

@@ -88,17 +88,19 @@ def orphans(df: DataFrame, parent: DataFrame, key: str, **salting) -> DataFrame:
     return salted_join(df, parent.select(key).distinct(), [key], "left_anti", **salting)
 
 
-def orphan_report(df: DataFrame, parents: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+def orphan_report(
+    df: DataFrame, parents: Sequence[tuple[DataFrame, str]], **salting
+) -> DataFrame:
     """Rows and orphans per key combination check, in one pass over ``df``.
 
-    A row counts as an orphan of the first parent that lacks it. Rows are counted per key
-    before the joins, so that a hot key is one row there.
+    A row counts as an orphan of the first parent that lacks it. Equal key combinations
+    are counted before the joins, and keys that still have many rows are salted.
     """
     names = [key for _, key in parents]
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
     for parent, key in parents:
         known = parent.select(key).distinct().withColumn(f"_has_{key}", F.lit(True))
-        counted = counted.join(known, key, "left")
+        counted = salted_join(counted, known, [key], "left", counted_on=df, **salting)
     reason = F.lit(None).cast("string")
     for key in reversed(names):
         reason = F.when(F.col(f"_has_{key}").isNull(), F.lit(key)).otherwise(reason)
@@ -132,7 +134,10 @@ def align_to(
 def absent_from(
     df: DataFrame, existing: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
-    """Rows whose key is not in ``existing``; a key may occur there any number of times."""
+    """Rows whose key is not in ``existing``, where a key may occur any number of times.
+
+    ``df`` holds each key once, as a table does; ``orphans`` is the form for facts.
+    """
     return df.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .positions import with_position
+from .joins import salted_join
+from .positions import BUCKET_WIDTH, with_position
 from .windows import keep_last
 
 
@@ -23,22 +24,26 @@ def get(log: DataFrame, key) -> DataFrame:
     return latest(log.filter(F.col("key") == F.lit(key)))
 
 
-def list_items(log: DataFrame, width: int = 1_000_000) -> DataFrame:
+def list_items(log: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
     """Items appended to each list, with their position from 0."""
     return with_position(log, ["key"], "seq", width).select("key", "pos", "item")
 
 
-def list_range(items: DataFrame, start: int = 0, stop: int = -1) -> DataFrame:
+def list_range(
+    log: DataFrame, start: int = 0, stop: int = -1, width: int = BUCKET_WIDTH
+) -> DataFrame:
     """Items start..stop of each list, both included; negative counts from the end."""
+    above = max(start, 0)
+    below = stop + 1 if stop >= 0 else None
+    placed = with_position(log, ["key"], "seq", width, start=above, stop=below)
     if start < 0 or stop < -1:
-        sizes = items.groupBy("key").agg(F.count(F.lit(1)).alias("_size"))
-        items = items.join(sizes, "key")
-    first = F.lit(start) if start >= 0 else F.col("_size") + start
-    found = items.filter(F.col("pos") >= first)
-    if stop != -1:
-        last = F.lit(stop) if stop >= 0 else F.col("_size") + stop
-        found = found.filter(F.col("pos") <= last)
-    return found.select("key", "pos", "item")
+        sizes = log.groupBy("key").agg(F.count(F.lit(1)).alias("_len"))
+        placed = salted_join(placed, sizes, ["key"], "inner", counted_on=log)
+    if start < 0:
+        placed = placed.filter(F.col("pos") >= F.col("_len") + start)
+    if stop < -1:
+        placed = placed.filter(F.col("pos") <= F.col("_len") + stop)
+    return placed.select("key", "pos", "item")
 
 
 def hash_fields(log: DataFrame) -> DataFrame:

@@ -16,12 +16,17 @@ def with_position(
     seq: str,
     width: int = BUCKET_WIDTH,
     name: str = "pos",
+    start: int = 0,
+    stop: int | None = None,
 ) -> DataFrame:
     """0-based position of each row within its keys, in ``seq`` order.
 
     ``seq`` is a whole number, unique within the keys, and the keys are not NULL. Rows
     are numbered inside buckets of ``width`` consecutive numbers, at most ``width`` rows
     each; where a bucket starts follows from the bucket sizes, one row per bucket.
+
+    With ``start`` and ``stop`` only rows start..stop-1 of each key remain. Buckets
+    outside are dropped before any row is numbered.
     """
     keys = list(keys)
     bucketed = df.withColumn("_bucket", F.floor(F.col(seq) / F.lit(width)))
@@ -31,13 +36,16 @@ def with_position(
         .orderBy("_bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = sizes.select(
-        *keys, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
-    )
+    first = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    starts = sizes.withColumn("_start", first).filter(F.col("_start") + F.col("_size") > start)
+    if stop is not None:
+        starts = starts.filter(F.col("_start") < stop)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(seq)
-    return (
-        bucketed.withColumn("_in", F.row_number().over(inside) - 1)
-        .join(starts, [*keys, "_bucket"])
-        .withColumn(name, F.col("_start") + F.col("_in"))
-        .drop("_bucket", "_in", "_start")
+    placed = (
+        bucketed.join(starts, [*keys, "_bucket"])
+        .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1)
+        .drop("_bucket", "_start", "_size")
     )
+    if start > 0:
+        placed = placed.filter(F.col(name) >= start)
+    return placed if stop is None else placed.filter(F.col(name) < stop)

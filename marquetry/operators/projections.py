@@ -89,8 +89,7 @@ def row_range(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
     """
     if stop <= SMALL_SLICE:
         return df.orderBy(key).offset(start).limit(max(stop - start, 0))
-    placed = with_position(df, [], key, name="_pos")
-    return placed.filter((F.col("_pos") >= start) & (F.col("_pos") < stop)).drop("_pos")
+    return with_position(df, [], key, name="_pos", start=start, stop=stop).drop("_pos")
 
 
 def computed(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:

@@ -5,7 +5,7 @@ A ledger has the columns of ``schemas.TRANSACTION``; ``date`` is a date.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from ..functions.money import (
 from ..functions.numbers import cents, exact_sum, percent
 from ..functions.text import contains_any
 from ..operators.aggregates import share_of_total
+from ..operators.changes import import_rows, upsert_goals
 from ..operators.joins import fill_spine, lookup
 from ..operators.ordering import top_k
 from ..operators.projections import equals_if
@@ -202,3 +203,26 @@ def with_category_info(spark: SparkSession, ledger: DataFrame) -> DataFrame:
         {"icon": icon, "color": color},
         fixed_dim=True,
     )
+
+
+def import_backup(
+    tables: Mapping[str, DataFrame],
+    backup: Mapping[str, DataFrame],
+    seq: str = "seq",
+    include_recurring: bool = False,
+) -> dict[str, DataFrame]:
+    """Tables with a backup merged in: absent transactions are added, goals are replaced.
+
+    The rows of the backup are numbered by ``seq``. Recurring templates are left alone
+    unless asked for.
+    """
+    merged = dict(tables)
+    if "transactions" in backup:
+        merged["transactions"] = import_rows(
+            tables["transactions"], backup["transactions"], "id", [seq]
+        )
+    if "goals" in backup:
+        merged["goals"] = upsert_goals(tables["goals"], backup["goals"], seq)
+    if include_recurring and "recurring" in backup:
+        merged["recurring"] = import_rows(tables["recurring"], backup["recurring"], "id", [seq])
+    return merged

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import (
     blank_to_null,
@@ -23,10 +24,11 @@ from ..functions.text import (
 from ..operators.joins import salted_join
 from ..operators.ordering import most_common, most_common_by_label
 from ..operators.projections import search
+from ..operators.quality import repeated_keys
 from ..schemas import CREW_RAW, PERSON_RAW, PRODUCTION_RAW
 from ..session import staged
 from ..sources.readers import CORRUPT, LINE_ORDER, read_jsonl_tolerant
-from ..sources.writers import write_jsonl
+from ..sources.writers import write_collection, write_jsonl
 
 COUNTERS = [
     "lidos",
@@ -197,6 +199,29 @@ def run(spark: SparkSession, source: str, target: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), reports)
 
 
+def load_collection(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    target: str,
+    keys: list[str],
+    fmt: str = "parquet",
+    **options: str,
+) -> DataFrame:
+    """Replace a collection with the documents of a JSON lines file; one row of counters.
+
+    ``repetidos`` counts keys that occur more than once, which a unique key forbids.
+    """
+    documents = read_jsonl_tolerant(spark, path, schema).drop(*LINE_ORDER)
+    good = documents.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    write_collection(good, target, fmt, **options)
+    counts = documents.agg(
+        _n(F.col(CORRUPT).isNull()).alias("documentos"), _n(F.col(CORRUPT).isNotNull()).alias("erros")
+    )
+    repeated = repeated_keys(good, *keys).agg(_n()).scalar()
+    return counts.withColumn("repetidos", repeated)
+
+
 def productions_per_year(productions: DataFrame, k: int = 20) -> DataFrame:
     """Years with the most titles, in year order and as labels."""
     return most_common_by_label(productions, "ano", k)

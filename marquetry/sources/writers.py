@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +45,12 @@ def write_collection(df: DataFrame, target: str, fmt: str = "parquet", **options
         writer.save(target)
 
 
-def write_backup(path: str, tables: Mapping[str, DataFrame], order: Mapping[str, str]) -> None:
-    """Each table as JSON lines below one folder, sorted where an order is given."""
+def write_backup(
+    path: str, tables: Mapping[str, DataFrame], order: Mapping[str, Sequence[str]]
+) -> None:
+    """Each table as JSON lines below one folder, sorted where an order is given.
+
+    End the order with the key: rows that share a date then still spread over tasks.
+    """
     for name, df in tables.items():
-        write_jsonl(df.orderBy(order[name]) if name in order else df, f"{path}/{name}", True)
+        write_jsonl(df.orderBy(*order[name]) if name in order else df, f"{path}/{name}", True)

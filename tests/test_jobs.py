@@ -139,7 +139,7 @@ def test_backup_round_trip(spark, tmp_path, rows):
         "transactions": spark.createDataFrame([("b", 2.0, None), ("a", 1.0, "r")], "id string, value double, recurring_id string"),
         "goals": spark.createDataFrame([("Lazer", 5.0)], schemas.GOAL),
     }
-    writers.write_backup(str(tmp_path / "b"), tables, {"transactions": "id"})
+    writers.write_backup(str(tmp_path / "b"), tables, {"transactions": ["id"]})
     back = readers.read_backup(spark, str(tmp_path / "b"), {n: d.schema for n, d in tables.items()})
     assert {n: rows(d) for n, d in back.items()} == {n: rows(d) for n, d in tables.items()}
 

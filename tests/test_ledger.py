@@ -144,6 +144,47 @@ def test_changes(spark, rows):
     assert rows(changes.import_rows(table, incoming, "id", ["n"])) == [("a", "x", 1), ("b", "y", 2), ("c", "first", 1)]
 
 
+def test_imported_rows_without_id_all_arrive(spark, rows):
+    table = spark.createDataFrame([("a", 1.0)], "id string, value double")
+    incoming = spark.createDataFrame(
+        [(None, 5.0, 1), (None, 5.0, 2), ("", 5.0, 3), ("a", 9.0, 4), ("b", 2.0, 5)],
+        "id string, value double, seq int",
+    )
+    out = rows(changes.import_rows(table, incoming, "id", ["seq"]))
+    assert sorted(v for _, v in out) == [1.0, 2.0, 5.0, 5.0, 5.0]
+    assert len({i for i, _ in out}) == 5
+
+
+def test_added_rows_take_defaults(spark, templates):
+    base = templates.withColumn("created_at", F.lit(None).cast("timestamp"))
+    new = spark.createDataFrame(
+        [("tv", "Lazer", "despesa", 3.0, 10, None, 1), ("tv", "Lazer", "despesa", 3.0, 10, 0, 2)],
+        "description string, category string, type string, value double, day_of_month int, active int, seq int",
+    )
+    added = changes.add_recurring(base, new).filter("description = 'tv'").orderBy("active").collect()
+    assert [r["active"] for r in added] == [0, 1]
+    assert added[0]["id"] != added[1]["id"] and added[0]["created_at"] is not None
+
+
+def test_backup_import(spark, book, templates, rows):
+    tables = {
+        "transactions": book,
+        "recurring": templates,
+        "goals": spark.createDataFrame([("Lazer", 1.0)], "category string, limit_value double"),
+    }
+    backup = {
+        "transactions": spark.createDataFrame([("a", 1.0, 1), ("new", 2.0, 2)], "id string, value double, seq int"),
+        "recurring": spark.createDataFrame([("r9", 1)], "id string, seq int"),
+        "goals": spark.createDataFrame([("Lazer", None, 4.0, 1)], "category string, limit_value double, limit double, seq int"),
+    }
+    merged = ledger.import_backup(tables, backup)
+    assert merged["transactions"].count() == book.count() + 1
+    assert rows(merged["goals"]) == [("Lazer", 4.0)]
+    assert merged["recurring"].count() == 3
+    everything = ledger.import_backup(tables, backup, include_recurring=True)
+    assert everything["recurring"].count() == 4
+
+
 def test_versions_do_not_overwrite(spark, tmp_path, rows):
     table = spark.createDataFrame([(1, "a")], "i int, s string")
     first = changes.write_version(table, str(tmp_path), 1)
@@ -172,10 +213,17 @@ def test_key_value(spark, rows):
     assert rows(keyvalue.get(log, "none")) == []
     pushes = spark.createDataFrame([(i, "l", f"i{i}") for i in range(5)], "seq long, key string, item string")
     items = keyvalue.list_items(pushes, width=2)
-    assert [r["item"] for r in keyvalue.list_range(items).orderBy("pos").collect()] == [f"i{i}" for i in range(5)]
-    assert [r["pos"] for r in keyvalue.list_range(items, 1, 2).orderBy("pos").collect()] == [1, 2]
-    assert [r["pos"] for r in keyvalue.list_range(items, -2).orderBy("pos").collect()] == [3, 4]
-    assert [r["pos"] for r in keyvalue.list_range(items, -4, -3).orderBy("pos").collect()] == [1, 2]
-    assert keyvalue.list_range(items, 9, 20).count() == 0
+    assert rows(items) == [("l", i, f"i{i}") for i in range(5)]
+
+    def positions(*bounds):
+        return sorted(r["pos"] for r in keyvalue.list_range(pushes, *bounds, width=2).collect())
+
+    assert positions() == [0, 1, 2, 3, 4]
+    assert positions(1, 2) == [1, 2]
+    assert positions(-2) == [3, 4]
+    assert positions(-4, -3) == [1, 2]
+    assert positions(2, -2) == [2, 3]
+    assert positions(-9, 0) == [0]
+    assert positions(9, 20) == []
     hashes = spark.createDataFrame([(1, "h", "f", "x"), (2, "h", "f", "y"), (1, "h", "g", "z")], "seq long, key string, field string, value string")
     assert rows(keyvalue.hash_get_all(hashes, "h")) == [("f", "y"), ("g", "z")]

@@ -188,3 +188,12 @@ def test_dashboard_questions(spark, rows):
     assert rows(production.search_titles(works, "MATRIX"), "id_producao") == [(1,), (2,)]
     crew = spark.createDataFrame([("Ator",), ("Ator",), (None,), ("Diretor",)], "papel string")
     assert [tuple(r) for r in production.common_roles(crew).collect()] == [("Ator", 2), ("Diretor", 1)]
+
+
+def test_load_collection(spark, landed, tmp_path, rows):
+    target = str(tmp_path / "collection")
+    counts = production.load_collection(
+        spark, str(landed[0] / "pessoa.jsonl"), PERSON_RAW, target, ["id_pessoa"]
+    )
+    assert rows(counts) == [(len(PEOPLE), len(BROKEN), 2)]
+    assert spark.read.parquet(target).count() == len(PEOPLE)
