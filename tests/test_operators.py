@@ -26,14 +26,38 @@ def dim(spark):
     return spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"n{i}") for i in range(10)], "k string, name string")
 
 
+@pytest.fixture(params=["10MB", "-1"], ids=["broadcast", "shuffle"])
+def broadcast_limit(spark, request):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("rows_per_task", [1, 2, 7, 1_000_000])
-def test_salted_join_equals_plain_join(facts, dim, rows, how, rows_per_task):
+@pytest.mark.parametrize("rows_per_task", [1, 7, 1_000_000])
+def test_salted_join_equals_plain_join(facts, dim, rows, how, rows_per_task, broadcast_limit):
     plain = facts.join(dim, "k", how)
     salted = joins.salted_join(facts, dim, ["k"], how, rows_per_task)
     assert rows(salted, *plain.columns) == rows(plain)
 
 
+def test_a_hot_key_reaches_many_tasks(spark, broadcast_limit):
+    if broadcast_limit != "-1":
+        pytest.skip("a broadcast join does not shuffle")
+    equal = spark.range(0, 9000, 1, 16).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+    known = spark.createDataFrame([("hot",)], "k string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.salted_join(equal, known, ["k"], "left_semi", rows_per_task=500)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 9000
+    assert len(sizes) >= 4 and max(sizes) <= 4500
+
+
 def test_hot_keys_are_bounded_and_cut(facts):
     hot = {r["k"]: r["_parts"] for r in joins.hot_keys(facts, ["k"], 3).collect()}
     assert hot == {"hot": 14}
