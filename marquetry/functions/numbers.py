@@ -64,10 +64,13 @@ def cents(c: Column) -> Column:
     return c.cast("decimal(18,2)")
 
 
-def exact_sum(c: Column) -> Column:
-    """Sum of money, 0 for no rows."""
-    return F.coalesce(F.sum(cents(c)).cast("double"), F.lit(0.0))
+def exact_sum(c: Column, scale: int = 2) -> Column:
+    """Sum of money, 0 for no rows. ``scale`` is the number of decimals that count."""
+    total = F.sum(c.cast(f"decimal(18,{scale})"))
+    return F.coalesce(total.cast("double"), F.lit(0.0))
 
 
-def exact_avg(c: Column, places: int = 2) -> Column:
-    return F.round(F.sum(cents(c)).cast("double") / F.count(c), places)
+def exact_avg(c: Column, places: int = 2, scale: int = 6) -> Column:
+    """Rounded mean that does not depend on row order; ``scale`` decimals are summed."""
+    total = F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+    return F.round(total / F.nullif(F.count(c), F.lit(0)), places)

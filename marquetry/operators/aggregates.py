@@ -24,12 +24,14 @@ def group_count(df: DataFrame, *keys: str, name: str = "total") -> DataFrame:
     return df.dropna("any", subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def group_mean(df: DataFrame, keys: Sequence[str], value: str, name: str = "mean") -> DataFrame:
+def group_mean(
+    df: DataFrame, keys: Sequence[str], value: str, name: str = "mean", places: int = 2
+) -> DataFrame:
     """Mean per group, highest first; rows without a key are left out."""
     keyed = df.dropna("any", subset=list(keys))
     return (
         keyed.groupBy(*keys)
-        .agg(exact_avg(F.col(value)).alias(name))
+        .agg(exact_avg(F.col(value), places).alias(name))
         .orderBy(F.desc_nulls_last(name), *keys)
     )
 
@@ -38,8 +40,10 @@ def group_totals(df: DataFrame, keys: Sequence[str], **measures: Column) -> Data
     return df.groupBy(*keys).agg(*[c.alias(name) for name, c in measures.items()])
 
 
-def global_mean(df: DataFrame, value: str, name: str = "mean") -> DataFrame:
-    return df.agg(exact_avg(F.col(value)).alias(name))
+def global_mean(
+    df: DataFrame, value: str, name: str = "mean", places: int = 2
+) -> DataFrame:
+    return df.agg(exact_avg(F.col(value), places).alias(name))
 
 
 def extreme_row(

@@ -34,6 +34,15 @@ def hot_keys(
     )
 
 
+def spread(df: DataFrame) -> Column:
+    """A number from the row's values and its input partition; equal rows get several.
+
+    Columns that Spark cannot hash (maps, variants) do not take part.
+    """
+    values = [F.col(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    return F.xxhash64(F.spark_partition_id(), *values)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -54,11 +63,11 @@ def salted_join(
     keys = list(keys)
     hot = F.broadcast(hot_keys(left if counted_on is None else counted_on, keys, rows_per_task))
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
+    number = spread(left)
     marked = left.join(hot, keys, "left").withColumn(
         "_part",
-        F.when(no_key, F.pmod(spread, F.lit(NULL_SPREAD)))
-        .when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
+        F.when(no_key, F.pmod(number, F.lit(NULL_SPREAD)))
+        .when(F.col("_parts").isNotNull(), F.pmod(number, F.col("_parts")))
         .otherwise(0)
         .cast("int"),
     )

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
+from ..operators.joins import spread
 
 SALTS = 16
 
 
 def _salt(df: DataFrame, salts: int):
     """Part of a row, so that the rows of one key, equal ones too, spread over tasks."""
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-    return F.pmod(spread, F.lit(salts)).cast("int")
+    return F.pmod(spread(df), F.lit(salts)).cast("int")
 
 
 def drop_seen(

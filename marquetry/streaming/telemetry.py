@@ -19,6 +19,17 @@ def sensor_stream(
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 
+def readings_from_json(
+    stream: DataFrame, schema: StructType = SENSOR_RAW, column: str = "value"
+) -> DataFrame:
+    """Readings from JSON text, such as the value of a message queue record.
+
+    A text that is no reading gives a row of NULLs, which ``decode`` rejects.
+    """
+    text = F.col(column).cast("string")
+    return stream.select(F.from_json(text, schema).alias("_r")).select("_r.*")
+
+
 def decode(readings: DataFrame) -> DataFrame:
     """Registers to g and degrees per second. Batch and streaming frames alike.
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +43,23 @@ def test_stream_equals_batch(spark, landed, tmp_path, rows):
     assert found["null"]["ay"] is None
 
 
+def test_json_readings_on_a_running_stream(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    fields = {r: 0 for r in REGISTERS} | {"device": "d", "ts": "2024-01-01T00:00:00Z", "ax_h": 64}
+    (tmp_path / "in" / "a.txt").write_text(json.dumps(fields) + "\nnoise\n")
+    lines = spark.readStream.text(str(tmp_path / "in"))
+    decoded = telemetry.decode(telemetry.readings_from_json(lines))
+    running = runner.to_files(decoded, str(tmp_path / "out"), str(tmp_path / "cp"), every="1 second")
+    running.processAllAvailable()
+    (tmp_path / "in" / "b.txt").write_text(json.dumps(fields | {"device": "e"}) + "\n")
+    running.processAllAvailable()
+    running.stop()
+    got = spark.read.schema(decoded.schema).parquet(str(tmp_path / "out"))
+    assert rows(got, "device", "ax", "status") == sorted(
+        [("d", 1.0, "ok"), ("e", 1.0, "ok"), (None, None, "rejected")], key=repr
+    )
+
+
 def feed(spark, path, rows):
     spark.createDataFrame(rows, "k string, v string, ts timestamp").write.mode("append").parquet(path)
 
