@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The broadcast list of hot keys never has more rows than this.
-MAX_HOT_KEYS = 4096
+# The broadcast list of hot keys never has more rows than this: a few megabytes.
+MAX_HOT_KEYS = 65_536
 ROWS_PER_TASK = 1_000_000
 # Rows without a key match nothing; they are only spread.
 NULL_SPREAD = 4096
@@ -21,7 +21,7 @@ def hot_keys(
     """The keys with more than ``rows_per_task`` rows and the number of parts to cut each into.
 
     The count combines on the map side, and only the ``MAX_HOT_KEYS`` largest are kept: a
-    key beyond those holds less than 1/4096 of the rows. The frame is safe to broadcast.
+    key beyond those holds less than 1/65536 of the rows. The frame is safe to broadcast.
     """
     return (
         df.dropna("any", subset=list(keys))

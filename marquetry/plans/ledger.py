@@ -189,7 +189,12 @@ def last_months(
 
 
 def category_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATEGORIES, CATEGORY)
+    """The fixed categories as a literal relation."""
+    names = CATEGORY.fieldNames()
+    entries = [
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, entry)]) for entry in CATEGORIES
+    ]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
 def with_category_info(spark: SparkSession, ledger: DataFrame) -> DataFrame:

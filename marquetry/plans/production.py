@@ -28,8 +28,10 @@ from ..operators.quality import repeated_keys
 from ..schemas import CREW_RAW, PERSON_RAW, PRODUCTION_RAW
 from ..session import staged
 from ..sources.readers import CORRUPT, LINE_ORDER, read_jsonl_tolerant
+from ..sources.sizes import size_report
 from ..sources.writers import write_collection, write_jsonl
 
+# The names of the counters.
 COUNTERS = [
     "lidos",
     "escritos",
@@ -175,8 +177,13 @@ def quality_report(by_key: DataFrame, dataset: str) -> DataFrame:
     ).select(F.lit(dataset).alias("dataset"), *COUNTERS)
 
 
-def run(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Clean ``pessoa``, ``producao`` and ``equipe`` JSON lines; returns the counters."""
+def run(
+    spark: SparkSession, source: str, target: str, mode: str = "errorifexists"
+) -> DataFrame:
+    """Clean ``pessoa``, ``producao`` and ``equipe`` JSON lines; returns the counters.
+
+    ``mode="overwrite"`` replaces the output of an earlier run.
+    """
     raw = {
         name: read_jsonl_tolerant(spark, f"{source}/{name}.jsonl", schema)
         for name, schema in (
@@ -194,11 +201,21 @@ def run(spark: SparkSession, source: str, target: str) -> DataFrame:
     )
     reports = []
     for name, by_key in (("pessoa", people), ("producao", productions), ("equipe", crew)):
-        write_jsonl(clean_rows(by_key), f"{target}/{name}_clean")
+        write_jsonl(clean_rows(by_key), f"{target}/{name}_clean", mode=mode)
         reports.append(quality_report(by_key, name))
     return reduce(lambda a, b: a.unionByName(b), reports)
 
 
+def size_comparison(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Megabytes of each data set before and after ``run``."""
+    names = ("pessoa", "producao", "equipe")
+    return size_report(
+        spark,
+        {name: f"{source}/{name}.jsonl" for name in names},
+        {name: f"{target}/{name}_clean" for name in names},
+    )
+
+
 def load_collection(
     spark: SparkSession,
     path: str,

@@ -13,9 +13,11 @@ from ..functions.numbers import decimal_comma
 BOM = "\ufeff"
 
 
-def write_jsonl(df: DataFrame, path: str, keep_nulls: bool = False) -> None:
+def write_jsonl(
+    df: DataFrame, path: str, keep_nulls: bool = False, mode: str = "errorifexists"
+) -> None:
     """One JSON object per line, with NULL fields left out or kept."""
-    df.write.option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
+    df.write.mode(mode).option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", bom: bool = False) -> None:
@@ -53,4 +55,4 @@ def write_backup(
     End the order with the key: rows that share a date then still spread over tasks.
     """
     for name, df in tables.items():
-        write_jsonl(df.orderBy(*order[name]) if name in order else df, f"{path}/{name}", True)
+        write_jsonl(df.orderBy(*order[name]) if name in order else df, f"{path}/{name}", keep_nulls=True)

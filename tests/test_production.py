@@ -138,6 +138,17 @@ def test_crew(spark, landed, result):
     assert result[1]["equipe"] == {"dataset": "equipe", **stats}
 
 
+def test_run_again_and_compare_sizes(spark, landed, result):
+    out, first = result
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        production.run(spark, str(landed[0]), str(out))
+    again = production.run(spark, str(landed[0]), str(out), mode="overwrite").collect()
+    assert {r["dataset"]: r.asDict() for r in again} == first
+    sizes = {r["dataset"]: r for r in production.size_comparison(spark, str(landed[0]), str(out)).collect()}
+    assert set(sizes) == {"pessoa", "producao", "equipe"}
+    assert sizes["equipe"]["reduction_pct"] > 50
+
+
 def test_every_line_is_counted_once(result):
     for c in result[1].values():
         parts = ("escritos", "duplicatas", "nulos_removidos", "orfaos", "erros_parse")
