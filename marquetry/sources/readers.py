@@ -14,7 +14,7 @@ from ..operators.ordering import top_k
 from ..operators.projections import equals_if, trim_headers
 
 CORRUPT = "_corrupt_record"
-# Position of a line in its input: file, start of the split, running number in the task.
+# Position of a line in its input: file name, start of the split, running number in the task.
 LINE_ORDER = ["_file", "_split", "_line"]
 
 
@@ -29,8 +29,8 @@ def parse_lines(lines: DataFrame, schema: StructType, column: str = "value") ->
     parsed = lines.withColumn(
         "_doc", F.from_json(line, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
     )
-    whole = F.rtrim(line).endswith("}")
-    bad = F.when(~whole, line).otherwise(F.col(f"_doc.{CORRUPT}"))
+    whole = F.coalesce(F.rtrim(line, F.lit(" \t\r")).endswith("}"), F.lit(False))
+    bad = F.when(~whole, F.coalesce(line, F.lit(""))).otherwise(F.col(f"_doc.{CORRUPT}"))
     kept = [c for c in lines.columns if c != column]
     return parsed.select(
         *[F.col(f"_doc.{f.name}").alias(f.name) for f in schema.fields],
@@ -48,7 +48,7 @@ def read_jsonl_tolerant(
     """
     lines = spark.read.text(path).select(
         "value",
-        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_line"),
     )

@@ -175,8 +175,15 @@ def test_size_report(spark, tmp_path):
 
 
 def test_tolerant_lines(spark, tmp_path, rows):
-    (tmp_path / "x.jsonl").write_text('{"id_pessoa": 1, "nome": "a"}\n\n{"id_pessoa": "x"}\nnull\n')
+    (tmp_path / "x.jsonl").write_bytes(
+        b'{"id_pessoa": 1, "nome": "a"}\t \r\n\n{"id_pessoa": "x"}\nnull\n{"id_pessoa": 2} {"id'
+    )
     df = readers.read_jsonl_tolerant(spark, str(tmp_path / "x.jsonl"), schemas.PERSON_RAW)
     good, bad = readers.split_bad(df)
     assert rows(good, "id_pessoa", "nome") == [(1, "a")]
-    assert rows(bad) == sorted([("",), ('{"id_pessoa": "x"}',), ("null",)], key=repr)
+    assert rows(bad) == sorted(
+        [("",), ('{"id_pessoa": "x"}',), ("null",), ('{"id_pessoa": 2} {"id',)], key=repr
+    )
+    frame = spark.createDataFrame([(None,), ('{"id_pessoa": 3}',)], "value string")
+    parsed = readers.parse_lines(frame, schemas.PERSON_RAW)
+    assert rows(parsed, "id_pessoa", readers.CORRUPT) == sorted([(None, ""), (3, None)], key=repr)
