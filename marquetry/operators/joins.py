@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The broadcast list of hot keys never has more rows than this: a few megabytes.
-MAX_HOT_KEYS = 65_536
+# Keys are counted in this many hash buckets first; a hot key has more rows than two
+# average buckets, so there are fewer than half as many hot keys as buckets.
+BUCKETS = 65_536
 ROWS_PER_TASK = 1_000_000
 # Rows without a key match nothing; they are only spread.
 NULL_SPREAD = 4096
@@ -18,19 +19,28 @@ NULL_SPREAD = 4096
 def hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """The keys with more than ``rows_per_task`` rows and the number of parts to cut each into.
+    """The keys with very many rows, and the number of parts to cut each into.
 
-    The count combines on the map side, and only the ``MAX_HOT_KEYS`` largest are kept: a
-    key beyond those holds less than 1/65536 of the rows. The frame is safe to broadcast.
+    A key is hot with more than ``rows_per_task`` rows and more than twice the rows of an
+    average bucket. That bounds the frame to 32,768 rows, so it is safe to broadcast.
+    Only the keys of buckets that are that large are counted one by one; without such a
+    bucket, the usual case, the second count reads nothing.
     """
+    keyed = df.dropna("any", subset=list(keys)).select(
+        *keys, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("_bucket")
+    )
+    sizes = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    all_rows = F.sum("_size").over(Window.partitionBy(F.lit(0)))
+    least = F.greatest(F.lit(rows_per_task), F.ceil(all_rows * 2 / F.lit(BUCKETS)))
+    crowded = (
+        sizes.withColumn("_least", least).filter(F.col("_size") > F.col("_least")).drop("_size")
+    )
     return (
-        df.dropna("any", subset=list(keys))
+        keyed.join(F.broadcast(crowded), "_bucket")
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows_per_task)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int").alias("_parts"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.max("_least").alias("_least"))
+        .filter(F.col("_rows") > F.col("_least"))
+        .select(*keys, F.ceil(F.col("_rows") / F.col("_least")).cast("int").alias("_parts"))
     )
 
 

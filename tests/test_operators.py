@@ -63,6 +63,16 @@ def test_a_hot_key_reaches_many_tasks(spark):
 def test_hot_keys_are_bounded_and_cut(facts):
     hot = {r["k"]: r["_parts"] for r in joins.hot_keys(facts, ["k"], 3).collect()}
     assert hot == {"hot": 14}
+    assert joins.hot_keys(facts, ["k"]).count() == 0
+
+
+def test_hot_means_more_than_two_average_buckets(facts, monkeypatch):
+    monkeypatch.setattr(joins, "BUCKETS", 5)
+    hot = {r["k"]: r["_parts"] for r in joins.hot_keys(facts, ["k"], 1).collect()}
+    assert hot in ({}, {"hot": 1}) and len(hot) < 3  # 100 keyed rows: at least 41 in a bucket
+    monkeypatch.setattr(joins, "BUCKETS", 20)
+    hot = {r["k"]: r["_parts"] for r in joins.hot_keys(facts, ["k"], 1).collect()}
+    assert hot == {"hot": 4}  # 40 rows, at least 10 to be hot
 
 
 def test_salted_join_spreads_equal_rows(spark, dim):
