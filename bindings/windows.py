@@ -196,7 +196,9 @@ def common_roles(spark, sf):
     from .joins import _parents
 
     people, works = _parents(spark, sf)
-    cleaned = crew(spark, sf).withColumn("papel", clean_text(F.col("papel")))
+    rows = crew(spark, sf)
+    cleaned = rows.withColumn("papel", clean_text(F.col("papel")))
     unique = unique_rows(cleaned, "id_producao", "id_pessoa", "papel")
-    valid = keep_with_parents(unique, [(people, "id_pessoa"), (works, "id_producao")])
+    parents = [(people, "id_pessoa"), (works, "id_producao")]
+    valid = keep_with_parents(unique, parents, counted_on=rows)
     return most_common(valid, "papel", 10)

@@ -92,14 +92,17 @@ def salted_join(
 
 
 def keep_with_parents(
-    df: DataFrame, parents: Sequence[tuple[DataFrame, str]], **salting
+    df: DataFrame,
+    parents: Sequence[tuple[DataFrame, str]],
+    rows_per_task: int = ROWS_PER_TASK,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose keys all exist in their parent frames."""
-    kept = df
+    source = df if counted_on is None else counted_on
     for parent, key in parents:
         known = parent.select(key).distinct()
-        kept = salted_join(kept, known, [key], "left_semi", counted_on=df, **salting)
-    return kept
+        df = salted_join(df, known, [key], "left_semi", rows_per_task, counted_on=source)
+    return df
 
 
 def orphans(df: DataFrame, parent: DataFrame, key: str, **salting) -> DataFrame:

@@ -6,7 +6,9 @@ counters both come from that frame, so the input is read and shuffled once.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,6 +179,12 @@ def quality_report(by_key: DataFrame, dataset: str) -> DataFrame:
     ).select(F.lit(dataset).alias("dataset"), *COUNTERS)
 
 
+def _together(*jobs: Callable) -> list:
+    """Run independent Spark jobs at the same time, so that none leaves the cluster idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def run(
     spark: SparkSession, source: str, target: str, mode: str = "errorifexists"
 ) -> DataFrame:
@@ -184,25 +192,24 @@ def run(
 
     ``mode="overwrite"`` replaces the output of an earlier run.
     """
-    raw = {
-        name: read_jsonl_tolerant(spark, f"{source}/{name}.jsonl", schema)
-        for name, schema in (
-            ("pessoa", PERSON_RAW),
-            ("producao", PRODUCTION_RAW),
-            ("equipe", CREW_RAW),
-        )
-    }
-    people = staged(people_by_key(raw["pessoa"]), "pessoa")
-    productions = staged(productions_by_key(raw["producao"]), "producao")
-    folded = staged(fold_crew(raw["equipe"]), "equipe-folded")
-    crew = staged(
-        flag_orphans(folded, clean_rows(people), clean_rows(productions), counted_on=folded),
-        "equipe",
+
+    def raw(name: str, schema: StructType) -> DataFrame:
+        return read_jsonl_tolerant(spark, f"{source}/{name}.jsonl", schema)
+
+    people, productions, folded = _together(
+        lambda: staged(people_by_key(raw("pessoa", PERSON_RAW)), "pessoa"),
+        lambda: staged(productions_by_key(raw("producao", PRODUCTION_RAW)), "producao"),
+        lambda: staged(fold_crew(raw("equipe", CREW_RAW)), "equipe-folded"),
+    )
+    flagged = flag_orphans(folded, clean_rows(people), clean_rows(productions), counted_on=folded)
+    done = {"pessoa": people, "producao": productions, "equipe": staged(flagged, "equipe")}
+    _together(
+        *[
+            partial(write_jsonl, clean_rows(by_key), f"{target}/{name}_clean", mode=mode)
+            for name, by_key in done.items()
+        ]
     )
-    reports = []
-    for name, by_key in (("pessoa", people), ("producao", productions), ("equipe", crew)):
-        write_jsonl(clean_rows(by_key), f"{target}/{name}_clean", mode=mode)
-        reports.append(quality_report(by_key, name))
+    reports = [quality_report(by_key, name) for name, by_key in done.items()]
     return reduce(lambda a, b: a.unionByName(b), reports)
 
 
