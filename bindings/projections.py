@@ -154,13 +154,13 @@ def p13(spark, sf):
 
 @query(
     "p14_if_column",
-    "SELECT n_nationkey, lower(n_name) AS n_name, n_regionkey FROM nation",
+    "SELECT c_custkey, lower(c_mktsegment) AS c_mktsegment FROM customer",
 )
 def p14(spark, sf):
-    df = ops.if_column(
-        table(spark, sf, "nation"), "n_name", lambda d: d.withColumn("n_name", F.lower("n_name"))
-    )
-    return ops.if_column(df, "absent", lambda d: d.drop("n_name"))
+    df = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    segment = F.lower("c_mktsegment")
+    df = ops.if_column(df, "c_mktsegment", lambda d: d.withColumn("c_mktsegment", segment))
+    return ops.if_column(df, "absent", lambda d: d.drop("c_mktsegment"))
 
 
 @query(

@@ -146,9 +146,13 @@ def s10(spark, sf):
     return spark.read.schema(df.schema).parquet(path)
 
 
-@query("s11_find", "SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey = 1")
+@query(
+    "s11_find",
+    """SELECT * FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 1""",
+)
 def s11(spark, sf):
-    return readers.find(table(spark, sf, "nation"), {"n_regionkey": 1})
+    wanted = {"c_mktsegment": "BUILDING", "c_nationkey": 1}
+    return readers.find(table(spark, sf, "customer"), wanted)
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import cents, exact_avg
+from ..functions.presence import all_present
 from .ordering import top_k
 
 
@@ -21,14 +22,14 @@ def distinct_labels(df: DataFrame, column: str) -> DataFrame:
 
 def group_count(df: DataFrame, *keys: str, name: str = "total") -> DataFrame:
     """Rows per key; rows without a key are left out."""
-    return df.dropna("any", subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return df.filter(all_present(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
 def group_mean(
     df: DataFrame, keys: Sequence[str], value: str, name: str = "mean", places: int = 2
 ) -> DataFrame:
     """Mean per group, highest first; rows without a key are left out."""
-    keyed = df.dropna("any", subset=list(keys))
+    keyed = df.filter(all_present(*keys))
     return (
         keyed.groupBy(*keys)
         .agg(exact_avg(F.col(value), places).alias(name))

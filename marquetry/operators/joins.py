@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.presence import all_present, any_missing
+
 # Keys are counted in this many hash buckets first; a hot key has more rows than two
 # average buckets, so there are fewer than half as many hot keys as buckets.
 BUCKETS = 65_536
@@ -26,7 +27,7 @@ def hot_keys(
     Only the keys of buckets that are that large are counted one by one; without such a
     bucket, the usual case, the second count reads nothing.
     """
-    keyed = df.dropna("any", subset=list(keys)).select(
+    keyed = df.filter(all_present(*keys)).select(
         *keys, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("_bucket")
     )
     sizes = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
@@ -72,11 +73,10 @@ def salted_join(
     """
     keys = list(keys)
     hot = F.broadcast(hot_keys(left if counted_on is None else counted_on, keys, rows_per_task))
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     number = spread(left)
     marked = left.join(hot, keys, "left").withColumn(
         "_part",
-        F.when(no_key, F.pmod(number, F.lit(NULL_SPREAD)))
+        F.when(any_missing(*keys), F.pmod(number, F.lit(NULL_SPREAD)))
         .when(F.col("_parts").isNotNull(), F.pmod(number, F.col("_parts")))
         .otherwise(0)
         .cast("int"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_WIDTH = 1_000_000
+FIRST_BUCKET = -(2**63)
 
 
 def with_position(
@@ -21,18 +22,21 @@ def with_position(
 ) -> DataFrame:
     """0-based position of each row within its keys, in ``seq`` order.
 
-    ``seq`` is a whole number, unique within the keys, and the keys are not NULL. Rows
-    are numbered inside buckets of ``width`` consecutive numbers, at most ``width`` rows
-    each; where a bucket starts follows from the bucket sizes, one row per bucket.
+    ``seq`` is a whole number, unique within the keys; a NULL in it comes first. Rows are
+    numbered inside buckets of ``width`` consecutive numbers, at most ``width`` rows each.
+    Where a bucket starts follows from the bucket sizes, which are one row per bucket.
+    The join and the numbering share one shuffle.
 
     With ``start`` and ``stop`` only rows start..stop-1 of each key remain. Buckets
     outside are dropped before any row is numbered.
     """
-    keys = list(keys)
-    bucketed = df.withColumn("_bucket", F.floor(F.col(seq) / F.lit(width)))
-    sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    # A struct is never NULL itself, so rows whose keys hold NULL find their bucket, too.
+    key = F.struct(*keys) if keys else F.lit(True)
+    bucket = F.coalesce(F.floor(F.col(seq) / F.lit(width)), F.lit(FIRST_BUCKET))
+    bucketed = df.withColumns({"_key": key, "_bucket": bucket.cast("long")})
+    sizes = bucketed.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = (
-        Window.partitionBy(*keys)
+        Window.partitionBy("_key")
         .orderBy("_bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -40,11 +44,11 @@ def with_position(
     starts = sizes.withColumn("_start", first).filter(F.col("_start") + F.col("_size") > start)
     if stop is not None:
         starts = starts.filter(F.col("_start") < stop)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(seq)
+    inside = Window.partitionBy("_key", "_bucket").orderBy(seq)
     placed = (
-        bucketed.join(starts, [*keys, "_bucket"])
+        bucketed.join(starts, ["_key", "_bucket"])
         .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1)
-        .drop("_bucket", "_start", "_size")
+        .select(*df.columns, name)
     )
     if start > 0:
         placed = placed.filter(F.col(name) >= start)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.presence import all_present
 from ..functions.text import matches
 from .positions import with_position
 
@@ -16,7 +17,7 @@ SMALL_SLICE = 10_000
 
 def require_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Rows that hold all keys."""
-    return df.dropna("any", subset=list(keys))
+    return df.filter(all_present(*keys))
 
 
 def equals(df: DataFrame, column: str, value) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.presence import all_present
+
 
 def keep_first(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
@@ -28,7 +30,7 @@ def extreme_per_group(
     df: DataFrame, group: str, value: str, key: str, largest: bool = True
 ) -> DataFrame:
     """The row with the largest (smallest) value of each group, sorted by value."""
-    present = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
+    present = df.filter(all_present(value, group))
     order = F.desc(value) if largest else F.asc(value)
     return keep_first(present, [group], [order, F.asc(key)]).orderBy(
         F.desc(value), F.asc(group)

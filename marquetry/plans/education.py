@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import parse_ptbr, ratio
+from ..functions.presence import all_present
 from ..operators.projections import equals_if
 from ..operators.reshape import melt, split_label
 from ..operators.windows import pct_change
@@ -28,7 +29,7 @@ def long_table(wide: DataFrame, years: Sequence[str]) -> DataFrame:
         {TEACHERS: "Docentes", CLASSROOMS: "Salas"},
         F.col("valor"),
     )
-    return both.dropna("any", subset=["Docentes", "Salas"])
+    return both.filter(all_present("Docentes", "Salas"))
 
 
 def kpi_table(long: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.presence import all_present
 from ..operators.ordering import top_k
 from ..operators.projections import above_average, at_maximum
 
@@ -53,7 +54,7 @@ def impact_by_era(df: DataFrame) -> DataFrame:
     """Mean economic impact per era and medical advance; rows without a key are left out."""
     keys = ["Era", "Avanco_Medico"]
     return (
-        df.dropna("any", subset=keys)
+        df.filter(all_present(*keys))
         .groupBy(*keys)
         .agg(F.avg("Impacto_Economico_Bilhao_USD").alias("impacto_medio"))
         .orderBy(*keys)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.presence import any_missing
 from ..functions.text import (
     blank_to_null,
     clean_year,
@@ -55,8 +56,8 @@ def _total(c: Column) -> Column:
 
 
 def _status(keys: list[str]) -> Column:
-    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return F.when(F.col(CORRUPT).isNotNull(), "parse").when(missing, "null").otherwise("ok")
+    bad = F.when(F.col(CORRUPT).isNotNull(), "parse")
+    return bad.when(any_missing(*keys), "null").otherwise("ok")
 
 
 def _by_key(raw: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:

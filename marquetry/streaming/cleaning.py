@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.presence import all_present
 from ..functions.text import clean_text
 from ..operators.joins import spread
 
@@ -48,7 +49,7 @@ def clean_stream(
     stream: DataFrame, keys: Sequence[str], texts: Sequence[str], **seen
 ) -> DataFrame:
     """Require the keys, clean the texts, keep the first row of each key."""
-    keyed = stream.dropna("any", subset=list(keys))
+    keyed = stream.filter(all_present(*keys))
     cleaned = keyed.withColumns({c: clean_text(F.col(c)) for c in texts})
     return drop_seen(cleaned, keys, **seen)
 

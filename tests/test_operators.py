@@ -113,14 +113,25 @@ def test_lookup_default_and_alignment(spark, facts, dim, rows):
 
 @pytest.mark.parametrize("width", [1, 3, 1000])
 def test_positions(spark, width):
-    data = [("a", s) for s in range(0, 40, 3)] + [("b", s) for s in (5, -7, 9)]
+    data = [("a", s) for s in range(0, 40, 3)] + [(k, s) for k in ("b", None) for s in (5, -7, 9)]
     df = spark.createDataFrame(data, "k string, s int").repartition(5)
     got = {(r["k"], r["s"]): r["pos"] for r in positions.with_position(df, ["k"], "s", width).collect()}
-    for key in "ab":
+    for key in ("a", "b", None):
         ordered = sorted(s for k, s in data if k == key)
         assert [got[(key, s)] for s in ordered] == list(range(len(ordered)))
 
 
+def test_a_missing_sequence_number_comes_first(spark, rows):
+    df = spark.createDataFrame([("a", -5), ("a", None)], "k string, s int")
+    assert rows(positions.with_position(df, ["k"], "s"), "s", "pos") == [(-5, 1), (None, 0)]
+
+
+def test_numbering_reuses_the_shuffle_of_the_join(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, s int")
+    plan = positions.with_position(df, ["k"], "s")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[plan.index("Window [row_number") : plan.index("SortMergeJoin")]
+
+
 def test_row_range_both_ways(spark, monkeypatch, rows):
     df = spark.range(100).repartition(7)
     want = [(i,) for i in range(30, 50)]
