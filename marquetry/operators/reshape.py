@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 MAX_TRANSPOSED = 1000
 
 
@@ -38,10 +40,14 @@ def split_label(
 
 
 def transpose(df: DataFrame, index: str, measure: str = "measure") -> DataFrame:
-    """Rows to columns, for a small report: refuses more than ``MAX_TRANSPOSED`` rows."""
-    labels = [r[0] for r in df.select(index).distinct().limit(MAX_TRANSPOSED + 1).collect()]
+    """Rows to columns, for a small report: refuses more than ``MAX_TRANSPOSED`` rows.
+
+    The labels become columns, so the report is computed here, once.
+    """
+    report = staged(df.limit(MAX_TRANSPOSED + 1), "transpose")
+    labels = [r[0] for r in report.select(index).collect()]
     if len(labels) > MAX_TRANSPOSED:
         raise ValueError(f"more than {MAX_TRANSPOSED} rows to transpose")
     values = [c for c in df.columns if c != index]
-    long = melt(df, [index], values, measure, "_value")
+    long = melt(report, [index], values, measure, "_value")
     return long.groupBy(measure).pivot(index, sorted(labels)).agg(F.first("_value"))

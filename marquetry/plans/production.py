@@ -6,7 +6,7 @@ counters both come from that frame, so the input is read and shuffled once.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
@@ -27,7 +27,6 @@ from ..functions.text import (
 from ..operators.joins import salted_join
 from ..operators.ordering import most_common, most_common_by_label
 from ..operators.projections import search
-from ..operators.quality import repeated_keys
 from ..schemas import CREW_RAW, PERSON_RAW, PRODUCTION_RAW
 from ..session import staged
 from ..sources.readers import CORRUPT, LINE_ORDER, read_jsonl_tolerant
@@ -60,12 +59,18 @@ def _status(keys: list[str]) -> Column:
     return bad.when(any_missing(*keys), "null").otherwise("ok")
 
 
+def _extras(raw: DataFrame, *known: str) -> list[str]:
+    """Columns beyond the known ones; they pass through unchanged."""
+    return [c for c in raw.columns if c not in {CORRUPT, "_tidy", *LINE_ORDER, *known}]
+
+
 def _by_key(raw: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
     """One row per key: its copies and the fields of its first line in file order.
 
     Rows that fail to parse or lack the key collapse to one row per reason. The minimum
     combines on the map side, so a key with many copies is one row per task there.
     """
+    fields = fields | {c: F.col(c) for c in _extras(raw, key, *fields)}
     values = F.struct(*LINE_ORDER, *[c.alias(name) for name, c in fields.items()])
     status = _status([key])
     return (
@@ -117,21 +122,28 @@ def productions_by_key(raw: DataFrame) -> DataFrame:
 def fold_crew(raw: DataFrame) -> DataFrame:
     """One row per (production, person, cleaned role): copies and corrections.
 
-    Rows that fail to parse or lack a key collapse to one row per reason.
+    Rows that fail to parse or lack a key collapse to one row per reason. Other columns,
+    if there are any, come from the first line in file order.
     """
     keys = ["id_producao", "id_pessoa"]
     status, tidy = _status(keys), F.col("_tidy")
-    return (
+    extras = _extras(raw, *keys, "papel")
+    lines = [*LINE_ORDER, *extras] if extras else []
+    counts = [_n().alias("copies"), F.sum("corrected").alias("corrections")]
+    first = [F.min(F.struct(*lines)).alias("_first")] if extras else []
+    folded = (
         _tidied(raw, "papel")
         .select(
             status.alias("status"),
             *[F.when(status == "ok", F.col(k)).alias(k) for k in keys],
             F.when(status == "ok", blank_to_null(tidy)).alias("papel"),
             differs(F.col("papel"), tidy).cast("int").alias("corrected"),
+            *lines,
         )
         .groupBy("status", *keys, "papel")
-        .agg(_n().alias("copies"), F.sum("corrected").alias("corrections"))
+        .agg(*counts, *first)
     )
+    return folded.withColumns({c: F.col(f"_first.{c}") for c in extras}).drop("_first")
 
 
 def flag_orphans(
@@ -187,15 +199,22 @@ def _together(*jobs: Callable) -> list:
 
 
 def run(
-    spark: SparkSession, source: str, target: str, mode: str = "errorifexists"
+    spark: SparkSession,
+    source: str,
+    target: str,
+    mode: str = "errorifexists",
+    more_fields: Mapping[str, StructType] | None = None,
 ) -> DataFrame:
     """Clean ``pessoa``, ``producao`` and ``equipe`` JSON lines; returns the counters.
 
-    ``mode="overwrite"`` replaces the output of an earlier run.
+    ``mode="overwrite"`` replaces the output of an earlier run. ``more_fields`` names
+    further fields per data set, which are kept as they are.
     """
 
     def raw(name: str, schema: StructType) -> DataFrame:
-        return read_jsonl_tolerant(spark, f"{source}/{name}.jsonl", schema)
+        more = (more_fields or {}).get(name, StructType())
+        fields = StructType([*schema.fields, *more.fields])
+        return read_jsonl_tolerant(spark, f"{source}/{name}.jsonl", fields)
 
     people, productions, folded = _together(
         lambda: staged(people_by_key(raw("pessoa", PERSON_RAW)), "pessoa"),
@@ -240,11 +259,18 @@ def load_collection(
     documents = read_jsonl_tolerant(spark, path, schema).drop(*LINE_ORDER)
     good = documents.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     write_collection(good, target, fmt, **options)
-    counts = documents.agg(
-        _n(F.col(CORRUPT).isNull()).alias("documentos"), _n(F.col(CORRUPT).isNotNull()).alias("erros")
+    ok = F.col("_ok")
+    per_key = (
+        documents.select(F.col(CORRUPT).isNull().alias("_ok"), *keys)
+        .select(ok, *[F.when(ok, F.col(k)).alias(k) for k in keys])
+        .groupBy("_ok", *keys)
+        .agg(_n().alias("_n"))
+    )
+    return per_key.agg(
+        _total(F.when(ok, F.col("_n"))).alias("documentos"),
+        _total(F.when(~ok, F.col("_n"))).alias("erros"),
+        _n(ok & (F.col("_n") > 1)).alias("repetidos"),
     )
-    repeated = repeated_keys(good, *keys).agg(_n()).scalar()
-    return counts.withColumn("repetidos", repeated)
 
 
 def productions_per_year(productions: DataFrame, k: int = 20) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from marquetry.plans import production
 from marquetry.schemas import CREW_RAW, PERSON_RAW, PRODUCTION_RAW
@@ -149,6 +150,30 @@ def test_run_again_and_compare_sizes(spark, landed, result):
     assert sizes["equipe"]["reduction_pct"] > 50
 
 
+def test_further_fields_come_from_the_first_line(spark, tmp_path):
+    lines = {
+        "pessoa": [{"id_pessoa": 1, "nome": "a", "uf": "GO"}, {"id_pessoa": 1, "nome": "a", "uf": "SP"}],
+        "producao": [{"id_producao": 2, "titulo": "t", "dur": 90}],
+        "equipe": [
+            {"id_producao": 2, "id_pessoa": 1, "papel": "x ", "ordem": 9},
+            {"id_producao": 2, "id_pessoa": 1, "papel": "x", "ordem": 1},
+        ],
+    }
+    for name, docs in lines.items():
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(map(json.dumps, docs)))
+    more = {
+        "pessoa": StructType([StructField("uf", StringType())]),
+        "producao": StructType([StructField("dur", LongType())]),
+        "equipe": StructType([StructField("ordem", LongType())]),
+    }
+    production.run(spark, str(tmp_path), str(tmp_path / "out"), more_fields=more)
+    assert clean(spark, tmp_path / "out", "pessoa") == [{"id_pessoa": 1, "nome": "a", "uf": "GO"}]
+    assert clean(spark, tmp_path / "out", "producao") == [{"id_producao": 2, "titulo": "t", "dur": 90}]
+    assert clean(spark, tmp_path / "out", "equipe") == [
+        {"id_producao": 2, "id_pessoa": 1, "papel": "x", "ordem": 9}
+    ]
+
+
 def test_every_line_is_counted_once(result):
     for c in result[1].values():
         parts = ("escritos", "duplicatas", "nulos_removidos", "orfaos", "erros_parse")
