@@ -18,7 +18,7 @@ def parse_thousands(c: Column, scale: int = 2) -> Column:
 
 def parse_us_money(c: Column) -> Column:
     """``$3,655.82`` as a decimal; NULL where it is not an amount."""
-    return F.translate(F.trim(c), "$,", "").try_cast("decimal(12,2)")
+    return F.translate(F.trim(c), "$,", "").try_cast("decimal(28,2)")
 
 
 def format_ptbr(c: Column, places: int = 2) -> Column:

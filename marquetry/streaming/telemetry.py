@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.signals import accel_g, gyro_dps, is_byte, signed_word
 from ..schemas import AXES, SENSOR_RAW
+from .runner import to_files
 
 
 def sensor_stream(
@@ -30,6 +32,13 @@ def readings_from_json(
     return stream.select(F.from_json(text, schema).alias("_r")).select("_r.*")
 
 
+def decode_to_files(
+    spark: SparkSession, source: str, out: str, checkpoint: str, every: str = "1 second"
+) -> StreamingQuery:
+    """Decode landed readings for as long as the query runs, one folder per status."""
+    return to_files(decode(sensor_stream(spark, source)), out, checkpoint, ["status"], every)
+
+
 def decode(readings: DataFrame) -> DataFrame:
     """Registers to g and degrees per second. Batch and streaming frames alike.
 

@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 
@@ -38,7 +39,8 @@ def test_date_ranges_reach_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate,1996-02-01" in plan
 
 
-PLANNED = [n for n in sorted(QUERIES) if not n.startswith(("s", "st"))]
+# Queries that write and read back, or run a stream, hold only a scan in the end.
+PLANNED = [n for n in sorted(QUERIES) if not re.match(r"(s\d|st\d)", n)]
 
 
 @pytest.mark.parametrize("name", PLANNED)

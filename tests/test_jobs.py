@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from marquetry import schemas
 from marquetry.operators.ordering import top_k
-from marquetry.plans import education, outbreaks, salary
+from marquetry.plans import catalogue, education, outbreaks, salary
 from marquetry.sources import payloads, readers, sizes, writers
 
 
@@ -114,6 +114,25 @@ def test_payloads(spark, tmp_path, rows):
     assert rows(payloads.extraction_counts(tracks)) == [("X", 3)]
 
 
+def test_catalogue_jobs(spark, tmp_path, rows):
+    landed = tmp_path / "artists.jsonl"
+    landed.write_text(
+        '{"name": "X", "artists": {"items": [{"id": "1"}]}, "albums": [{"id": "a", "name": "One",'
+        ' "tracks": [{"name": "t,1"}]}]}\n{"name": "Y", "artists": {"items": []}, "albums": []}\n'
+    )
+    counts = catalogue.export_tracks(spark, str(landed), str(tmp_path / "csv"))
+    assert rows(counts) == [("X", 1), ("Y", 0)]
+    back = readers.read_csv(spark, str(tmp_path / "csv"), schemas.TRACK)
+    assert rows(back) == [("t,1", "X", "One", "N/A")]
+    people = tmp_path / "people.json"
+    people.write_text('{"results": [{"name": {"first": "A", "last": "B"}, "dob": {"age": 40}}]}')
+    target = str(tmp_path / "funcionarios")
+    for _ in range(2):
+        catalogue.load_employees(spark, str(people), target, whole_files=True)
+    found = readers.find(spark.read.parquet(target), {"cargo": "Gerente"})
+    assert rows(found, "nome", "salario") == [("A B", 12000)]
+
+
 def test_csv_with_byte_order_mark(spark, tmp_path, rows):
     df = spark.createDataFrame([("Canção", "X"), ('a,"b"', "Y")], "musica string, artista string")
     writers.write_csv(df, str(tmp_path / "m"), bom=True)

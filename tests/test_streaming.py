@@ -43,6 +43,20 @@ def test_stream_equals_batch(spark, landed, tmp_path, rows):
     assert found["null"]["ay"] is None
 
 
+def test_a_bad_reading_does_not_stop_the_stream(spark, landed, tmp_path):
+    out = str(tmp_path / "out")
+    running = telemetry.decode_to_files(spark, landed, out, str(tmp_path / "cp"))
+    running.processAllAvailable()
+    late = [reading("late", 9, gz_l=None), reading("fine", 10)]
+    spark.createDataFrame(late, SENSOR_RAW).write.mode("append").parquet(landed)
+    running.processAllAvailable()
+    assert running.isActive and running.exception() is None
+    running.stop()
+    got = {r["device"]: r["status"] for r in spark.read.parquet(out).collect()}
+    assert len(got) == 7
+    assert (got["late"], got["fine"], got["null"], got["ok"]) == ("rejected", "ok", "rejected", "ok")
+
+
 def test_json_readings_on_a_running_stream(spark, tmp_path, rows):
     (tmp_path / "in").mkdir()
     fields = {r: 0 for r in REGISTERS} | {"device": "d", "ts": "2024-01-01T00:00:00Z", "ax_h": 64}
