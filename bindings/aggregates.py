@@ -10,9 +10,18 @@ from marquetry.operators import ordering
 from marquetry.operators.projections import preview
 from marquetry.plans import production
 
-from .joins import PARENTS_SQL, _parents
 from .registry import query
-from .tables import LEDGER_SQL, RECURRING_SQL, ledger, mean, money, recurring, table
+from .tables import (
+    LEDGER_SQL,
+    PARENTS_SQL,
+    RECURRING_SQL,
+    ledger,
+    mean,
+    money,
+    parents,
+    recurring,
+    table,
+)
 
 YEAR = "CAST(year(o_orderdate) AS INTEGER)"
 
@@ -160,7 +169,7 @@ def _raw_crew(spark, sf):
          CAST(0 AS BIGINT) AS erros_parse FROM f""",
 )
 def a19(spark, sf):
-    people, works = _parents(spark, sf)
+    people, works = parents(spark, sf)
     return production.quality_report(
         production.crew_by_key(_raw_crew(spark, sf), people, works), "equipe"
     )
@@ -171,7 +180,7 @@ def a19(spark, sf):
     REPORT_SQL + " SELECT DISTINCT id_producao, id_pessoa, limpo AS papel FROM f WHERE status = 'ok'",
 )
 def a19_rows(spark, sf):
-    people, works = _parents(spark, sf)
+    people, works = parents(spark, sf)
     return production.clean_rows(production.crew_by_key(_raw_crew(spark, sf), people, works))
 
 

@@ -15,28 +15,17 @@ from .tables import (
     GOALS_SQL,
     INCOME_SQL,
     LEDGER_SQL,
+    PARENTS_SQL,
     RECURRING_SQL,
     crew,
     goals,
     ledger,
     money,
+    parents,
     recurring,
     table,
 )
 
-PARENTS_SQL = """works AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'),
-    people AS (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)"""
-
-
-def _parents(spark, sf):
-    works = table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    people = table(spark, sf, "supplier").filter(F.col("s_acctbal") > 0)
-    return (
-        people.select(F.col("s_suppkey").alias("id_pessoa")),
-        works.select(F.col("o_orderkey").alias("id_producao")),
-    )
-
-
 @query(
     "j01_referential_integrity",
     f"""WITH {CREW_SQL}, {PARENTS_SQL} SELECT * FROM crew
@@ -44,9 +33,9 @@ def _parents(spark, sf):
          AND id_producao IN (SELECT o_orderkey FROM works)""",
 )
 def j01(spark, sf):
-    people, works = _parents(spark, sf)
-    parents = [(people, "id_pessoa"), (works, "id_producao")]
-    return joins.keep_with_parents(crew(spark, sf), parents)
+    people, works = parents(spark, sf)
+    known = [(people, "id_pessoa"), (works, "id_producao")]
+    return joins.keep_with_parents(crew(spark, sf), known)
 
 
 @query(
@@ -57,7 +46,7 @@ def j01(spark, sf):
          ELSE 'none' END AS missing, count(*) AS rows FROM crew GROUP BY 1""",
 )
 def j02(spark, sf):
-    people, works = _parents(spark, sf)
+    people, works = parents(spark, sf)
     return joins.orphan_report(crew(spark, sf), [(people, "id_pessoa"), (works, "id_producao")])
 
 
@@ -67,7 +56,7 @@ def j02(spark, sf):
        WHERE id_producao NOT IN (SELECT o_orderkey FROM works)""",
 )
 def j02_rows(spark, sf):
-    return joins.orphans(crew(spark, sf), _parents(spark, sf)[1], "id_producao")
+    return joins.orphans(crew(spark, sf), parents(spark, sf)[1], "id_producao")
 
 
 @query(

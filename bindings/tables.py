@@ -60,6 +60,20 @@ CREW_SQL = (
 )
 
 
+PARENTS_SQL = """works AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'),
+    people AS (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)"""
+
+
+def parents(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Known people and works for the crew: suppliers in credit, urgent orders."""
+    works = table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    people = table(spark, sf, "supplier").filter(F.col("s_acctbal") > 0)
+    return (
+        people.select(F.col("s_suppkey").alias("id_pessoa")),
+        works.select(F.col("o_orderkey").alias("id_producao")),
+    )
+
+
 def recurring(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as templates of recurring entries."""
     return table(spark, sf, "customer").select(

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marquetry.functions.text import clean_text
 from marquetry.operators import reshape
 from marquetry.operators import windows as ops
+from marquetry.operators.aggregates import unique_rows
+from marquetry.operators.joins import keep_with_parents
+from marquetry.operators.ordering import most_common
 
 from .registry import query
-from .tables import crew, table
+from .tables import crew, parents, table
 
 GROWTH_SQL = """y AS (SELECT o_orderpriority AS local, CAST(year(o_orderdate) AS INTEGER) AS ano,
       CAST(count(*) AS DOUBLE) AS docentes,
@@ -188,17 +192,10 @@ def u05(spark, sf):
 )
 def common_roles(spark, sf):
     """Crew of known people and works, cleaned and without copies: the ten commonest roles."""
-    from marquetry.functions.text import clean_text
-    from marquetry.operators.aggregates import unique_rows
-    from marquetry.operators.joins import keep_with_parents
-    from marquetry.operators.ordering import most_common
-
-    from .joins import _parents
-
-    people, works = _parents(spark, sf)
+    people, works = parents(spark, sf)
     rows = crew(spark, sf)
     cleaned = rows.withColumn("papel", clean_text(F.col("papel")))
     unique = unique_rows(cleaned, "id_producao", "id_pessoa", "papel")
-    parents = [(people, "id_pessoa"), (works, "id_producao")]
-    valid = keep_with_parents(unique, parents, counted_on=rows)
+    known = [(people, "id_pessoa"), (works, "id_producao")]
+    valid = keep_with_parents(unique, known, counted_on=rows)
     return most_common(valid, "papel", 10)
