@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marquetry.operators import (
@@ -60,6 +62,20 @@ def test_a_hot_key_reaches_many_tasks(spark):
     assert len(sizes) >= 4 and max(sizes) <= 4500
 
 
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from([None, 1, 1, 1, 2, 3]), st.integers(0, 2)), max_size=60),
+    st.lists(st.tuples(st.sampled_from([None, 1, 2, 4]), st.integers(0, 2)), max_size=6),
+    st.sampled_from(["inner", "left", "left_semi", "left_anti"]),
+    st.integers(1, 9),
+)
+def test_salted_join_of_any_rows(spark, rows, left, right, how, rows_per_task):
+    a = spark.createDataFrame(left, "k int, v int").repartition(3)
+    b = spark.createDataFrame(right, "k int, w int")
+    plain = a.join(b, "k", how)
+    assert rows(joins.salted_join(a, b, ["k"], how, rows_per_task), *plain.columns) == rows(plain)
+
+
 def test_hot_keys_are_bounded_and_cut(facts):
     hot = {r["k"]: r["_parts"] for r in joins.hot_keys(facts, ["k"], 3).collect()}
     assert hot == {"hot": 14}
