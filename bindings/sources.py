@@ -143,7 +143,7 @@ def s10(spark, sf):
     path = scratch_path(spark, "s10")
     writers.write_collection(df.withColumn("s_acctbal", F.lit(0.0)), path)
     writers.write_collection(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return readers.read_collection(spark, path)
 
 
 @query(

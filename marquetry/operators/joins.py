@@ -66,7 +66,8 @@ def salted_join(
 
     Left rows of a hot key get one of the key's parts; the matching right rows are
     repeated once per part. All other keys have a single part. The part of a row follows
-    from its values and its input partition, so a re-run task assigns it again.
+    from its values and its input partition, so a re-run task assigns it again. Filter
+    before the join: Spark moves no predicate below a column that names the partition.
 
     ``counted_on`` is a frame that is cheaper to read than ``left`` and has at least its
     rows per key; the hot keys are counted there.

@@ -96,14 +96,27 @@ def read_csv_thousands(
     )
 
 
+def read_collection(
+    spark: SparkSession, source: str, fmt: str = "parquet", **options: str
+) -> DataFrame:
+    """A collection written by ``write_collection``. ``fmt="mongodb"`` needs that connector;
+    its connection settings come from the Spark configuration."""
+    reader = spark.read.format(fmt).options(**options)
+    return reader.option("collection", source).load() if fmt == "mongodb" else reader.load(source)
+
+
 def find(
-    collection: DataFrame, equals: Mapping | None = None, key: str | None = None,
+    collection: DataFrame,
+    equals: Mapping | None = None,
+    key: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Documents that match all given fields; with a limit, the first by key."""
     found = equals_if(collection, **(equals or {}))
     if limit is None:
         return found
+    if key is None:
+        raise ValueError("a limit needs a key to order by")
     return found.orderBy(key).limit(limit)
 
 

@@ -129,7 +129,7 @@ def test_catalogue_jobs(spark, tmp_path, rows):
     target = str(tmp_path / "funcionarios")
     for _ in range(2):
         catalogue.load_employees(spark, str(people), target, whole_files=True)
-    found = readers.find(spark.read.parquet(target), {"cargo": "Gerente"})
+    found = readers.find(readers.read_collection(spark, target), {"cargo": "Gerente"})
     assert rows(found, "nome", "salario") == [("A B", 12000)]
 
 
