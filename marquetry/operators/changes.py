@@ -63,9 +63,14 @@ def _matched(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 
 def replace_rows(
-    table: DataFrame, changes: DataFrame, key: str, fields: Sequence[str]
+    table: DataFrame, changes: DataFrame, key: str, fields: Sequence[str], seq: str | None = None
 ) -> DataFrame:
-    """Rows with a change take all the fields from it, NULL included. One change per key."""
+    """Rows with a change take all the fields from it, NULL included.
+
+    There is one change per key, or ``seq`` numbers the changes and the last one wins.
+    """
+    if seq is not None:
+        changes = keep_last(changes, [key], seq)
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     joined = _matched(table, changes, key)
     return joined.select(
@@ -77,13 +82,23 @@ def replace_rows(
 
 
 def patch_rows(
-    table: DataFrame, changes: DataFrame, key: str, fields: Sequence[str]
+    table: DataFrame, changes: DataFrame, key: str, fields: Sequence[str], seq: str | None = None
 ) -> DataFrame:
     """Rows with a change take the supplied fields only.
 
     ``changes`` holds, for each field, the value and a flag ``has_<field>`` that says
-    whether it was supplied, so that NULL can be written too. One change per key.
+    whether it was supplied, so that NULL can be written too. There is one change per key,
+    or ``seq`` numbers the changes and each field takes the last value supplied for it.
     """
+    if seq is not None:
+        last = []
+        for c in fields:
+            supplied = F.coalesce(F.col(f"has_{c}"), F.lit(False))
+            last += [
+                F.max_by(c, F.when(supplied, F.col(seq))).alias(c),
+                F.bool_or(supplied).alias(f"has_{c}"),
+            ]
+        changes = changes.groupBy(key).agg(*last)
     joined = _matched(table, changes, key)
     return joined.select(
         *[

@@ -144,6 +144,26 @@ def test_changes(spark, rows):
     assert rows(changes.import_rows(table, incoming, "id", ["n"])) == [("a", "x", 1), ("b", "y", 2), ("c", "first", 1)]
 
 
+def test_several_changes_of_a_row(spark, rows):
+    table = spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], "id string, v string, n int")
+    edits = spark.createDataFrame(
+        [("a", "first", 5, 1), ("a", None, 6, 3), ("a", "late", 7, 2)], "id string, v string, n int, seq int"
+    )
+    replaced = changes.replace_rows(table, edits, "id", ["v", "n"], seq="seq")
+    assert rows(replaced) == sorted([("a", None, 6), ("b", "y", 2)], key=repr)
+    patches = spark.createDataFrame(
+        [
+            ("a", "one", True, None, False, 1),
+            ("a", None, True, 9, False, 2),
+            ("a", "no", False, 8, True, 3),
+            ("b", None, None, None, None, 4),
+        ],
+        "id string, v string, has_v boolean, n int, has_n boolean, seq int",
+    )
+    patched = changes.patch_rows(table, patches, "id", ["v", "n"], seq="seq")
+    assert rows(patched) == sorted([("a", None, 8), ("b", "y", 2)], key=repr)
+
+
 def test_imported_rows_without_id_all_arrive(spark, rows):
     table = spark.createDataFrame([("a", 1.0)], "id string, value double")
     incoming = spark.createDataFrame(
