@@ -26,11 +26,19 @@ def parse_lines(lines: DataFrame, schema: StructType, column: str = "value") ->
     """Parse one JSON object per row; a line that is none keeps its text in ``_corrupt_record``."""
     with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     line = F.col(column)
-    parsed = lines.withColumn(
-        "_doc", F.from_json(line, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    options = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
+    parsed = lines.withColumn("_doc", F.from_json(line, with_corrupt, options))
+    # The parser stops after the first object. Where a line may go on behind it, the line
+    # and a zero must make an array of two.
+    text = F.rtrim(line, F.lit(" \t\r"))
+    may_go_on = F.instr(text, "}") < F.length(text)
+    pair = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
+    whole = F.coalesce(text.endswith("}"), F.lit(False))
+    bad = (
+        F.when(~whole, F.coalesce(line, F.lit("")))
+        .when(may_go_on & ~pair.eqNullSafe(F.lit(2)), line)
+        .otherwise(F.col(f"_doc.{CORRUPT}"))
     )
-    whole = F.coalesce(F.rtrim(line, F.lit(" \t\r")).endswith("}"), F.lit(False))
-    bad = F.when(~whole, F.coalesce(line, F.lit(""))).otherwise(F.col(f"_doc.{CORRUPT}"))
     kept = [c for c in lines.columns if c != column]
     return parsed.select(
         *[F.col(f"_doc.{f.name}").alias(f.name) for f in schema.fields],

@@ -203,6 +203,27 @@ def test_tolerant_lines(spark, tmp_path, rows):
     assert rows(bad) == sorted(
         [("",), ('{"id_pessoa": "x"}',), ("null",), ('{"id_pessoa": 2} {"id',)], key=repr
     )
-    frame = spark.createDataFrame([(None,), ('{"id_pessoa": 3}',)], "value string")
-    parsed = readers.parse_lines(frame, schemas.PERSON_RAW)
-    assert rows(parsed, "id_pessoa", readers.CORRUPT) == sorted([(None, ""), (3, None)], key=repr)
+
+
+@pytest.mark.parametrize(
+    "line, person",
+    [
+        ('{"id_pessoa": 3}', 3),
+        ('{"id_pessoa": 3, "nome": "a } b"}', 3),
+        ('{"id_pessoa": 3, "other": {"x": [1, {}]}} ', 3),
+        ('{"id_pessoa": 3} {"id_pessoa": 4}', None),
+        ('{"id_pessoa": 3},{"id_pessoa": 4}', None),
+        ('{"id_pessoa": 3}}', None),
+        ('{"id_pessoa": 3}]}', None),
+        ("{'id_pessoa': 3}", None),
+        ("5", None),
+        (None, None),
+    ],
+)
+def test_one_object_per_line(spark, line, person):
+    frame = spark.createDataFrame([(line,)], "value string")
+    row = readers.parse_lines(frame, schemas.PERSON_RAW).collect()[0]
+    if person is None:
+        assert row[readers.CORRUPT] == (line or "")
+    else:
+        assert (row["id_pessoa"], row[readers.CORRUPT]) == (person, None)
