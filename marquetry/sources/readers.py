@@ -27,10 +27,15 @@ def parse_lines(lines: DataFrame, schema: StructType, column: str = "value") ->
     with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     line = F.col(column)
     options = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
-    parsed = lines.withColumn("_doc", F.from_json(line, with_corrupt, options))
+    parsed = lines.withColumns(
+        {
+            "_doc": F.from_json(line, with_corrupt, options),
+            "_text": F.rtrim(line, F.lit(" \t\r")),
+        }
+    )
     # The parser stops after the first object. Where a line may go on behind it, the line
     # and a zero must make an array of two.
-    text = F.rtrim(line, F.lit(" \t\r"))
+    text = F.col("_text")
     may_go_on = F.instr(text, "}") < F.length(text)
     pair = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
     whole = F.coalesce(text.endswith("}"), F.lit(False))
