@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +42,16 @@ def in_batches(
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` with its rows in partitions by key, as many as the session's shuffles have."""
-    return df.repartition(*[F.col(k) for k in keys])
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, also where it isn't installed on them."""
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parents[2]
+    if getattr(context, "_marquetry_shipped", False) or str(root) in os.environ.get("PYTHONPATH", "").split(":"):
+        return
+    # Spark's own file server hands the archive to the executors.
+    archive = f"{tempfile.mkdtemp(prefix='marquetry-')}/marquetry.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.glob("marquetry/**/*.py")):
+            out.write(path, path.relative_to(root))
+    context.addPyFile(archive)
+    context._marquetry_shipped = True
