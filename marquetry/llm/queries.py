@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, simhash, toxicity, warc
+from . import html, language, merkle, packing, simhash, toxicity, warc
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return shipped
 
 
+@query
+def op1_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.with_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(table(spark, sf_dir, "pages"))
@@ -64,3 +74,36 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.held_out("doc_id", 5, 0)
     samples = language.learn(docs.filter(~held_out))
     return language.predict(docs, samples).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+SQL["op1_merkle_fingerprints"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
+    lead(coalesce(text, '')) OVER (ORDER BY doc_id) AS after, first(coalesce(text, '')) OVER (ORDER BY doc_id) AS head
+  FROM documents),
+e AS (SELECT doc_id, text, coalesce(after, head) AS next, length(text) AS n FROM d),
+t AS (SELECT doc_id, n, text, next, left(text, n - n // 4) || left(next, n // 4) AS edited FROM e),
+x AS (SELECT doc_id, 1 AS k, text AS s FROM t UNION ALL SELECT doc_id, 2, edited FROM t
+  UNION ALL SELECT doc_id, 3, next FROM t),
+f AS (SELECT doc_id, k, s, list_distinct(regexp_extract_all(s, '{merkle.PIECE}')) AS pieces,
+    array_to_string(list_transform(string_split(s, chr(10)), lambda p: sha256(p)), ' ') AS leaves FROM x),
+r AS (SELECT doc_id, k, s, pieces, sha256(array_to_string(list_transform(
+    string_split(regexp_replace(leaves, '([08]) ', '\\1|', 'g'), '|'), lambda p: sha256(p)), ' ')) AS root FROM f),
+w AS (SELECT a.doc_id, a.s AS text, b.s AS edited, a.root AS ra, b.root AS rb, c.root AS rc,
+    a.pieces AS pa, b.pieces AS pb, c.pieces AS pc
+  FROM r a JOIN r b ON a.doc_id = b.doc_id AND b.k = 2 JOIN r c ON a.doc_id = c.doc_id AND c.k = 3 WHERE a.k = 1)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, ra AS fingerprint, rb AS edited_fingerprint,
+  CASE WHEN ra = rb THEN 1.0::DOUBLE ELSE least(2.0::DOUBLE * len(list_intersect(pa, pb))
+    / greatest(len(pa) + len(pb), 1), 1 - 1 / (2.0::DOUBLE + len(pa) + len(pb))) END AS near_edited,
+  CASE WHEN ra = rc THEN 1.0::DOUBLE ELSE least(2.0::DOUBLE * len(list_intersect(pa, pc))
+    / greatest(len(pa) + len(pc), 1), 1 - 1 / (2.0::DOUBLE + len(pa) + len(pc))) END AS near_next
+FROM w
+"""
+
+SQL["op5_warc"] = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+k AS (SELECT digest, n, max(page_id) AS keeper FROM p WHERE n >= {warc.LEAST_BYTES} GROUP BY digest, n)
+SELECT page_id, p.n AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN keeper > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN keeper > page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON p.digest = k.digest AND p.n = k.n
+"""
