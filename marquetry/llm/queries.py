@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, language, merkle, packing, simhash, toxicity, warc
+from . import html, language, lines, merkle, packing, simhash, toxicity, warc
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,19 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lines.removed_lines(docs)
+    counted = docs.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"))
+    return counted.join(found, "doc_id", "left").select(
+        "doc_id",
+        F.greatest("n_lines", F.lit(0)).alias("n_lines"),
+        F.coalesce(F.size("lines"), F.lit(0)).alias("n_removed"),
+        F.coalesce(F.array_join("lines", ","), F.lit("")).alias("removed_lines"),
+    )
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
