@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, language, lines, merkle, packing, simhash, toxicity, warc
+from . import html, language, lines, merkle, packing, repeats, simhash, toxicity, warc
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op1_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.with_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
