@@ -261,7 +261,8 @@ def read(archives: DataFrame, archive: str = "archive", with_payload: bool = Fal
                         held, size = [], 0
                 yield pa.RecordBatch.from_pylist(held, schema=kinds)
 
-    return archives.select(archive).repartition(F.col(archive)).mapInArrow(run, schema)
+    # A number of partitions that is given stays as it is; few bytes name much work here.
+    return archives.select(archive).repartition(max(1, archives.count()), archive).mapInArrow(run, schema)
 
 
 def with_referred(records: DataFrame) -> DataFrame:
