@@ -8,12 +8,16 @@ import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that a Python step works on at once, whatever the size of the Arrow batch it gets.
 ROWS_AT_ONCE = 256
+#: Numbers in a block of a table that tasks fill and add up.
+BLOCK = 1 << 16
+BLOCKS_SCHEMA = "block int, part binary"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +46,47 @@ def in_batches(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def summed(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Sums by block of ``parts`` (block int, part binary of doubles), added up as they stream by.
+
+    There are as many blocks as the caller made, each of fixed size, so the driver gets a bounded table.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                values = np.frombuffer(part.as_buffer(), dtype=np.float64)
+                sums[block] = sums[block] + values if block in sums else values
+        yield blocks(sums)
+
+    return {b: np.frombuffer(p) for b, p in parts.repartition("block").mapInArrow(add, BLOCKS_SCHEMA).collect()}
+
+
+def blocks(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+    names = sorted(parts)
+    values = [parts[b].astype(np.float64).tobytes() for b in names]
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(values, pa.binary())], ["block", "part"])
+
+
+def slot_counts(
+    docs: DataFrame, text: str, slots: Callable[[str | None], Iterator[np.ndarray]], n_slots: int
+) -> np.ndarray:
+    """How often each of ``n_slots`` slots comes out of ``slots(text)``, over all rows."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_slots, dtype=np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                for found in slots(value.as_py()):
+                    np.add.at(total, found, 1)
+        yield blocks({i: total[at : at + BLOCK] for i, at in enumerate(range(0, n_slots, BLOCK))})
+
+    sums = summed(docs.select(text).mapInArrow(count, BLOCKS_SCHEMA))
+    out = [sums.get(i, np.zeros(min(BLOCK, n_slots - at))) for i, at in enumerate(range(0, n_slots, BLOCK))]
+    return np.concatenate(out).astype(np.int64)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, also where it isn't installed on them."""
     context = spark.sparkContext

@@ -33,12 +33,11 @@ from pyspark.sql import functions as F
 
 from marquetry.session import staged
 
-from .common import in_batches
+from .common import in_batches, slot_counts
 
 WIDTH = 5
 SIMILARITY = 0.8
 SLOTS = 1 << 20
-BLOCK = 1 << 16
 GROUP = 16
 #: Bits of the table that tells which lines are asked for; beyond that, more are sent than needed.
 ASKED_BITS = 1 << 24
@@ -82,38 +81,11 @@ def prefix_size(size: int, similarity: float = SIMILARITY) -> int:
 def token_counts(docs: DataFrame, text: str = "text", width: int = WIDTH) -> np.ndarray:
     """How often tokens of each slot occur; a table of fixed size, whatever the input's."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, dtype=np.int64)
-        for batch in batches:
-            for value in batch.column(0):
-                for line in lines_of(value.as_py()):
-                    np.add.at(total, (tokens(line, width) % SLOTS).astype(np.int64), 1)
-        yield _blocks(total)
+    def slots(value: str | None) -> Iterator[np.ndarray]:
+        for line in lines_of(value):
+            yield (tokens(line, width) % SLOTS).astype(np.int64)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                part = np.frombuffer(counts.as_py(), dtype=np.int64)
-                sums[block] = sums[block] + part if block in sums else part
-        blocks = sorted(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(blocks, pa.int32()), pa.array([sums[b].tobytes() for b in blocks], pa.binary())], ["block", "counts"]
-        )
-
-    schema = "block int, counts binary"
-    summed = docs.select(text).mapInArrow(count, schema).repartition("block").mapInArrow(add, schema)
-    out = np.zeros(SLOTS, dtype=np.int64)
-    for block, counts in summed.collect():
-        out[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(counts, dtype=np.int64)
-    return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
-
-
-def _blocks(total: np.ndarray) -> pa.RecordBatch:
-    parts = [total[at : at + BLOCK].tobytes() for at in range(0, len(total), BLOCK)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["block", "counts"]
-    )
+    return np.minimum(slot_counts(docs, text, slots, SLOTS), np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _line_sets(docs: DataFrame, doc_id: str, text: str, width: int, similarity: float) -> DataFrame:
