@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -56,19 +57,30 @@ class WordIds(dict):
 
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self._remembered = remembered
+        self._before: dict[bytes, bytes] = {}
 
-    def _ids(self, word: bytes) -> bytes:
-        ids = self._tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+    def _ids(self, word: bytes, plain: bool = False) -> bytes:
+        """``plain``: lower-case a to z alone, which all steps before the model leave as they are."""
+        if plain:
+            ids = [t.id for t in self._model.tokenize(word.decode())]
+        else:
+            ids = self._tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         """Letters are told from what follows them, and their case is dropped, as the tokenizer does."""
         if len(self) > self._remembered:
+            # What is met again comes back from the table before.
+            self._before = dict(self)
             self.clear()
+        if (ids := self._before.get(word)) is not None:
+            self[word] = ids
+            return ids
         if m := _ENDED_WORD.fullmatch(word):
             stem, tail = m[1].lower(), m[2]
-            ids = self[stem] if stem != word else self._ids(stem)
+            ids = self[stem] if stem != word else self._ids(stem, plain=True)
             if tail:
                 ids += self[tail]
         else:
