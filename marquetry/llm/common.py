@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows that a Python step works on at once, whatever the size of the Arrow batch it gets.
 ROWS_AT_ONCE = 256
@@ -33,7 +34,7 @@ def in_batches(
     df: DataFrame,
     columns: Sequence[str | Column],
     step: Callable[[pa.RecordBatch], pa.RecordBatch],
-    schema: str,
+    schema: str | StructType,
     rows: int = ROWS_AT_ONCE,
 ) -> DataFrame:
     """Apply ``step`` to small Arrow batches of the chosen columns, partition by partition."""
@@ -46,6 +47,52 @@ def in_batches(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2**64."""
+    out = np.ones(n, dtype=np.uint64)
+    filled = 1
+    while filled < n:
+        more = min(filled, n - filled)
+        out[filled : filled + more] = out[:more] * np.uint64(pow(base, filled, 1 << 64))
+        filled += more
+    return out
+
+
+_BASE = 0x9E3779B97F4A7C15
+#: A number for each byte, so that a string's hash is a polynomial with these as coefficients.
+BYTE = powers(0xD6E8FEB86659FD93, 257)[1:] ^ np.uint64(0xA0761D6478BD642F)
+_tables: list[np.ndarray] = []
+
+
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of a base and of its inverse."""
+    if not _tables or len(_tables[0]) < n:
+        size = max(n, 1 << 18)
+        _tables[:] = [powers(_BASE, size), powers(pow(_BASE, -1, 1 << 64), size)]
+    return _tables[0], _tables[1]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread values over all bits (the finaliser of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[list(b" \t\n\v\f\r")] = True
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words in some bytes (runs without ASCII white space), and where they begin."""
+    space = np.concatenate(([True], _SPACE[data], [True]))
+    starts = np.flatnonzero(space[:-1] & ~space[1:])
+    ends = np.flatnonzero(~space[:-1] & space[1:])
+    up, down = power_tables(len(data) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE[data] * up[: len(data)], dtype=np.uint64)))
+    return mixed((sums[ends] - sums[starts]) * down[starts]), starts
+
+
 def summed(parts: DataFrame) -> dict[int, np.ndarray]:
     """Sums by block of ``parts`` (block int, part binary of doubles), added up as they stream by.
 

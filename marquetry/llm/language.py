@@ -160,11 +160,13 @@ def learn(
 ) -> dict[str, str]:
     """A bounded sample of text for each language of ``docs``."""
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    order = W.partitionBy(lang).orderBy(F.xxhash64(doc_id), doc_id)
-    keys = known.select(lang, doc_id).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= rows)
-    keys = keys.select(F.col(lang).alias("name"), F.col(doc_id).alias("key"), "rank")
-    same = (known[doc_id].eqNullSafe(keys["key"])) & (known[lang] == keys["name"])
-    found = known.join(F.broadcast(keys), same).select("name", "rank", F.substring(text, 1, chars).alias("part")).collect()
+    known = known.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    keys = known.select("lang", "id").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= rows)
+    keys = keys.select(F.col("lang").alias("name"), F.col("id").alias("key"), "rank")
+    same = F.col("id").eqNullSafe(F.col("key")) & (F.col("lang") == F.col("name"))
+    # ``rows`` ids for each language. Rows that share an id take one place; the sample stays bounded by ``chars``.
+    found = known.join(keys, same).groupBy("name", "rank").agg(F.min(F.substring("text", 1, chars)).alias("part")).collect()
     samples: dict[str, str] = {}
     for name, _, part in sorted(found):
         if len(samples.setdefault(name, "")) < chars:

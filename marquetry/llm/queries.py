@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, language, lines, merkle, packing, repeats, simhash, toxicity, warc
+from . import html, language, leaks, lines, merkle, packing, repeats, simhash, toxicity, warc
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,13 @@ def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = leaks.search(docs, items, leaks.fit(docs, items))
+    return found.select("doc_id", "item_id", "words_share", "answer_share")
+
+
 @query
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from marquetry.session import scratch_path, staged
 
-from .common import in_batches, whole_text
+from .common import BYTE, in_batches, mixed, power_tables, whole_text
 
 LENGTH = 400
 ANCHOR = 64
@@ -45,36 +45,14 @@ INDEX_BYTES = 4 << 20
 #: Starts of strings that are anchored at once; a long text goes through in overlapping parts.
 STARTS_AT_ONCE = 1 << 18
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 20
 
 
-def _inverse(x: int) -> int:
-    return pow(x, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """The first ``n`` powers of ``base`` modulo 2**64."""
-    out = np.ones(n, dtype=np.uint64)
-    filled = 1
-    while filled < n:
-        more = min(filled, n - filled)
-        out[filled : filled + more] = out[:more] * np.uint64(pow(base, filled, 1 << 64))
-        filled += more
-    return out
-
-
-_N = STARTS_AT_ONCE + LENGTH + 1
-_UP, _DOWN = _powers(int(_BASE), _N), _powers(_inverse(int(_BASE)), _N)
-_BYTE = _powers(0xD6E8FEB86659FD93, 257)[1:] ^ np.uint64(0xA0761D6478BD642F)
-
-
 def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
     """A 64-bit hash of each ``width``-byte string of ``data``, equal for equal strings."""
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _UP[: len(data)], dtype=np.uint64)))
-    x = (sums[width:] - sums[:-width]) * _DOWN[: len(data) - width + 1]
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    up, down = power_tables(len(data) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE[data] * up[: len(data)], dtype=np.uint64)))
+    return mixed((sums[width:] - sums[:-width]) * down[: len(data) - width + 1])
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:

@@ -134,7 +134,8 @@ def near_duplicates(
 def keep_first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose component has a row of smaller doc_id.
 
-    Rows with a null doc_id stay: nothing tells which of them is first.
+    Rows that share a doc_id are one document and stay or go together. Rows with a null doc_id
+    stay: nothing tells which of them is first.
     """
     found = near_duplicates(docs, doc_id, text)
     late = found.filter("doc_id > component_id").select(F.col("doc_id").alias(doc_id)).distinct()
