@@ -93,8 +93,8 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mixed((sums[ends] - sums[starts]) * down[starts]), starts
 
 
-def summed(parts: DataFrame) -> dict[int, np.ndarray]:
-    """Sums by block of ``parts`` (block int, part binary of doubles), added up as they stream by.
+def summed(parts: DataFrame, dtype: type) -> dict[int, np.ndarray]:
+    """Sums by block, in doubles, of ``parts`` (block int, part binary of ``dtype``), added up as they stream by.
 
     There are as many blocks as the caller made, each of fixed size, so the driver gets a bounded table.
     """
@@ -103,16 +103,16 @@ def summed(parts: DataFrame) -> dict[int, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                values = np.frombuffer(part.as_buffer(), dtype=np.float64)
+                values = np.frombuffer(part.as_buffer(), dtype=dtype).astype(np.float64)
                 sums[block] = sums[block] + values if block in sums else values
-        yield blocks(sums)
+        yield blocks(sums, np.float64)
 
     return {b: np.frombuffer(p) for b, p in parts.repartition("block").mapInArrow(add, BLOCKS_SCHEMA).collect()}
 
 
-def blocks(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+def blocks(parts: dict[int, np.ndarray], dtype: type) -> pa.RecordBatch:
     names = sorted(parts)
-    values = [parts[b].astype(np.float64).tobytes() for b in names]
+    values = [parts[b].astype(dtype).tobytes() for b in names]
     return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(values, pa.binary())], ["block", "part"])
 
 
@@ -122,14 +122,15 @@ def slot_counts(
     """How often each of ``n_slots`` slots comes out of ``slots(text)``, over all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_slots, dtype=np.int64)
+        # A task sees fewer than 2**32 of anything.
+        total = np.zeros(n_slots, dtype=np.uint32)
         for batch in batches:
             for value in batch.column(0):
                 for found in slots(value.as_py()):
                     np.add.at(total, found, 1)
-        yield blocks({i: total[at : at + BLOCK] for i, at in enumerate(range(0, n_slots, BLOCK))})
+        yield blocks({i: total[at : at + BLOCK] for i, at in enumerate(range(0, n_slots, BLOCK))}, np.uint32)
 
-    sums = summed(docs.select(text).mapInArrow(count, BLOCKS_SCHEMA))
+    sums = summed(docs.select(text).mapInArrow(count, BLOCKS_SCHEMA), np.uint32)
     out = [sums.get(i, np.zeros(min(BLOCK, n_slots - at))) for i, at in enumerate(range(0, n_slots, BLOCK))]
     return np.concatenate(out).astype(np.int64)
 

@@ -4,9 +4,12 @@ A text's features are its words, pairs of neighbours and pairs with one word bet
 to HASH_BITS bits and counted once. Every coordinate has its own learning rate; L1 leaves most
 weights at exactly zero, so the model is a short sorted list of hashes and weights.
 
-Training. The sample's rows are dealt by hash into shards of about SHARD_ROWS rows; each shard runs
-FTRL over its rows for EPOCHS passes in a task of its own. The accumulators (z, n) of a feature are
-averaged over the shards that saw it often enough, and the weight follows from them.
+Training. Features are counted in SLOTS slots, all of them and those of toxic rows; only features in
+slots where toxic rows are LIFT times as common as in the sample are learned from. The sample's rows
+are dealt by hash into shards of about SHARD_ROWS rows; each shard runs FTRL over its rows for
+EPOCHS passes in a task of its own. The accumulators (z, n) of a feature are averaged over the
+shards that met it, and the weight follows from them. At last the log odds are calibrated on the
+sample by a slope and an offset.
 
 Bounds. At most TRAIN_ROWS labelled rows, in the order of a hash of the id, are learned from, and
 the WEIGHTS largest weights are kept. Every text is scored whole.
@@ -17,8 +20,8 @@ rows every score is 0.5. Rows with a null label are not learned from. Repeated r
 
 from __future__ import annotations
 
-import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,50 +30,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches, whole_text
+from marquetry.session import staged
+
+from .common import BLOCK, BLOCKS_SCHEMA, blocks, in_batches, mixed, summed, whole_text, word_hashes
 
 TRAIN_ROWS = 40_000
-SHARD_ROWS = 16_384
-EPOCHS = 4
-ALPHA, BETA, L2 = 3.0, 1.0, 0.1
-#: L1 for each row of a shard, and the least L1. A feature must be in one row of so many, and in two.
-L1_PER_ROW, LEAST_L1, ROWS_PER_SEEN = 6e-4, 0.5, 1600
+SHARD_ROWS = 8_192
+EPOCHS = 6
+ALPHA, BETA, L2 = 10.0, 1.0, 0.1
+#: L1 for each row of a shard, and the least L1.
+L1_PER_ROW, LEAST_L1 = 3e-4, 0.5
+SLOTS, LIFT = 1 << 20, 2.0
 HASH_BITS = 40
 WEIGHTS = 1 << 18
 THRESHOLD = 0.7
 
-_MASK = np.uint64((1 << HASH_BITS) - 1)
 _BIAS = -1  # no feature's hash
 _LOW_BITS = 20
 
 
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        data = word.encode()
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = value = zlib.crc32(data) << 32 | zlib.adler32(data)
-        return value
-
-
-_hashes = _Hashes()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spread the values over all bits (the finaliser of SplitMix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))) & _MASK
+_MASK = np.uint64((1 << HASH_BITS) - 1)
+_PUNCTUATION = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
 
 def features(text: str) -> np.ndarray:
     """Sorted hashes of the words, neighbour pairs and skip pairs of ``text``."""
-    words = re.findall(r"\w+", text.lower())
-    own = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    own = word_hashes(np.frombuffer(text.lower().encode().translate(_PUNCTUATION), dtype=np.uint8))[0]
     once, again = own * np.uint64(0x9E3779B97F4A7C15), own * np.uint64(0xC2B2AE3D27D4EB4F)
     pairs = once[:-1] + again[1:] + np.uint64(1)
     skips = once[:-2] + again[2:] + np.uint64(2)
-    return np.unique(_mixed(np.concatenate((once, pairs, skips)))).astype(np.int64)
+    return np.unique(mixed(np.concatenate((once, pairs, skips))) & _MASK).astype(np.int64)
 
 
 def weights_of(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
@@ -78,26 +67,13 @@ def weights_of(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
     return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def _common_features(texts: list[str], least: int) -> list[np.ndarray]:
-    """Features of each text, without those in fewer than ``least`` texts.
-
-    Rare ones are dropped by a table of counts first, so that no list of all features is held.
-    """
-    counts, low = np.zeros(1 << 22, dtype=np.int32), np.int64((1 << 22) - 1)
-    for text in texts:
-        counts[features(text) & low] += 1
-    return [f[counts[f & low] >= least] for f in map(features, texts)]
-
-
 def train_shard(
-    texts: list[str], labels: np.ndarray, l1: float, epochs: int = EPOCHS
+    rows: list[np.ndarray], labels: np.ndarray, l1: float, epochs: int = EPOCHS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The features seen often enough, and the bias (-1), with their z and n."""
-    least = max(2, len(texts) // ROWS_PER_SEEN)
-    rows = _common_features(texts, least)
-    names, seen = np.unique(np.concatenate(rows), return_counts=True) if rows else (np.zeros(0, np.int64),) * 2
-    names = names[seen >= least]
-    rows = [np.append(np.searchsorted(names, r[np.isin(r, names)]), len(names)) for r in rows]
+    """The features of ``rows``, and the bias (-1), with their z and n."""
+    names, places = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_inverse=True)
+    parts = np.split(places, np.cumsum([len(r) for r in rows])[:-1]) if rows else []
+    rows = [np.append(p, len(names)) for p in parts]
     z, n = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for _ in range(epochs):
         for row, label in zip(rows, labels, strict=True):
@@ -109,6 +85,27 @@ def train_shard(
     return np.append(names, _BIAS), z, n
 
 
+def _telling_slots(learned: DataFrame, base: float) -> np.ndarray:
+    """Slots whose features stand in toxic rows LIFT times as often as the sample's share of them."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, SLOTS), dtype=np.int32)
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                slots = features(text.as_py()) % SLOTS
+                total[0, slots] += 1
+                if label > 0:
+                    total[1, slots] += 1
+        flat = total.ravel()
+        yield blocks({i: flat[at : at + BLOCK] for i, at in enumerate(range(0, len(flat), BLOCK))}, np.int32)
+
+    sums = summed(learned.select("label", "text").mapInArrow(count, BLOCKS_SCHEMA), np.int32)
+    if not sums:
+        return np.zeros(SLOTS, dtype=bool)
+    every, toxic = np.concatenate([sums[b] for b in sorted(sums)]).reshape(2, SLOTS)
+    return toxic > np.maximum(1, LIFT * base * every)
+
+
 @dataclass
 class Model:
     """Sorted feature hashes, their weights, and the bias."""
@@ -124,14 +121,37 @@ class Model:
     def __reduce__(self):
         return Model, (self.names, self.weights, self.bias)
 
-    def score(self, text: str) -> float:
-        own = features(text)
+    def margin(self, own: np.ndarray) -> float:
+        """The log odds of a text with the features ``own``."""
         own = own[self._low[own & ((1 << _LOW_BITS) - 1)]]
         at = np.searchsorted(self.names, own)
         hit = at < len(self.names)
         hit[hit] = self.names[at[hit]] == own[hit]
-        margin = self.bias + float(self.weights[at[hit]].sum())
-        return float(1 / (1 + np.exp(-np.clip(margin, -35, 35))))
+        return self.bias + float(self.weights[at[hit]].sum())
+
+    def score(self, text: str) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.margin(features(text)), -35, 35))))
+
+
+def calibration(margins: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple[float, float]:
+    """Slope and offset (Platt's) that make margins log odds; (1, 0) if only one label is there."""
+    toxic = labels > 0
+    if toxic.all() or not toxic.any():
+        return 1.0, 0.0
+    target = np.where(toxic, (toxic.sum() + 1) / (toxic.sum() + 2), 1 / ((~toxic).sum() + 2))
+    x, w = np.stack((margins, np.ones(len(margins))), axis=1), np.array([1.0, 0.0])
+
+    def loss(v: np.ndarray) -> float:
+        return float((np.logaddexp(0, x @ v) - target * (x @ v)).sum())
+
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        step, size = np.linalg.solve(hessian, x.T @ (p - target)), 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+    return float(max(w[0], 1e-6)), float(w[1])
 
 
 def train(
@@ -153,19 +173,36 @@ def train(
     known = sample.count()
     shards = max(1, round(known / SHARD_ROWS))
     l1 = max(LEAST_L1, L1_PER_ROW * known / shards)
-    shard = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards))
+    shard = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)).cast("long")
     # The sample has at most ``rows`` short rows, whatever the size of the tables.
-    learned = docs.join(F.broadcast(sample), docs[doc_id] == sample["key"]).select(
-        shard.alias("shard"), "key", "label", whole_text(text).alias("text")
+    texts = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("text"))
+    learned = texts.join(F.broadcast(sample), F.col("id") == F.col("key")).select(
+        shard.alias("shard"), "key", "label", "text"
     )
+    learned = staged(learned.repartition(8 * shards, "shard", "key"), "sample")
+    base = learned.agg(F.avg("label")).first()[0] or 0.0
+    telling = docs.sparkSession.sparkContext.broadcast(_telling_slots(learned, base))
+
+    def select(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [features(t) for t in batch.column(3).to_pylist()]
+        found = [f[telling.value[f % SLOTS]] for f in found]
+        columns = [*(batch.column(i) for i in range(3)), pa.array(found, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "key", "label", "own"])
+
+    key_kind = learned.schema["key"].dataType.simpleString()
+    chosen = in_batches(
+        learned, ["shard", "key", "label", "text"], select, f"shard long, key {key_kind}, label double, own array<long>"
+    )
+    chosen = staged(chosen, "features")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(order=[zlib.crc32(str(k).encode()) for k in group["key"]]).sort_values(["order", "key"])
-        names, z, n = train_shard(group["text"].tolist(), group["label"].to_numpy(), l1)
+        own = [np.asarray(f, dtype=np.int64) for f in group["own"]]
+        names, z, n = train_shard(own, group["label"].to_numpy(), l1)
         return pd.DataFrame({"name": names, "z": z, "n": n})
 
     found = (
-        learned.groupBy("shard")
+        chosen.groupBy("shard")
         .applyInPandas(run, "name long, z double, n double")
         .groupBy("name")
         .agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
@@ -178,7 +215,17 @@ def train(
     weights = weights_of(found["z"].to_numpy(), found["n"].to_numpy(), l1)
     names = found["name"].to_numpy(dtype=np.int64)
     own = names != _BIAS
-    return Model(names[own], weights[own], float(weights[~own].sum()))
+    raw = Model(names[own], weights[own], float(weights[~own].sum()))
+    shared = docs.sparkSession.sparkContext.broadcast(raw)
+
+    def margins(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shared.value.margin(np.asarray(f, dtype=np.int64)) for f in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["label", "margin"])
+
+    # Two numbers for each of at most ``rows`` rows.
+    pairs = in_batches(chosen, ["label", "own"], margins, "label double, margin double").toPandas()
+    slope, offset = calibration(pairs["margin"].to_numpy(), pairs["label"].to_numpy())
+    return Model(raw.names, slope * raw.weights, slope * raw.bias + offset)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
