@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     aggregates,
     changes,
+    jobs,
     joins,
     projections,
     reports,

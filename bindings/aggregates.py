@@ -152,6 +152,7 @@ def _raw_crew(spark, sf):
         F.col("l_suppkey").alias("id_pessoa"),
         F.concat(F.lit(" "), "l_returnflag", tail).alias("papel"),
         F.lit(None).cast("string").alias("_corrupt_record"),
+        F.lit(None).cast("string").alias("_invalid_number"),
     )
 
 
@@ -166,7 +167,7 @@ def _raw_crew(spark, sf):
          CAST(0 AS BIGINT) AS titulos_nulos,
          count(CASE WHEN status = 'ok' AND limpo <> papel THEN 1 END) AS correcoes,
          count(CASE WHEN status = 'orphan' THEN 1 END) AS orfaos,
-         CAST(0 AS BIGINT) AS erros_parse FROM f""",
+         CAST(0 AS BIGINT) AS erros_parse, CAST(0 AS BIGINT) AS ids_invalidos FROM f""",
 )
 def a19(spark, sf):
     people, works = parents(spark, sf)

@@ -60,6 +60,33 @@ def m02(spark, sf):
     return ops.replace_rows(book, edited, "id", ["date", "description", "category", "type", "value"])
 
 
+@query(
+    "m02_repeated_change",
+    f"""WITH {LEDGER_SQL} SELECT id, date, CASE WHEN description = 'P' THEN 'c' ELSE description END AS description,
+         category, type, CASE WHEN description = 'P' THEN value * 3 ELSE value END AS value FROM ledger""",
+)
+def m02_repeated(spark, sf):
+    """Three numbered changes of one row: the last wins and the key stays unique."""
+    book = _book(spark, sf)
+    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(t).alias("to")) for i, t in enumerate("abc", 1)]))
+    edits = book.filter(F.col("description") == "P").select("id", "value", steps.alias("s"))
+    edits = edits.select("id", F.col("s.to").alias("description"), (F.col("value") * F.col("s.seq")).alias("value"), "s.seq")
+    return ops.replace_rows(book, edits, "id", ["description", "value"], seq="seq")
+
+
+@query(
+    "m05_current_version",
+    f"WITH {LEDGER_SQL}, {GOALS_SQL} SELECT category, limit_value * 2 AS limit_value FROM goals WHERE limit_value > 0",
+)
+def m05_current(spark, sf):
+    """Two versions are written; the newest complete one is read."""
+    root = scratch_path(spark, "m05c")
+    kept = ops.replace_goals(goals(spark, sf))
+    first = ops.write_version(kept, root, 1)
+    ops.write_version(first.withColumn("limit_value", F.col("limit_value") * 2), root, 2)
+    return ops.read_current(spark, root)
+
+
 @query(
     "m03_update_supplied_fields",
     f"""WITH {RECURRING_SQL} SELECT id, description,

@@ -202,6 +202,18 @@ def p17_long(spark, sf):
     return ops.row_range(df, "o_orderkey", 2000, 12500)
 
 
+@query(
+    "p17_row_range_text_key",
+    """SELECT l_orderkey, l_linenumber, l_shipmode FROM (SELECT l_orderkey, l_linenumber, l_returnflag AS l_shipmode,
+         row_number() OVER (ORDER BY l_returnflag, l_orderkey, l_linenumber) - 1 AS pos FROM lineitem)
+       WHERE pos >= 500 AND pos < 20500""",
+)
+def p17_text(spark, sf):
+    """A text key with ties, which the other columns break, and a long slice."""
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("l_shipmode"))
+    return ops.row_range(df, "l_shipmode", 500, 20_500)
+
+
 @query(
     "p18_active_positive",
     f"""WITH {RECURRING_SQL} SELECT id, category, value FROM recurring

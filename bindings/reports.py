@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquetry.functions.dates import MONTHS
+from marquetry.operators.aggregates import share_of_total
 from marquetry.plans import education, outbreaks, salary
 from marquetry.plans import ledger as plan
 
@@ -39,6 +40,25 @@ def a12(spark, sf):
     return plan.kpis(book, ["mes"])
 
 
+@query(
+    "a12_monthly_kpis_of_all_months",
+    f"""WITH {LEDGER_SQL}, f AS (SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+           {INCOME_SQL} AS receitas, {EXPENSE_SQL} AS despesas, {INVEST_SQL} AS investimentos, count(*) AS n
+           FROM ledger GROUP BY 1, 2),
+         s AS (SELECT CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month
+           FROM range(1990, 2005) AS a(y), range(1, 13) AS b(m)),
+         k AS (SELECT s.year, s.month, COALESCE(receitas, 0.0) AS receitas, COALESCE(despesas, 0.0) AS despesas,
+           COALESCE(investimentos, 0.0) AS investimentos, n FROM s LEFT JOIN f ON s.year = f.year AND s.month = f.month)
+       SELECT year, month, receitas, despesas, investimentos, round(receitas - despesas, 2) AS saldo,
+         round({SAVINGS_SQL}, 1) AS economia, CASE WHEN n IS NULL THEN 'Sem dados'
+           WHEN {SAVINGS_SQL} >= 30 THEN 'Excelente' WHEN {SAVINGS_SQL} >= 15 THEN 'Bom'
+           WHEN {SAVINGS_SQL} >= 0 THEN 'Atenção' ELSE 'Crítico' END AS saude FROM k""",
+)
+def a12_all_months(spark, sf):
+    """Months without rows are there, too."""
+    return plan.monthly_kpis(spark, ledger(spark, sf), 1990, 2004)
+
+
 MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in MONTHS) + "]"
 SUMMARY_SQL = f"""{LEDGER_SQL},
     flows AS (SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
@@ -85,6 +105,38 @@ def a15(spark, sf):
     return plan.spend_by_category(ledger(spark, sf))
 
 
+@query(
+    "a15_share_fine_values",
+    """WITH v AS (SELECT l_shipmode_part AS grupo, CAST(SUM(CAST(l_discount * 0.004 AS DECIMAL(38,10))) AS DOUBLE) AS total
+           FROM (SELECT *, l_returnflag AS l_shipmode_part FROM lineitem) GROUP BY 1)
+       SELECT grupo, total, round(total / (SELECT CAST(SUM(CAST(total AS DECIMAL(38,10))) AS DOUBLE) FROM v) * 100, 1)
+         AS share FROM v""",
+)
+def a15_fine(spark, sf):
+    """Values far below a cent."""
+    values = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("grupo"), (F.col("l_discount") * 0.004).alias("value")
+    )
+    return share_of_total(values, ["grupo"], "value")
+
+
+@query(
+    "education_fractional",
+    """SELECT o_orderpriority AS "Localidade", CAST(count(*) + 0.5 AS DOUBLE) AS "Docentes",
+         CAST(count(*) * 2 + 0.25 AS DOUBLE) AS "Salas" FROM orders WHERE year(o_orderdate) = 1996 GROUP BY 1""",
+)
+def education_fractional(spark, sf):
+    """Numbers with decimals in the wide table stay as they are."""
+    year = F.year(F.col("o_orderdate").cast("date"))
+    counted = table(spark, sf, "orders").filter(year == 1996).groupBy(F.col("o_orderpriority").alias("Localidade"))
+    counted = counted.agg(F.count(F.lit(1)).alias("n"))
+    shown = [
+        counted.select("Localidade", F.lit(name).alias("Variável"), F.concat(whole.cast("string"), F.lit(tail)).alias("1996"))
+        for name, whole, tail in ((education.TEACHERS, F.col("n"), ",5"), (education.CLASSROOMS, F.col("n") * 2, ",25"))
+    ]
+    return education.long_table(shown[0].unionByName(shown[1]), ["1996"]).select("Localidade", "Docentes", "Salas")
+
+
 @query(
     "a16_goal_progress",
     f"""WITH {LEDGER_SQL}, {GOALS_SQL},
@@ -253,6 +305,40 @@ def salary_highest(spark, sf):
     return salary.highest_by_region(_salaries(spark, sf))
 
 
+@query("salary_mean", f"WITH {SALARY_SQL} SELECT {mean('salario')} AS mean FROM s")
+def salary_mean(spark, sf):
+    return salary.mean_salary(_salaries(spark, sf))
+
+
+@query("salary_lowest_state", f"""WITH {SALARY_SQL} SELECT * FROM s ORDER BY salario, "UF" LIMIT 1""")
+def salary_lowest_state(spark, sf):
+    return salary.lowest_state(_salaries(spark, sf))
+
+
+@query("salary_highest_state", f"""WITH {SALARY_SQL} SELECT * FROM s ORDER BY salario DESC, "UF" LIMIT 1""")
+def salary_highest_state(spark, sf):
+    return salary.highest_state(_salaries(spark, sf))
+
+
+@query(
+    "salary_lowest_by_region",
+    f"""WITH {SALARY_SQL} SELECT * FROM s QUALIFY row_number() OVER
+         (PARTITION BY "Região" ORDER BY salario, "UF") = 1""",
+)
+def salary_lowest(spark, sf):
+    return salary.lowest_by_region(_salaries(spark, sf))
+
+
+@query(
+    "salary_best_and_worst_region",
+    f"""WITH {SALARY_SQL}, m AS (SELECT "Região", {mean('salario')} AS mean FROM s GROUP BY 1)
+       (SELECT *, 'highest' AS which FROM m ORDER BY mean DESC, "Região" LIMIT 1)
+       UNION ALL (SELECT *, 'lowest' FROM m ORDER BY mean, "Região" LIMIT 1)""",
+)
+def salary_extreme_regions(spark, sf):
+    return salary.best_and_worst_region(_salaries(spark, sf))
+
+
 @query(
     "salary_position",
     f"""WITH {SALARY_SQL} SELECT count(CASE WHEN salario > (SELECT salario FROM s

@@ -105,6 +105,19 @@ def s07(spark, sf):
     return readers.read_csv_ptbr(spark, path, {"p_retailprice": 2})
 
 
+@query(
+    "s07_decimal_columns",
+    """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, replace(CAST(CAST(p_retailprice AS DECIMAL(12,3)) AS VARCHAR),
+         '.', ',') AS price FROM part""",
+)
+def s07_decimal(spark, sf):
+    """Columns of decimals get the comma, too."""
+    path = scratch_path(spark, "s07d")
+    df = table(spark, sf, "part").select("p_partkey", F.col("p_retailprice").cast("decimal(12,3)").alias("price"))
+    writers.write_csv_ptbr(df, path)
+    return readers.read_csv_text(spark, path, sep=";")
+
+
 def _priority_lines(spark, sf, name, keep_nulls):
     df = table(spark, sf, "orders").select(
         "o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority")
@@ -322,11 +335,21 @@ def _images(spark, sf):
 
 @query(
     "s16_base64_table",
-    """SELECT p_partkey AS id, p_name AS nome,
-        to_base64(encode(p_name || ' ' || p_brand || ' ' || p_type)) AS dados_base64 FROM part""",
+    """SELECT DISTINCT 'p' || CAST(p_size AS VARCHAR) || '.bin' AS nome, to_base64(encode(string_agg(
+         p_partkey || ' ' || p_name || chr(10), '' ORDER BY p_partkey))) AS dados_base64
+       FROM part GROUP BY p_size""",
 )
 def s16(spark, sf):
-    return _images(spark, sf)
+    """Files landed from ``part``, one for each size, read as a table of their bytes."""
+    path = scratch_path(spark, "s16")
+    line = F.concat_ws(" ", "p_partkey", "p_name")
+    landed = table(spark, sf, "part").select("p_size", "p_partkey", line.alias("value"))
+    landed = landed.repartition("p_size").sortWithinPartitions("p_size", "p_partkey")
+    landed.select("p_size", "value").write.partitionBy("p_size").text(path)
+    files = readers.binary_table(spark, f"{path}/p_size=*/*.txt", folder="nome")
+    return files.select(
+        F.concat(F.lit("p"), F.substring_index("nome", "=", -1), F.lit(".bin")).alias("nome"), "dados_base64"
+    )
 
 
 @query(

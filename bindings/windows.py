@@ -180,7 +180,29 @@ def u05(spark, sf):
     report = table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("st")).agg(
         F.count(F.lit(1)).cast("double").alias("pedidos"), F.max("o_totalprice").alias("maior")
     )
-    return reshape.transpose(report, "st", "medida")
+    return reshape.transpose(report, "st", ["F", "O", "P"], "medida")
+
+
+@query(
+    "u05_transpose_labels",
+    """WITH s AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL
+             WHEN o_orderpriority LIKE '2%' THEN '1-URGENT' ELSE o_orderpriority END AS st,
+           CAST(count(*) AS DOUBLE) AS pedidos, max(o_totalprice) AS maior FROM orders GROUP BY o_orderpriority),
+         u AS (SELECT st, 'pedidos' AS medida, pedidos AS v FROM s UNION ALL SELECT st, 'maior', maior FROM s)
+       SELECT medida, max(CASE WHEN st = '1-URGENT' THEN v END) AS "1-URGENT",
+         max(CASE WHEN st IS NULL THEN v END) AS sem, max(CASE WHEN st = 'x' THEN v END) AS x FROM u GROUP BY 1""",
+)
+def u05_labels(spark, sf):
+    """A label that two rows share, one that is NULL, and one without a row."""
+    priority = F.col("o_orderpriority")
+    label = F.when(priority.startswith("2"), "1-URGENT").otherwise(F.nullif(priority, F.lit("5-LOW")))
+    report = (
+        table(spark, sf, "orders")
+        .groupBy("o_orderpriority")
+        .agg(F.count(F.lit(1)).cast("double").alias("pedidos"), F.max("o_totalprice").alias("maior"))
+        .select(label.alias("st"), "pedidos", "maior")
+    )
+    return reshape.transpose(report, "st", ["1-URGENT", None, "x"], "medida", null_name="sem")
 
 
 @query(
@@ -197,5 +219,5 @@ def common_roles(spark, sf):
     cleaned = rows.withColumn("papel", clean_text(F.col("papel")))
     unique = unique_rows(cleaned, "id_producao", "id_pessoa", "papel")
     known = [(people, "id_pessoa"), (works, "id_producao")]
-    valid = keep_with_parents(unique, known, counted_on=rows)
+    valid = keep_with_parents(unique, known)
     return most_common(valid, "papel", 10)

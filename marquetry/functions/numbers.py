@@ -6,19 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_ptbr(c: Column, scale: int = 2) -> Column:
-    """``13.007,12`` as a decimal; NULL where it is not a number."""
-    return F.translate(F.trim(c), ",.", ".").try_cast(f"decimal(28,{scale})")
+# Decimals that sums and parsed numbers keep unless the caller names another number of them.
+SCALE = 10
 
 
-def parse_thousands(c: Column, scale: int = 2) -> Column:
-    """``1,234.5`` as a decimal; NULL where it is not a number."""
-    return F.translate(F.trim(c), ",", "").try_cast(f"decimal(28,{scale})")
+def _number(text: Column, scale: int) -> Column:
+    """The exact value of a plain number; NULL if it is none or has more decimals than ``scale``."""
+    decimals = F.length(F.rtrim(F.substring_index(text, ".", -1), F.lit("0")))
+    fits = ~F.contains(text, F.lit(".")) | (decimals <= scale)
+    return F.when(fits, text.try_cast(f"decimal(38,{scale})"))
 
 
-def parse_us_money(c: Column) -> Column:
-    """``$3,655.82`` as a decimal; NULL where it is not an amount."""
-    return F.translate(F.trim(c), "$,", "").try_cast("decimal(28,2)")
+def parse_ptbr(c: Column, scale: int = SCALE) -> Column:
+    """``13.007,12`` as a decimal; NULL where it is not a number. Nothing is rounded."""
+    return _number(F.translate(F.trim(c), ",.", "."), scale)
+
+
+def parse_thousands(c: Column, scale: int = SCALE) -> Column:
+    """``1,234.5`` as a decimal; NULL where it is not a number. Nothing is rounded."""
+    return _number(F.translate(F.trim(c), ",", ""), scale)
+
+
+def parse_us_money(c: Column, scale: int = SCALE) -> Column:
+    """``$3,655.82`` as a decimal; NULL where it is not an amount. Nothing is rounded."""
+    return _number(F.translate(F.trim(c), "$,", ""), scale)
 
 
 def format_ptbr(c: Column, places: int = 2) -> Column:
@@ -64,13 +75,25 @@ def cents(c: Column) -> Column:
     return c.cast("decimal(18,2)")
 
 
-def exact_sum(c: Column, scale: int = 2) -> Column:
-    """Sum of money, 0 for no rows. ``scale`` is the number of decimals that count."""
-    total = F.sum(c.cast(f"decimal(18,{scale})"))
-    return F.coalesce(total.cast("double"), F.lit(0.0))
+def exact(c: Column, scale: int = SCALE) -> Column:
+    """A value as a decimal with ``scale`` decimals, so that sums do not depend on row order.
+
+    A value of more than 38 digits in all raises an error; none is cut.
+    """
+    return c.cast(f"decimal(38,{scale})")
+
+
+def exact_sum(c: Column, scale: int = SCALE) -> Column:
+    """Sum, 0 for no rows. Values are summed with ``scale`` decimals."""
+    return F.coalesce(F.sum(exact(c, scale)).cast("double"), F.lit(0.0))
+
+
+def money_sum(c: Column) -> Column:
+    """Sum of money, which has two decimals, 0 for no rows."""
+    return F.coalesce(F.sum(cents(c)).cast("double"), F.lit(0.0))
 
 
-def exact_avg(c: Column, places: int = 2, scale: int = 6) -> Column:
+def exact_avg(c: Column, places: int = 2, scale: int = SCALE) -> Column:
     """Rounded mean that does not depend on row order; ``scale`` decimals are summed."""
-    total = F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+    total = F.sum(exact(c, scale)).cast("double")
     return F.round(total / F.nullif(F.count(c), F.lit(0)), places)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import cents, exact_avg
+from ..functions.numbers import SCALE, exact, exact_avg
 from ..functions.presence import all_present
 from .ordering import top_k
 
@@ -66,12 +66,14 @@ def extreme_groups(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
-def share_of_total(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Sum per group and its share of all groups in percent.
+def share_of_total(
+    df: DataFrame, keys: Sequence[str], value: str, scale: int = SCALE
+) -> DataFrame:
+    """Sum per group and its share of all groups in percent; ``scale`` decimals are summed.
 
     The whole is summed from the groups, which Spark computes once for both.
     """
-    sums = df.groupBy(*keys).agg(F.sum(cents(F.col(value))).alias("_total"))
+    sums = df.groupBy(*keys).agg(F.sum(exact(F.col(value), scale)).alias("_total"))
     whole = sums.agg(F.sum("_total").cast("double")).scalar()
     total = F.coalesce(F.col("_total").cast("double"), F.lit(0.0))
     share = F.when(whole > 0, total / whole * 100).otherwise(0.0)

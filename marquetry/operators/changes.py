@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -54,10 +54,19 @@ def add_recurring(recurring: DataFrame, new: DataFrame, seq: str = "seq") -> Dat
 
 
 def _matched(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    renamed = changes.select(
+    """``table`` with the change of its key. Equal changes are one; different ones are an error."""
+    others = [c for c in changes.columns if c != key]
+    change = F.struct(*others)
+    single = changes.groupBy(key).agg(
+        F.any_value(change).alias("_change"),
+        F.min(F.xxhash64(change)).alias("_least"),
+        F.max(F.xxhash64(change)).alias("_most"),
+    )
+    several = F.raise_error(F.lit("several changes of one key: number them and name the column in seq"))
+    renamed = single.select(
         F.col(key),
-        F.lit(True).alias("_hit"),
-        *[F.col(c).alias(f"_new_{c}") for c in changes.columns if c != key],
+        F.when(F.col("_least") == F.col("_most"), F.lit(True)).otherwise(several.cast("boolean")).alias("_hit"),
+        *[F.col(f"_change.{c}").alias(f"_new_{c}") for c in others],
     )
     return table.join(renamed, key, "left")
 
@@ -68,6 +77,7 @@ def replace_rows(
     """Rows with a change take all the fields from it, NULL included.
 
     There is one change per key, or ``seq`` numbers the changes and the last one wins.
+    Different changes of one key without ``seq`` are an error; the table's key stays unique.
     """
     if seq is not None:
         changes = keep_last(changes, [key], seq)
@@ -102,7 +112,9 @@ def patch_rows(
     joined = _matched(table, changes, key)
     return joined.select(
         *[
-            F.when(F.coalesce(F.col(f"_new_has_{c}"), F.lit(False)), F.col(f"_new_{c}"))
+            F.when(
+                F.coalesce(F.col("_hit") & F.col(f"_new_has_{c}"), F.lit(False)), F.col(f"_new_{c}")
+            )
             .otherwise(F.col(c))
             .alias(c)
             if c in fields
@@ -182,7 +194,21 @@ def generate_recurring(
 
 
 def write_version(table: DataFrame, root: str, version: int) -> DataFrame:
-    """Write one version of a table below ``root`` and read it back."""
-    path = f"{root.rstrip('/')}/v={version}"
+    """Write one version of a table below ``root``, name it as complete, and read it back."""
+    spark, path = table.sparkSession, f"{root.rstrip('/')}/v={version}"
     table.write.mode("errorifexists").parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
+    # Written after the version: a version that was broken off is never named here.
+    done = spark.range(1).select(F.lit(version).cast("long").alias("version"))
+    done.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/complete")
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def current_version(spark: SparkSession, root: str) -> int:
+    """The number of the newest complete version below ``root``."""
+    named = spark.read.schema("version long").parquet(f"{root.rstrip('/')}/complete")
+    return named.agg(F.max("version")).first()[0]
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The newest complete version below ``root``."""
+    return spark.read.parquet(f"{root.rstrip('/')}/v={current_version(spark, root)}")

@@ -1,47 +1,47 @@
-"""Joins, and a salted form for keys that hold a large part of all rows."""
+"""Joins. Hot keys are split by adaptive execution; a salted form is there on request."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.presence import all_present, any_missing
 
-# Keys are counted in this many hash buckets first; a hot key has more rows than two
-# average buckets, so there are fewer than half as many hot keys as buckets.
-BUCKETS = 65_536
+# A hot key has more than this share of all rows, so there are fewer hot keys than its inverse.
+HOT_SHARE = 1 / 32_768
 ROWS_PER_TASK = 1_000_000
 # Rows without a key match nothing; they are only spread.
 NULL_SPREAD = 4096
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, key_sets: Sequence[Sequence[str]], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """The keys with very many rows, and the number of parts to cut each into.
+    """Hot keys of several joins of ``df``, counted in one pass: (key_set, key_hash, parts).
 
-    A key is hot with more than ``rows_per_task`` rows and more than twice the rows of an
-    average bucket. That bounds the frame to 32,768 rows, so it is safe to broadcast.
-    Only the keys of buckets that are that large are counted one by one; without such a
-    bucket, the usual case, the second count reads nothing.
+    A key is hot with more than ``rows_per_task`` rows and more than ``HOT_SHARE`` of the
+    rows that have one. That bounds the frame to 32,768 rows for each set of keys.
     """
-    keyed = df.filter(all_present(*keys)).select(
-        *keys, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("_bucket")
-    )
-    sizes = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    all_rows = F.sum("_size").over(Window.partitionBy(F.lit(0)))
-    least = F.greatest(F.lit(rows_per_task), F.ceil(all_rows * 2 / F.lit(BUCKETS)))
-    crowded = (
-        sizes.withColumn("_least", least).filter(F.col("_size") > F.col("_least")).drop("_size")
+    hashes = [
+        F.struct(F.lit(i).alias("key_set"), F.when(all_present(*keys), F.xxhash64(*keys)).alias("key_hash"))
+        for i, keys in enumerate(key_sets)
+    ]
+    counted = (
+        df.select(F.inline(F.array(*hashes)))
+        .filter(F.col("key_hash").isNotNull())
+        .groupBy("key_set", "key_hash")
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
+    # The counts are summed up once more rather than read again by a window in one task.
+    whole = counted.groupBy("key_set").agg(F.sum("_rows").alias("_all"))
+    least = F.greatest(F.lit(rows_per_task), F.ceil(F.col("_all") * F.lit(HOT_SHARE)))
     return (
-        keyed.join(F.broadcast(crowded), "_bucket")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.max("_least").alias("_least"))
-        .filter(F.col("_rows") > F.col("_least"))
-        .select(*keys, F.ceil(F.col("_rows") / F.col("_least")).cast("int").alias("_parts"))
+        counted.filter(F.col("_rows") > rows_per_task)
+        .join(whole, "key_set")
+        .filter(F.col("_rows") > least)
+        .select("key_set", "key_hash", F.ceil(F.col("_rows") / least).cast("int").alias("parts"))
     )
 
 
@@ -59,23 +59,26 @@ def salted_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str,
-    rows_per_task: int = ROWS_PER_TASK,
-    counted_on: DataFrame | None = None,
+    hot: DataFrame | None = None,
+    key_set: int = 0,
 ) -> DataFrame:
-    """Equi-join (inner, left, left_semi, left_anti) whose hot left keys go to many tasks.
-
-    Left rows of a hot key get one of the key's parts; the matching right rows are
-    repeated once per part. All other keys have a single part. The part of a row follows
-    from its values and its input partition, so a re-run task assigns it again. Filter
-    before the join: Spark moves no predicate below a column that names the partition.
+    """Equi-join (inner, left, left_semi, left_anti).
 
-    ``counted_on`` is a frame that is cheaper to read than ``left`` and has at least its
-    rows per key; the hot keys are counted there.
+    Without ``hot`` it is a plain join, which reads each side once; adaptive execution
+    splits partitions that a hot key of either side makes too large. With ``hot``, the
+    frame of ``hot_keys`` for these keys, left rows of a hot key get one of the key's
+    parts and the matching right rows are repeated once per part. The part of a row
+    follows from its values and its input partition, so a re-run task assigns it again.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left if counted_on is None else counted_on, keys, rows_per_task))
+    if hot is None:
+        return left.join(right, keys, how)
+    own = hot.filter(F.col("key_set") == key_set).select(
+        F.col("key_hash").alias("_hash"), F.col("parts").alias("_parts")
+    )
+    hashed = F.when(all_present(*keys), F.xxhash64(*keys))
     number = spread(left)
-    marked = left.join(hot, keys, "left").withColumn(
+    marked = left.withColumn("_hash", hashed).join(F.broadcast(own), "_hash", "left").withColumn(
         "_part",
         F.when(any_missing(*keys), F.pmod(number, F.lit(NULL_SPREAD)))
         .when(F.col("_parts").isNotNull(), F.pmod(number, F.col("_parts")))
@@ -83,47 +86,41 @@ def salted_join(
         .cast("int"),
     )
     copies = (
-        right.join(hot, keys, "left")
+        right.withColumn("_hash", hashed)
+        .join(F.broadcast(own), "_hash", "left")
         .withColumn(
             "_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
         )
-        .drop("_parts")
+        .drop("_parts", "_hash")
     )
-    return marked.drop("_parts").join(copies, [*keys, "_part"], how).drop("_part")
+    return marked.drop("_parts", "_hash").join(copies, [*keys, "_part"], how).drop("_part")
 
 
 def keep_with_parents(
-    df: DataFrame,
-    parents: Sequence[tuple[DataFrame, str]],
-    rows_per_task: int = ROWS_PER_TASK,
-    counted_on: DataFrame | None = None,
+    df: DataFrame, parents: Sequence[tuple[DataFrame, str]], hot: DataFrame | None = None
 ) -> DataFrame:
-    """Rows whose keys all exist in their parent frames."""
-    source = df if counted_on is None else counted_on
-    for parent, key in parents:
-        known = parent.select(key).distinct()
-        df = salted_join(df, known, [key], "left_semi", rows_per_task, counted_on=source)
+    """Rows whose keys all exist in their parent frames. ``hot`` is for these keys in this order."""
+    for i, (parent, key) in enumerate(parents):
+        df = salted_join(df, parent.select(key), [key], "left_semi", hot, i)
     return df
 
 
-def orphans(df: DataFrame, parent: DataFrame, key: str, **salting) -> DataFrame:
+def orphans(df: DataFrame, parent: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
     """Rows whose key does not exist in the parent frame."""
-    return salted_join(df, parent.select(key).distinct(), [key], "left_anti", **salting)
+    return salted_join(df, parent.select(key), [key], "left_anti", hot)
 
 
-def orphan_report(
-    df: DataFrame, parents: Sequence[tuple[DataFrame, str]], **salting
-) -> DataFrame:
+def orphan_report(df: DataFrame, parents: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     """Rows and orphans per key combination check, in one pass over ``df``.
 
     A row counts as an orphan of the first parent that lacks it. Equal key combinations
-    are counted before the joins, and keys that still have many rows are salted.
+    are counted before the joins.
     """
     names = [key for _, key in parents]
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
     for parent, key in parents:
         known = parent.select(key).distinct().withColumn(f"_has_{key}", F.lit(True))
-        counted = salted_join(counted, known, [key], "left", counted_on=df, **salting)
+        counted = counted.join(known, key, "left")
     reason = F.lit(None).cast("string")
     for key in reversed(names):
         reason = F.when(F.col(f"_has_{key}").isNull(), F.lit(key)).otherwise(reason)
@@ -134,9 +131,9 @@ def orphan_report(
     )
 
 
-def match(left: DataFrame, right: DataFrame, keys: Sequence[str], **salting) -> DataFrame:
-    """Inner join on all keys. The larger side goes left; its hot keys are spread."""
-    return salted_join(left, right, keys, "inner", **salting)
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
+    """Inner join on all keys. Adaptive execution splits hot keys of either side."""
+    return salted_join(left, right, keys, "inner", hot)
 
 
 def align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -148,10 +145,10 @@ def align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def align_to(
-    df: DataFrame, values: DataFrame, keys: Sequence[str], **salting
+    df: DataFrame, values: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
 ) -> DataFrame:
     """The rows of ``df`` with the columns of ``values``; NULL where the key is absent."""
-    return salted_join(df, values, keys, "left", **salting)
+    return salted_join(df, values, keys, "left", hot)
 
 
 def absent_from(
@@ -170,20 +167,15 @@ def lookup(
     dim: DataFrame,
     dim_key: str,
     defaults: Mapping[str, Column | str],
-    fixed_dim: bool = False,
 ) -> DataFrame:
     """Add the dimension's columns, with defaults where the label is unknown.
 
-    A ``fixed_dim`` is a literal table of the library and is broadcast. For any other
-    dimension hot labels are spread over tasks.
+    The planner broadcasts a dimension that it knows to be small, as literal tables are.
     """
     renamed = dim.select(
         F.col(dim_key).alias(key), *[F.col(name).alias(f"_{name}") for name in defaults]
     )
-    if fixed_dim:
-        joined = df.join(F.broadcast(renamed), key, "left")
-    else:
-        joined = salted_join(df, renamed, [key], "left")
+    joined = df.join(renamed, key, "left")
     filled = {
         name: F.coalesce(
             F.col(f"_{name}"), default if isinstance(default, Column) else F.lit(default)

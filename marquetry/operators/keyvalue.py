@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import salted_join
-from .positions import BUCKET_WIDTH, with_position
+from .positions import with_position
 from .windows import keep_last
 
 
@@ -24,21 +23,19 @@ def get(log: DataFrame, key) -> DataFrame:
     return latest(log.filter(F.col("key") == F.lit(key)))
 
 
-def list_items(log: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
+def list_items(log: DataFrame) -> DataFrame:
     """Items appended to each list, with their position from 0."""
-    return with_position(log, ["key"], "seq", width).select("key", "pos", "item")
+    return with_position(log, ["key"], "seq").select("key", "pos", "item")
 
 
-def list_range(
-    log: DataFrame, start: int = 0, stop: int = -1, width: int = BUCKET_WIDTH
-) -> DataFrame:
+def list_range(log: DataFrame, start: int = 0, stop: int = -1) -> DataFrame:
     """Items start..stop of each list, both included; negative counts from the end."""
     above = max(start, 0)
     below = stop + 1 if stop >= 0 else None
-    placed = with_position(log, ["key"], "seq", width, start=above, stop=below)
+    placed = with_position(log, ["key"], "seq", start=above, stop=below)
     if start < 0 or stop < -1:
         sizes = log.groupBy("key").agg(F.count(F.lit(1)).alias("_len"))
-        placed = salted_join(placed, sizes, ["key"], "inner", counted_on=log)
+        placed = placed.join(sizes, "key")
     if start < 0:
         placed = placed.filter(F.col("pos") >= F.col("_len") + start)
     if stop < -1:

@@ -4,49 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_WIDTH = 1_000_000
-FIRST_BUCKET = -(2**63)
+from ..session import staged
 
 
 def with_position(
     df: DataFrame,
     keys: Sequence[str],
-    seq: str,
-    width: int = BUCKET_WIDTH,
+    seq: str | Sequence[str],
     name: str = "pos",
     start: int = 0,
     stop: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """0-based position of each row within its keys, in ``seq`` order.
 
-    ``seq`` is a whole number, unique within the keys; a NULL in it comes first. Rows are
-    numbered inside buckets of ``width`` consecutive numbers, at most ``width`` rows each.
-    Where a bucket starts follows from the bucket sizes, which are one row per bucket.
-    The join and the numbering share one shuffle.
+    ``seq`` is one or more columns of any orderable type, NULL first. Where it ties, rows
+    are in the order of their other columns; equal rows are interchangeable.
 
-    With ``start`` and ``stop`` only rows start..stop-1 of each key remain. Buckets
-    outside are dropped before any row is numbered.
+    Rows are dealt into ranges of (keys, seq) and written once. A range's rows are numbered
+    within it, and where a key starts in a range follows from the counts of the ranges
+    before, one row for each range and key that meet there. A key of any size is spread
+    over as many ranges as it fills, however its numbers are distributed.
+
+    With ``start`` and ``stop`` only rows start..stop-1 of each key remain; ranges outside
+    are dropped before any row is numbered.
     """
-    # A struct is never NULL itself, so rows whose keys hold NULL find their bucket, too.
-    key = F.struct(*keys) if keys else F.lit(True)
-    bucket = F.coalesce(F.floor(F.col(seq) / F.lit(width)), F.lit(FIRST_BUCKET))
-    bucketed = df.withColumns({"_key": key, "_bucket": bucket.cast("long")})
-    sizes = bucketed.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = (
-        Window.partitionBy("_key")
-        .orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    seqs = [seq] if isinstance(seq, str) else list(seq)
+    order = [F.col(c).asc_nulls_first() for c in [*keys, *seqs]]
+    ties = [c for c, kind in df.dtypes if c not in {*keys, *seqs} and "map<" not in kind and "variant" not in kind]
+    order += [F.col(c).asc_nulls_first() for c in ties]
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(partitions, *order)
+    dealt = staged(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    # A struct is never NULL itself, so rows whose keys hold NULL find their range, too.
+    key: Column = F.struct(*keys) if keys else F.lit(True)
+    dealt = dealt.withColumn("_key", key)
+    # A key that lies within one range needs no window over ranges; few keys cross a border.
+    sizes = dealt.groupBy("_key", "_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("_size").over(before), F.lit(0))
     starts = sizes.withColumn("_start", first).filter(F.col("_start") + F.col("_size") > start)
     if stop is not None:
         starts = starts.filter(F.col("_start") < stop)
-    inside = Window.partitionBy("_key", "_bucket").orderBy(seq)
+    inside = Window.partitionBy("_key", "_range").orderBy(*order)
     placed = (
-        bucketed.join(starts, ["_key", "_bucket"])
+        dealt.join(starts, ["_key", "_range"])
         .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1)
         .select(*df.columns, name)
     )

@@ -11,9 +11,6 @@ from ..functions.presence import all_present
 from ..functions.text import matches
 from .positions import with_position
 
-# Longest slice that a sort with a limit serves; it is merged on the driver.
-SMALL_SLICE = 10_000
-
 
 def require_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Rows that hold all keys."""
@@ -82,15 +79,13 @@ def threshold(c: Column, limit, below, otherwise) -> Column:
     return F.when(c < limit, F.lit(below)).otherwise(F.lit(otherwise))
 
 
-def row_range(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
-    """Rows start..stop-1 in key order; ``key`` is a unique whole number.
+def row_range(df: DataFrame, key: str | Sequence[str], start: int, stop: int) -> DataFrame:
+    """Rows start..stop-1 in the order of one or more columns of any type, NULL first.
 
-    A short slice is a sort with a limit. A long one is cut by position, so that
-    it never passes through one task.
+    Ties go by the other columns. Rows are cut by position, so that a slice of any length
+    takes the same way and never passes through one task.
     """
-    if stop <= SMALL_SLICE:
-        return df.orderBy(key).offset(start).limit(max(stop - start, 0))
-    return with_position(df, [], key, name="_pos", start=start, stop=stop).drop("_pos")
+    return with_position(df, [], key, name="_pos", start=start, stop=max(start, stop)).drop("_pos")
 
 
 def computed(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:

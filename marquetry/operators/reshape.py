@@ -8,9 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import staged
-
-MAX_TRANSPOSED = 1000
 
 
 def concat(*frames: DataFrame) -> DataFrame:
@@ -39,15 +36,17 @@ def split_label(
     )
 
 
-def transpose(df: DataFrame, index: str, measure: str = "measure") -> DataFrame:
-    """Rows to columns, for a small report: refuses more than ``MAX_TRANSPOSED`` rows.
+def transpose(
+    df: DataFrame, index: str, labels: Sequence[str | None], measure: str = "measure", null_name: str = "null"
+) -> DataFrame:
+    """Rows to columns: one column for each of ``labels``, one row for each other column.
 
-    The labels become columns, so the report is computed here, once.
+    A label that several rows share takes the largest of their values; NULL among the labels
+    makes the column ``null_name``; a label without a row is NULL throughout, and rows with
+    other labels do not appear. The columns other than ``index`` have one type.
     """
-    report = staged(df.limit(MAX_TRANSPOSED + 1), "transpose")
-    labels = [r[0] for r in report.select(index).collect()]
-    if len(labels) > MAX_TRANSPOSED:
-        raise ValueError(f"more than {MAX_TRANSPOSED} rows to transpose")
     values = [c for c in df.columns if c != index]
-    long = melt(report, [index], values, measure, "_value")
-    return long.groupBy(measure).pivot(index, sorted(labels)).agg(F.first("_value"))
+    long = melt(df, [index], values, measure, "_value")
+    chosen = [F.max(F.when(F.col(index).eqNullSafe(F.lit(x)), F.col("_value"))) for x in labels]
+    names = [null_name if x is None else str(x) for x in labels]
+    return long.groupBy(measure).agg(*[c.alias(n) for c, n in zip(chosen, names, strict=True)])

@@ -20,7 +20,7 @@ CLASSROOMS = "Salas de Aula Utilizadas - Total (número)"
 
 def long_table(wide: DataFrame, years: Sequence[str]) -> DataFrame:
     """One row (Localidade, Ano, Docentes, Salas) per locality and year with both values."""
-    numbers = wide.withColumns({y: parse_ptbr(F.col(f"`{y}`"), 0).cast("double") for y in years})
+    numbers = wide.withColumns({y: parse_ptbr(F.col(f"`{y}`")).cast("double") for y in years})
     by_year = melt(numbers, ["Localidade", "Variável"], years, "Ano", "valor")
     both = split_label(
         by_year.withColumn("Ano", F.col("Ano").cast("int")),
@@ -54,11 +54,10 @@ def of_locality(kpis: DataFrame, locality: str | None = None) -> DataFrame:
 
 def latest_summary(kpis: DataFrame) -> DataFrame:
     """Totals and means of the last year."""
-    last = kpis.agg(F.max("Ano")).scalar()
-    return kpis.filter(F.col("Ano") == last).agg(
-        F.max("Ano").alias("Ano"),
+    # A row for each year, of which the last is taken: the indicators are computed once.
+    return kpis.groupBy("Ano").agg(
         F.sum("Docentes").alias("total_docentes"),
         F.sum("Salas").alias("total_salas"),
         F.round(F.avg("KPI_1_Docente_por_Sala"), 2).alias("media_docente_por_sala"),
         F.round(F.avg("KPI_2_Cresc_Docentes_Percent"), 1).alias("cresc_medio_docentes"),
-    )
+    ).orderBy(F.desc("Ano")).limit(1)

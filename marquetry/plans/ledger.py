@@ -19,7 +19,7 @@ from ..functions.money import (
     savings_pct,
     signed_value,
 )
-from ..functions.numbers import cents, exact_sum, percent
+from ..functions.numbers import cents, money_sum, percent
 from ..functions.text import contains_any
 from ..operators.aggregates import share_of_total
 from ..operators.changes import import_rows, upsert_goals
@@ -58,8 +58,8 @@ def recent(ledger: DataFrame, year: int, month: int, n: int = 5) -> DataFrame:
 def _flows():
     kind, value = F.col("type"), F.col("value")
     return (
-        exact_sum(income_of(kind, value)).alias("receitas"),
-        exact_sum(expense_of(kind, value)).alias("despesas"),
+        money_sum(income_of(kind, value)).alias("receitas"),
+        money_sum(expense_of(kind, value)).alias("despesas"),
     )
 
 
@@ -67,14 +67,32 @@ def _with_balance(df: DataFrame) -> DataFrame:
     return df.withColumn("saldo", F.round(F.col("receitas") - F.col("despesas"), 2))
 
 
-def kpis(ledger: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Income, expense, balance, investments, savings and health band, per group if given."""
+def _kpi_sums(ledger: DataFrame, by: Sequence[str]) -> DataFrame:
     invested = F.when(F.col("category") == INVESTMENT_CATEGORY, F.col("value"))
-    sums = ledger.groupBy(*by).agg(
+    return ledger.groupBy(*by).agg(
         *_flows(),
-        exact_sum(F.when(F.col("type") == EXPENSE, invested)).alias("investimentos"),
+        money_sum(F.when(F.col("type") == EXPENSE, invested)).alias("investimentos"),
         F.count(F.lit(1)).alias("_rows"),
     )
+
+
+def kpis(ledger: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Income, expense, balance, investments, savings and health band, per group if given."""
+    return _with_kpis(_kpi_sums(ledger, by))
+
+
+def monthly_kpis(
+    spark: SparkSession, ledger: DataFrame, first_year: int, last_year: int | None = None
+) -> DataFrame:
+    """KPIs of every month of the years; one without rows has zeros and its own band."""
+    dated = ledger.withColumns({"year": F.year("date"), "month": F.month("date")})
+    keys = ["year", "month"]
+    measures = ["receitas", "despesas", "investimentos", "_rows"]
+    spine = month_spine(spark, first_year, last_year)
+    return _with_kpis(fill_spine(spine, _kpi_sums(dated, keys), keys, measures))
+
+
+def _with_kpis(sums: DataFrame) -> DataFrame:
     savings = savings_pct(F.col("receitas"), F.col("despesas"))
     return (
         _with_balance(sums)
@@ -120,9 +138,9 @@ def annual_totals(summary: DataFrame) -> DataFrame:
         F.count(F.when(active, True)), F.lit(0)
     )
     return summary.groupBy("year").agg(
-        exact_sum(F.col("receitas")).alias("total_receitas"),
-        exact_sum(F.col("despesas")).alias("total_despesas"),
-        exact_sum(F.col("saldo")).alias("saldo_anual"),
+        money_sum(F.col("receitas")).alias("total_receitas"),
+        money_sum(F.col("despesas")).alias("total_despesas"),
+        money_sum(F.col("saldo")).alias("saldo_anual"),
         F.coalesce(F.round(mean, 1), F.lit(0.0)).alias("media_economia"),
     )
 
@@ -137,7 +155,7 @@ def cumulative_balance(summary: DataFrame) -> DataFrame:
 def top_categories(ledger: DataFrame, year: int, k: int = 5) -> DataFrame:
     """Expense categories of a year with the largest sums."""
     spent = ledger.filter(in_period(F.col("date"), year) & (F.col("type") == EXPENSE))
-    sums = spent.groupBy("category").agg(exact_sum(F.col("value")).alias("total"))
+    sums = spent.groupBy("category").agg(money_sum(F.col("value")).alias("total"))
     return top_k(sums, "total", "category", k)
 
 
@@ -151,7 +169,7 @@ def goal_progress(ledger: DataFrame, goals: DataFrame) -> DataFrame:
     spent = (
         ledger.filter(F.col("type") == EXPENSE)
         .groupBy("category")
-        .agg(exact_sum(F.col("value")).alias("spent"))
+        .agg(money_sum(F.col("value")).alias("spent"))
     )
     joined = fill_spine(goals.filter(F.col("limit_value") > 0), spent, ["category"], ["spent"])
     pct = percent(F.col("spent"), F.col("limit_value"))
@@ -206,7 +224,6 @@ def with_category_info(spark: SparkSession, ledger: DataFrame) -> DataFrame:
         category_table(spark),
         "name",
         {"icon": icon, "color": color},
-        fixed_dim=True,
     )
 
 

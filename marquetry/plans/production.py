@@ -24,12 +24,11 @@ from ..functions.text import (
     tolerant_int,
     year_corrected,
 )
-from ..operators.joins import salted_join
 from ..operators.ordering import most_common, most_common_by_label
 from ..operators.projections import search
 from ..schemas import CREW_RAW, PERSON_RAW, PRODUCTION_RAW
 from ..session import staged
-from ..sources.readers import CORRUPT, LINE_ORDER, read_jsonl_tolerant
+from ..sources.readers import CORRUPT, INVALID, LINE_ORDER, read_jsonl_tolerant, split_bad
 from ..sources.sizes import size_report
 from ..sources.writers import write_collection, write_jsonl
 
@@ -44,6 +43,8 @@ COUNTERS = [
     "orfaos",
     "erros_parse",
 ]
+# Lines whose id is not a whole number have a counter of their own.
+INVALID_IDS = "ids_invalidos"
 
 
 def _n(condition: Column | None = None) -> Column:
@@ -55,19 +56,24 @@ def _total(c: Column) -> Column:
 
 
 def _status(keys: list[str]) -> Column:
-    bad = F.when(F.col(CORRUPT).isNotNull(), "parse")
+    bad = F.when(F.col(CORRUPT).isNotNull(), "parse").when(F.col(INVALID).isNotNull(), "invalid")
     return bad.when(any_missing(*keys), "null").otherwise("ok")
 
 
+def _rejected() -> Column:
+    """The text of a line that takes no part; equal ones are one row with its copies."""
+    return F.coalesce(F.col(CORRUPT), F.col(INVALID))
+
+
 def _extras(raw: DataFrame, *known: str) -> list[str]:
     """Columns beyond the known ones; they pass through unchanged."""
-    return [c for c in raw.columns if c not in {CORRUPT, "_tidy", *LINE_ORDER, *known}]
+    return [c for c in raw.columns if c not in {CORRUPT, INVALID, "_tidy", *LINE_ORDER, *known}]
 
 
 def _by_key(raw: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
     """One row per key: its copies and the fields of its first line in file order.
 
-    Rows that fail to parse or lack the key collapse to one row per reason. The minimum
+    Rows that lack the key collapse to one row, rejected lines to one row per text. The minimum
     combines on the map side, so a key with many copies is one row per task there.
     """
     fields = fields | {c: F.col(c) for c in _extras(raw, key, *fields)}
@@ -77,11 +83,12 @@ def _by_key(raw: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
         raw.select(
             status.alias("status"),
             F.when(status == "ok", F.col(key)).alias(key),
+            _rejected().alias("rejected"),
             values.alias("row"),
         )
-        .groupBy("status", key)
+        .groupBy("status", key, "rejected")
         .agg(_n().alias("copies"), F.min("row").alias("row"))
-        .select("status", key, "copies", *[F.col(f"row.{f}").alias(f) for f in fields])
+        .select("status", key, "rejected", "copies", *[F.col(f"row.{f}").alias(f) for f in fields])
     )
 
 
@@ -122,7 +129,7 @@ def productions_by_key(raw: DataFrame) -> DataFrame:
 def fold_crew(raw: DataFrame) -> DataFrame:
     """One row per (production, person, cleaned role): copies and corrections.
 
-    Rows that fail to parse or lack a key collapse to one row per reason. Other columns,
+    Rows that lack a key collapse to one row, rejected lines to one row per text. Other columns,
     if there are any, come from the first line in file order.
     """
     keys = ["id_producao", "id_pessoa"]
@@ -138,26 +145,26 @@ def fold_crew(raw: DataFrame) -> DataFrame:
             *[F.when(status == "ok", F.col(k)).alias(k) for k in keys],
             F.when(status == "ok", blank_to_null(tidy)).alias("papel"),
             differs(F.col("papel"), tidy).cast("int").alias("corrected"),
+            _rejected().alias("rejected"),
             *lines,
         )
-        .groupBy("status", *keys, "papel")
+        .groupBy("status", *keys, "papel", "rejected")
         .agg(*counts, *first)
     )
     return folded.withColumns({c: F.col(f"_first.{c}") for c in extras}).drop("_first")
 
 
 def flag_orphans(
-    folded: DataFrame, people: DataFrame, productions: DataFrame, counted_on: DataFrame
+    folded: DataFrame, people: DataFrame, productions: DataFrame
 ) -> DataFrame:
     """Folded crew with status ``orphan`` where the person or production is unknown.
 
-    Copies were folded before; a key that still has many rows is salted. ``counted_on``
-    is the frame that tells which keys those are.
+    Copies were folded before; adaptive execution splits a key that still has many rows.
     """
     person = people.select("id_pessoa").distinct().withColumn("_person", F.lit(True))
     production = productions.select("id_producao").distinct().withColumn("_work", F.lit(True))
-    known = salted_join(folded, person, ["id_pessoa"], "left", counted_on=counted_on)
-    known = salted_join(known, production, ["id_producao"], "left", counted_on=counted_on)
+    known = folded.join(person, "id_pessoa", "left")
+    known = known.join(production, "id_producao", "left")
     orphan = (F.col("status") == "ok") & (F.col("_person").isNull() | F.col("_work").isNull())
     return known.withColumn("status", F.when(orphan, "orphan").otherwise(F.col("status"))).drop(
         "_person", "_work"
@@ -165,18 +172,24 @@ def flag_orphans(
 
 
 def crew_by_key(raw: DataFrame, people: DataFrame, productions: DataFrame) -> DataFrame:
-    """Folded crew with its orphans flagged, for raw rows that are cheap to read twice."""
-    return flag_orphans(fold_crew(raw), people, productions, counted_on=raw)
+    """Folded crew with its orphans flagged."""
+    return flag_orphans(fold_crew(raw), people, productions)
 
 
 def clean_rows(by_key: DataFrame) -> DataFrame:
     """The rows to keep, without the bookkeeping columns."""
-    extra = [c for c in ("status", "copies", "corrections", "no_title") if c in by_key.columns]
+    extra = [c for c in ("status", "rejected", "copies", "corrections", "no_title") if c in by_key.columns]
     return by_key.filter(F.col("status") == "ok").drop(*extra)
 
 
+def rejected_lines(by_key: DataFrame) -> DataFrame:
+    """The lines that took no part: why, their text, and how often they occur."""
+    kept = by_key.filter(F.col("rejected").isNotNull())
+    return kept.select(F.col("status").alias("reason"), F.col("rejected").alias("line"), "copies")
+
+
 def quality_report(by_key: DataFrame, dataset: str) -> DataFrame:
-    """Counters of one data set. lidos = escritos + duplicatas + nulos + orfaos + erros."""
+    """Counters of one data set. lidos = escritos + duplicatas + nulos + orfaos + erros + invalidos."""
     ok = F.col("status") == "ok"
     copies = F.col("copies")
     no_title = F.col("no_title") if "no_title" in by_key.columns else F.lit(0)
@@ -189,7 +202,8 @@ def quality_report(by_key: DataFrame, dataset: str) -> DataFrame:
         _total(F.when(ok, F.col("corrections")).cast("long")).alias("correcoes"),
         _total(F.when(F.col("status") == "orphan", copies)).alias("orfaos"),
         _total(F.when(F.col("status") == "parse", copies)).alias("erros_parse"),
-    ).select(F.lit(dataset).alias("dataset"), *COUNTERS)
+        _total(F.when(F.col("status") == "invalid", copies)).alias(INVALID_IDS),
+    ).select(F.lit(dataset).alias("dataset"), *COUNTERS, INVALID_IDS)
 
 
 def _together(*jobs: Callable) -> list:
@@ -207,6 +221,8 @@ def run(
 ) -> DataFrame:
     """Clean ``pessoa``, ``producao`` and ``equipe`` JSON lines; returns the counters.
 
+    Clean rows go to ``<name>_clean``, lines that take no part to ``<name>_rejects``.
+
     ``mode="overwrite"`` replaces the output of an earlier run. ``more_fields`` names
     further fields per data set, which are kept as they are.
     """
@@ -221,13 +237,17 @@ def run(
         lambda: staged(productions_by_key(raw("producao", PRODUCTION_RAW)), "producao"),
         lambda: staged(fold_crew(raw("equipe", CREW_RAW)), "equipe-folded"),
     )
-    flagged = flag_orphans(folded, clean_rows(people), clean_rows(productions), counted_on=folded)
+    flagged = flag_orphans(folded, clean_rows(people), clean_rows(productions))
     done = {"pessoa": people, "producao": productions, "equipe": staged(flagged, "equipe")}
     _together(
         *[
             partial(write_jsonl, clean_rows(by_key), f"{target}/{name}_clean", mode=mode)
             for name, by_key in done.items()
-        ]
+        ],
+        *[
+            partial(write_jsonl, rejected_lines(by_key), f"{target}/{name}_rejects", mode=mode)
+            for name, by_key in done.items()
+        ],
     )
     reports = [quality_report(by_key, name) for name, by_key in done.items()]
     return reduce(lambda a, b: a.unionByName(b), reports)
@@ -256,12 +276,12 @@ def load_collection(
 
     ``repetidos`` counts keys that occur more than once, which a unique key forbids.
     """
-    documents = read_jsonl_tolerant(spark, path, schema).drop(*LINE_ORDER)
-    good = documents.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    documents = staged(read_jsonl_tolerant(spark, path, schema).drop(*LINE_ORDER), "documents")
+    good, _ = split_bad(documents)
     write_collection(good, target, fmt, **options)
     ok = F.col("_ok")
     per_key = (
-        documents.select(F.col(CORRUPT).isNull().alias("_ok"), *keys)
+        documents.select(_rejected().isNull().alias("_ok"), *keys)
         .select(ok, *[F.when(ok, F.col(k)).alias(k) for k in keys])
         .groupBy("_ok", *keys)
         .agg(_n().alias("_n"))

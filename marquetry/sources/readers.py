@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.numbers import parse_ptbr, parse_thousands
 from ..functions.text import decode_base64, encode_base64
@@ -14,7 +14,9 @@ from ..operators.ordering import top_k
 from ..operators.projections import equals_if, trim_headers
 
 CORRUPT = "_corrupt_record"
-# Position of a line in its input: file name, start of the split, running number in the task.
+# The text of a line that parses but holds something else in a field of whole numbers.
+INVALID = "_invalid_number"
+# Position of a line in its input: file path, start of the split, running number in the task.
 LINE_ORDER = ["_file", "_split", "_line"]
 
 
@@ -22,9 +24,21 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: StructType) -
     return spark.read.schema(schema).json(path)
 
 
+def _whole(text: Column) -> Column:
+    """A whole number in any of its forms (``2``, ``3.0``); NULL for anything else."""
+    number = F.trim(text).try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
+
+
 def parse_lines(lines: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """Parse one JSON object per row; a line that is none keeps its text in ``_corrupt_record``."""
-    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    """Parse one JSON object per row; a line that is none keeps its text in ``_corrupt_record``.
+
+    Fields of type long take whole numbers written as numbers or as text. A line where one
+    of them holds something else keeps its text in ``_invalid_number``; the field is NULL.
+    """
+    whole_fields = [f.name for f in schema.fields if isinstance(f.dataType, LongType)]
+    read_as = [StructField(f.name, StringType()) if f.name in whole_fields else f for f in schema.fields]
+    with_corrupt = StructType([*read_as, StructField(CORRUPT, StringType())])
     line = F.col(column)
     options = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
     parsed = lines.withColumns(
@@ -45,11 +59,20 @@ def parse_lines(lines: DataFrame, schema: StructType, column: str = "value") ->
         .otherwise(F.col(f"_doc.{CORRUPT}"))
     )
     kept = [c for c in lines.columns if c != column]
-    return parsed.select(
-        *[F.col(f"_doc.{f.name}").alias(f.name) for f in schema.fields],
+    values = {f.name: F.col(f"_doc.{f.name}") for f in schema.fields}
+    values |= {name: _whole(values[name]) for name in whole_fields}
+    parsed = parsed.select(
+        *[c.alias(name) for name, c in values.items()],
         bad.alias(CORRUPT),
+        *[F.col(f"_doc.{name}").alias(f"_as_{name}") for name in whole_fields],
+        line.alias("_whole_line"),
         *kept,
     )
+    odd = F.lit(False)
+    for name in whole_fields:
+        odd = odd | (F.col(f"_as_{name}").isNotNull() & F.col(name).isNull())
+    invalid = F.when(F.col(CORRUPT).isNull() & odd, F.col("_whole_line"))
+    return parsed.select(*values, CORRUPT, invalid.alias(INVALID), *kept)
 
 
 def read_jsonl_tolerant(
@@ -61,7 +84,7 @@ def read_jsonl_tolerant(
     """
     lines = spark.read.text(path).select(
         "value",
-        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_line"),
     )
@@ -70,8 +93,9 @@ def read_jsonl_tolerant(
 
 def split_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the text of the bad ones."""
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    bad = F.coalesce(F.col(CORRUPT), F.col(INVALID))
+    good = df.filter(bad.isNull()).drop(CORRUPT, INVALID)
+    return good, df.filter(bad.isNotNull()).select(bad.alias(CORRUPT))
 
 
 def read_csv(
@@ -153,11 +177,11 @@ def frame_from_records(
     return load_rows(spark, rows, schema)
 
 
-def binary_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Binary files as rows (nome, dados_base64)."""
+def binary_table(spark: SparkSession, path: str | list[str], folder: str | None = None) -> DataFrame:
+    """Binary files as rows (nome, dados_base64); with ``folder="nome"`` the folder names the row."""
     files = spark.read.format("binaryFile").load(path)
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("nome"),
+        F.element_at(F.split("path", "/"), -1 if folder is None else -2).alias("nome"),
         encode_base64(F.col("content")).alias("dados_base64"),
     )
 

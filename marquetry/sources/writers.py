@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from ..functions.numbers import decimal_comma
 
@@ -34,6 +34,11 @@ def write_csv_ptbr(df: DataFrame, path: str) -> None:
         for f in df.schema.fields
         if isinstance(f.dataType, (DoubleType, FloatType))
     }
+    decimals |= {
+        f.name: F.translate(F.col(f.name).cast("string"), ".", ",")
+        for f in df.schema.fields
+        if isinstance(f.dataType, DecimalType)
+    }
     write_csv(df.withColumns(decimals) if decimals else df, path, sep=";")
 
 

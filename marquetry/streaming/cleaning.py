@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.presence import all_present
 from ..functions.text import clean_text
 from ..operators.joins import spread
+from ..session import staged
 
 SALTS = 16
 
@@ -54,21 +55,19 @@ def clean_stream(
     return drop_seen(cleaned, keys, **seen)
 
 
-def _salted_sides(stream: DataFrame, parent: DataFrame, key: str, salts: int):
-    known = parent.select(key).distinct()
-    copies = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return stream.withColumn("_salt", _salt(stream, salts)), copies
+def prepared_parent(parent: DataFrame, key: str) -> DataFrame:
+    """The parent's keys, each once, written before the stream begins.
 
+    Micro-batches read this copy; the parent itself is read once.
+    """
+    return staged(parent.select(key).distinct(), "parent")
 
-def with_parent(stream: DataFrame, parent: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
-    """Streamed rows whose key the static parent has."""
-    left, right = _salted_sides(stream, parent, key, salts)
-    return left.join(right, [key, "_salt"], "left_semi").drop("_salt")
 
+def with_parent(stream: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Streamed rows whose key the static parent has. The parent is read here, once."""
+    return stream.join(prepared_parent(parent, key), key, "left_semi")
 
-def without_parent(
-    stream: DataFrame, parent: DataFrame, key: str, salts: int = SALTS
-) -> DataFrame:
-    """Streamed rows whose key the static parent lacks."""
-    left, right = _salted_sides(stream, parent, key, salts)
-    return left.join(right, [key, "_salt"], "left_anti").drop("_salt")
+
+def without_parent(stream: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Streamed rows whose key the static parent lacks. The parent is read here, once."""
+    return stream.join(prepared_parent(parent, key), key, "left_anti")

@@ -200,6 +200,7 @@ def test_tolerant_lines(spark, tmp_path, rows):
     df = readers.read_jsonl_tolerant(spark, str(tmp_path / "x.jsonl"), schemas.PERSON_RAW)
     good, bad = readers.split_bad(df)
     assert rows(good, "id_pessoa", "nome") == [(1, "a")]
+    assert rows(df.filter(F.col(readers.INVALID).isNotNull()), readers.INVALID) == [('{"id_pessoa": "x"}',)]
     assert rows(bad) == sorted(
         [("",), ('{"id_pessoa": "x"}',), ("null",), ('{"id_pessoa": 2} {"id',)], key=repr
     )
@@ -210,6 +211,9 @@ def test_tolerant_lines(spark, tmp_path, rows):
     [
         ('{"id_pessoa": 3}', 3),
         ('{"id_pessoa": 3, "nome": "a } b"}', 3),
+        ('{"id_pessoa": "3"}', 3),
+        ('{"id_pessoa": 3.0}', 3),
+        ('{"id_pessoa": "3.0"}', 3),
         ('{"id_pessoa": 3, "other": {"x": [1, {}]}} ', 3),
         ('{"id_pessoa": 3} {"id_pessoa": 4}', None),
         ('{"id_pessoa": 3},{"id_pessoa": 4}', None),

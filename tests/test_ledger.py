@@ -127,6 +127,27 @@ def test_recurring_is_idempotent_and_clamped(book, templates, rows):
     assert after.count() == book.count() + 2
 
 
+def test_several_changes_of_one_key_need_a_number(spark, rows):
+    table = spark.createDataFrame([("a", "x"), ("b", "y")], "id string, v string")
+    same = spark.createDataFrame([("a", "n"), ("a", "n")], "id string, v string")
+    assert rows(changes.replace_rows(table, same, "id", ["v"])) == [("a", "n"), ("b", "y")]
+    differ = spark.createDataFrame([("a", "n"), ("a", "m")], "id string, v string")
+    with pytest.raises(Exception, match="several changes of one key"):
+        changes.replace_rows(table, differ, "id", ["v"]).collect()
+    patch = differ.withColumn("has_v", F.lit(True))
+    with pytest.raises(Exception, match="several changes of one key"):
+        changes.patch_rows(table, patch, "id", ["v"]).collect()
+
+
+def test_the_current_version_is_the_newest_complete_one(spark, tmp_path, rows):
+    table = spark.createDataFrame([("a",)], "id string")
+    for number in (1, 2):
+        changes.write_version(table.withColumn("id", F.concat("id", F.lit(number))), str(tmp_path), number)
+    table.write.parquet(str(tmp_path / "v=3"))  # broken off before it was named
+    assert changes.current_version(spark, str(tmp_path)) == 2
+    assert rows(changes.read_current(spark, str(tmp_path))) == [("a2",)]
+
+
 def test_changes(spark, rows):
     table = spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], "id string, v string, n int")
     new = spark.createDataFrame([(None, "z"), ("c", None)], "id string, v string")
@@ -232,11 +253,11 @@ def test_key_value(spark, rows):
     assert rows(keyvalue.get(log, "k")) == [("k", "c")]
     assert rows(keyvalue.get(log, "none")) == []
     pushes = spark.createDataFrame([(i, "l", f"i{i}") for i in range(5)], "seq long, key string, item string")
-    items = keyvalue.list_items(pushes, width=2)
+    items = keyvalue.list_items(pushes)
     assert rows(items) == [("l", i, f"i{i}") for i in range(5)]
 
     def positions(*bounds):
-        return sorted(r["pos"] for r in keyvalue.list_range(pushes, *bounds, width=2).collect())
+        return sorted(r["pos"] for r in keyvalue.list_range(pushes, *bounds).collect())
 
     assert positions() == [0, 1, 2, 3, 4]
     assert positions(1, 2) == [1, 2]

@@ -1,8 +1,13 @@
+import datetime as dt
+import os
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import bindings
 from marquetry.operators import (
     aggregates,
     joins,
@@ -16,6 +21,9 @@ from marquetry.operators import (
 )
 
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
 @pytest.fixture
 def facts(spark):
     """A third of the rows share one key and are equal; some have none."""
@@ -41,8 +49,10 @@ def broadcast_limit(spark, request):
 @pytest.mark.parametrize("rows_per_task", [1, 7, 1_000_000])
 def test_salted_join_equals_plain_join(facts, dim, rows, how, rows_per_task, broadcast_limit):
     plain = facts.join(dim, "k", how)
-    salted = joins.salted_join(facts, dim, ["k"], how, rows_per_task)
+    hot = joins.hot_keys(facts, [["k"]], rows_per_task)
+    salted = joins.salted_join(facts, dim, ["k"], how, hot)
     assert rows(salted, *plain.columns) == rows(plain)
+    assert rows(joins.salted_join(facts, dim, ["k"], how), *plain.columns) == rows(plain)
 
 
 def test_a_hot_key_reaches_many_tasks(spark):
@@ -53,7 +63,7 @@ def test_a_hot_key_reaches_many_tasks(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = joins.salted_join(equal, known, ["k"], "left_semi", rows_per_task=500)
+        joined = joins.salted_join(equal, known, ["k"], "left_semi", joins.hot_keys(equal, [["k"]], 500))
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -73,35 +83,65 @@ def test_salted_join_of_any_rows(spark, rows, left, right, how, rows_per_task):
     a = spark.createDataFrame(left, "k int, v int").repartition(3)
     b = spark.createDataFrame(right, "k int, w int")
     plain = a.join(b, "k", how)
-    assert rows(joins.salted_join(a, b, ["k"], how, rows_per_task), *plain.columns) == rows(plain)
-
-
-def test_hot_keys_are_bounded_and_cut(facts):
-    hot = {r["k"]: r["_parts"] for r in joins.hot_keys(facts, ["k"], 3).collect()}
-    assert hot == {"hot": 14}
-    assert joins.hot_keys(facts, ["k"]).count() == 0
-
-
-def test_hot_means_more_than_two_average_buckets(facts, monkeypatch):
-    monkeypatch.setattr(joins, "BUCKETS", 5)
-    hot = {r["k"]: r["_parts"] for r in joins.hot_keys(facts, ["k"], 1).collect()}
-    assert hot in ({}, {"hot": 1}) and len(hot) < 3  # 100 keyed rows: at least 41 in a bucket
-    monkeypatch.setattr(joins, "BUCKETS", 20)
-    hot = {r["k"]: r["_parts"] for r in joins.hot_keys(facts, ["k"], 1).collect()}
-    assert hot == {"hot": 4}  # 40 rows, at least 10 to be hot
+    hot = joins.hot_keys(a, [["v"], ["k"]], rows_per_task)
+    assert rows(joins.salted_join(a, b, ["k"], how, hot, key_set=1), *plain.columns) == rows(plain)
+
+
+def test_hot_keys_of_several_joins_in_one_pass(spark, facts, monkeypatch):
+    def parts(rows_per_task):
+        return [r["parts"] for r in joins.hot_keys(facts, [["k"]], rows_per_task).collect()]
+
+    assert parts(3) == [14]
+    assert parts(1_000_000) == []
+    monkeypatch.setattr(joins, "HOT_SHARE", 0.1)
+    assert parts(1) == [4]  # 40 of 100 rows with a key, at least 10 to be hot
+    df = spark.range(100).select((F.col("id") % 2).alias("a"), F.lit(7).alias("b"), F.lit(None).cast("int").alias("c"))
+    found = joins.hot_keys(df, [["a"], ["b"], ["c"], ["a", "b"]], 10).groupBy("key_set").count().collect()
+    assert {r["key_set"]: r["count"] for r in found} == {0: 2, 1: 1, 3: 2}
+    plan = joins.hot_keys(spark.read.parquet(SF + "/orders.parquet"), [["o_custkey"], ["o_orderkey"]])
+    assert len(re.findall("Scan parquet", plan._jdf.queryExecution().executedPlan().toString())) <= 2
+
+
+def test_adaptive_execution_splits_a_key_with_half_of_all_rows(spark):
+    """The plain join, which is what all callers get unless they ask for salting."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings if spark.conf.get(k, None) is not None}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for hot_side in ("left", "right"):
+            wide = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), F.uuid().alias("v"))
+            known = spark.range(0, 200_000, 3).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+            known = known.filter("k <> 7").union(spark.range(1).select(F.lit(7).cast("long"), F.lit("x")))
+            left, right = (wide, known) if hot_side == "left" else (known, wide)
+            joined = joins.match(left, right, ["k"])
+            joined.collect()
+            assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
 
 
-def test_salted_join_spreads_equal_rows(spark, dim):
-    equal = spark.range(0, 800, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
-    hot = joins.hot_keys(equal, ["k"], 100).collect()[0]["_parts"]
-    assert hot == 8
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), "k", "v"), F.lit(8))
-    assert equal.select(spread.alias("p")).distinct().count() > 1
+@pytest.mark.parametrize("query, scans", [("j01_referential_integrity", 3), ("j02_orphans", 2), ("j05_left_alignment", 2), ("a19_quality_report", 3), ("entry_common_roles", 3)])
+def test_joins_read_each_table_once(spark, query, scans):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = bindings.QUERIES[query](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(re.findall("FileScan parquet", plan)) == scans
 
 
 def test_semi_and_anti_are_the_input(facts, dim, rows):
-    kept = joins.keep_with_parents(facts, [(dim, "k")], rows_per_task=5)
-    gone = joins.orphans(facts, dim, "k", rows_per_task=5)
+    kept = joins.keep_with_parents(facts, [(dim, "k")])
+    gone = joins.orphans(facts, dim, "k", joins.hot_keys(facts, [["k"]], 5))
     assert rows(kept.unionByName(gone)) == rows(facts)
     report = dict(rows(joins.orphan_report(facts, [(dim, "k")])))
     assert report == {"none": kept.count(), "k": gone.count()}
@@ -127,14 +167,37 @@ def test_lookup_default_and_alignment(spark, facts, dim, rows):
     assert rows(joins.absent_from(left, right, ["k"])) == [("a", 1)]
 
 
-@pytest.mark.parametrize("width", [1, 3, 1000])
-def test_positions(spark, width):
+def numbered(values):
+    """Positions by the order of Python, NULL first."""
+    return {v: i for i, v in enumerate(sorted(values, key=lambda v: (v is not None, v)))}
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_positions(spark, partitions):
     data = [("a", s) for s in range(0, 40, 3)] + [(k, s) for k in ("b", None) for s in (5, -7, 9)]
     df = spark.createDataFrame(data, "k string, s int").repartition(5)
-    got = {(r["k"], r["s"]): r["pos"] for r in positions.with_position(df, ["k"], "s", width).collect()}
+    placed = positions.with_position(df, ["k"], "s", partitions=partitions).collect()
     for key in ("a", "b", None):
-        ordered = sorted(s for k, s in data if k == key)
-        assert [got[(key, s)] for s in ordered] == list(range(len(ordered)))
+        got = {r["s"]: r["pos"] for r in placed if r["k"] == key}
+        assert got == numbered([s for k, s in data if k == key])
+
+
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("long", [i * 10**9 - 5 * 10**11 for i in range(900)]),
+        ("long", [*range(900)]),
+        ("string", [f"{i * 7919 % 900:05d}x" for i in range(900)]),
+        ("timestamp", [dt.datetime(2000, 1, 1) + dt.timedelta(seconds=i * i) for i in range(900)]),
+    ],
+    ids=["sparse", "dense", "text", "timestamp"],
+)
+def test_positions_of_any_key_without_a_large_window(spark, kind, values):
+    df = spark.createDataFrame([(v,) for v in [None, *values]], f"s {kind}").repartition(4)
+    placed = positions.with_position(df, [], "s", partitions=6)
+    assert {r["s"]: r["pos"] for r in placed.collect()} == numbered([None, *values])
+    ranges = positions.staged(df.repartitionByRange(6, "s").withColumn("r", F.spark_partition_id()), "r")
+    assert ranges.select("r").distinct().count() <= 6
 
 
 def test_a_missing_sequence_number_comes_first(spark, rows):
@@ -144,16 +207,21 @@ def test_a_missing_sequence_number_comes_first(spark, rows):
 
 def test_numbering_reuses_the_shuffle_of_the_join(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, s int")
-    plan = positions.with_position(df, ["k"], "s")._jdf.queryExecution().executedPlan().toString()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = positions.with_position(df, ["k"], "s")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "Exchange" not in plan[plan.index("Window [row_number") : plan.index("SortMergeJoin")]
 
 
-def test_row_range_both_ways(spark, monkeypatch, rows):
-    df = spark.range(100).repartition(7)
-    want = [(i,) for i in range(30, 50)]
-    assert sorted(rows(projections.row_range(df, "id", 30, 50))) == want
-    monkeypatch.setattr(projections, "SMALL_SLICE", 10)
-    assert sorted(rows(projections.row_range(df, "id", 30, 50))) == want
+def test_row_range_of_any_length_and_key(spark, rows):
+    df = spark.range(30_000).select("id", F.concat(F.lit("n"), F.col("id") % 10).alias("name")).repartition(7)
+    assert sorted(rows(projections.row_range(df.select("id"), "id", 30, 50))) == [(i,) for i in range(30, 50)]
+    want = sorted((f"n{i % 10}", i) for i in range(30_000))
+    for stop in (100, 20_000):
+        assert rows(projections.row_range(df, "name", 10, stop), "name", "id") == sorted(want[10:stop], key=repr)
     assert rows(projections.row_range(df, "id", 5, 5)) == []
 
 
@@ -203,13 +271,15 @@ def test_melt_and_split_are_inverse(spark, rows):
     long = reshape.melt(wide, ["k"], ["x", "y"], "label", "value")
     back = reshape.split_label(long, ["k"], "label", {"x": "x", "y": "y"}, F.col("value"))
     assert rows(back) == rows(wide)
-    turned = reshape.transpose(wide, "k", "label")
+    turned = reshape.transpose(wide, "k", ["a", "b"], "label")
     assert rows(turned, "label", "a", "b") == [("x", 1.0, 3.0), ("y", 2.0, 4.0)]
 
 
-def test_transpose_refuses_large_input(spark):
-    with pytest.raises(ValueError):
-        reshape.transpose(spark.range(reshape.MAX_TRANSPOSED + 1).withColumn("v", F.lit(1)), "id")
+def test_transpose_of_repeated_missing_and_null_labels(spark, rows):
+    wide = spark.createDataFrame([("a", 1.0), ("a", 5.0), (None, 2.0), ("other", 9.0)], "k string, x double")
+    turned = reshape.transpose(wide, "k", ["a", None, "z"], "label")
+    assert turned.columns == ["label", "a", "null", "z"]
+    assert rows(turned) == [("x", 5.0, 2.0, None)]
 
 
 def test_concat(spark, rows):

@@ -111,7 +111,7 @@ def test_people(spark, result):
     ]
     assert result[1]["pessoa"] == {
         "dataset": "pessoa", "lidos": 13, "escritos": 5, "duplicatas": 1, "nulos_removidos": 2,
-        "titulos_nulos": 0, "correcoes": 3, "orfaos": 0, "erros_parse": 5,
+        "titulos_nulos": 0, "correcoes": 3, "orfaos": 0, "erros_parse": 5, "ids_invalidos": 0,
     }
 
 
@@ -123,7 +123,7 @@ def test_productions(spark, result):
     assert docs[18]["tipo_id"] == 7
     assert result[1]["producao"] == {
         "dataset": "producao", "lidos": 16, "escritos": 9, "duplicatas": 1, "nulos_removidos": 1,
-        "titulos_nulos": 1, "correcoes": 9, "orfaos": 0, "erros_parse": 5,
+        "titulos_nulos": 1, "correcoes": 9, "orfaos": 0, "erros_parse": 5, "ids_invalidos": 0,
     }
 
 
@@ -133,6 +133,7 @@ def test_crew(spark, landed, result):
     seen, stats = expected_crew(landed[1], people, works)
     stats["lidos"] += len(BROKEN)
     stats["erros_parse"] = len(BROKEN)
+    stats["ids_invalidos"] = 0
     docs = clean(spark, result[0], "equipe")
     assert {(d["id_producao"], d["id_pessoa"], d.get("papel")) for d in docs} == seen
     assert len(docs) == len(seen)
@@ -176,10 +177,26 @@ def test_further_fields_come_from_the_first_line(spark, tmp_path):
 
 def test_every_line_is_counted_once(result):
     for c in result[1].values():
-        parts = ("escritos", "duplicatas", "nulos_removidos", "orfaos", "erros_parse")
+        parts = ("escritos", "duplicatas", "nulos_removidos", "orfaos", "erros_parse", "ids_invalidos")
         assert c["lidos"] == sum(c[p] for p in parts)
 
 
+def test_ids_in_other_forms_stay_and_others_are_reported(spark, tmp_path):
+    people = ['{"id_pessoa": "2", "nome": "a"}', '{"id_pessoa": 3.0, "nome": "b"}', '{"id_pessoa": "x"}', '{"id_pessoa": 2.5}', "broken"]
+    (tmp_path / "pessoa.jsonl").write_text("\n".join(people))
+    (tmp_path / "producao.jsonl").write_text('{"id_producao": "9", "titulo": "t"}')
+    (tmp_path / "equipe.jsonl").write_text('{"id_producao": 9.0, "id_pessoa": "3", "papel": "p"}')
+    report = {r["dataset"]: r for r in production.run(spark, str(tmp_path), str(tmp_path / "out")).collect()}
+    assert clean(spark, tmp_path / "out", "equipe") == [{"id_producao": 9, "id_pessoa": 3, "papel": "p"}]
+    assert sorted(d["id_pessoa"] for d in clean(spark, tmp_path / "out", "pessoa")) == [2, 3]
+    got = report["pessoa"]
+    assert (got["lidos"], got["escritos"], got["erros_parse"], got["ids_invalidos"]) == (5, 2, 1, 2)
+    rejects = spark.read.json(str(tmp_path / "out" / "pessoa_rejects")).collect()
+    assert sorted((r["reason"], r["line"], r["copies"]) for r in rejects) == [
+        ("invalid", '{"id_pessoa": "x"}', 1), ("invalid", '{"id_pessoa": 2.5}', 1), ("parse", "broken", 1)
+    ]
+
+
 def test_cleaning_is_idempotent(spark, result, tmp_path):
     again = tmp_path / "again"
     again.mkdir()

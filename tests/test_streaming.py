@@ -115,12 +115,25 @@ def test_watermark_forgets_old_keys(spark, tmp_path, rows):
     assert rows(run(), "k", "v") == [("a", "1"), ("a", "3"), ("b", "2")]
 
 
+def test_a_parent_is_read_once_for_all_batches(spark, tmp_path, rows):
+    source, base = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("a",)], "k string").write.parquet(str(tmp_path / "parent"))
+    parent = spark.read.parquet(str(tmp_path / "parent"))
+    feed(spark, source, [("a", "1", T0), ("b", "2", T0)])
+    kept = cleaning.with_parent(read_stream(spark, source), parent, "k")
+    for part in (tmp_path / "parent").glob("*.parquet"):
+        part.unlink()  # what the batches read is the copy made before the stream began
+    assert rows(runner.run_available(spark, kept, base), "k", "v") == [("a", "1")]
+    feed(spark, source, [("a", "3", T0)])
+    assert rows(runner.run_available(spark, kept, base), "k", "v") == [("a", "1"), ("a", "3")]
+
+
 def test_static_parents(spark, tmp_path, rows):
     source = str(tmp_path / "in")
     feed(spark, source, [("a", "1", T0), ("b", "2", T0), (None, "3", T0)] + [("hot", "4", T0)] * 9)
     parent = spark.createDataFrame([("a",), ("hot",), ("a",)], "k string")
-    kept = cleaning.with_parent(read_stream(spark, source), parent, "k", salts=4)
-    gone = cleaning.without_parent(read_stream(spark, source), parent, "k", salts=4)
+    kept = cleaning.with_parent(read_stream(spark, source), parent, "k")
+    gone = cleaning.without_parent(read_stream(spark, source), parent, "k")
     kept = runner.run_available(spark, kept, str(tmp_path / "kept"))
     gone = runner.run_available(spark, gone, str(tmp_path / "gone"))
     assert rows(kept, "k", "v") == [("a", "1")] + [("hot", "4")] * 9
