@@ -89,7 +89,7 @@ def _suffix_order(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, dtype=np.int64)
     for i in range(step):
         key <<= bits
-        key[: n - i] += text[i:] + 1
+        key[: max(0, n - i)] += text[i:] + 1
     order = np.argsort(key, kind="stable")
     while True:
         rank = np.empty(n, dtype=np.int64)
@@ -98,7 +98,7 @@ def _suffix_order(text: np.ndarray) -> np.ndarray:
             return order
         # Rank of a place and of the one ``step`` on, as one number.
         key = rank * (n + 1)
-        key[: n - step] += rank[step:] + 1
+        key[: max(0, n - step)] += rank[step:] + 1
         order = order[np.argsort(key[order], kind="stable")]
         step *= 2
 
