@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marquetry.functions.presence import active_positive, all_present
 from marquetry.operators import projections as ops
 from marquetry.plans import ledger as ledger_plan
 
@@ -29,9 +30,7 @@ def p01(spark, sf):
 @query("p02_not_null", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
 def p02(spark, sf):
     status = F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus")
-    return table(spark, sf, "orders").select("o_orderkey", status).filter(
-        F.col("o_orderstatus").isNotNull()
-    )
+    return table(spark, sf, "orders").select("o_orderkey", status).filter(all_present("o_orderstatus"))
 
 
 @query(
@@ -220,5 +219,4 @@ def p17_text(spark, sf):
        WHERE active = 1 AND value > 0""",
 )
 def p18(spark, sf):
-    df = recurring(spark, sf).filter((F.col("active") == 1) & (F.col("value") > 0))
-    return df.select("id", "category", "value")
+    return recurring(spark, sf).filter(active_positive("active", "value")).select("id", "category", "value")

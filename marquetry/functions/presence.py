@@ -13,5 +13,10 @@ def all_present(*columns: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
+def active_positive(active: str, value: str) -> Column:
+    """True for entries that are switched on and have a positive value."""
+    return (F.col(active) == 1) & (F.col(value) > 0)
+
+
 def any_missing(*columns: str) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])

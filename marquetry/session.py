@@ -22,6 +22,8 @@ def local_session(cores: int | str = "*", app: str = "marquetry", **conf: str) -
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
     )
+    if SparkSession.getActiveSession() is None and CHECKPOINT_DIR.replace(".", "__") not in conf:
+        builder = builder.config(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="marquetry-"))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
@@ -54,3 +56,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_copies(spark: SparkSession) -> None:
+    """Remove what this application has staged below ``spark.checkpoint.dir``, when its results are read."""
+    base = spark.conf.get(CHECKPOINT_DIR, None)
+    if base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(
+            f"{base.rstrip('/')}/marquetry/{spark.sparkContext.applicationId}"
+        )
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
