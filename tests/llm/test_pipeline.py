@@ -68,6 +68,8 @@ def test_line_stage_against_brute_force(stages):
                 earlier.append(own)
         want[i] = "\n".join(kept)
     assert after == want
+    sizes = {r["doc_id"]: r["n_chars"] for r in stages["line_dedup"][1].collect()}
+    assert sizes == {i: len(t) for i, t in want.items()}
 
 
 def test_near_copy_stage_against_brute_force(stages):
