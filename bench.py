@@ -87,7 +87,7 @@ def land_raw(spark, sf: str) -> tuple[str, int]:
     crew = table(spark, sf, "lineitem").withColumn("_copy", copies).select(
         F.col("l_orderkey").alias("id_producao"),
         F.col("l_partkey").alias("id_pessoa"),
-        F.concat(F.lit(" "), "l_returnflag", F.when(F.col("_copy") > 2, F.col("_copy")).otherwise("")).alias("papel"),
+        F.concat(F.lit(" "), "l_returnflag", F.when(F.col("_copy") > 2, F.col("_copy").cast("string")).otherwise("")).alias("papel"),
     )
     lines = 0
     for name, df in (("pessoa", people), ("producao", works), ("equipe", crew)):
