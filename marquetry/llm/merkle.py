@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import whole_text
 
 PIECE_WORDS = 5
-#: Ranges of ids at most; there are no more than the session has shuffle partitions.
-RANGES = 256
+#: Quantiles of the ids between which ranges are of equal width, and ranges for each shuffle partition.
+QUANTILES, RANGES_IN_PARTITION = 64, 4
 
 _WORD = r"[^ \t\n\r]+"
 PIECE = rf"{_WORD}(?:[ \t\r]+{_WORD}){{0,{PIECE_WORDS - 1}}}"
@@ -84,29 +84,44 @@ def changed(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def _range_of(key: str, bounds: list[int], low: int = 0) -> Column:
-    """The number of ``bounds`` up to the key's value, by halving."""
+def _cell_of(key: Column, bounds: list[float], low: int = 0) -> Column:
+    """The number of ``bounds`` up to the key, by halving."""
     if not bounds:
         return F.lit(low)
     half = len(bounds) // 2
-    return F.when(F.col(key) < bounds[half], _range_of(key, bounds[:half], low)).otherwise(
-        _range_of(key, bounds[half + 1 :], low + half + 1)
+    return F.when(key < bounds[half], _cell_of(key, bounds[:half], low)).otherwise(
+        _cell_of(key, bounds[half + 1 :], low + half + 1)
     )
 
 
+def _range_of(rows: DataFrame, key: str) -> Column:
+    """A range's number for each key, growing with it; there are as many as the session's partitions can use.
+
+    Cells lie between quantiles; each is cut into ranges of equal width.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / QUANTILES for i in range(QUANTILES + 1)]
+    bounds = sorted(set(rows.select(F.col(key).cast("double").alias(key)).approxQuantile(key, shares, 0.2 / QUANTILES)))
+    if len(bounds) < 2:
+        return F.lit(0)
+    in_cell = -(-RANGES_IN_PARTITION * partitions // (len(bounds) - 1))
+    value = F.col(key).cast("double")
+    cell = F.least(F.greatest(_cell_of(value, bounds) - 1, F.lit(0)), F.lit(len(bounds) - 2))
+    low, high = (F.element_at(F.array(*map(F.lit, b)), cell + 1) for b in (bounds[:-1], bounds[1:]))
+    part = F.floor((value - low) / (high - low) * in_cell)
+    return (cell * in_cell + F.least(F.greatest(part, F.lit(0)), F.lit(in_cell - 1))).cast("int")
+
+
 def with_next(rows: DataFrame, key: str, tie: str, columns: list[str]) -> DataFrame:
     """``rows`` with the struct ``next``: ``columns`` of the row that follows by (key, tie), in a circle."""
-    spark = rows.sparkSession
-    most = min(RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / most for i in range(1, most)]
-    bounds = sorted(set(rows.select(key).approxQuantile(key, shares, 0.2 / most))) if shares else []
-    dealt = rows.withColumn("_range", _range_of(key, [int(b) for b in bounds]))
-    least = sorted(map(tuple, dealt.groupBy("_range").agg(F.min(key)).collect()))  # at most RANGES
+    dealt = rows.withColumn("_range", _range_of(rows, key))
+    # One row for each range.
+    least = sorted(map(tuple, dealt.groupBy("_range").agg(F.min(key)).collect()))
     if not least:
         return dealt.drop("_range").withColumn("next", F.struct(*columns))
-    before = {least[i][1]: least[i - 1][0] for i in range(len(least))}
-    to = F.element_at(F.create_map(*(F.lit(v) for pair in before.items() for v in pair)), F.col(key))
-    firsts = dealt.filter(F.col(key).isin(list(before))).withColumn("_range", to)
+    before = [(least[i][1], least[i - 1][0]) for i in range(len(least))]
+    to = rows.sparkSession.createDataFrame(before, f"{key} long, _to int")
+    firsts = dealt.join(F.broadcast(to), key).withColumn("_range", F.col("_to")).drop("_to")
     both = dealt.withColumn("_copy", F.lit(False)).unionByName(firsts.withColumn("_copy", F.lit(True)))
     order = W.partitionBy("_range").orderBy("_copy", key, tie)
     found = both.withColumn("next", F.lead(F.struct(*columns)).over(order))
