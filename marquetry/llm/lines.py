@@ -4,8 +4,8 @@ A line's tokens are its runs of WIDTH words. A line is removed if an earlier one
 number), has a token set of Jaccard similarity SIMILARITY or more; matches are judged on the input,
 also with lines that are themselves removed.
 
-1. Tokens are counted in SLOTS slots over all lines; a line's tokens are ordered by rarity (count,
-   then hash). Similar sets share a token among their first |x| - ceil(t |x|) + 1 ones.
+1. Tokens are counted in SLOTS slots over all lines; a line's tokens are ordered by rarity (the
+   count's logarithm, then hash). Similar sets share a token among their first |x| - ceil(t |x|) + 1 ones.
 2. Lines with equal sets are similar; all but the first are removed, and the first stands for them.
 3. Prefix tokens that more than one set has bring sets together. Pairs whose sizes or token places
    rule out the overlap that t asks for are dropped; the rest are verified on whole sets.
@@ -27,89 +27,150 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquetry.session import staged
 
-from .common import in_batches, slot_counts
+from .common import in_batches, slot_counts, word_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
 SLOTS = 1 << 20
 GROUP = 16
-#: Bits of the table that tells which lines are asked for; beyond that, more are sent than needed.
-ASKED_BITS = 1 << 24
-
+#: Bits of a table that tells which tokens or documents are asked for. It spares shuffles what nobody
+#: asks for; where it fills up, more is sent than needed and the joins sort it out.
+TABLE_BITS = 1 << 27
+BLOCK_BITS = 1 << 21
+# How far apart the places of neighbouring lines are in such a table.
+LINE_STEP = 1_000_003
+#: Bytes that are worked on at once, if lines are no longer, and lines that are sorted at once.
+BYTES_AT_ONCE = 1 << 20
+LINES_AT_ONCE = 1000
+
+# A token is a hash of 46 bits; below its line's number and its rarity it makes one sortable number.
+_TOKEN_BITS, _RARITY_BITS = 46, 8
+_TOKEN = np.uint64((1 << _TOKEN_BITS) - 1)
+_LINE_SHIFT = np.uint64(_TOKEN_BITS + _RARITY_BITS)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_words = _Words()
-
-
-def tokens(line: bytes, width: int = WIDTH) -> np.ndarray:
-    """Sorted hashes of the runs of ``width`` words in ``line``; none if it has fewer words."""
-    words = line.split()
-    n = len(words) - width + 1
-    if n < 1:
-        return np.zeros(0, dtype=np.uint64)
-    own = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+def _runs(data: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``width`` words in the lines of ``data``, and the number of each one's line."""
+    flat = np.frombuffer(data, dtype=np.uint8)
+    own, starts = word_hashes(flat)
+    line = np.searchsorted(np.flatnonzero(flat == 10), starts)
+    n = max(0, len(own) - width + 1)
     runs = own[:n].copy()
     for i in range(1, width):
         runs = (runs ^ (runs >> np.uint64(29))) * _ODD + own[i : i + n]
     runs = (runs ^ (runs >> np.uint64(32))) * _ODD
-    return np.unique(runs ^ (runs >> np.uint64(29)))
+    whole = line[:n] == line[len(own) - n :]
+    return ((runs ^ (runs >> np.uint64(29))) & _TOKEN)[whole], line[:n][whole]
+
+
+def _chunks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, bytes]]:
+    """Bytes with whole lines of some texts, and of each line the text and its number there."""
+    held: list[tuple[int, int, bytes]] = []
+
+    def joined() -> tuple[np.ndarray, np.ndarray, bytes]:
+        counts = [piece.count(b"\n") + 1 for _, _, piece in held]
+        at = np.repeat([h[0] for h in held], counts)
+        number = np.concatenate([h[1] + np.arange(n) for h, n in zip(held, counts, strict=True)])
+        return at, number, b"\n".join(h[2] for h in held)
+
+    size = 0
+    for at, text in enumerate(texts):
+        raw, start, number = (text or "").encode().lower(), 0, 0
+        while start <= len(raw):
+            end = len(raw)
+            if end - start > BYTES_AT_ONCE:
+                end = raw.rfind(b"\n", start, start + BYTES_AT_ONCE)
+                end = end if end >= 0 else raw.find(b"\n", start + BYTES_AT_ONCE)
+                end = end if end >= 0 else len(raw)
+            if held and size + end - start > BYTES_AT_ONCE:
+                yield joined()
+                held, size = [], 0
+            held.append((at, number, raw[start:end]))
+            size += end - start
+            number += raw.count(b"\n", start, end) + 1
+            start = end + 1
+    if held:
+        yield joined()
 
 
-def lines_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split(b"\n")
+def tokens(line: bytes, width: int = WIDTH) -> np.ndarray:
+    """The set of a line's tokens, sorted; none if it has fewer than ``width`` words."""
+    return np.unique(_runs(line, width)[0])
 
 
-def prefix_size(size: int, similarity: float = SIMILARITY) -> int:
-    return size - int(np.ceil(similarity * size - 1e-9)) + 1
+def prefix_size(size, similarity: float = SIMILARITY):
+    return size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
 
 
-def token_counts(docs: DataFrame, text: str = "text", width: int = WIDTH) -> np.ndarray:
-    """How often tokens of each slot occur; a table of fixed size, whatever the input's."""
+def token_rarity(docs: DataFrame, text: str = "text", width: int = WIDTH) -> np.ndarray:
+    """Of each slot the logarithm of how often its tokens occur, in eighths; a table of fixed size."""
 
     def slots(value: str | None) -> Iterator[np.ndarray]:
-        for line in lines_of(value):
-            yield (tokens(line, width) % SLOTS).astype(np.int64)
+        for _, _, data in _chunks([value]):
+            yield (_runs(data, width)[0] % SLOTS).astype(np.int64)
+
+    counts = slot_counts(docs, text, slots, SLOTS)
+    return np.minimum(8 * np.log2(1.0 + counts), (1 << _RARITY_BITS) - 1).astype(np.uint8)
+
+
+def _sets(data: bytes, width: int, rarity: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The tokens of lines, by line, rarity and hash, each once in a line, and where lines begin.
 
-    return np.minimum(slot_counts(docs, text, slots, SLOTS), np.iinfo(np.int32).max).astype(np.int32)
+    Some lines at a time, with the number of the first.
+    """
+    own, line = _runs(data, width)
+    n_lines = data.count(b"\n") + 1
+    for low in range(0, n_lines, LINES_AT_ONCE):
+        high = min(low + LINES_AT_ONCE, n_lines)
+        part = slice(*np.searchsorted(line, [low, high]))
+        key = (line[part] - low).astype(np.uint64) << _LINE_SHIFT | own[part]
+        if rarity is not None:
+            key |= rarity[(own[part] % SLOTS).astype(np.int64)].astype(np.uint64) << np.uint64(_TOKEN_BITS)
+        key.sort()
+        key = key[np.concatenate((key[:1] == key[:1], key[1:] != key[:-1]))]
+        yield low, key, np.searchsorted(key, np.arange(high - low + 1, dtype=np.uint64) << _LINE_SHIFT)
+
+
+def _sets_of(texts: list[str | None], width: int, rarity: np.ndarray | None) -> Iterator[tuple]:
+    for at, number, data in _chunks(texts):
+        for low, key, starts in _sets(data, width, rarity):
+            yield at, number, low, key, starts
 
 
 def _line_sets(docs: DataFrame, doc_id: str, text: str, width: int, similarity: float) -> DataFrame:
     """(doc_id, line, set, size, prefix) of every line that has tokens; ``prefix`` is in order of rarity."""
-    counts = docs.sparkSession.sparkContext.broadcast(token_counts(docs, text, width))
+    rarity = docs.sparkSession.sparkContext.broadcast(token_rarity(docs, text, width))
+    below = (np.uint64(1) << _LINE_SHIFT) - np.uint64(1)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows: list[tuple] = []
-        for at, value in enumerate(batch.column(1).to_pylist()):
-            for number, line in enumerate(lines_of(value)):
-                own = tokens(line, width)
-                if len(own):
-                    rare = np.lexsort((own, counts.value[(own % SLOTS).astype(np.int64)]))
-                    first = own[rare[: prefix_size(len(own), similarity)]].view(np.int64)
-                    rows.append((at, number, hashlib.md5(own.tobytes()).digest(), len(own), first))
-        at, number, digest, size, first = zip(*rows, strict=True) if rows else ((),) * 5
-        ends = np.concatenate(([0], np.cumsum([len(f) for f in first]))).astype(np.int32)
-        flat = np.concatenate(first) if first else np.zeros(0, np.int64)
+        at, number, digest, size, first = [], [], [], [], [np.zeros(0, np.int64)]
+        for text_at, line_at, low, key, starts in _sets_of(batch.column(1).to_pylist(), width, rarity.value):
+            key &= below
+            sizes = np.diff(starts)
+            place = np.arange(len(key)) - np.repeat(starts[:-1], sizes)
+            head = np.repeat(prefix_size(sizes, similarity), sizes)
+            first.append((key[place < head] & _TOKEN).view(np.int64))
+            own = np.flatnonzero(sizes)
+            at += text_at[low + own].tolist()
+            number += line_at[low + own].tolist()
+            size += sizes[own].tolist()
+            data, ends = memoryview(key.tobytes()), (8 * starts).tolist()
+            digest += [hashlib.md5(data[ends[i] : ends[i + 1]]).digest() for i in own.tolist()]
+        sizes = np.array(size, dtype=np.int64)
+        ends = np.concatenate(([0], np.cumsum(prefix_size(sizes, similarity)))).astype(np.int32)
         columns = [
             batch.column(0).take(pa.array(at, pa.int64())),
             pa.array(number, pa.int32()),
             pa.array(digest, pa.binary()),
-            pa.array(size, pa.int32()),
-            pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+            pa.array(sizes, pa.int32()),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first))),
         ]
         return pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "set", "size", "prefix"])
 
@@ -148,24 +209,24 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, width:
     """Those of ``pairs`` whose whole token sets are similar, with their similarity."""
     ends = [pairs.select(F.col(f"doc_{s}").alias("doc_id"), F.col(f"line_{s}").alias("line")) for s in "ab"]
     asked = staged(ends[0].union(ends[1]).distinct(), "asked")
-    slots = asked.select(F.pmod(F.xxhash64("doc_id"), F.lit(ASKED_BITS)).cast("int").alias("slot"))
-    # Bits of a table of fixed size: it spares the shuffle the lines of documents that nobody asks for.
-    bits = np.zeros(ASKED_BITS // 8, dtype=np.uint8)
-    for block, part in _bit_blocks(slots).collect():
-        own = np.frombuffer(part, dtype=np.uint8)
-        bits[block * len(own) : (block + 1) * len(own)] = own
-    table = docs.sparkSession.sparkContext.broadcast(bits)
+    of_doc = F.xxhash64("doc_id").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
+    both = (F.col("slot") + F.col("line") * LINE_STEP).bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
+    slots = asked.select(of_doc.alias("slot"), F.col("line").cast("long").alias("line"))
+    docs_asked, lines_asked = _bit_table(slots.select("slot")), _bit_table(slots.select(both.alias("slot")))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         slot = batch.column(2).to_numpy()
-        wanted = np.flatnonzero(table.value[slot >> 3] >> (slot & 7) & 1)
+        wanted = np.flatnonzero(_is_set(docs_asked.value, slot))
         at, number, sets = [], [], []
-        for i in wanted:
-            for n, line in enumerate(lines_of(batch.column(1)[int(i)].as_py())):
-                if len(own := tokens(line, width)):
-                    at.append(i)
-                    number.append(n)
-                    sets.append(own.view(np.int64))
+        texts = [batch.column(1)[int(i)].as_py() for i in wanted]
+        for text_at, line_at, low, key, starts in _sets_of(texts, width, None):
+            key = (key & _TOKEN).view(np.int64)
+            own = np.flatnonzero(np.diff(starts))
+            of_line = slot[wanted[text_at[low + own]]].astype(np.int64) + line_at[low + own] * LINE_STEP
+            own = own[_is_set(lines_asked.value, of_line & (TABLE_BITS - 1))]
+            at += wanted[text_at[low + own]].tolist()
+            number += line_at[low + own].tolist()
+            sets += [key[starts[i] : starts[i + 1]] for i in own.tolist()]
         columns = [
             batch.column(0).take(pa.array(at, pa.int64())),
             pa.array(number, pa.int32()),
@@ -175,7 +236,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, width:
 
     kind = docs.schema[doc_id].dataType.simpleString()
     known = docs.filter(F.col(doc_id).isNotNull())
-    columns = [F.col(doc_id), F.col(text), F.pmod(F.xxhash64(doc_id), F.lit(ASKED_BITS)).cast("int").alias("slot")]
+    columns = [F.col(doc_id), F.col(text), F.xxhash64(doc_id).bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int").alias("slot")]
     sent = in_batches(known, columns, step, f"doc_id {kind}, line int, tokens array<long>")
     sets = staged(sent.join(asked, ["doc_id", "line"], "left_semi"), "sets")
     out = pairs
@@ -189,23 +250,51 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, width:
     )
 
 
-def _bit_blocks(slots: DataFrame) -> DataFrame:
-    """The set bits of a table as blocks of bytes, summed up where the slots are."""
-    block_bits = ASKED_BITS // 64
+def _is_set(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bit_table(slots: DataFrame) -> Broadcast:
+    """A table of TABLE_BITS bits with those of ``slots`` (slot) set, filled block by block in tasks."""
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             slot = batch.column(1).to_numpy()
-            for block in np.unique(slot // block_bits):
-                bits = held.setdefault(int(block), np.zeros(block_bits, dtype=bool))
-                bits[slot[slot // block_bits == block] % block_bits] = True
+            for block in np.unique(slot // BLOCK_BITS):
+                own = slot[slot // BLOCK_BITS == block] % BLOCK_BITS
+                bits = held.setdefault(int(block), np.zeros(BLOCK_BITS // 8, dtype=np.uint8))
+                np.bitwise_or.at(bits, own >> 3, (1 << (own & 7)).astype(np.uint8))
         names = sorted(held)
-        parts = [np.packbits(held[b], bitorder="little").tobytes() for b in names]
+        parts = [held[b].tobytes() for b in names]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(parts, pa.binary())], ["block", "part"])
 
-    keyed = slots.distinct().select((F.col("slot") / block_bits).cast("int").alias("block"), "slot")
-    return keyed.repartition("block").mapInArrow(run, "block int, part binary")
+    keyed = slots.select((F.col("slot") / BLOCK_BITS).cast("int").alias("block"), "slot").distinct()
+    bits = np.zeros(TABLE_BITS // 8, dtype=np.uint8)
+    for block, part in keyed.repartition("block").mapInArrow(fill, "block int, part binary").collect():
+        bits[block * BLOCK_BITS // 8 : (block + 1) * BLOCK_BITS // 8] = np.frombuffer(part, dtype=np.uint8)
+    return slots.sparkSession.sparkContext.broadcast(bits)
+
+
+def _postings(firsts: DataFrame, counts: DataFrame) -> DataFrame:
+    """(doc_id, line, size, place, token) of the prefix tokens that may be in ``counts``."""
+    table = _bit_table(counts.select(F.col("token").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int").alias("slot")))
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column(3)
+        token = lists.flatten().to_numpy()
+        sizes = lists.value_lengths().to_numpy()
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        kept = np.flatnonzero(_is_set(table.value, token & (TABLE_BITS - 1)))
+        at = pa.array(row[kept])
+        columns = [batch.column(i).take(at) for i in range(3)]
+        columns += [pa.array(place[kept].astype(np.int32)), pa.array(token[kept])]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "size", "place", "token"])
+
+    kind = firsts.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, line int, size int, place int, token long"
+    return in_batches(firsts, ["doc_id", "line", "size", "prefix"], step, schema, rows=10_000)
 
 
 def later_matches(
@@ -213,16 +302,15 @@ def later_matches(
 ) -> DataFrame:
     """(doc_id, line): every line that an earlier one is similar to."""
     of_lines = staged(_line_sets(docs, doc_id, text, width, similarity), "lines")
-    firsts = of_lines.groupBy("set").agg(F.min(F.struct("doc_id", "line")).alias("first"))
-    told = of_lines.join(firsts, "set")
-    here = F.struct("doc_id", "line")
-    copies = told.filter(here != F.col("first")).select("doc_id", "line")
-    # Rows alike in id and line (ids that repeat) are one line.
-    postings = told.filter(here == F.col("first")).select(
-        "doc_id", "line", "size", F.posexplode("prefix").alias("place", "token")
-    ).distinct()
-    counts = postings.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
-    shared = staged(postings.join(counts, "token"), "postings")
+    first = F.min(F.struct("doc_id", "line", "size", "prefix")).alias("f")
+    firsts = staged(of_lines.groupBy("set").agg(first).select("set", "f.*"), "firsts")
+    told = of_lines.select("set", "doc_id", "line").join(
+        firsts.select("set", F.struct("doc_id", "line").alias("first")), "set"
+    )
+    copies = told.filter(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line")
+    counts = firsts.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("sets"))
+    counts = staged(counts.filter("sets > 1"), "tokens")
+    shared = staged(_postings(firsts, counts).join(counts, "token"), "postings")
     few, many = shared.filter(F.col("sets") <= group), shared.filter(F.col("sets") > group)
     leaders = many.groupBy("token").agg(F.min(F.struct("doc_id", "line", "size", "place")).alias("l")).select("token", "l.*")
     near = staged(_pairs(few, few, similarity).union(_pairs(leaders, many, similarity)).distinct(), "pairs")
@@ -230,8 +318,9 @@ def later_matches(
     found = staged(_verified(near, docs, doc_id, text, width, similarity).select(*ids).distinct(), "found")
     rest = many.join(found, ["doc_id", "line"], "left_anti")
     more = staged(_pairs(many, rest, similarity), "pairs")
-    later = _verified(more, docs, doc_id, text, width, similarity).select(*ids)
-    return copies.union(found).union(later).distinct()
+    if not more.isEmpty():
+        found = found.union(_verified(more, docs, doc_id, text, width, similarity).select(*ids))
+    return copies.union(found).distinct()
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -243,19 +332,19 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
 def drop_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the lines that an earlier one is similar to; columns and rows stay."""
     found = staged(removed_lines(docs, doc_id, text, **options), "removed")
-    found = found.select(F.col("doc_id").alias("_key"), F.col("lines").alias("_removed"))
-    marked = docs.join(found, docs[doc_id] == found["_key"], "left").drop("_key")
-    schema = docs.schema
+    rows = docs.select(F.col(doc_id).alias("key"), F.struct(*docs.columns).alias("row"))
+    marked = rows.join(found.withColumnRenamed("doc_id", "key"), "key", "left").select("row", "lines")
+    schema, at = docs.schema, docs.columns.index(text)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at = batch.schema.get_field_index(text)
+        columns = batch.column(0).flatten()
         kept = []
-        for value, gone in zip(batch.column(at).to_pylist(), batch.column("_removed").to_pylist(), strict=True):
+        for value, gone in zip(columns[at].to_pylist(), batch.column(1).to_pylist(), strict=True):
             if gone and value is not None:
                 gone = set(gone)
                 value = "\n".join(x for i, x in enumerate(value.split("\n")) if i not in gone)
             kept.append(value)
-        columns = [pa.array(kept, pa.string()) if i == at else batch.column(i) for i in range(len(schema))]
+        columns[at] = pa.array(kept, pa.string())
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return in_batches(marked, [*docs.columns, "_removed"], step, schema)
+    return in_batches(marked, ["row", "lines"], step, schema)
