@@ -93,8 +93,8 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mixed((sums[ends] - sums[starts]) * down[starts]), starts
 
 
-def summed(parts: DataFrame, dtype: type) -> dict[int, np.ndarray]:
-    """Sums by block, in doubles, of ``parts`` (block int, part binary of ``dtype``), added up as they stream by.
+def summed(parts: DataFrame, dtype: type, out: type = np.float64) -> dict[int, np.ndarray]:
+    """Sums by block, returned as ``out``, of ``parts`` (block int, part binary of ``dtype``), added up as they stream by.
 
     There are as many blocks as the caller made, each of fixed size, so the driver gets a bounded table.
     """
@@ -105,9 +105,9 @@ def summed(parts: DataFrame, dtype: type) -> dict[int, np.ndarray]:
             for block, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 values = np.frombuffer(part.as_buffer(), dtype=dtype).astype(np.float64)
                 sums[block] = sums[block] + values if block in sums else values
-        yield blocks(sums, np.float64)
+        yield blocks(sums, out)
 
-    return {b: np.frombuffer(p) for b, p in parts.repartition("block").mapInArrow(add, BLOCKS_SCHEMA).collect()}
+    return {b: np.frombuffer(p, dtype=out) for b, p in parts.repartition("block").mapInArrow(add, BLOCKS_SCHEMA).collect()}
 
 
 def blocks(parts: dict[int, np.ndarray], dtype: type) -> pa.RecordBatch:

@@ -42,7 +42,7 @@ SEQUENCE = 2048
 END_ID = 0
 OPEN_BINS = 256
 #: Words whose ids are remembered, per Python worker.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Partitions whose last open bins are packed together.
 NEIGHBOURS = 64
 
