@@ -15,7 +15,9 @@ than GROUP sets every set is first held against the earliest one alone; only set
 comparison removes are then held against all earlier sets of the group.
 
 Contract. Lines are parted by line feeds; words are runs without ASCII white space, compared with
-A-Z in lower case. Lines of fewer than WIDTH words are never removed and remove none. Null texts
+A-Z in lower case. Lines of fewer than WIDTH words are never removed and remove none, unless ``short``
+is asked for: then such a line has its whole word sequence as its one token, and copies of it go. Lines
+without words always stay. Null texts
 stay null, empty ones empty; a text of removed lines alone becomes empty. Rows with a null doc_id
 stay as they are. Rows that share a doc_id are one document of several rows in no certain order.
 """
@@ -56,8 +58,11 @@ _LINE_SHIFT = np.uint64(_TOKEN_BITS + _RARITY_BITS)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _runs(data: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of ``width`` words in the lines of ``data``, and the number of each one's line."""
+def _runs(data: bytes, width: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``width`` words in the lines of ``data``, and the number of each one's line.
+
+    With ``short``, also the whole word sequences of the lines that have fewer words.
+    """
     flat = np.frombuffer(data, dtype=np.uint8)
     own, starts = word_hashes(flat)
     line = np.searchsorted(np.flatnonzero(flat == 10), starts)
@@ -67,7 +72,25 @@ def _runs(data: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
         runs = (runs ^ (runs >> np.uint64(29))) * _ODD + own[i : i + n]
     runs = (runs ^ (runs >> np.uint64(32))) * _ODD
     whole = line[:n] == line[len(own) - n :]
-    return ((runs ^ (runs >> np.uint64(29))) & _TOKEN)[whole], line[:n][whole]
+    runs, at = ((runs ^ (runs >> np.uint64(29))) & _TOKEN)[whole], line[:n][whole]
+    return _with_short(runs, at, own, line, width) if short else (runs, at)
+
+
+def _with_short(
+    runs: np.ndarray, at: np.ndarray, own: np.ndarray, line: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """``runs`` and their lines ``at``, and those of the lines with one to ``width`` - 1 of the words ``own``."""
+    lines, first, sizes = np.unique(line, return_index=True, return_counts=True)
+    for size in range(1, width):
+        chosen = sizes == size
+        found = np.full(int(chosen.sum()), size, dtype=np.uint64)
+        for i in range(size):
+            found = (found ^ (found >> np.uint64(29))) * _ODD + own[first[chosen] + i]
+        found = (found ^ (found >> np.uint64(32))) * _ODD
+        runs = np.concatenate((runs, (found ^ (found >> np.uint64(29))) & _TOKEN))
+        at = np.concatenate((at, lines[chosen]))
+    order = np.argsort(at, kind="stable")
+    return runs[order], at[order]
 
 
 def _chunks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, bytes]]:
@@ -109,23 +132,25 @@ def prefix_size(size, similarity: float = SIMILARITY):
     return size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
 
 
-def token_rarity(docs: DataFrame, text: str = "text", width: int = WIDTH) -> np.ndarray:
+def token_rarity(docs: DataFrame, text: str = "text", width: int = WIDTH, short: bool = False) -> np.ndarray:
     """Of each slot the logarithm of how often its tokens occur, in eighths; a table of fixed size."""
 
     def slots(value: str | None) -> Iterator[np.ndarray]:
         for _, _, data in _chunks([value]):
-            yield (_runs(data, width)[0] % SLOTS).astype(np.int64)
+            yield (_runs(data, width, short)[0] % SLOTS).astype(np.int64)
 
     counts = slot_counts(docs, text, slots, SLOTS)
     return np.minimum(8 * np.log2(1.0 + counts), (1 << _RARITY_BITS) - 1).astype(np.uint8)
 
 
-def _sets(data: bytes, width: int, rarity: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _sets(
+    data: bytes, width: int, rarity: np.ndarray | None, short: bool = False
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The tokens of lines, by line, rarity and hash, each once in a line, and where lines begin.
 
     Some lines at a time, with the number of the first.
     """
-    own, line = _runs(data, width)
+    own, line = _runs(data, width, short)
     n_lines = data.count(b"\n") + 1
     for low in range(0, n_lines, LINES_AT_ONCE):
         high = min(low + LINES_AT_ONCE, n_lines)
@@ -138,20 +163,20 @@ def _sets(data: bytes, width: int, rarity: np.ndarray | None) -> Iterator[tuple[
         yield low, key, np.searchsorted(key, np.arange(high - low + 1, dtype=np.uint64) << _LINE_SHIFT)
 
 
-def _sets_of(texts: list[str | None], width: int, rarity: np.ndarray | None) -> Iterator[tuple]:
+def _sets_of(texts: list[str | None], width: int, rarity: np.ndarray | None, short: bool = False) -> Iterator[tuple]:
     for at, number, data in _chunks(texts):
-        for low, key, starts in _sets(data, width, rarity):
+        for low, key, starts in _sets(data, width, rarity, short):
             yield at, number, low, key, starts
 
 
-def _line_sets(docs: DataFrame, doc_id: str, text: str, width: int, similarity: float) -> DataFrame:
+def _line_sets(docs: DataFrame, doc_id: str, text: str, width: int, similarity: float, short: bool) -> DataFrame:
     """(doc_id, line, set, size, prefix) of every line that has tokens; ``prefix`` is in order of rarity."""
-    rarity = docs.sparkSession.sparkContext.broadcast(token_rarity(docs, text, width))
+    rarity = docs.sparkSession.sparkContext.broadcast(token_rarity(docs, text, width, short))
     below = (np.uint64(1) << _LINE_SHIFT) - np.uint64(1)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         at, number, digest, size, first = [], [], [], [], [np.zeros(0, np.int64)]
-        for text_at, line_at, low, key, starts in _sets_of(batch.column(1).to_pylist(), width, rarity.value):
+        for text_at, line_at, low, key, starts in _sets_of(batch.column(1).to_pylist(), width, rarity.value, short):
             key &= below
             sizes = np.diff(starts)
             place = np.arange(len(key)) - np.repeat(starts[:-1], sizes)
@@ -205,7 +230,9 @@ def _pairs(a: DataFrame, b: DataFrame, similarity: float) -> DataFrame:
     ).distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int, similarity: float) -> DataFrame:
+def _verified(
+    pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int, similarity: float, short: bool
+) -> DataFrame:
     """Those of ``pairs`` whose whole token sets are similar, with their similarity."""
     ends = [pairs.select(F.col(f"doc_{s}").alias("doc_id"), F.col(f"line_{s}").alias("line")) for s in "ab"]
     asked = staged(ends[0].union(ends[1]).distinct(), "asked")
@@ -219,7 +246,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, width:
         wanted = np.flatnonzero(_is_set(docs_asked.value, slot))
         at, number, sets = [], [], []
         texts = [batch.column(1)[int(i)].as_py() for i in wanted]
-        for text_at, line_at, low, key, starts in _sets_of(texts, width, None):
+        for text_at, line_at, low, key, starts in _sets_of(texts, width, None, short):
             key = (key & _TOKEN).view(np.int64)
             own = np.flatnonzero(np.diff(starts))
             of_line = slot[wanted[text_at[low + own]]].astype(np.int64) + line_at[low + own] * LINE_STEP
@@ -298,10 +325,16 @@ def _postings(firsts: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def later_matches(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, group: int = GROUP
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    similarity: float = SIMILARITY,
+    group: int = GROUP,
+    short: bool = False,
 ) -> DataFrame:
     """(doc_id, line): every line that an earlier one is similar to."""
-    of_lines = staged(_line_sets(docs, doc_id, text, width, similarity), "lines")
+    of_lines = staged(_line_sets(docs, doc_id, text, width, similarity, short), "lines")
     first = F.min(F.struct("doc_id", "line", "size", "prefix")).alias("f")
     firsts = staged(of_lines.groupBy("set").agg(first).select("set", "f.*"), "firsts")
     told = of_lines.select("set", "doc_id", "line").join(
@@ -315,11 +348,11 @@ def later_matches(
     leaders = many.groupBy("token").agg(F.min(F.struct("doc_id", "line", "size", "place")).alias("l")).select("token", "l.*")
     near = staged(_pairs(few, few, similarity).union(_pairs(leaders, many, similarity)).distinct(), "pairs")
     ids = [F.col("doc_b").alias("doc_id"), F.col("line_b").alias("line")]
-    found = staged(_verified(near, docs, doc_id, text, width, similarity).select(*ids).distinct(), "found")
+    found = staged(_verified(near, docs, doc_id, text, width, similarity, short).select(*ids).distinct(), "found")
     rest = many.join(found, ["doc_id", "line"], "left_anti")
     more = staged(_pairs(many, rest, similarity), "pairs")
     if not more.isEmpty():
-        found = found.union(_verified(more, docs, doc_id, text, width, similarity).select(*ids))
+        found = found.union(_verified(more, docs, doc_id, text, width, similarity, short).select(*ids))
     return copies.union(found).distinct()
 
 

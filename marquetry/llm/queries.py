@@ -70,7 +70,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = lines.removed_lines(docs)
+    found = lines.removed_lines(docs, short=True)
     counted = docs.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"))
     return counted.join(found, "doc_id", "left").select(
         "doc_id",

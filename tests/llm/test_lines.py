@@ -81,3 +81,17 @@ def test_long_texts_go_through_in_parts(prose, monkeypatch):
     monkeypatch.setattr(lines, "BYTES_AT_ONCE", 700)
     monkeypatch.setattr(lines, "LINES_AT_ONCE", 7)
     assert sets() == whole and len(whole) == 2 * 302 + 2
+
+
+def test_copies_of_short_lines_go(documents):
+    """Against whole word sequences, without lines.tokens."""
+    rows = [(1, "Of.\nAND!! ORND.\na b c d\n\nz"), (2, "of.\n\nand!!  ornd.\nd c b a\na b c"), (3, "a b c d\nOF. of.\nz\n "), (4, "of.")]
+    seen, want = set(), {}
+    for i, text in rows:
+        for n, line in enumerate(text.lower().split("\n")):
+            words = tuple(line.split())
+            if words in seen:
+                want.setdefault(i, []).append(n)
+            seen |= {words} if words else set()
+    got = lines.removed_lines(documents(rows), short=True).collect()
+    assert {r["doc_id"]: r["lines"] for r in got} == want == {2: [0, 2], 3: [0, 2], 4: [0]}
