@@ -19,7 +19,8 @@ A-Z in lower case. Lines of fewer than WIDTH words are never removed and remove
 is asked for: then such a line has its whole word sequence as its one token, and copies of it go. Lines
 without words always stay. Null texts
 stay null, empty ones empty; a text of removed lines alone becomes empty. Rows with a null doc_id
-stay as they are. Rows that share a doc_id are one document of several rows in no certain order.
+stay as they are. A row is told by its doc_id and a hash of its text, and rows of one doc_id are
+ordered by that hash; rows that share both are one document.
 """
 
 from __future__ import annotations
@@ -324,6 +325,11 @@ def _postings(firsts: DataFrame, counts: DataFrame) -> DataFrame:
     return in_batches(firsts, ["doc_id", "line", "size", "prefix"], step, schema, rows=10_000)
 
 
+def text_hash(text: str) -> Column:
+    """What tells rows of one doc_id apart."""
+    return F.xxhash64(F.col(text))
+
+
 def later_matches(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -333,7 +339,10 @@ def later_matches(
     group: int = GROUP,
     short: bool = False,
 ) -> DataFrame:
-    """(doc_id, line): every line that an earlier one is similar to."""
+    """(doc_id, line): every line that an earlier one is similar to; ``doc_id`` is a struct of the id and the text's hash."""
+    key = F.struct(F.col(doc_id).alias("id"), text_hash(text).alias("hash"))
+    docs = docs.filter(F.col(doc_id).isNotNull()).select(key.alias("doc_id"), F.col(text).alias("text"))
+    doc_id, text = "doc_id", "text"
     of_lines = staged(_line_sets(docs, doc_id, text, width, similarity, short), "lines")
     first = F.min(F.struct("doc_id", "line", "size", "prefix")).alias("f")
     firsts = staged(of_lines.groupBy("set").agg(first).select("set", "f.*"), "firsts")
@@ -357,16 +366,19 @@ def later_matches(
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """(doc_id, lines): the sorted numbers of the lines to remove, for documents that have any."""
+    """(doc_id, lines, text_hash): the sorted numbers of the lines to remove, for rows that have any."""
     found = later_matches(docs, doc_id, text, **options)
-    return found.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    found = found.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    return found.select(F.col("doc_id.id").alias("doc_id"), "lines", F.col("doc_id.hash").alias("text_hash"))
 
 
 def drop_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the lines that an earlier one is similar to; columns and rows stay."""
     found = staged(removed_lines(docs, doc_id, text, **options), "removed")
-    rows = docs.select(F.col(doc_id).alias("key"), F.struct(*docs.columns).alias("row"))
-    marked = rows.join(found.withColumnRenamed("doc_id", "key"), "key", "left").select("row", "lines")
+    rows = docs.select(
+        F.col(doc_id).alias("key"), text_hash(text).alias("text_hash"), F.struct(*docs.columns).alias("row")
+    )
+    marked = rows.join(found.withColumnRenamed("doc_id", "key"), ["key", "text_hash"], "left").select("row", "lines")
     schema, at = docs.schema, docs.columns.index(text)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:

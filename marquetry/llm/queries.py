@@ -71,8 +71,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = lines.removed_lines(docs, short=True)
-    counted = docs.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"))
-    return counted.join(found, "doc_id", "left").select(
+    counted = docs.select("doc_id", lines.text_hash("text").alias("text_hash"), F.size(F.split("text", "\n")).alias("n_lines"))
+    return counted.join(found, ["doc_id", "text_hash"], "left").select(
         "doc_id",
         F.greatest("n_lines", F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("lines"), F.lit(0)).alias("n_removed"),

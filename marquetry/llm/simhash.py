@@ -132,11 +132,14 @@ def near_duplicates(
 
 
 def keep_first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose component has a row of smaller doc_id.
+    """``docs`` without the rows whose component has an earlier row, by doc_id and a hash of the text.
 
-    Rows that share a doc_id are one document and stay or go together. Rows with a null doc_id
-    stay: nothing tells which of them is first.
+    Rows that share a doc_id and a text are one document and stay or go together. Rows with a null
+    doc_id stay: nothing tells which of them is first.
     """
-    found = near_duplicates(docs, doc_id, text)
-    late = found.filter("doc_id > component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(late, doc_id, "left_anti")
+    key = F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("hash"))
+    keyed = docs.select(F.when(F.col(doc_id).isNotNull(), key).alias("row_key"), F.col(text).alias("text"))
+    found = near_duplicates(keyed, "row_key", "text")
+    late = found.filter("doc_id > component_id").select("doc_id.*").distinct()
+    same = (docs[doc_id] == late["id"]) & (F.xxhash64(docs[text]) == late["hash"])
+    return docs.join(late, same, "left_anti")

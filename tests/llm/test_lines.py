@@ -95,3 +95,10 @@ def test_copies_of_short_lines_go(documents):
             seen |= {words} if words else set()
     got = lines.removed_lines(documents(rows), short=True).collect()
     assert {r["doc_id"]: r["lines"] for r in got} == want == {2: [0, 2], 3: [0, 2], 4: [0]}
+
+
+def test_rows_of_one_id_with_different_texts(documents, prose):
+    a, b, c = prose(1, 20), prose(2, 20), prose(3, 20)
+    rows = [(1, a), (2, f"{a}\n{b}"), (2, f"{c}\n{prose(4, 20)}"), (2, None)]
+    got = sorted((r["doc_id"], r["text"] or "") for r in lines.drop_lines(documents(rows)).collect())
+    assert got == sorted([(1, a), (2, b), (2, rows[2][1]), (2, "")])

@@ -101,3 +101,9 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(30)}, 150: 150, 200: 150}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rows_of_one_id_with_different_texts(documents, prose):
+    a, b = prose(1, 50), prose(2, 50)
+    kept = simhash.keep_first_of_each(documents([(1, a), (2, a), (2, b), (2, b), (None, a)]))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted([(1, a), (2, b), (2, b), (0, a)])
