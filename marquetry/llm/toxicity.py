@@ -4,8 +4,8 @@ A text's features are its words, pairs of neighbours and pairs with one word bet
 to HASH_BITS bits and counted once. Every coordinate has its own learning rate; L1 leaves most
 weights at exactly zero, so the model is a short sorted list of hashes and weights.
 
-Training. Features are counted in SLOTS slots, all of them and those of toxic rows; only features in
-slots where toxic rows are LIFT times as common as in the sample are learned from. The sample's rows
+Training. Features are counted exactly; those of two toxic rows or more whose share of the toxic rows
+is over LIFT times that of the other rows are learned from, at any base rate. The sample's rows
 are dealt by hash into shards of about SHARD_ROWS rows; each shard runs FTRL over its rows for
 EPOCHS passes in a task of its own. The accumulators (z, n) of a feature are averaged over the
 shards that met it, and the weight follows from them. At last the log odds are calibrated on the
@@ -40,7 +40,7 @@ EPOCHS = 6
 ALPHA, BETA, L2 = 10.0, 1.0, 0.1
 #: L1 for each row of a shard, and the least L1.
 L1_PER_ROW, LEAST_L1 = 3e-4, 0.5
-SLOTS, LIFT = 1 << 20, 2.0
+LIFT = 2.0
 HASH_BITS = 40
 WEIGHTS = 1 << 18
 THRESHOLD = 0.7
@@ -85,25 +85,44 @@ def train_shard(
     return np.append(names, _BIAS), z, n
 
 
-def _telling_slots(learned: DataFrame, base: float) -> np.ndarray:
-    """Slots whose features stand in toxic rows LIFT times as often as the sample's share of them."""
+def _telling(learned: DataFrame) -> np.ndarray:
+    """Sorted features of two toxic rows or more, LIFT times as common in toxic rows as in others.
+
+    The sample's size bounds what the driver gets: fewer than half as many features as toxic rows have.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(features(text.as_py()))], names=["name"])
+
+    totals = learned.agg(F.count_if(F.col("label") > 0), F.count_if(F.col("label") <= 0)).first()
+    toxic = learned.filter("label > 0").select("text").mapInArrow(explode, "name long")
+    known = toxic.groupBy("name").agg(F.count("*").alias("rows")).filter("rows > 1").toPandas().sort_values("name")
+    names = known["name"].to_numpy(dtype=np.int64)
+    if not len(names):
+        return names
+    shared = learned.sparkSession.sparkContext.broadcast(names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, SLOTS), dtype=np.int32)
+        asked = shared.value
+        total = np.zeros(len(asked), dtype=np.int32)
         for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                slots = features(text.as_py()) % SLOTS
-                total[0, slots] += 1
-                if label > 0:
-                    total[1, slots] += 1
-        flat = total.ravel()
-        yield blocks({i: flat[at : at + BLOCK] for i, at in enumerate(range(0, len(flat), BLOCK))}, np.int32)
+            for text in batch.column(0):
+                total[_places(asked, features(text.as_py()))] += 1
+        yield blocks({i: total[at : at + BLOCK] for i, at in enumerate(range(0, len(total), BLOCK))}, np.int32)
+
+    sums = summed(learned.filter("label <= 0").select("text").mapInArrow(count, BLOCKS_SCHEMA), np.int32)
+    other = np.concatenate([sums[b] for b in sorted(sums)]) if sums else np.zeros(len(names))
+    return names[known["rows"].to_numpy() * float(totals[1]) > LIFT * other * float(totals[0])]
+
 
-    sums = summed(learned.select("label", "text").mapInArrow(count, BLOCKS_SCHEMA), np.int32)
-    if not sums:
-        return np.zeros(SLOTS, dtype=bool)
-    every, toxic = np.concatenate([sums[b] for b in sorted(sums)]).reshape(2, SLOTS)
-    return toxic > np.maximum(1, LIFT * base * every)
+def _places(names: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Where in the sorted ``names`` those of ``own`` stand that are there."""
+    at = np.searchsorted(names, own)
+    inside = at < len(names)
+    at, own = at[inside], own[inside]
+    return at[names[at] == own]
 
 
 @dataclass
@@ -180,12 +199,11 @@ def train(
         shard.alias("shard"), "key", "label", "text"
     )
     learned = staged(learned.repartition(8 * shards, "shard", "key"), "sample")
-    base = learned.agg(F.avg("label")).first()[0] or 0.0
-    telling = docs.sparkSession.sparkContext.broadcast(_telling_slots(learned, base))
+    telling = docs.sparkSession.sparkContext.broadcast(_telling(learned))
 
     def select(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [features(t) for t in batch.column(3).to_pylist()]
-        found = [f[telling.value[f % SLOTS]] for f in found]
+        found = [telling.value[_places(telling.value, f)] for f in found]
         columns = [*(batch.column(i) for i in range(3)), pa.array(found, pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays(columns, names=["shard", "key", "label", "own"])
 

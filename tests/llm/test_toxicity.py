@@ -68,3 +68,16 @@ def test_without_labels(spark, documents):
     assert toxicity.score(documents([]), model).collect() == []
     only = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     assert 0 <= toxicity.train(documents([(1, "a")]), only).score("a") <= 1
+
+
+@pytest.mark.parametrize("clean_in", [2, 5], ids=["balanced", "mostly toxic"])
+def test_learns_at_any_base_rate(spark, prose, clean_in):
+    def rows(seed):
+        every = [(i, prose(seed + i, 20), int(i % clean_in > 0)) for i in range(400)]
+        return [(i, f"{t} {BAD[i % 6]} {BAD[(i // 6) % 6]}" if y else t, y) for i, t, y in every]
+
+    docs = spark.createDataFrame(rows(0), "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.drop("toxic"), docs.drop("text"))
+    found = [(model.score(t) >= toxicity.THRESHOLD, bool(y)) for _, t, y in rows(50_000)]
+    assert sum(p and y for p, y in found) >= 0.95 * sum(y for _, y in found)
+    assert sum(p and not y for p, y in found) <= 0.05 * sum(not y for _, y in found)
