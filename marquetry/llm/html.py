@@ -2,9 +2,13 @@
 
 A page is cut into blocks at block-level tags. The first pass decides what is clear: blocks in
 page furniture (by tag, role, class or id) and blocks made of links are dropped, long blocks with
-many stop words are kept, long ones almost without are dropped. The second pass gives each block
-still open the label of the nearest decided block of its own part of the page; where that part
-has none decided, an article keeps its blocks and other parts follow the nearest decided block.
+many stop words are kept, long ones almost without are dropped. A page that as a whole is almost
+without stop words is in another language: its long blocks that aren't made of links are kept. The
+second pass gives each block still open the label of the nearest decided block of its own part of
+the page; where that part has none decided, an article keeps its blocks and other parts follow the
+nearest decided block. Links dropped in an article decide nothing for their neighbours. A class or
+id makes no furniture of what holds an article without being in one, nor of what holds most of the
+page's long text while no long text of an article is outside.
 
 Contract. A null or empty page has an empty text. Character references are decoded once, white
 space inside a block becomes one space, blocks are joined in page order by one space. Unclosed
@@ -84,7 +88,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 
-def _is_furniture(name: str, fields: str, in_article: bool) -> bool:
+def _is_furniture(name: str, fields: str, in_article: bool) -> bool | None:
+    """Whether an element is furniture; None if no more than a piece of its class or id says so."""
     if name in FURNITURE or (name == "header" and not in_article):
         return True
     if not fields or name in ("body", "html"):
@@ -100,7 +105,7 @@ def _is_furniture(name: str, fields: str, in_article: bool) -> bool:
         words = found.get("class", "").split() + [found.get("id", "")]
         return any(w.lower() in FURNITURE_WORDS for w in words)
     parts = _PART.findall(f"{found.get('class', '')} {found.get('id', '')}")
-    return any(p.lower() in FURNITURE_WORDS for p in parts)
+    return None if any(p.lower() in FURNITURE_WORDS for p in parts) else False
 
 
 @dataclass
@@ -112,14 +117,18 @@ class Block:
     part: int
     furniture: bool
     in_article: bool
+    #: Containers around it that are furniture by a class or id only.
+    named: tuple[int, ...] = ()
     keep: bool | None = field(default=None)
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page with text in them, in page order."""
     out: list[Block] = []
-    # An open container: its name, its part of the page, whether it is furniture, whether in an article.
-    stack = [("", 0, False, False)]
+    # An open container: its name, its part of the page, whether it is furniture, whether in an article,
+    # and the parts around it that are furniture by name only.
+    stack = [("", 0, False, False, ())]
+    with_article: set[int] = set()
     parts, links, held, linked, at = 0, 0, [], 0, 0
 
     def take(text: str) -> None:
@@ -133,8 +142,8 @@ def blocks(page: str) -> list[Block]:
         nonlocal held, linked
         text = " ".join(html.unescape("".join(held)).split())
         if text:
-            _, part, furniture, in_article = stack[-1]
-            out.append(Block(text, linked, part, furniture, in_article))
+            _, part, furniture, in_article, named = stack[-1]
+            out.append(Block(text, linked, part, furniture, in_article, named))
         held, linked = [], 0
 
     while token := _TOKEN.search(page, at):
@@ -162,35 +171,60 @@ def blocks(page: str) -> list[Block]:
             if open_at:
                 del stack[open_at:]
         elif not fields.endswith("/"):
-            _, part, furniture, in_article = stack[-1]
+            _, part, furniture, in_article, named = stack[-1]
             if name == "span":
-                stack.append((name, part, furniture, in_article))
+                stack.append((name, part, furniture, in_article, named))
                 continue
             own = _is_furniture(name, fields, in_article)
-            if name in ("article", "main", "aside", "section", "nav", "footer", "header", "body") or own:
+            if name in ("article", "main", "aside", "section", "nav", "footer", "header", "body") or own is not False:
                 parts += 1
                 part = parts
-            stack.append((name, part, furniture or own, in_article or (name in ("article", "main") and not own)))
+            if own is None:
+                named = (*named, part)
+            article = name in ("article", "main") and own is False and not furniture
+            with_article.update(named if article and not in_article else ())
+            stack.append((name, part, furniture or bool(own), in_article or (name in ("article", "main") and not own), named))
     take(page[at:])
     close()
+    _judge_named(out, with_article)
     return out
 
 
+def _judge_named(found: list[Block], with_article: set[int]) -> None:
+    """Make furniture of the blocks in containers so named, but for those that hold the page's main text."""
+    sizes: dict[int, int] = {}
+    total = 0
+    for b in found:
+        if not b.furniture and len(b.text) >= LONG and b.link_chars <= MANY_LINKS * len(b.text):
+            total += len(b.text)
+            for name in b.named:
+                sizes[name] = sizes.get(name, 0) + len(b.text)
+    articles = [b.named for b in found if b.in_article and not b.furniture and len(b.text) >= LONG]
+    most = {name for name, size in sizes.items() if 2 * size > total and all(name in around for around in articles)}
+    main = with_article | most
+    for b in found:
+        b.furniture = b.furniture or any(name not in main for name in b.named)
+
+
 def classify(found: list[Block]) -> None:
     """Set ``keep`` of every block: first by its own marks, then by its neighbours."""
-    for b in found:
-        words = _WORD.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    words = [_WORD.findall(b.text.lower()) for b in found]
+    stopped = [sum(w in STOP_WORDS for w in own) for own in words]
+    open_ = [i for i, b in enumerate(found) if not b.furniture and b.link_chars <= MANY_LINKS * len(b.text)]
+    listed = sum(stopped[i] for i in open_) >= FEW_STOPS * sum(len(words[i]) for i in open_)
+    for b, own, hits in zip(found, words, stopped, strict=True):
+        stops = hits / len(own) if own else 0.0
         if b.furniture or b.link_chars > MANY_LINKS * len(b.text):
             b.keep = False
-        elif len(b.text) >= LONG and stops >= MANY_STOPS:
+        elif len(b.text) >= LONG and (stops >= MANY_STOPS or not listed):
             b.keep = True
         elif len(b.text) >= LONG and stops < FEW_STOPS and not b.in_article:
             b.keep = False
     decided = [b.keep for b in found]
     by_part: dict[int, list[int]] = {}
     for i, b in enumerate(found):
-        if decided[i] is not None:
+        # In an article, what is dropped is links or furniture.
+        if decided[i] or (decided[i] is False and not b.in_article):
             by_part.setdefault(b.part, []).append(i)
     anywhere = [i for i, keep in enumerate(decided) if keep is not None]
     for near, chosen in ((by_part, True), ({}, False)):

@@ -44,3 +44,26 @@ def test_rows(spark):
     assert got == {(1, "u", len(LONG)), (None, None, 0), (2, "v", 500 * len(LONG))}
     assert html.extract(pages).count() == 4
     assert html.extract(pages.limit(0)).collect() == []
+
+
+RUSSIAN = "Сегодня утром жители города собрались на площади, чтобы обсудить новый проект набережной и парка."
+LINKS = "<p><a href=x>one link and another link</a></p>"
+
+
+def test_pages_in_other_languages_keep_their_text():
+    page = f"<body><div><p>{RUSSIAN}</p><p>Коротко.</p><p>{RUSSIAN}</p></div><div>{LINKS}</div></body>"
+    assert html.main_text(page) == f"{RUSSIAN} Коротко. {RUSSIAN}"
+
+
+def test_links_do_not_decide_for_an_article():
+    assert html.main_text(f"<article><p>Short one.</p>{LINKS}<p>Short two.</p></article>") == "Short one. Short two."
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "has-social-share page"])
+def test_a_class_does_not_take_the_main_text(name):
+    long = "This is the text that the page was made for, and it is long enough to be seen as the main text of it."
+    side = "<div class=sidebar><p>Not this.</p></div>"
+    assert html.main_text(f"<body><div class='{name}'><p>{long}</p>{side}</div></body>") == long
+    assert html.main_text(f"<body><div class='{name}'><article><p>Short.</p></article>{side}</div></body>") == "Short."
+    assert html.main_text(f"<body><main><p>{long}</p></main><div class=comments><p>{long * 3}</p></div></body>") == long
+    assert html.main_text(f"<main><h1>Title</h1><div class='{name}'><p>{long}</p></div></main>") == f"Title {long}"
