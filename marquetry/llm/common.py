@@ -117,16 +117,16 @@ def blocks(parts: dict[int, np.ndarray], dtype: type) -> pa.RecordBatch:
 
 
 def slot_counts(
-    docs: DataFrame, text: str, slots: Callable[[str | None], Iterator[np.ndarray]], n_slots: int
+    docs: DataFrame, text: str, slots: Callable[[list[str | None]], Iterator[np.ndarray]], n_slots: int
 ) -> np.ndarray:
-    """How often each of ``n_slots`` slots comes out of ``slots(text)``, over all rows."""
+    """How often each of ``n_slots`` slots comes out of ``slots(texts)``, over all rows, some at a time."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A task sees fewer than 2**32 of anything.
         total = np.zeros(n_slots, dtype=np.uint32)
         for batch in batches:
-            for value in batch.column(0):
-                for found in slots(value.as_py()):
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                for found in slots(batch.column(0).slice(start, ROWS_AT_ONCE).to_pylist()):
                     np.add.at(total, found, 1)
         yield blocks({i: total[at : at + BLOCK] for i, at in enumerate(range(0, n_slots, BLOCK))}, np.uint32)
 

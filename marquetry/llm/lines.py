@@ -136,8 +136,8 @@ def prefix_size(size, similarity: float = SIMILARITY):
 def token_rarity(docs: DataFrame, text: str = "text", width: int = WIDTH, short: bool = False) -> np.ndarray:
     """Of each slot the logarithm of how often its tokens occur, in eighths; a table of fixed size."""
 
-    def slots(value: str | None) -> Iterator[np.ndarray]:
-        for _, _, data in _chunks([value]):
+    def slots(texts: list[str | None]) -> Iterator[np.ndarray]:
+        for _, _, data in _chunks(texts):
             yield (_runs(data, width, short)[0] % SLOTS).astype(np.int64)
 
     counts = slot_counts(docs, text, slots, SLOTS)
@@ -171,7 +171,7 @@ def _sets_of(texts: list[str | None], width: int, rarity: np.ndarray | None, sho
 
 
 def _line_sets(docs: DataFrame, doc_id: str, text: str, width: int, similarity: float, short: bool) -> DataFrame:
-    """(doc_id, line, set, size, prefix) of every line that has tokens; ``prefix`` is in order of rarity."""
+    """(doc_id, line, set, size, prefix) of every line that has tokens; ``prefix`` is in order of rarity. Staged."""
     rarity = docs.sparkSession.sparkContext.broadcast(token_rarity(docs, text, width, short))
     below = (np.uint64(1) << _LINE_SHIFT) - np.uint64(1)
 
@@ -202,7 +202,14 @@ def _line_sets(docs: DataFrame, doc_id: str, text: str, width: int, similarity:
 
     known = docs.filter(F.col(doc_id).isNotNull())
     schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, line int, set binary, size int, prefix array<long>"
-    return in_batches(known, [doc_id, text], step, schema)
+    return _released(staged(in_batches(known, [doc_id, text], step, schema), "lines"), rarity)
+
+
+def _released(df: DataFrame, *shared: Broadcast) -> DataFrame:
+    """``df``, which is staged, so that the tables it was made with are no longer needed."""
+    for table in shared:
+        table.destroy()
+    return df
 
 
 def _can_overlap(similarity: float) -> Column:
@@ -234,7 +241,7 @@ def _pairs(a: DataFrame, b: DataFrame, similarity: float) -> DataFrame:
 def _verified(
     pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int, similarity: float, short: bool
 ) -> DataFrame:
-    """Those of ``pairs`` whose whole token sets are similar, with their similarity."""
+    """Those of ``pairs`` whose whole token sets are similar, with their similarity. Token sets are staged."""
     ends = [pairs.select(F.col(f"doc_{s}").alias("doc_id"), F.col(f"line_{s}").alias("line")) for s in "ab"]
     asked = staged(ends[0].union(ends[1]).distinct(), "asked")
     of_doc = F.xxhash64("doc_id").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
@@ -267,6 +274,7 @@ def _verified(
     columns = [F.col(doc_id), F.col(text), F.xxhash64(doc_id).bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int").alias("slot")]
     sent = in_batches(known, columns, step, f"doc_id {kind}, line int, tokens array<long>")
     sets = staged(sent.join(asked, ["doc_id", "line"], "left_semi"), "sets")
+    _released(sets, docs_asked, lines_asked)
     out = pairs
     for s in "ab":
         side = sets.select(F.col("doc_id").alias(f"doc_{s}"), F.col("line").alias(f"line_{s}"), F.col("tokens").alias(s))
@@ -305,7 +313,7 @@ def _bit_table(slots: DataFrame) -> Broadcast:
 
 
 def _postings(firsts: DataFrame, counts: DataFrame) -> DataFrame:
-    """(doc_id, line, size, place, token) of the prefix tokens that may be in ``counts``."""
+    """(doc_id, line, size, place, token, sets) of the prefix tokens that are in ``counts``. Staged."""
     table = _bit_table(counts.select(F.col("token").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int").alias("slot")))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -322,7 +330,8 @@ def _postings(firsts: DataFrame, counts: DataFrame) -> DataFrame:
 
     kind = firsts.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, line int, size int, place int, token long"
-    return in_batches(firsts, ["doc_id", "line", "size", "prefix"], step, schema, rows=10_000)
+    sent = in_batches(firsts, ["doc_id", "line", "size", "prefix"], step, schema, rows=10_000)
+    return _released(staged(sent.join(counts, "token"), "postings"), table)
 
 
 def text_hash(text: str) -> Column:
@@ -343,7 +352,7 @@ def later_matches(
     key = F.struct(F.col(doc_id).alias("id"), text_hash(text).alias("hash"))
     docs = docs.filter(F.col(doc_id).isNotNull()).select(key.alias("doc_id"), F.col(text).alias("text"))
     doc_id, text = "doc_id", "text"
-    of_lines = staged(_line_sets(docs, doc_id, text, width, similarity, short), "lines")
+    of_lines = _line_sets(docs, doc_id, text, width, similarity, short)
     first = F.min(F.struct("doc_id", "line", "size", "prefix")).alias("f")
     firsts = staged(of_lines.groupBy("set").agg(first).select("set", "f.*"), "firsts")
     told = of_lines.select("set", "doc_id", "line").join(
@@ -352,7 +361,7 @@ def later_matches(
     copies = told.filter(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line")
     counts = firsts.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("sets"))
     counts = staged(counts.filter("sets > 1"), "tokens")
-    shared = staged(_postings(firsts, counts).join(counts, "token"), "postings")
+    shared = _postings(firsts, counts)
     few, many = shared.filter(F.col("sets") <= group), shared.filter(F.col("sets") > group)
     leaders = many.groupBy("token").agg(F.min(F.struct("doc_id", "line", "size", "place")).alias("l")).select("token", "l.*")
     near = staged(_pairs(few, few, similarity).union(_pairs(leaders, many, similarity)).distinct(), "pairs")

@@ -113,6 +113,7 @@ def _telling(learned: DataFrame) -> np.ndarray:
         yield blocks({i: total[at : at + BLOCK] for i, at in enumerate(range(0, len(total), BLOCK))}, np.int32)
 
     sums = summed(learned.filter("label <= 0").select("text").mapInArrow(count, BLOCKS_SCHEMA), np.int32)
+    shared.destroy()
     other = np.concatenate([sums[b] for b in sorted(sums)]) if sums else np.zeros(len(names))
     return names[known["rows"].to_numpy() * float(totals[1]) > LIFT * other * float(totals[0])]
 
@@ -212,6 +213,7 @@ def train(
         learned, ["shard", "key", "label", "text"], select, f"shard long, key {key_kind}, label double, own array<long>"
     )
     chosen = staged(chosen, "features")
+    telling.destroy()
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(order=[zlib.crc32(str(k).encode()) for k in group["key"]]).sort_values(["order", "key"])
@@ -242,6 +244,7 @@ def train(
 
     # Two numbers for each of at most ``rows`` rows.
     pairs = in_batches(chosen, ["label", "own"], margins, "label double, margin double").toPandas()
+    shared.destroy()
     slope, offset = calibration(pairs["margin"].to_numpy(), pairs["label"].to_numpy())
     return Model(raw.names, slope * raw.weights, slope * raw.bias + offset)
 
