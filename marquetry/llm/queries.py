@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, language, leaks, lines, merkle, packing, repeats, simhash, toxicity, warc
+from . import html, language, leaks, lines, merkle, packing, repeats, simhash, toxicity, urls, warc
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, samples).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+#: Host, path and verdict of the query's rules.
+URL_RULES: list[urls.Rule] = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = urls.train(spark.createDataFrame(list(urls.labelled_urls()), "url string, verdict string"))
+    found = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, model)
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 SQL["op1_merkle_fingerprints"] = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
     lead(coalesce(text, '')) OVER (ORDER BY doc_id) AS after, first(coalesce(text, '')) OVER (ORDER BY doc_id) AS head
