@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, language, leaks, lines, merkle, packing, repeats, simhash, toxicity, urls, warc
+from . import html, language, leaks, lines, merkle, packing, repeats, simhash, spelling, toxicity, urls, warc
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +118,14 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+TYPO_EVERY = 97
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), typo_every=TYPO_EVERY)
+
+
 SQL["op1_merkle_fingerprints"] = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
     lead(coalesce(text, '')) OVER (ORDER BY doc_id) AS after, first(coalesce(text, '')) OVER (ORDER BY doc_id) AS head
@@ -149,3 +157,44 @@ SELECT page_id, p.n AS payload_bytes, p.digest AS payload_digest,
   CASE WHEN keeper > page_id THEN keeper END AS refers_to
 FROM p LEFT JOIN k ON p.digest = k.digest AND p.n = k.n
 """
+
+
+# Checksums in SQL: the table of CRC-32 by its rule, then byte by byte.
+CRC_TABLE_SQL = """crc AS (SELECT list(v ORDER BY k) AS t FROM (SELECT k, list_reduce(range(8), lambda c, x:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k) AS v FROM range(256) r(k)))"""
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text whose code points are below 2048, in a query with ``crc``."""
+    points = f"list_transform(string_split({text}, ''), lambda x: unicode(x))"
+    two = "[192 + (p >> 6), 128 + (p & 63)]"
+    utf8 = f"flatten(list_transform({points}, lambda p: CASE WHEN p < 128 THEN [p] ELSE {two} END))"
+    step = "lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce(list_transform({utf8}, lambda b: b::BIGINT), {step}, 4294967295::BIGINT), 4294967295)"
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+SQL["op12_spelling_variants"] = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')), '{_UPPER}', '{_LOWER}') AS run
+  FROM documents WHERE text IS NOT NULL),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT run, n, CASE WHEN doc_id IS NULL THEN 1 ELSE {crc_sql("doc_id || ':' || run")} END AS h FROM counted, crc),
+damaged AS (SELECT CASE WHEN h % {TYPO_EVERY} = 0
+    THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= {spelling.LEAST_LENGTH}
+  GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+cut AS (SELECT word, i, left(word, i::INTEGER - 1) || substr(word, i::INTEGER + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT cut.word, words.word FROM cut JOIN words ON rest = words.word
+  UNION SELECT words.word, cut.word FROM cut JOIN words ON rest = words.word),
+best AS (SELECT near.word, count(*) AS n_near, min({{'minus': -w.n, 'form': near.near}}) AS b
+  FROM near JOIN words w ON w.word = near.near GROUP BY near.word),
+formed AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.minus >= {spelling.TIMES} * n THEN b.form END AS form,
+    CASE WHEN -b.minus >= {spelling.TIMES} * n THEN -b.minus END::BIGINT AS form_n FROM words LEFT JOIN best USING (word)),
+followed AS (SELECT word, word AS root, form AS next FROM formed
+  UNION ALL SELECT f.word, f.next, g.form FROM followed f JOIN formed g ON g.word = f.next)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM followed WHERE next IS NULL) USING (word)
+"""
