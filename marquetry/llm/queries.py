@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, language, leaks, lines, merkle, packing, repeats, simhash, spelling, toxicity, urls, warc
+from . import conversations, html, language, leaks, lines, merkle, packing, repeats, simhash, spelling, toxicity, urls, warc
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,6 +126,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), typo_every=TYPO_EVERY)
 
 
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = conversations.repair_reports(conversations.damage(table(spark, sf_dir, "conversations")))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 SQL["op1_merkle_fingerprints"] = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
     lead(coalesce(text, '')) OVER (ORDER BY doc_id) AS after, first(coalesce(text, '')) OVER (ORDER BY doc_id) AS head
@@ -198,3 +204,56 @@ followed AS (SELECT word, word AS root, form AS next FROM formed
   UNION ALL SELECT f.word, f.next, g.form FROM followed f JOIN formed g ON g.word = f.next)
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM followed WHERE next IS NULL) USING (word)
 """
+
+_CONV_KEY = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+_BLANKS = "\\x20\\x09-\\x0D"
+_PICK = "list_min(list_filter([{options}], lambda o: o.c IS NOT NULL))"
+_FRONT = "{{'c': {to}.c + {cost}, 'a': '{letter}' || {to}.a}}"
+_NX = "[3, 3, 4, 3]"
+
+
+def _front(to: str, cost: str, letter: str) -> str:
+    return _FRONT.format(to=to, cost=cost, letter=letter)
+
+
+# States 1 to 4: nothing read, last initial s, u, a. v: the cheapest (cost, letters) from each state on.
+SQL["op13_conversation_repair"] = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+base AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc_sql(_CONV_KEY)} % 20 AS k
+  FROM conversations, crc),
+damaged AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM base),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS n, NOT regexp_matches(text, '[^{_BLANKS}]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][{_BLANKS}]*$') AS cut FROM damaged),
+faults AS (SELECT *, CASE WHEN blank THEN 1 WHEN again THEN 2 WHEN cut THEN 3 ELSE 0 END AS fault, left(role, 1) AS initial,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS n FROM faults GROUP BY conv_id),
+path AS (SELECT conv_id, n + 1 AS i, [{{'c': 0, 'a': ''}}, {{'c': 4, 'a': 'II'}}, {{'c': 2, 'a': 'I'}}, {{'c': 0, 'a': ''}}] AS v FROM counts
+  UNION ALL SELECT conv_id, i, list_transform(range(1, 5), lambda s: {_PICK.format(options=f"w[s], {_front(f'w1[{_NX}[s]]', '2', 'I')}")})
+  FROM (SELECT conv_id, i, w, list_transform(range(1, 5), lambda s: {_PICK.format(options=f"w[s], {_front(f'w[{_NX}[s]]', '2', 'I')}")}) AS w1
+  FROM (SELECT p.conv_id, f.i, list_transform(range(1, 5), lambda s: {_PICK.format(options=", ".join([
+      _front("v[s]", "3", "D"),
+      _front(f"v[{_NX}[s]]", "CASE fault WHEN 0 THEN 2 WHEN 3 THEN 3 END", "R"),
+      _front("v[CASE WHEN initial = 's' AND s = 1 THEN 2 WHEN initial = 'u' AND s <> 3 THEN 3 WHEN initial = 'a' AND s = 3 THEN 4 END]",
+             "CASE fault WHEN 0 THEN 0 WHEN 3 THEN 1 END", "K"),
+    ]))}) AS w FROM path p JOIN faults f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i - 1))),
+best AS (SELECT conv_id, v[1].c AS cost, v[1].a AS audit FROM path WHERE i = 1),
+applied AS (SELECT conv_id, audit, 0 AS k, 0::BIGINT AS i, 1 AS s, []::VARCHAR[] AS lines FROM best
+  UNION ALL SELECT conv_id, audit, k + 1, i + (letter <> 'I')::INT, CASE WHEN letter = 'D' THEN s WHEN letter = 'K' THEN
+      CASE initial WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END ELSE {_NX}[s] END,
+    CASE letter WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+      ELSE list_append(lines, CASE s WHEN 3 THEN 'assistant:' ELSE 'user:' END || CASE letter WHEN 'R' THEN text ELSE '' END) END
+  FROM (SELECT a.*, substr(a.audit, a.k + 1, 1) AS letter, f.role, f.text, f.initial FROM applied a
+    LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM a.conv_id AND f.i = a.i + 1 WHERE a.k < length(a.audit)))
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(a.audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN (SELECT * FROM applied WHERE k = length(audit)) a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
