@@ -192,14 +192,16 @@ def j09_dimension(spark, sf):
          m AS (SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
                {INCOME_SQL} AS receitas, {EXPENSE_SQL} AS despesas FROM ledger GROUP BY 1, 2),
          s AS (SELECT CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month
-               FROM range(1995, 2003) AS a(y), range(1, 13) AS b(m))
+               FROM range((SELECT min(year(date)) FROM ledger), (SELECT max(year(date)) + 1 FROM ledger)) AS a(y), range(1, 13) AS b(m))
        SELECT s.year, s.month, COALESCE(receitas, 0.0) AS receitas, COALESCE(despesas, 0.0) AS despesas
        FROM s LEFT JOIN m ON s.year = m.year AND s.month = m.month""",
 )
 def j10(spark, sf):
+    book = ledger(spark, sf)
+    first, last = ledger_plan.period(book)
     return joins.fill_spine(
-        spines.month_spine(spark, 1995, 2002),
-        ledger_plan.monthly_flows(ledger(spark, sf)),
+        spines.month_spine(spark, first.year, last.year),
+        ledger_plan.monthly_flows(book),
         ["year", "month"],
         ["receitas", "despesas"],
     )

@@ -18,6 +18,9 @@ from .tables import (
     goals,
     ledger,
     mean,
+    amount,
+    as_double,
+    balance,
     money,
     table,
 )
@@ -30,7 +33,7 @@ INVEST_SQL = money("CASE WHEN type = 'despesa' AND category = 'Investimentos' TH
     "a12_monthly_kpis",
     f"""WITH {LEDGER_SQL}, k AS (SELECT strftime(date, '%Y-%m') AS mes, {INCOME_SQL} AS receitas,
            {EXPENSE_SQL} AS despesas, {INVEST_SQL} AS investimentos FROM ledger GROUP BY 1)
-       SELECT mes, receitas, despesas, investimentos, round(receitas - despesas, 2) AS saldo,
+       SELECT mes, receitas, despesas, investimentos, {balance("receitas", "despesas")} AS saldo,
          round({SAVINGS_SQL}, 1) AS economia,
          CASE WHEN {SAVINGS_SQL} >= 30 THEN 'Excelente' WHEN {SAVINGS_SQL} >= 15 THEN 'Bom'
            WHEN {SAVINGS_SQL} >= 0 THEN 'Atenção' ELSE 'Crítico' END AS saude FROM k""",
@@ -49,7 +52,7 @@ def a12(spark, sf):
            FROM range(1990, 2005) AS a(y), range(1, 13) AS b(m)),
          k AS (SELECT s.year, s.month, COALESCE(receitas, 0.0) AS receitas, COALESCE(despesas, 0.0) AS despesas,
            COALESCE(investimentos, 0.0) AS investimentos, n FROM s LEFT JOIN f ON s.year = f.year AND s.month = f.month)
-       SELECT year, month, receitas, despesas, investimentos, round(receitas - despesas, 2) AS saldo,
+       SELECT year, month, receitas, despesas, investimentos, {balance("receitas", "despesas")} AS saldo,
          round({SAVINGS_SQL}, 1) AS economia, CASE WHEN n IS NULL THEN 'Sem dados'
            WHEN {SAVINGS_SQL} >= 30 THEN 'Excelente' WHEN {SAVINGS_SQL} >= 15 THEN 'Bom'
            WHEN {SAVINGS_SQL} >= 0 THEN 'Atenção' ELSE 'Crítico' END AS saude FROM k""",
@@ -59,21 +62,50 @@ def a12_all_months(spark, sf):
     return plan.monthly_kpis(spark, ledger(spark, sf), 1990, 2004)
 
 
+# Amounts with more than two decimals: fractions of a cent count.
+FINER_SQL = LEDGER_SQL.replace("o_totalprice AS value", "o_totalprice / 8000 + 0.004 AS value")
+
+
+@query(
+    "a12_kpis_of_finer_values",
+    f"""WITH {FINER_SQL}, k AS (SELECT strftime(date, '%Y-%m-%d') AS dia, {INCOME_SQL} AS receitas,
+           {EXPENSE_SQL} AS despesas, {INVEST_SQL} AS investimentos FROM ledger GROUP BY 1)
+       SELECT dia, receitas, despesas, investimentos, {balance("receitas", "despesas")} AS saldo,
+         round({SAVINGS_SQL}, 1) AS economia,
+         CASE WHEN {SAVINGS_SQL} >= 30 THEN 'Excelente' WHEN {SAVINGS_SQL} >= 15 THEN 'Bom'
+           WHEN {SAVINGS_SQL} >= 0 THEN 'Atenção' ELSE 'Crítico' END AS saude FROM k""",
+)
+def a12_finer(spark, sf):
+    book = ledger(spark, sf).withColumn("value", F.col("value") / 8000 + F.lit(0.004))
+    return plan.kpis(book.withColumn("dia", F.date_format("date", "yyyy-MM-dd")), ["dia"])
+
+
+@query(
+    "o06_top_categories_of_finer_values",
+    f"""WITH {FINER_SQL} SELECT category, {money("value")} AS total FROM ledger
+       WHERE type = 'despesa' AND year(date) = 1996 GROUP BY 1 ORDER BY total DESC, category LIMIT 5""",
+)
+def o06_finer(spark, sf):
+    return plan.top_categories(ledger(spark, sf).withColumn("value", F.col("value") / 8000 + F.lit(0.004)), 1996)
+
+
 MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in MONTHS) + "]"
 SUMMARY_SQL = f"""{LEDGER_SQL},
     flows AS (SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
       {INCOME_SQL} AS receitas, {EXPENSE_SQL} AS despesas FROM ledger GROUP BY 1, 2),
     spine AS (SELECT CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month
-      FROM range(1995, 2002) AS a(y), range(1, 13) AS b(m)),
+      FROM range((SELECT min(year(date)) FROM ledger), (SELECT max(year(date)) + 1 FROM ledger)) AS a(y), range(1, 13) AS b(m)),
     filled AS (SELECT s.year, s.month, COALESCE(receitas, 0.0) AS receitas,
       COALESCE(despesas, 0.0) AS despesas
       FROM spine s LEFT JOIN flows f ON s.year = f.year AND s.month = f.month),
-    summary AS (SELECT *, round(receitas - despesas, 2) AS saldo, ({MONTHS_SQL})[month] AS name,
+    summary AS (SELECT *, {balance("receitas", "despesas")} AS saldo, ({MONTHS_SQL})[month] AS name,
       round({SAVINGS_SQL}, 1) AS economia FROM filled)"""
 
 
 def _summary(spark, sf):
-    return plan.annual_summary(spark, ledger(spark, sf), 1995, 2001)
+    book = ledger(spark, sf)
+    first, last = plan.period(book)
+    return plan.annual_summary(spark, book, first.year, last.year)
 
 
 @query("a13_annual_summary", f"WITH {SUMMARY_SQL} SELECT * FROM summary")
@@ -168,23 +200,25 @@ def a17(spark, sf):
 @query(
     "w05_daily_running_balance",
     f"""WITH {LEDGER_SQL},
-         net AS (SELECT date, SUM(CAST(CASE WHEN type = 'receita' THEN value ELSE -value END
-           AS DECIMAL(18,2))) AS n FROM ledger GROUP BY 1),
-         days AS (SELECT CAST(d AS DATE) AS date
-           FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY) AS t(d))
-       SELECT days.date, CAST(SUM(COALESCE(n, 0)) OVER (PARTITION BY date_trunc('month', days.date)
-         ORDER BY days.date ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS saldo
-       FROM days LEFT JOIN net ON days.date = net.date""",
+         net AS (SELECT date, SUM({amount("CASE WHEN type = 'receita' THEN value ELSE -value END")}) AS n FROM ledger GROUP BY 1),
+         days AS (SELECT CAST(unnest(generate_series((SELECT CAST(min(date) AS TIMESTAMP) FROM ledger),
+           (SELECT CAST(max(date) AS TIMESTAMP) FROM ledger), INTERVAL 1 DAY)) AS DATE) AS date),
+         so_far AS (SELECT days.date, SUM(COALESCE(n, 0)) OVER (PARTITION BY date_trunc('month', days.date)
+         ORDER BY days.date ROWS UNBOUNDED PRECEDING) AS saldo
+       FROM days LEFT JOIN net ON days.date = net.date)
+       SELECT date, {as_double("saldo")} AS saldo FROM so_far""",
 )
 def w05(spark, sf):
-    return plan.daily_balance(spark, ledger(spark, sf), "1995-01-01", "2001-12-31")
+    book = ledger(spark, sf)
+    first, last = plan.period(book)
+    return plan.daily_balance(spark, book, str(first), str(last))
 
 
 @query(
     "w06_monthly_running_balance",
-    f"""WITH {SUMMARY_SQL} SELECT year, month, saldo, CAST(SUM(CAST(saldo AS DECIMAL(18,2))) OVER
-         (PARTITION BY year ORDER BY month ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS acumulado
-       FROM summary""",
+    f"""WITH {SUMMARY_SQL}, so_far AS (SELECT year, month, saldo, SUM({amount("saldo")}) OVER
+         (PARTITION BY year ORDER BY month ROWS UNBOUNDED PRECEDING) AS acumulado FROM summary)
+       SELECT year, month, saldo, {as_double("acumulado")} AS acumulado FROM so_far""",
 )
 def w06(spark, sf):
     return plan.cumulative_balance(_summary(spark, sf)).select(

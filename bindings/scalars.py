@@ -90,6 +90,24 @@ def f05(spark, sf):
     )
 
 
+@query(
+    "f05_parse_many_decimals",
+    """SELECT o_orderkey, CAST(o_orderkey || '.12345678901' AS DOUBLE) AS value,
+         CAST(CAST(o_orderkey || '.1234567890' AS DECIMAL(38,10)) AS VARCHAR) AS kept, o_orderkey % 2 = 0 AS rounded FROM orders""",
+)
+def f05_decimals(spark, sf):
+    """Eleven decimals, of which a parser with ten rounds the last; every second row has one decimal fewer."""
+    key = F.col("o_orderkey")
+    shown = F.concat(key, F.lit(",12345678901"))
+    fewer = F.concat(key, F.lit(",1234567890"))
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        numbers.ptbr_double(shown).alias("value"),
+        numbers.parse_ptbr(shown).cast("string").alias("kept"),
+        numbers.more_decimals(F.when(key % 2 == 0, shown).otherwise(fewer)).alias("rounded"),
+    )
+
+
 @query("f06_parse_us_money", "SELECT o_orderkey, o_totalprice AS value FROM orders")
 def f06(spark, sf):
     shown = F.concat(F.lit("$"), F.format_number("o_totalprice", 2))

@@ -116,9 +116,22 @@ GOALS_SQL = (
 )
 
 
+def amount(expr: str) -> str:
+    """The digits that a float shows, as an exact decimal."""
+    return f"CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18))"
+
+
+def as_double(decimal: str) -> str:
+    return f"CAST(CAST({decimal} AS VARCHAR) AS DOUBLE)"
+
+
 def money(expr: str) -> str:
     """Exact sum of money as SQL, 0 for no rows."""
-    return f"COALESCE(CAST(SUM(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE), 0.0)"
+    return f"COALESCE({as_double(f'SUM({amount(expr)})')}, 0.0)"
+
+
+def balance(a: str, b: str) -> str:
+    return as_double(f"{amount(a)} - {amount(b)}")
 
 
 def mean(expr: str, places: int = 2) -> str:

@@ -8,28 +8,68 @@ from pyspark.sql import functions as F
 
 # Decimals that sums and parsed numbers keep unless the caller names another number of them.
 SCALE = 10
+# Decimals of sums of money: as many as a 64-bit float of a common amount shows.
+MONEY_SCALE = 18
+_PLAIN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+
+
+def _ptbr(c: Column) -> Column:
+    return F.translate(F.trim(c), ",.", ".")
+
+
+def _thousands(c: Column) -> Column:
+    return F.translate(F.trim(c), ",", "")
+
+
+def _us_money(c: Column) -> Column:
+    return F.translate(F.trim(c), "$,", "")
 
 
 def _number(text: Column, scale: int) -> Column:
-    """The exact value of a plain number; NULL if it is none or has more decimals than ``scale``."""
-    decimals = F.length(F.rtrim(F.substring_index(text, ".", -1), F.lit("0")))
-    fits = ~F.contains(text, F.lit(".")) | (decimals <= scale)
-    return F.when(fits, text.try_cast(f"decimal(38,{scale})"))
+    """The value of a plain number with ``scale`` decimals, half-up; NULL if it is none.
+
+    A number that is too large for 38 digits is an error: what is there never becomes NULL.
+    """
+    value = text.try_cast(f"decimal(38,{scale})")
+    too_large = F.raise_error(F.concat(F.lit("number of more than 38 digits: "), text))
+    return F.when(value.isNull() & text.rlike(_PLAIN), too_large.cast(f"decimal(38,{scale})")).otherwise(value)
+
+
+def _double(text: Column) -> Column:
+    """The nearest 64-bit float; NULL for what is no plain number, such as ``NaN`` or ``1f``."""
+    return F.when(text.rlike(_PLAIN) | text.try_cast("decimal(38,10)").isNotNull(), text.try_cast("double"))
+
+
+def more_decimals(text: Column, mark: str = ",", scale: int = SCALE) -> Column:
+    """Whether a number, with the decimal mark ``mark``, has more decimals than ``scale``: the parsers round it."""
+    shown = F.trim(text)
+    decimals = F.length(F.rtrim(F.substring_index(shown, mark, -1), F.lit("0")))
+    return F.coalesce(F.contains(shown, F.lit(mark)) & (decimals > scale), F.lit(False))
 
 
 def parse_ptbr(c: Column, scale: int = SCALE) -> Column:
-    """``13.007,12`` as a decimal; NULL where it is not a number. Nothing is rounded."""
-    return _number(F.translate(F.trim(c), ",.", "."), scale)
+    """``13.007,12`` as a decimal; NULL where it is not a number. See ``more_decimals`` for what is rounded."""
+    return _number(_ptbr(c), scale)
 
 
 def parse_thousands(c: Column, scale: int = SCALE) -> Column:
-    """``1,234.5`` as a decimal; NULL where it is not a number. Nothing is rounded."""
-    return _number(F.translate(F.trim(c), ",", ""), scale)
+    """``1,234.5`` as a decimal; NULL where it is not a number. See ``more_decimals`` for what is rounded."""
+    return _number(_thousands(c), scale)
 
 
 def parse_us_money(c: Column, scale: int = SCALE) -> Column:
-    """``$3,655.82`` as a decimal; NULL where it is not an amount. Nothing is rounded."""
-    return _number(F.translate(F.trim(c), "$,", ""), scale)
+    """``$3,655.82`` as a decimal; NULL where it is not an amount. See ``more_decimals`` for what is rounded."""
+    return _number(_us_money(c), scale)
+
+
+def ptbr_double(c: Column) -> Column:
+    """``13.007,12`` as the nearest 64-bit float, whatever its decimals."""
+    return _double(_ptbr(c))
+
+
+def thousands_double(c: Column) -> Column:
+    """``1,234.5`` as the nearest 64-bit float, whatever its decimals."""
+    return _double(_thousands(c))
 
 
 def format_ptbr(c: Column, places: int = 2) -> Column:
@@ -70,11 +110,6 @@ def percent(num: Column, den: Column, places: int | None = None) -> Column:
     return share if places is None else F.round(share, places)
 
 
-def cents(c: Column) -> Column:
-    """Money as an exact decimal, so that sums do not depend on row order."""
-    return c.cast("decimal(18,2)")
-
-
 def exact(c: Column, scale: int = SCALE) -> Column:
     """A value as a decimal with ``scale`` decimals, so that sums do not depend on row order.
 
@@ -88,9 +123,19 @@ def exact_sum(c: Column, scale: int = SCALE) -> Column:
     return F.coalesce(F.sum(exact(c, scale)).cast("double"), F.lit(0.0))
 
 
+def money(c: Column) -> Column:
+    """An amount as an exact decimal, so that sums do not depend on row order; nothing is rounded to cents."""
+    return exact(c, MONEY_SCALE)
+
+
 def money_sum(c: Column) -> Column:
-    """Sum of money, which has two decimals, 0 for no rows."""
-    return F.coalesce(F.sum(cents(c)).cast("double"), F.lit(0.0))
+    """Sum of the amounts as they are, 0 for no rows."""
+    return exact_sum(c, MONEY_SCALE)
+
+
+def difference(a: Column, b: Column) -> Column:
+    """``a - b`` of amounts as their decimals show them, so that 0.3 - 0.1 is 0.2."""
+    return (money(a) - money(b)).cast("double")
 
 
 def exact_avg(c: Column, places: int = 2, scale: int = SCALE) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.dates import clamp_day, in_period
 from ..functions.ids import stable_id
+from ..sources.versions import current_path, name_version, named_version, version_path
 from .joins import absent_from
 from .windows import keep_first, keep_last
 
@@ -195,20 +196,17 @@ def generate_recurring(
 
 def write_version(table: DataFrame, root: str, version: int) -> DataFrame:
     """Write one version of a table below ``root``, name it as complete, and read it back."""
-    spark, path = table.sparkSession, f"{root.rstrip('/')}/v={version}"
+    spark, path = table.sparkSession, version_path(root, version)
     table.write.mode("errorifexists").parquet(path)
-    # Written after the version: a version that was broken off is never named here.
-    done = spark.range(1).select(F.lit(version).cast("long").alias("version"))
-    done.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/complete")
+    name_version(spark, root, version)
     return spark.read.schema(table.schema).parquet(path)
 
 
-def current_version(spark: SparkSession, root: str) -> int:
+def current_version(spark: SparkSession, root: str) -> int | None:
     """The number of the newest complete version below ``root``."""
-    named = spark.read.schema("version long").parquet(f"{root.rstrip('/')}/complete")
-    return named.agg(F.max("version")).first()[0]
+    return named_version(spark, root)
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     """The newest complete version below ``root``."""
-    return spark.read.parquet(f"{root.rstrip('/')}/v={current_version(spark, root)}")
+    return spark.read.parquet(current_path(spark, root))

@@ -6,6 +6,7 @@ A ledger has the columns of ``schemas.TRANSACTION``; ``date`` is a date.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..functions.money import (
     savings_pct,
     signed_value,
 )
-from ..functions.numbers import cents, money_sum, percent
+from ..functions.numbers import difference, money, money_sum, percent
 from ..functions.text import contains_any
 from ..operators.aggregates import share_of_total
 from ..operators.changes import import_rows, upsert_goals
@@ -55,6 +56,12 @@ def recent(ledger: DataFrame, year: int, month: int, n: int = 5) -> DataFrame:
     return rows.orderBy(F.desc("date"), F.desc("id")).limit(n)
 
 
+def period(ledger: DataFrame) -> tuple[date, date] | None:
+    """First and last date of the rows that have one; None without any."""
+    first, last = ledger.agg(F.min("date"), F.max("date")).first()
+    return None if first is None else (first, last)
+
+
 def _flows():
     kind, value = F.col("type"), F.col("value")
     return (
@@ -64,7 +71,7 @@ def _flows():
 
 
 def _with_balance(df: DataFrame) -> DataFrame:
-    return df.withColumn("saldo", F.round(F.col("receitas") - F.col("despesas"), 2))
+    return df.withColumn("saldo", difference(F.col("receitas"), F.col("despesas")))
 
 
 def _kpi_sums(ledger: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -147,7 +154,7 @@ def annual_totals(summary: DataFrame) -> DataFrame:
 
 def cumulative_balance(summary: DataFrame) -> DataFrame:
     """Balance so far within each year: a window over twelve rows."""
-    net = summary.withColumn("_net", cents(F.col("saldo")))
+    net = summary.withColumn("_net", money(F.col("saldo")))
     so_far = running_sum("_net", "month", "year").cast("double")
     return net.withColumn("acumulado", so_far).drop("_net")
 
@@ -184,7 +191,7 @@ def daily_balance(spark: SparkSession, ledger: DataFrame, first: str, last: str)
     net = (
         ledger.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
         .groupBy("date")
-        .agg(F.sum(cents(signed_value(F.col("type"), F.col("value")))).alias("_net"))
+        .agg(F.sum(money(signed_value(F.col("type"), F.col("value")))).alias("_net"))
     )
     days = day_spine(spark, first, last).join(net, "date", "left")
     return days.select(

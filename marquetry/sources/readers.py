@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..functions.numbers import parse_ptbr, parse_thousands
+from ..functions.numbers import ptbr_double, thousands_double
 from ..functions.text import decode_base64, encode_base64
 from ..operators.ordering import top_k
 from ..operators.projections import equals_if, trim_headers
+from .versions import current_path
 
 CORRUPT = "_corrupt_record"
 # The text of a line that parses but holds something else in a field of whole numbers.
@@ -25,9 +26,17 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: StructType) -
 
 
 def _whole(text: Column) -> Column:
-    """A whole number in any of its forms (``2``, ``3.0``); NULL for anything else."""
-    number = F.trim(text).try_cast("decimal(38,10)")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    """A whole number in any of its forms (``2``, ``3.0``, ``4e1``); NULL for anything else.
+
+    Decimals are judged by the text: no cast rounds them away.
+    """
+    shown = F.upper(F.trim(text))
+    mantissa = F.substring_index(shown, "E", 1)
+    decimals = F.when(
+        F.contains(mantissa, F.lit(".")), F.length(F.rtrim(F.substring_index(mantissa, ".", -1), F.lit("0")))
+    ).otherwise(0)
+    exponent = F.when(F.contains(shown, F.lit("E")), F.substring_index(shown, "E", -1).try_cast("int")).otherwise(0)
+    return F.when(decimals <= exponent, shown.try_cast("decimal(38,10)").try_cast("bigint"))
 
 
 def parse_lines(lines: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
@@ -114,32 +123,30 @@ def read_csv_text(
 
 
 def read_csv_ptbr(
-    spark: SparkSession, path: str | list[str], numbers: Mapping[str, int], sep: str = ";"
+    spark: SparkSession, path: str | list[str], numbers: Iterable[str], sep: str = ";"
 ) -> DataFrame:
-    """Semicolon CSV; the listed columns (name: scale) hold numbers such as ``13.007,12``."""
+    """Semicolon CSV; the listed columns hold numbers such as ``13.007,12``."""
     df = read_csv_text(spark, path, sep)
-    return df.withColumns(
-        {c: parse_ptbr(F.col(c), scale).cast("double") for c, scale in numbers.items()}
-    )
+    return df.withColumns({c: ptbr_double(F.col(c)) for c in numbers})
 
 
 def read_csv_thousands(
-    spark: SparkSession, path: str | list[str], numbers: Mapping[str, int], sep: str = ","
+    spark: SparkSession, path: str | list[str], numbers: Iterable[str], sep: str = ","
 ) -> DataFrame:
     """CSV whose listed columns hold numbers such as ``1,234.5``."""
     df = read_csv_text(spark, path, sep)
-    return df.withColumns(
-        {c: parse_thousands(F.col(c), scale).cast("double") for c, scale in numbers.items()}
-    )
+    return df.withColumns({c: thousands_double(F.col(c)) for c in numbers})
 
 
 def read_collection(
     spark: SparkSession, source: str, fmt: str = "parquet", **options: str
 ) -> DataFrame:
-    """A collection written by ``write_collection``. ``fmt="mongodb"`` needs that connector;
-    its connection settings come from the Spark configuration."""
+    """The newest complete version of a collection written by ``write_collection``, or files as they are.
+
+    ``fmt="mongodb"`` needs that connector; its connection settings come from the Spark configuration.
+    """
     reader = spark.read.format(fmt).options(**options)
-    return reader.option("collection", source).load() if fmt == "mongodb" else reader.load(source)
+    return reader.option("collection", source).load() if fmt == "mongodb" else reader.load(current_path(spark, source))
 
 
 def find(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from ..functions.numbers import decimal_comma
+from .versions import publish
 
 BOM = "\ufeff"
 
@@ -43,13 +44,15 @@ def write_csv_ptbr(df: DataFrame, path: str) -> None:
 
 
 def write_collection(df: DataFrame, target: str, fmt: str = "parquet", **options: str) -> None:
-    """Replace a collection. ``fmt="mongodb"`` needs that connector on the class path; its
-    connection settings come from the Spark configuration, ``target`` names the collection."""
-    writer = df.write.mode("overwrite").format(fmt).options(**options)
+    """Replace a collection: its new version is named once it is complete, and readers see the old one until then.
+
+    ``fmt="mongodb"`` needs that connector on the class path and replaces in place; its connection
+    settings come from the Spark configuration, ``target`` names the collection.
+    """
     if fmt == "mongodb":
-        writer.option("collection", target).save()
+        df.write.mode("overwrite").format(fmt).options(**options).option("collection", target).save()
     else:
-        writer.save(target)
+        publish(df, target, fmt, **options)
 
 
 def write_backup(

@@ -30,7 +30,7 @@ def test_education(spark, tmp_path, rows):
     one = education.of_locality(kpis, "Ali")
     assert [r["Ano"] for r in one.collect()] == [2020, 2021, 2022]
     writers.write_csv_ptbr(kpis, str(tmp_path / "out"))
-    back = readers.read_csv_ptbr(spark, str(tmp_path / "out"), {"Docentes": 1, "KPI_1_Docente_por_Sala": 2})
+    back = readers.read_csv_ptbr(spark, str(tmp_path / "out"), ["Docentes", "KPI_1_Docente_por_Sala"])
     assert ("Ali", 15.0, 0.94) in rows(back, "Localidade", "Docentes", "KPI_1_Docente_por_Sala")
 
 
