@@ -9,6 +9,9 @@ from marquetry.operators import aggregates as ops
 from marquetry.operators import ordering
 from marquetry.operators.projections import preview
 from marquetry.plans import production
+from marquetry.session import scratch_path
+from marquetry.sources import counts
+from marquetry.sources.writers import write_jsonl
 
 from .registry import query
 from .tables import (
@@ -35,6 +38,31 @@ def a01(spark, sf):
     return ops.row_count(table(spark, sf, "lineitem"))
 
 
+@query("a01_footer_count", "SELECT count(*) AS n FROM lineitem")
+def a01_footers(spark, sf):
+    return counts.footer_count(spark, f"{sf}/lineitem.parquet")
+
+
+@query(
+    "a01_estimated_count",
+    """SELECT CAST(count(*) AS BIGINT) AS n, true AS within_bounds, true AS close, CAST(16 AS BIGINT) AS files_read,
+         CAST(48 AS BIGINT) AS files FROM orders""",
+)
+def a01_estimate(spark, sf):
+    """Orders as JSON lines in 48 files, 16 of which are read; the exact count comes from footers."""
+    path = scratch_path(spark, "orders")
+    write_jsonl(table(spark, sf, "orders").repartition(48, "o_orderkey"), path)
+    n = counts.footer_count(spark, f"{sf}/orders.parquet").first()["n"]
+    found = counts.estimated_lines(spark, path, files=16)
+    return found.select(
+        F.lit(n).cast("long").alias("n"),
+        (F.lit(n).between(F.col("low"), F.col("high")) & (F.col("high") - F.col("low") < n / 10)).alias("within_bounds"),
+        (F.abs(F.col("estimate") - n) <= n / 50).alias("close"),
+        "files_read",
+        "files",
+    )
+
+
 @query("a02_distinct_labels", "SELECT DISTINCT c_mktsegment FROM customer")
 def a02(spark, sf):
     return ops.distinct_labels(table(spark, sf, "customer"), "c_mktsegment")

@@ -1,16 +1,17 @@
 """Cleaning of people, productions and crew, with quality counters.
 
-Each data set is reduced once to one row per key with the number of copies. Clean rows and
-counters both come from that frame, so the input is read and shuffled once.
+Each data set is reduced once to one row per key with the number of copies. Its counters are
+observed while that frame is written, and what is written is parted by status, so that clean rows
+and rejected lines are each read once. No pass is made for a counter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial, reduce
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -184,16 +185,16 @@ def clean_rows(by_key: DataFrame) -> DataFrame:
 
 def rejected_lines(by_key: DataFrame) -> DataFrame:
     """The lines that took no part: why, their text, and how often they occur."""
-    kept = by_key.filter(F.col("rejected").isNotNull())
+    kept = by_key.filter(F.col("status").isin("parse", "invalid"))
     return kept.select(F.col("status").alias("reason"), F.col("rejected").alias("line"), "copies")
 
 
-def quality_report(by_key: DataFrame, dataset: str) -> DataFrame:
-    """Counters of one data set. lidos = escritos + duplicatas + nulos + orfaos + erros + invalidos."""
+def counters(by_key: DataFrame) -> list[Column]:
+    """Aggregates over a data set: lidos = escritos + duplicatas + nulos + orfaos + erros + invalidos."""
     ok = F.col("status") == "ok"
     copies = F.col("copies")
     no_title = F.col("no_title") if "no_title" in by_key.columns else F.lit(0)
-    return by_key.agg(
+    return [
         _total(copies).alias("lidos"),
         _n(ok).alias("escritos"),
         _total(F.when(ok, copies - 1)).alias("duplicatas"),
@@ -203,7 +204,34 @@ def quality_report(by_key: DataFrame, dataset: str) -> DataFrame:
         _total(F.when(F.col("status") == "orphan", copies)).alias("orfaos"),
         _total(F.when(F.col("status") == "parse", copies)).alias("erros_parse"),
         _total(F.when(F.col("status") == "invalid", copies)).alias(INVALID_IDS),
-    ).select(F.lit(dataset).alias("dataset"), *COUNTERS, INVALID_IDS)
+    ]
+
+
+def quality_report(by_key: DataFrame, dataset: str) -> DataFrame:
+    """Counters of one data set, by a pass over it."""
+    return by_key.agg(*counters(by_key)).select(F.lit(dataset).alias("dataset"), *COUNTERS, INVALID_IDS)
+
+
+def observed(by_key: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``by_key``, and its counters, which are there when the returned frame has been written once.
+
+    The frame is to be written as it is, without a shuffle behind it: counted are the tasks that
+    write, each once however often it is tried. Filters behind the frame stay behind the counters.
+    """
+    seen = Observation(name)
+    return by_key.observe(seen, *counters(by_key)), seen
+
+
+def observed_report(spark: SparkSession, seen: Mapping[str, Observation]) -> DataFrame:
+    """The counters of several data sets that have been written; waits for those that have not."""
+    rows = [(name, *(found.get[c] for c in (*COUNTERS, INVALID_IDS))) for name, found in seen.items()]
+    fields = ", ".join(f"{c} long" for c in (*COUNTERS, INVALID_IDS))
+    return spark.createDataFrame(rows, f"dataset string, {fields}")
+
+
+def _staged_by_status(by_key: DataFrame, name: str) -> DataFrame:
+    """Written in a folder for each status, so that a reader of one status reads no other row."""
+    return staged(by_key, name, ["status"])
 
 
 def _together(*jobs: Callable) -> list:
@@ -232,25 +260,26 @@ def run(
         fields = StructType([*schema.fields, *more.fields])
         return read_jsonl_tolerant(spark, f"{source}/{name}.jsonl", fields)
 
+    seen: dict[str, Observation] = {}
+
+    def counted(by_key: DataFrame, name: str) -> DataFrame:
+        shown, seen[name] = observed(by_key, name)
+        return shown
+
     people, productions, folded = _together(
-        lambda: staged(people_by_key(raw("pessoa", PERSON_RAW)), "pessoa"),
-        lambda: staged(productions_by_key(raw("producao", PRODUCTION_RAW)), "producao"),
-        lambda: staged(fold_crew(raw("equipe", CREW_RAW)), "equipe-folded"),
+        lambda: _staged_by_status(counted(people_by_key(raw("pessoa", PERSON_RAW)), "pessoa"), "pessoa"),
+        lambda: _staged_by_status(counted(productions_by_key(raw("producao", PRODUCTION_RAW)), "producao"), "producao"),
+        lambda: _staged_by_status(fold_crew(raw("equipe", CREW_RAW)), "equipe-folded"),
     )
-    flagged = flag_orphans(folded, clean_rows(people), clean_rows(productions))
-    done = {"pessoa": people, "producao": productions, "equipe": staged(flagged, "equipe")}
+    # Orphans are known only while the clean crew is written: its counters are those of all rows that come by.
+    flagged = counted(flag_orphans(folded, clean_rows(people), clean_rows(productions)), "equipe")
+    clean = {"pessoa": people, "producao": productions, "equipe": flagged}
+    folds = {"pessoa": people, "producao": productions, "equipe": folded}
     _together(
-        *[
-            partial(write_jsonl, clean_rows(by_key), f"{target}/{name}_clean", mode=mode)
-            for name, by_key in done.items()
-        ],
-        *[
-            partial(write_jsonl, rejected_lines(by_key), f"{target}/{name}_rejects", mode=mode)
-            for name, by_key in done.items()
-        ],
+        *[partial(write_jsonl, clean_rows(df), f"{target}/{name}_clean", mode=mode) for name, df in clean.items()],
+        *[partial(write_jsonl, rejected_lines(df), f"{target}/{name}_rejects", mode=mode) for name, df in folds.items()],
     )
-    reports = [quality_report(by_key, name) for name, by_key in done.items()]
-    return reduce(lambda a, b: a.unionByName(b), reports)
+    return observed_report(spark, {name: seen[name] for name in clean})
 
 
 def size_comparison(spark: SparkSession, source: str, target: str) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -46,7 +48,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/marquetry/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to shared scratch space and read it back.
 
     For a frame that feeds several outputs: its inputs are read once, and a lost
@@ -54,8 +56,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not partition_by:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def remove_copies(spark: SparkSession) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from marquetry.plans import production
 from marquetry.schemas import CREW_RAW, PERSON_RAW, PRODUCTION_RAW
+from marquetry.sources import readers
 from marquetry.sources.readers import read_jsonl_tolerant
 
 BROKEN = ['{"id_pessoa": 1', "", "not json", '{"id_pessoa": 5} trailing', "[1]"]
@@ -249,4 +250,32 @@ def test_load_collection(spark, landed, tmp_path, rows):
         spark, str(landed[0] / "pessoa.jsonl"), PERSON_RAW, target, ["id_pessoa"]
     )
     assert rows(counts) == [(len(PEOPLE), len(BROKEN), 2)]
-    assert spark.read.parquet(target).count() == len(PEOPLE)
+    assert readers.read_collection(spark, target).count() == len(PEOPLE)
+
+
+def test_counters_come_with_the_write(spark, tmp_path):
+    """One write of some of the rows counts all of them: no filter moves below the counters, no second pass is made."""
+    folded = production.people_by_key(
+        read_jsonl_tolerant(spark, _people(tmp_path, 40), PERSON_RAW)
+    )
+    want = production.quality_report(folded, "pessoa").collect()
+    shown, seen = production.observed(folded, "pessoa")
+    kept = production.clean_rows(shown)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter (status") < plan.index("CollectMetrics")
+    kept.write.json(str(tmp_path / "clean"))
+    assert production.observed_report(spark, {"pessoa": seen}).collect() == want
+
+
+def _people(tmp_path, n):
+    path = tmp_path / "people.jsonl"
+    path.write_text("\n".join([json.dumps({"id_pessoa": i % (n // 2) or None, "nome": f" p  {i}"}) for i in range(n)] + ["{", ""]) + "\n")
+    return str(path)
+
+
+def test_lines_of_one_status_are_read_alone(spark, tmp_path):
+    folded = production.people_by_key(read_jsonl_tolerant(spark, _people(tmp_path, 40), PERSON_RAW))
+    staged = production._staged_by_status(folded, "people")
+    for df, filters in ((production.clean_rows(staged), "(status#"), (production.rejected_lines(staged), "status#")):
+        scan = next(x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x)
+        assert filters in scan.split("PartitionFilters: [")[1].split("]")[0]
