@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     changes,
     jobs,
     joins,
+    kept,
     projections,
     reports,
     scalars,
