@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marquetry.operators import changes as ops
 from marquetry.operators.buckets import BucketedTable
-from marquetry.operators.snapshots import SnapshotLog
+from marquetry.operators.snapshots import SnapshotLog, last_writes
 from marquetry.session import scratch_path
 
 from .changes import _book
@@ -109,7 +109,7 @@ def _log(spark, sf, *fields, keys=("key",)):
     """Events appended in four segments, the newest first; the first two are in a snapshot, the third in its next version."""
     events = table(spark, sf, "events")
     rows = events.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("seq"), *fields)
-    log = SnapshotLog(spark, scratch_path(spark, "log"), rows.schema, keys, buckets=BUCKETS)
+    log = SnapshotLog(spark, scratch_path(spark, "log"), rows.schema, last_writes(keys), buckets=BUCKETS)
     for part in (3, 1):
         log.append(rows.filter(F.col("seq") % 4 == part))
     log.compact()

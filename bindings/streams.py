@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquetry.schemas import AXES
+from marquetry.plans import production
+from marquetry.schemas import AXES, PERSON_RAW
 from marquetry.session import scratch_path
-from marquetry.streaming import cleaning, runner, telemetry
+from marquetry.sources import readers
+from marquetry.streaming import cleaning, runner, tallies, telemetry
 
+from .jobs import land_raw
 from .registry import query
 from .tables import table
 
@@ -77,6 +80,54 @@ def st2(spark, sf):
     return decoded.filter(F.col("status") == "rejected").select("event_id", "reason")
 
 
+@query(
+    "st2_two_sinks",
+    """SELECT event_id, CASE WHEN event_type IN ('error', 'signup') THEN 'rejects' ELSE 'readings' END AS sink,
+         CASE event_type WHEN 'error' THEN 'ax_l' WHEN 'signup' THEN 'gz_h' END AS reason FROM events""",
+)
+def st2_sinks(spark, sf):
+    """Readings landed in six files, two a batch; the job is started again when it is through."""
+    base = scratch_path(spark, "st2s")
+    landed = _readings(table(spark, sf, "events"))
+    landed.repartition(6, "event_id").write.parquet(f"{base}/landed")
+    for _ in range(2):
+        stream = telemetry.sensor_stream(spark, f"{base}/landed", landed.schema, maxFilesPerTrigger=2)
+        decoded = telemetry.decode(stream)
+        telemetry.decode_to_sinks(decoded, base, f"{base}/checkpoint").awaitTermination()
+    parts = [
+        telemetry.read_sink(spark, base, sink, decoded.schema).select("event_id", F.lit(sink).alias("sink"), "reason")
+        for sink in ("readings", "rejects")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _people_tallies(spark, sf):
+    """Untidy people as JSON lines in several files, tallied a file at a time."""
+    source = f"{land_raw(spark, sf)}/pessoa.jsonl"
+    lines = readers.stream_lines(spark, source, maxFilesPerTrigger=1)
+    kept = tallies.Tallies(spark, scratch_path(spark, "st3t"), PERSON_RAW, production.PEOPLE, 8)
+    kept.start(lines, compact_every=3).awaitTermination()
+    return kept.current()
+
+
+@query(
+    "st3_stream_counters",
+    """WITH p AS (SELECT count(*) AS n, count(CASE WHEN c_custkey % 5 = 0 THEN 1 END) AS dup,
+           count(CASE WHEN c_custkey % 13 = 0 THEN 1 END) AS nul, count(CASE WHEN c_custkey % 17 = 0 THEN 1 END) AS par,
+           count(CASE WHEN c_custkey % 19 = 0 THEN 1 END) AS inv FROM customer)
+       SELECT 'pessoa' AS dataset, n + dup + nul + par + inv AS lidos, n AS escritos, dup AS duplicatas,
+         nul AS nulos_removidos, CAST(0 AS BIGINT) AS titulos_nulos, n AS correcoes, CAST(0 AS BIGINT) AS orfaos,
+         par AS erros_parse, inv AS ids_invalidos FROM p""",
+)
+def st3_counters(spark, sf):
+    return production.quality_report(_people_tallies(spark, sf), "pessoa")
+
+
+@query("st3_stream_first_rows", "SELECT c_custkey AS id_pessoa, c_name AS nome FROM customer")
+def st3_rows(spark, sf):
+    return production.clean_rows(_people_tallies(spark, sf))
+
+
 @query("st3_first_seen", "SELECT DISTINCT user_id, event_type FROM events")
 def st3(spark, sf):
     stream = _events(spark, sf).withColumn(

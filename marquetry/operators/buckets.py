@@ -8,6 +8,7 @@ buckets are neither read nor written. One writer at a time.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,11 +26,20 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
 
 
+def nullable(schema: StructType) -> StructType:
+    """``schema`` as files have it: every field, also of structs, may be NULL."""
+    text = schema.json()
+    for flag in ("nullable", "containsNull", "valueContainsNull"):
+        text = text.replace(f'"{flag}":false', f'"{flag}":true')
+    return StructType.fromJson(json.loads(text))
+
+
 class BucketedTable:
     """A table with a key column below ``root``."""
 
     def __init__(self, spark: SparkSession, root: str, key: str, schema: StructType, buckets: int = BUCKETS):
-        self.spark, self.root, self.key, self.schema, self.buckets = spark, root.rstrip("/"), key, schema, buckets
+        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
+        self.schema = nullable(schema)
 
     def version(self) -> int:
         """The newest complete version; 0 for none."""
@@ -84,19 +94,22 @@ class BucketedTable:
         self._commit(rows, version, {})
         return version
 
-    def change(self, changes: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+    def change(
+        self, changes: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame], base: int | None = None
+    ) -> int:
         """Apply ``changes``, which have the key, by ``apply(rows, changes)``; the new version's number.
 
         ``apply`` gets the rows of the buckets that some change falls into, and returns them as they shall
         be: any of ``changes.replace_rows``, ``patch_rows``, ``delete_rows``, ``import_rows`` fits.
         Rows it returns stay in the bucket of their key, so it must not invent keys that no change has.
+        ``base`` is the version that is changed, the newest one if it isn't named.
         """
         now = self.version()
-        held = self._list(now)
+        held = self._list(now if base is None else base)
         # One row for each bucket at most.
         touched = {r["bucket"] for r in self._with_bucket(changes).select("bucket").distinct().collect()}
         if not touched:
-            return now
+            return now if base is None else base
         before = self._read({b: v for b, v in held.items() if b in touched})
         after = apply(before, changes)
         self._commit(after, now + 1, {b: v for b, v in held.items() if b not in touched})

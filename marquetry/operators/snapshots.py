@@ -1,40 +1,47 @@
-"""Key/value logs with snapshots: a value is looked up in one bucket and the log's tail.
+"""Logs with snapshots: what is known of a key is in one bucket and the log's tail.
 
 A log is appended in numbered segments, ``log/segment=<n>/``. ``compact`` folds a log's segments into a
-snapshot of the last writes, dealt into buckets by key, and marks the last segment that is in it. Readers
-take the snapshot and the segments behind the mark. A write that comes late, with a smaller sequence
-number than the snapshot's, is in a later segment: sequence numbers decide, whichever came first.
+snapshot, dealt into buckets by key, and marks the last segment that is in it. Readers fold the snapshot and the
+segments behind the mark. ``last_writes`` folds to the last write of each key: one that comes late, with a
+smaller sequence number than the snapshot's, is in a later segment, and sequence numbers decide, whichever
+came first. Any fold will do that gives the same for parts folded first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from ..sources.versions import exists
-from .buckets import BUCKETS, BucketedTable
+from .buckets import BUCKETS, BucketedTable, nullable
 from .windows import keep_last
 
 _MARK = "snapshot long, segment long"
 
 
+def last_writes(keys: Sequence[str] = ("key",), seq: str = "seq") -> Callable[[DataFrame], DataFrame]:
+    """The fold that keeps the row of each key with the largest sequence number."""
+    return lambda rows: keep_last(rows, list(keys), seq)
+
+
 class SnapshotLog:
-    """A log of (``keys``..., ``seq``, other fields); the first of the keys says where rows are kept."""
+    """A log of rows with ``schema``; ``key`` says where rows are kept, ``fold`` what is kept of them."""
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
         schema: StructType,
-        keys: Sequence[str] = ("key",),
-        seq: str = "seq",
+        fold: Callable[[DataFrame], DataFrame] | None = None,
+        key: str = "key",
         buckets: int = BUCKETS,
     ):
-        self.spark, self.root, self.schema, self.keys, self.seq = spark, root.rstrip("/"), schema, list(keys), seq
-        self.snapshot = BucketedTable(spark, f"{self.root}/snapshot", self.keys[0], schema, buckets)
+        self.spark, self.root, self.schema, self.key = spark, root.rstrip("/"), nullable(schema), key
+        self.fold = last_writes() if fold is None else fold
+        self.snapshot = BucketedTable(spark, f"{self.root}/snapshot", key, schema, buckets)
 
     def _log(self) -> DataFrame:
         path = f"{self.root}/log"
@@ -65,9 +72,6 @@ class SnapshotLog:
     def _tail(self, behind: int) -> DataFrame:
         return self._log().filter(F.col("segment") > behind).drop("segment")
 
-    def _folded(self, rows: DataFrame) -> DataFrame:
-        return keep_last(rows, self.keys, self.seq)
-
     def compact(self) -> int:
         """Fold the tail into a new snapshot: only buckets with a key of the tail are rewritten."""
         snapshot, behind = self.mark()
@@ -76,24 +80,24 @@ class SnapshotLog:
             return snapshot
         tail = self._log().filter((F.col("segment") > behind) & (F.col("segment") <= newest)).drop("segment")
         if snapshot == 0:
-            version = self.snapshot.create(self._folded(tail))
+            version = self.snapshot.create(self.fold(tail))
         else:
-            version = self.snapshot.change(tail, lambda rows, new: self._folded(rows.unionByName(new)))
+            version = self.snapshot.change(tail, lambda rows, new: self.fold(rows.unionByName(new)), base=snapshot)
         # The mark is the commit: a snapshot without one is never read.
         done = self.spark.createDataFrame([(version, newest)], _MARK)
         done.coalesce(1).write.mode("append").parquet(f"{self.root}/marks")
         return version
 
     def latest(self) -> DataFrame:
-        """The last write of every key."""
+        """Snapshot and tail, folded."""
         snapshot, behind = self.mark()
         rows = self.snapshot.read(snapshot) if snapshot else self.spark.createDataFrame([], self.schema)
-        return self._folded(rows.unionByName(self._tail(behind)))
+        return self.fold(rows.unionByName(self._tail(behind)))
 
     def get(self, key) -> DataFrame:
-        """The last writes under one first key: one bucket of the snapshot and the tail are read."""
+        """What is kept under one key: one bucket of the snapshot and the tail are read."""
         snapshot, behind = self.mark()
-        literal = F.lit(key).cast(self.schema[self.keys[0]].dataType)
-        tail = self._tail(behind).filter(F.col(self.keys[0]) == literal)
+        literal = F.lit(key).cast(self.schema[self.key].dataType)
+        tail = self._tail(behind).filter(F.col(self.key) == literal)
         rows = self.snapshot.get(key, snapshot).unionByName(tail) if snapshot else tail
-        return self._folded(rows)
+        return self.fold(rows)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -71,26 +72,51 @@ def _extras(raw: DataFrame, *known: str) -> list[str]:
     return [c for c in raw.columns if c not in {CORRUPT, INVALID, "_tidy", *LINE_ORDER, *known}]
 
 
-def _by_key(raw: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
+@dataclass(frozen=True)
+class Fold:
+    """How lines are reduced to a row for each of ``keys``, in parts that can be reduced again.
+
+    ``partial`` reduces raw lines, ``merge`` parts of them, ``finish`` makes the rows of a report.
+    """
+
+    keys: tuple[str, ...]
+    partial: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
+    finish: Callable[[DataFrame], DataFrame]
+
+    def __call__(self, raw: DataFrame) -> DataFrame:
+        return self.finish(self.partial(raw))
+
+
+def _key_fold(key: str, tidied: str, fields: Callable[[DataFrame], dict[str, Column]]) -> Fold:
     """One row per key: its copies and the fields of its first line in file order.
 
     Rows that lack the key collapse to one row, rejected lines to one row per text. The minimum
     combines on the map side, so a key with many copies is one row per task there.
     """
-    fields = fields | {c: F.col(c) for c in _extras(raw, key, *fields)}
-    values = F.struct(*LINE_ORDER, *[c.alias(name) for name, c in fields.items()])
-    status = _status([key])
-    return (
-        raw.select(
+    by = ("status", key, "rejected")
+
+    def partial(raw: DataFrame) -> DataFrame:
+        raw = _tidied(raw, tidied)
+        own = fields(raw)
+        own = own | {c: F.col(c) for c in _extras(raw, key, *own)}
+        status = _status([key])
+        rows = raw.select(
             status.alias("status"),
             F.when(status == "ok", F.col(key)).alias(key),
             _rejected().alias("rejected"),
-            values.alias("row"),
+            F.struct(*LINE_ORDER, *[c.alias(name) for name, c in own.items()]).alias("row"),
         )
-        .groupBy("status", key, "rejected")
-        .agg(_n().alias("copies"), F.min("row").alias("row"))
-        .select("status", key, "rejected", "copies", *[F.col(f"row.{f}").alias(f) for f in fields])
-    )
+        return rows.groupBy(*by).agg(_n().alias("copies"), F.min("row").alias("row"))
+
+    def merge(parts: DataFrame) -> DataFrame:
+        return parts.groupBy(*by).agg(F.sum("copies").alias("copies"), F.min("row").alias("row"))
+
+    def finish(parts: DataFrame) -> DataFrame:
+        own = [f for f in parts.schema["row"].dataType.fieldNames() if f not in LINE_ORDER]
+        return parts.select("status", key, "rejected", "copies", *[F.col(f"row.`{f}`").alias(f) for f in own])
+
+    return Fold(by, partial, merge, finish)
 
 
 def _tidied(raw: DataFrame, column: str) -> DataFrame:
@@ -98,61 +124,80 @@ def _tidied(raw: DataFrame, column: str) -> DataFrame:
     return raw.withColumn("_tidy", collapse_spaces(F.col(column)))
 
 
-def people_by_key(raw: DataFrame) -> DataFrame:
+def _person_fields(raw: DataFrame) -> dict[str, Column]:
     name, tidy = F.col("nome"), F.col("_tidy")
-    return _by_key(
-        _tidied(raw, "nome"),
-        "id_pessoa",
-        {"nome": blank_to_null(tidy), "corrections": differs(name, tidy).cast("int")},
-    )
+    return {"nome": blank_to_null(tidy), "corrections": differs(name, tidy).cast("int")}
 
 
-def productions_by_key(raw: DataFrame) -> DataFrame:
+def _production_fields(raw: DataFrame) -> dict[str, Column]:
     title, year, kind, tidy = (F.col(c) for c in ("titulo", "ano", "tipo_id", "_tidy"))
     corrections = (
         differs(title, tidy).cast("int")
         + year_corrected(year).cast("int")
         + int_corrected(kind).cast("int")
     )
-    return _by_key(
-        _tidied(raw, "titulo"),
-        "id_producao",
-        {
-            "titulo": blank_to_null(tidy),
-            "ano": clean_year(year),
-            "tipo_id": tolerant_int(kind),
-            "corrections": corrections,
-            "no_title": title.isNull().cast("int"),
-        },
-    )
+    return {
+        "titulo": blank_to_null(tidy),
+        "ano": clean_year(year),
+        "tipo_id": tolerant_int(kind),
+        "corrections": corrections,
+        "no_title": title.isNull().cast("int"),
+    }
 
 
-def fold_crew(raw: DataFrame) -> DataFrame:
-    """One row per (production, person, cleaned role): copies and corrections.
+PEOPLE = _key_fold("id_pessoa", "nome", _person_fields)
+PRODUCTIONS = _key_fold("id_producao", "titulo", _production_fields)
 
-    Rows that lack a key collapse to one row, rejected lines to one row per text. Other columns,
-    if there are any, come from the first line in file order.
-    """
-    keys = ["id_producao", "id_pessoa"]
-    status, tidy = _status(keys), F.col("_tidy")
-    extras = _extras(raw, *keys, "papel")
+
+def people_by_key(raw: DataFrame) -> DataFrame:
+    return PEOPLE(raw)
+
+
+def productions_by_key(raw: DataFrame) -> DataFrame:
+    return PRODUCTIONS(raw)
+
+
+_CREW_IDS = ["id_producao", "id_pessoa"]
+_CREW_KEYS = ("status", *_CREW_IDS, "papel", "rejected")
+
+
+def _crew_partial(raw: DataFrame) -> DataFrame:
+    status, tidy = _status(_CREW_IDS), F.col("_tidy")
+    extras = _extras(raw, *_CREW_IDS, "papel")
     lines = [*LINE_ORDER, *extras] if extras else []
     counts = [_n().alias("copies"), F.sum("corrected").alias("corrections")]
     first = [F.min(F.struct(*lines)).alias("_first")] if extras else []
-    folded = (
-        _tidied(raw, "papel")
-        .select(
-            status.alias("status"),
-            *[F.when(status == "ok", F.col(k)).alias(k) for k in keys],
-            F.when(status == "ok", blank_to_null(tidy)).alias("papel"),
-            differs(F.col("papel"), tidy).cast("int").alias("corrected"),
-            _rejected().alias("rejected"),
-            *lines,
-        )
-        .groupBy("status", *keys, "papel", "rejected")
-        .agg(*counts, *first)
+    rows = _tidied(raw, "papel").select(
+        status.alias("status"),
+        *[F.when(status == "ok", F.col(k)).alias(k) for k in _CREW_IDS],
+        F.when(status == "ok", blank_to_null(tidy)).alias("papel"),
+        differs(F.col("papel"), tidy).cast("int").alias("corrected"),
+        _rejected().alias("rejected"),
+        *lines,
     )
-    return folded.withColumns({c: F.col(f"_first.{c}") for c in extras}).drop("_first")
+    return rows.groupBy(*_CREW_KEYS).agg(*counts, *first)
+
+
+def _crew_merge(parts: DataFrame) -> DataFrame:
+    first = [F.min("_first").alias("_first")] if "_first" in parts.columns else []
+    sums = [F.sum(c).alias(c) for c in ("copies", "corrections")]
+    return parts.groupBy(*_CREW_KEYS).agg(*sums, *first)
+
+
+def _crew_finish(parts: DataFrame) -> DataFrame:
+    if "_first" not in parts.columns:
+        return parts
+    extras = [f for f in parts.schema["_first"].dataType.fieldNames() if f not in LINE_ORDER]
+    return parts.withColumns({c: F.col(f"_first.`{c}`") for c in extras}).drop("_first")
+
+
+#: One row per (production, person, cleaned role): copies and corrections. Rows that lack a key collapse to one
+#: row, rejected lines to one row per text. Other columns, if there are any, come from the first line in file order.
+CREW = Fold(_CREW_KEYS, _crew_partial, _crew_merge, _crew_finish)
+
+
+def fold_crew(raw: DataFrame) -> DataFrame:
+    return CREW(raw)
 
 
 def flag_orphans(

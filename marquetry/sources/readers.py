@@ -100,6 +100,18 @@ def read_jsonl_tolerant(
     return parse_lines(lines, schema)
 
 
+def stream_lines(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
+    """(value, _file, _split): lines of files as they land; ``options`` are those of the file source."""
+    return spark.readStream.format("text").options(**options).load(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split")
+    )
+
+
+def parse_batch(lines: DataFrame, schema: StructType) -> DataFrame:
+    """A micro-batch of ``stream_lines`` as ``read_jsonl_tolerant`` reads it; a stream itself has no line numbers."""
+    return parse_lines(lines.withColumn("_line", F.monotonically_increasing_id()), schema)
+
+
 def split_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the text of the bad ones."""
     bad = F.coalesce(F.col(CORRUPT), F.col(INVALID))

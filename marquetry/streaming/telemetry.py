@@ -39,6 +39,39 @@ def decode_to_files(
     return to_files(decode(sensor_stream(spark, source)), out, checkpoint, ["status"], every)
 
 
+def decode_to_sinks(
+    decoded: DataFrame, out: str, checkpoint: str, every: str | None = None, mark: str = "readings"
+) -> StreamingQuery:
+    """Decoded readings to ``out/readings`` and bad ones to ``out/rejects``, both while the query runs.
+
+    Each micro-batch has a folder of its own in both, named by its number. A batch that was broken off between
+    the two is replayed under the same number and replaces what it had written, so every reading is in one
+    of the sinks, once. How many went where is in the query's progress under ``mark``. ``every`` sets
+    how much is in a file. Without it the query works through what is there and stops.
+    """
+    bad = F.col("status") == "rejected"
+    counted = decoded.observe(mark, F.count_if(~bad).alias("ok"), F.count_if(bad).alias("rejected"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        held = batch.persist()
+        try:
+            for status, sink, fmt in (("rejected", "rejects", "json"), ("ok", "readings", "parquet")):
+                rows = held.filter(F.col("status") == status).drop("status")
+                rows.write.mode("overwrite").format(fmt).save(f"{out}/{sink}/batch={number}")
+        finally:
+            held.unpersist()
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return counted.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
+
+
+def read_sink(spark: SparkSession, out: str, sink: str, schema: StructType) -> DataFrame:
+    """What ``decode_to_sinks`` has written to ``readings`` or ``rejects``; ``schema`` is that of ``decode``."""
+    fields = StructType([f for f in schema.fields if f.name != "status"])
+    fmt = "json" if sink == "rejects" else "parquet"
+    return spark.read.schema(fields).format(fmt).load(f"{out}/{sink}/*")
+
+
 def decode(readings: DataFrame) -> DataFrame:
     """Registers to g and degrees per second. Batch and streaming frames alike.
 
