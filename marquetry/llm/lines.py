@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from marquetry.session import staged
 
-from .common import in_batches, slot_counts, word_hashes
+from .common import in_batches, slot_counts, tidy, word_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -347,12 +348,18 @@ def later_matches(
     similarity: float = SIMILARITY,
     group: int = GROUP,
     short: bool = False,
+    tidily: bool = False,
 ) -> DataFrame:
-    """(doc_id, line): every line that an earlier one is similar to; ``doc_id`` is a struct of the id and the text's hash."""
+    """(doc_id, line): every line that an earlier one is similar to; ``doc_id`` is a struct of the id and the text's hash.
+
+    ``tidily`` frees the driver between the steps, for a caller with more to do.
+    """
+    tidied = partial(tidy, docs.sparkSession) if tidily else lambda: None
     key = F.struct(F.col(doc_id).alias("id"), text_hash(text).alias("hash"))
     docs = docs.filter(F.col(doc_id).isNotNull()).select(key.alias("doc_id"), F.col(text).alias("text"))
     doc_id, text = "doc_id", "text"
     of_lines = _line_sets(docs, doc_id, text, width, similarity, short)
+    tidied()
     first = F.min(F.struct("doc_id", "line", "size", "prefix")).alias("f")
     firsts = staged(of_lines.groupBy("set").agg(first).select("set", "f.*"), "firsts")
     told = of_lines.select("set", "doc_id", "line").join(
@@ -362,11 +369,13 @@ def later_matches(
     counts = firsts.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("sets"))
     counts = staged(counts.filter("sets > 1"), "tokens")
     shared = _postings(firsts, counts)
+    tidied()
     few, many = shared.filter(F.col("sets") <= group), shared.filter(F.col("sets") > group)
     leaders = many.groupBy("token").agg(F.min(F.struct("doc_id", "line", "size", "place")).alias("l")).select("token", "l.*")
     near = staged(_pairs(few, few, similarity).union(_pairs(leaders, many, similarity)).distinct(), "pairs")
     ids = [F.col("doc_b").alias("doc_id"), F.col("line_b").alias("line")]
     found = staged(_verified(near, docs, doc_id, text, width, similarity, short).select(*ids).distinct(), "found")
+    tidied()
     rest = many.join(found, ["doc_id", "line"], "left_anti")
     more = staged(_pairs(many, rest, similarity), "pairs")
     if not more.isEmpty():
@@ -383,7 +392,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
 
 def drop_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the lines that an earlier one is similar to; columns and rows stay."""
-    found = staged(removed_lines(docs, doc_id, text, **options), "removed")
+    found = staged(removed_lines(docs, doc_id, text, tidily=True, **options), "removed")
     rows = docs.select(
         F.col(doc_id).alias("key"), text_hash(text).alias("text_hash"), F.struct(*docs.columns).alias("row")
     )

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from marquetry.session import staged
 
-from .common import BLOCK, BLOCKS_SCHEMA, blocks, in_batches, mixed, summed, whole_text, word_hashes
+from .common import BLOCK, BLOCKS_SCHEMA, blocks, in_batches, mixed, summed, tidy, whole_text, word_hashes
 
 TRAIN_ROWS = 40_000
 SHARD_ROWS = 8_192
@@ -214,6 +214,7 @@ def train(
     )
     chosen = staged(chosen, "features")
     telling.destroy()
+    tidy(docs.sparkSession)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(order=[zlib.crc32(str(k).encode()) for k in group["key"]]).sort_values(["order", "key"])
