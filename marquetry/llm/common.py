@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import zipfile
@@ -136,17 +135,6 @@ def slot_counts(
     return np.concatenate(out).astype(np.int64)
 
 
-def tidy(spark: SparkSession) -> None:
-    """Let the driver drop what finished steps have left.
-
-    Spark removes a step's shuffle files and shared tables once the driver has collected the objects that stand for
-    them; between the many short jobs of a long pipeline that may be long after the step.
-    """
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    spark.sparkContext._jvm.System.gc()
-
-
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, also where it isn't installed on them."""
     context = spark.sparkContext
