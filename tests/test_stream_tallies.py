@@ -104,10 +104,8 @@ def test_a_killed_run_gives_each_reading_once_in_one_sink(spark, tmp_path, monke
         decoded = telemetry.decode(stream)
         return telemetry.decode_to_sinks(decoded, out, str(tmp_path / "checkpoint")), decoded
 
-    # The second batch dies between its two sinks: a file is where its readings would go.
-    (tmp_path / "out" / "readings").mkdir(parents=True)
+    # The second batch dies between its two sinks.
     blocked = tmp_path / "out" / "readings" / "batch=1"
-    monkeypatch.setattr(telemetry.DataFrame, "unpersist", telemetry.DataFrame.unpersist)
     real = spark.range(0).write.__class__.save
 
     def save(self, path=None, *args, **kwargs):
