@@ -27,9 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marquetry.session import staged
+
 from .common import in_batches
 
 SAMPLE_ROWS = 64
+#: Sampled ids that are broadcast at most.
+BROADCAST_KEYS = 100_000
 SAMPLE_CHARS = 60_000
 SEGMENT = 512
 UNKNOWN = "und"
@@ -163,7 +167,9 @@ def learn(
     known = known.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     keys = known.select("lang", "id").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= rows)
-    keys = keys.select(F.col("lang").alias("name"), F.col("id").alias("key"), "rank")
+    keys = staged(keys.select(F.col("lang").alias("name"), F.col("id").alias("key"), "rank"), "sampled")
+    # With a usual number of languages the few ids go to the texts, and no text moves.
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     same = F.col("id").eqNullSafe(F.col("key")) & (F.col("lang") == F.col("name"))
     # ``rows`` ids for each language. Rows that share an id take one place; the sample stays bounded by ``chars``.
     found = known.join(keys, same).groupBy("name", "rank").agg(F.min(F.substring("text", 1, chars)).alias("part")).collect()
