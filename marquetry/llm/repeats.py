@@ -27,7 +27,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -254,50 +253,49 @@ def _indexed(contexts: DataFrame, length: int, index_bytes: int) -> DataFrame:
     return dealt.select("anchor", "context", "bytes").mapInArrow(run, f"anchor long, context binary, runs {_RUNS}")
 
 
-def _counted(contexts: DataFrame, length: int, crowded: int) -> DataFrame:
-    """(anchor, context, runs) as ``_indexed`` has them, by counting digests of the strings.
+def _starts(contexts: DataFrame, length: int) -> DataFrame:
+    """(anchor, context, start, digest): every start in ``contexts`` with a digest of its string."""
 
-    An anchor's strings are dealt by digest into as many shares as keep each of them small.
-    """
+    def of(rows: list[tuple]) -> pa.RecordBatch:
+        sizes = np.array([len(data) - length + 1 for *_, data in rows])
+        first = np.cumsum(sizes) - sizes
+        digests = [_digest(data[i : i + length]) for *_, data in rows for i in range(len(data) - length + 1)]
+        columns = [
+            pa.array(np.repeat(np.array([r[0] for r in rows], np.int64), sizes)),
+            pa.array([r[1] for r in rows], pa.binary()).take(pa.array(np.repeat(np.arange(len(rows)), sizes))),
+            pa.array(np.arange(sizes.sum()) - np.repeat(first, sizes)),
+            pa.array(digests, pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["anchor", "context", "start", "digest"])
 
-    def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows: list[tuple] = []
-        columns = (batch.column(c).to_pylist() for c in ("anchor", "context", "shares", "bytes"))
-        for anchor, context, shares, data in zip(*columns, strict=True):
-            found = b"".join(_digest(data[i : i + length]) for i in range(len(data) - length + 1))
-            digests = np.frombuffer(found, dtype=[("a", "<u8"), ("b", "<u8")])
-            share = (digests["a"] % np.uint64(shares)).astype(np.int64)
-            for one in np.unique(share):
-                starts = np.flatnonzero(share == one)
-                rows.append((anchor, context, int(one), starts, digests[starts].tobytes()))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([r[i] for r in rows], kind)
-                for i, kind in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()))
-            ],
-            names=["anchor", "context", "share", "starts", "digests"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                held.append(row)
+                size += len(row[2])
+                if size >= STARTS_AT_ONCE:
+                    yield of(held)
+                    held, size = [], 0
+        if held:
+            yield of(held)
 
-    def count(group: pd.DataFrame) -> pd.DataFrame:
-        every = np.frombuffer(b"".join(group["digests"]), dtype=[("a", "<u8"), ("b", "<u8")])
-        _, which, times = np.unique(every, return_inverse=True, return_counts=True)
-        twice, at, out = times[which] > 1, 0, []
-        for anchor, context, starts in zip(group["anchor"], group["context"], group["starts"], strict=True):
-            found = np.asarray(starts)[twice[at : at + len(starts)]]
-            at += len(starts)
-            out.append((anchor, context, found))
-        return pd.DataFrame(out, columns=["anchor", "context", "starts"])
-
-    dealt = in_batches(
-        contexts,
-        ["anchor", "context", F.ceil(F.col("kinds") / crowded).cast("long").alias("shares"), "bytes"],
-        deal,
-        "anchor long, context binary, share long, starts array<long>, digests binary",
-    )
-    found = dealt.groupBy("anchor", "share").applyInPandas(count, "anchor long, context binary, starts array<long>")
-    merged = found.groupBy("anchor", "context").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    dealt = contexts.select("anchor", "context", "bytes")
+    return dealt.mapInArrow(run, "anchor long, context binary, start long, digest binary")
+
+
+def _counted(contexts: DataFrame, length: int) -> DataFrame:
+    """(anchor, context, runs) as ``_indexed`` has them, by counting digests of the strings.
+
+    Counts combine before the shuffle, so a string of many contexts is a few rows. The join with those that
+    occur twice is a plain one, whose hot keys adaptive execution splits. A context has fewer starts than a
+    string has bytes.
+    """
+    every = _starts(contexts, length)
+    twice = every.groupBy("digest").agg(F.count("*").alias("times")).filter("times > 1").select("digest")
+    found = every.join(twice, "digest").groupBy("anchor", "context").agg(F.collect_list("start").alias("starts"))
     # A start alone is a run of one; runs that touch are merged where bytes are removed.
-    return merged.select(
+    return found.select(
         "anchor", "context", F.transform("starts", lambda s: F.struct(s.alias("first"), s.alias("last"))).alias("runs")
     )
 
@@ -335,14 +333,17 @@ def _kept(texts: DataFrame, spans: DataFrame, length: int, with_bytes: bool) ->
     return in_batches(joined, joined.columns, step, schema)
 
 
-def _bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """``df`` written to the shared folder in buckets by ``key``, so that joins by it move the other side only."""
+def _bucketed(df: DataFrame, key: str, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder in buckets by ``key``, so that joins by it move the other side only.
+
+    Buckets are known from the catalogue alone; the second result is the table's name there, to be dropped.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     table = f"marquetry_{path.rsplit('-', 1)[-1]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(table)
-    return spark.table(table)
+    return spark.table(table), table
 
 
 def remove_repeats(
@@ -357,7 +358,8 @@ def remove_repeats(
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), and the kept bytes if asked for, by row."""
     keyed = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
     keyed = keyed.withColumn("key", F.unhex(F.md5("text")))
-    texts = _bucketed(keyed.groupBy("key").agg(F.count("*").alias("rows"), F.first("text").alias("text")), "key", "texts")
+    whole = keyed.groupBy("key").agg(F.count("*").alias("rows"), F.first("text").alias("text"))
+    texts, table = _bucketed(whole, "key", "texts")
     placed = staged(_anchored(texts, length), "anchors")
     again = placed.groupBy("anchor").count().filter("count > 1").select("anchor")
     placed = staged(placed.join(again, "anchor"), "repeated")
@@ -370,7 +372,7 @@ def remove_repeats(
     wanted = contexts.filter("kinds > 1").select("anchor", "context", "kinds", "one.*")
     cut = staged(_with_bytes(texts, wanted, length), "bytes")
     found = _indexed(cut.filter(F.col("kinds") <= crowded), length, index_bytes).unionByName(
-        _counted(cut.filter(F.col("kinds") > crowded), length, crowded)
+        _counted(cut.filter(F.col("kinds") > crowded), length)
     )
     found = staged(found, "found")
     every = F.array(F.struct(F.lit(0).cast("long").alias("first"), (F.col("one.last") - F.col("one.first")).alias("last")))
@@ -392,4 +394,6 @@ def remove_repeats(
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
     kept = staged(_kept(texts, spans, length, with_bytes), "kept")
+    # Its name is given back; its files stay with the other copies.
+    docs.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     return keyed.select("doc_id", "key").join(kept, "key").drop("key")

@@ -57,6 +57,19 @@ def test_repeats_within_a_text_and_of_one_byte(documents):
     check(documents(texts), texts)
 
 
+def test_a_hot_passage_in_different_surroundings(documents, prose):
+    hot = prose(7, 40)
+    texts = [(i, f"{i:08d}" * 9 + hot + f"{i * 7:07d}" * 9) for i in range(3000)]
+    check(documents(texts), texts, length=100)
+
+
+def test_no_table_is_left_in_the_catalogue(spark, documents, prose):
+    before = {t.name for t in spark.catalog.listTables()}
+    texts = passages(prose, 5)
+    check(documents(texts), texts)
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_messy_rows(messy, prose):
     rows = [(r["doc_id"], r["text"]) for r in messy.select("doc_id", "text").collect()]
     check(messy, rows, length=400)
