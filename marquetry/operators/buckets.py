@@ -9,7 +9,7 @@ buckets are neither read nor written. One writer at a time.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +72,22 @@ class BucketedTable:
         held = self._list(self.version() if version is None else version)
         return self._read({b: v for b, v in held.items() if b == bucket}).filter(F.col(self.key) == literal)
 
+    def of_keys(self, keys: Sequence, version: int | None = None) -> DataFrame:
+        """The rows of some keys: their buckets are read."""
+        kind = self.schema[self.key].dataType
+        wanted = self.spark.createDataFrame([(k,) for k in keys], StructType().add(self.key, kind))
+        buckets = {r[0] for r in wanted.select(bucket_of(F.col(self.key), self.buckets)).collect()}
+        held = self._list(self.version() if version is None else version)
+        return self._read({b: v for b, v in held.items() if b in buckets}).filter(F.col(self.key).isin(list(keys)))
+
+    def changed(self, old: int, new: int) -> tuple[DataFrame, DataFrame]:
+        """The rows of the buckets that differ between two versions, as the old and as the new one has them."""
+        before, after = self._list(old), self._list(new)
+        return (
+            self._read({b: v for b, v in before.items() if after.get(b) != v}),
+            self._read({b: v for b, v in after.items() if before.get(b) != v}),
+        )
+
     def _with_bucket(self, df: DataFrame) -> DataFrame:
         return df.withColumn("bucket", bucket_of(F.col(self.key), self.buckets))
 
