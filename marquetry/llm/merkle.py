@@ -1,20 +1,23 @@
-"""Document fingerprints: a Merkle tree over paragraphs and sections, in SQL functions alone.
+"""Document fingerprints: a Merkle tree over pieces, paragraphs and sections, in SQL functions alone.
 
-Leaves are SHA-256 of a text's paragraphs (lines). A section ends after a paragraph whose leaf ends
-in 0 or 8, so that an edit moves section borders near itself only. A section's node is the hash of
-its leaves, the root that of all sections; equal roots mean equal texts, and where roots differ,
-differing sections and then paragraphs show where.
+The lowest nodes are SHA-256 of pieces. A paragraph (a line) is cut into pieces before each word whose
+MD5 ends in one of CUTS, so a piece has five words on average and borders depend on nothing but the
+word there. A paragraph's node is the hash of its pieces' nodes, a section's that of its paragraphs',
+the root that of all sections. A section ends after a paragraph whose node ends in 0 or 8. So an edit moves
+borders of pieces and sections near itself only. Equal roots mean equal texts.
 
-The likeness of two trees is 1 for equal roots. Otherwise it is the share that they have in common
-of the runs of PIECE_WORDS words that their paragraphs are made of, twice the common over the sum
-of both, and less than 1.
+The likeness of two trees is 1 for equal roots. Otherwise it is the share that they have in common of
+their different lowest nodes, twice the common over the sum of both, and less than 1. ``changed`` goes
+down both trees: only sections that the other tree lacks are opened, then paragraphs, then pieces.
 
 The next document is found in one shuffle of the texts: rows are dealt into ranges of ids, the
-first rows of each range also go to the range before it, and a window runs in each range.
+first row of each range also goes to the range before it, and a window runs in each range.
 
-Contract. A null text is empty; the empty text is one empty paragraph. Rows are in order of id,
-null ids first, then of a hash of the text; repeated rows follow one another. The last row's next is
-the first; a row alone is its own next. An empty table gives no rows. Extra columns are ignored.
+Contract. A null text is empty; the empty text is one empty paragraph of one empty piece. Rows are in order
+of id, null ids first, then of a hash of the text; repeated rows follow one another. The last row's next is
+the first; a row alone is its own next. An empty table gives no rows. Extra columns are ignored. Words are
+separated by spaces, so a paragraph without any is one piece. ``changed`` takes rows that share an id for
+one document; nodes that only moved are on both sides and are not listed.
 """
 
 from __future__ import annotations
@@ -25,63 +28,112 @@ from pyspark.sql import functions as F
 
 from .common import whole_text
 
-PIECE_WORDS = 5
+#: A piece begins at a word whose MD5 ends in one of these: three of sixteen.
+CUTS = ("0", "1", "2")
 #: Quantiles of the ids between which ranges are of equal width, and ranges for each shuffle partition.
 QUANTILES, RANGES_IN_PARTITION = 64, 4
 
-_WORD = r"[^ \t\n\r]+"
-PIECE = rf"{_WORD}(?:[ \t\r]+{_WORD}){{0,{PIECE_WORDS - 1}}}"
+_ALL = 2**31 - 1
 
 
-def leaves(text: Column) -> Column:
-    """Hashes of a text's paragraphs, in one string with a space between them."""
-    return F.array_join(F.transform(F.split(text, "\n", -1), lambda p: F.sha2(p, 256)), " ")
+def pieces(paragraph: Column) -> Column:
+    """The pieces of a paragraph; joined by spaces they are the paragraph."""
 
+    def marked(word: Column) -> Column:
+        # A paragraph holds no line feed, so one can stand for the space before a cut.
+        return F.concat(F.when(F.substring(F.md5(word), 32, 1).isin(*CUTS), "\n").otherwise(" "), word)
 
-def sections(leaf_row: Column) -> Column:
-    """Nodes of the sections over a row of leaves."""
-    return F.transform(F.split(leaf_row, "(?<=[08]) "), lambda s: F.sha2(s, 256))
+    row = F.array_join(F.transform(F.split(paragraph, " ", -1), marked), "")
+    return F.split(F.substring(row, 2, _ALL), "\n", -1)
 
 
-def root(text: Column) -> Column:
-    """The fingerprint of a text, in lower-case hex."""
-    return F.sha2(F.array_join(sections(leaves(text)), " "), 256)
+def piece_rows(text: Column) -> Column:
+    """For each paragraph the nodes of its pieces, in one string with a space between them."""
+    return F.transform(
+        F.split(text, "\n", -1), lambda p: F.array_join(F.transform(pieces(p), lambda q: F.sha2(q, 256)), " ")
+    )
+
+
+def section_rows(rows: Column) -> Column:
+    """For each section the nodes of its paragraphs, from ``piece_rows``."""
+    return F.split(F.array_join(F.transform(rows, lambda r: F.sha2(r, 256)), " "), "(?<=[08]) ")
 
 
-def pieces(text: Column) -> Column:
-    """The set of hashes of a text's runs of words; none runs across a paragraph's end."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(PIECE), 0), lambda p: F.xxhash64(p)))
+def root(rows: Column) -> Column:
+    """The fingerprint of a text with the ``piece_rows``, in lower-case hex."""
+    return F.sha2(F.array_join(F.transform(section_rows(rows), lambda s: F.sha2(s, 256)), " "), 256)
 
 
-def likeness(root_a: Column, pieces_a: Column, root_b: Column, pieces_b: Column) -> Column:
-    both = F.size(pieces_a) + F.size(pieces_b)
-    common = 2.0 * F.size(F.array_intersect(pieces_a, pieces_b))
+def lowest(rows: Column) -> Column:
+    """Numbers for the different lowest nodes in ``piece_rows``."""
+    return F.array_distinct(F.transform(F.split(F.array_join(rows, " "), " "), lambda n: F.xxhash64(n)))
+
+
+def likeness(root_a: Column, lowest_a: Column, root_b: Column, lowest_b: Column) -> Column:
+    both = F.size(lowest_a) + F.size(lowest_b)
+    common = 2.0 * F.size(F.array_intersect(lowest_a, lowest_b))
     return F.when(root_a == root_b, 1.0).otherwise(F.least(common / F.greatest(both, F.lit(1)), 1 - 1 / (2.0 + both)))
 
 
 def tree(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, sections, paragraphs): the nodes of every row's tree, top down."""
-    row = docs.select(doc_id, leaves(whole_text(text)).alias("row"))
-    nodes = row.select(doc_id, sections(F.col("row")).alias("sections"), F.split("row", " ").alias("paragraphs"))
-    return nodes.select(
-        F.col(doc_id).alias("doc_id"), F.sha2(F.array_join("sections", " "), 256).alias("fingerprint"), "sections", "paragraphs"
+    """(doc_id, fingerprint, sections): every row's tree.
+
+    Each section is the row of its paragraphs, each paragraph that of its pieces' nodes.
+    """
+    known = docs.select(F.col(doc_id).alias("doc_id"), piece_rows(whole_text(text)).alias("rows"))
+    ended = known.select(
+        "doc_id",
+        "rows",
+        root(F.col("rows")).alias("fingerprint"),
+        # How many paragraphs each section has; a node is 64 characters, and one stands between two.
+        F.transform(section_rows(F.col("rows")), lambda s: ((F.length(s) + 1) / 65).cast("int")).alias("sizes"),
     )
+    ends = F.transform(
+        F.sequence(F.lit(1), F.size("sizes")),
+        lambda i: F.aggregate(F.slice("sizes", F.lit(1), i), F.lit(0), lambda total, n: total + n),
+    )
+    return ended.select("doc_id", "fingerprint", "rows", "sizes", ends.alias("ends")).select(
+        "doc_id",
+        "fingerprint",
+        F.transform(
+            F.arrays_zip("sizes", "ends"), lambda s: F.slice("rows", s["ends"] - s["sizes"] + 1, s["sizes"])
+        ).alias("sections"),
+    )
+
+
+def _one_sided(nodes: DataFrame, place: list[str]) -> DataFrame:
+    """Rows of (doc_id, side, node, ...) whose node the other side lacks, or has fewer times."""
+    again = W.partitionBy("doc_id", "side", "node").orderBy(*place)
+    met = W.partitionBy("doc_id", "node", "again")
+    # Both windows are served by one shuffle.
+    rows = nodes.repartition("doc_id", "node").withColumn("again", F.row_number().over(again))
+    return rows.withColumn("sides", F.count("*").over(met)).filter("sides = 1").drop("again", "sides")
 
 
 def changed(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(doc_id, at, paragraph_before, paragraph_after): leaves of two trees that differ, by place.
+    """(doc_id, side, section, paragraph, piece, node): lowest nodes that only one of two trees has.
 
-    Only documents with other roots are opened; a place that one of them lacks is null there.
+    ``side`` is ``before`` or ``after``; places count from 0 within the node above. Only documents that are on both
+    sides with different roots are opened.
     """
-    a, b = before.alias("a"), after.alias("b")
-    other = a.join(b, F.col("a.doc_id") == F.col("b.doc_id")).filter("a.fingerprint <> b.fingerprint")
-    zipped = other.select(
-        F.col("a.doc_id").alias("doc_id"),
-        F.posexplode(F.arrays_zip(F.col("a.paragraphs").alias("before"), F.col("b.paragraphs").alias("after"))).alias("at", "pair"),
-    )
-    return zipped.filter(~F.col("pair.before").eqNullSafe(F.col("pair.after"))).select(
-        "doc_id", "at", F.col("pair.before").alias("paragraph_before"), F.col("pair.after").alias("paragraph_after")
+    sides = [t.withColumn("side", F.lit(name)) for t, name in ((before, "before"), (after, "after"))]
+    roots = sides[0].select("doc_id", "side", "fingerprint").unionByName(sides[1].select("doc_id", "side", "fingerprint"))
+    differ = (
+        roots.groupBy(F.col("doc_id").alias("id"))
+        .agg(F.count_distinct("side").alias("sides"), F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
+        .filter("sides = 2 AND low <> high")
     )
+    trees = sides[0].unionByName(sides[1]).join(differ, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    paragraphs = F.transform("children", lambda r: F.sha2(r, 256))
+    opened = trees.select("doc_id", "side", F.posexplode("sections").alias("section", "children"))
+    opened = opened.withColumn("node", F.sha2(F.array_join(paragraphs, " "), 256))
+    place = ["section"]
+    opened = _one_sided(opened, place)
+    opened = opened.select("doc_id", "side", *place, F.posexplode("children").alias("paragraph", "row"))
+    place = [*place, "paragraph"]
+    opened = _one_sided(opened.withColumn("node", F.sha2("row", 256)), place)
+    opened = opened.select("doc_id", "side", *place, F.posexplode(F.split("row", " ")).alias("piece", "node"))
+    return _one_sided(opened, [*place, "piece"]).select("doc_id", "side", *place, "piece", "node")
 
 
 def _cell_of(key: Column, bounds: list[float], low: int = 0) -> Column:
@@ -116,12 +168,15 @@ def with_next(rows: DataFrame, key: str, tie: str, columns: list[str]) -> DataFr
     """``rows`` with the struct ``next``: ``columns`` of the row that follows by (key, tie), in a circle."""
     dealt = rows.withColumn("_range", _range_of(rows, key))
     # One row for each range.
-    least = sorted(map(tuple, dealt.groupBy("_range").agg(F.min(key)).collect()))
+    least = sorted(map(tuple, dealt.groupBy("_range").agg(F.min(F.struct(key, tie)).alias("_least")).collect()))
     if not least:
         return dealt.drop("_range").withColumn("next", F.struct(*columns))
-    before = [(least[i][1], least[i - 1][0]) for i in range(len(least))]
-    to = rows.sparkSession.createDataFrame(before, f"{key} long, _to int")
-    firsts = dealt.join(F.broadcast(to), key).withColumn("_range", F.col("_to")).drop("_to")
+    before = [(*least[i][1], least[i - 1][0]) for i in range(len(least))]
+    to = rows.sparkSession.createDataFrame(before, f"{key} long, {tie} long, _to int")
+    # Rows that repeat the first one are the same, so one of them is enough.
+    whole = F.struct(*[F.col(c) for c in (key, tie, *[c for c in rows.columns if c not in (key, tie)])])
+    firsts = rows.join(F.broadcast(to), [key, tie]).groupBy("_to").agg(F.min(whole).alias("_row"))
+    firsts = firsts.select("_row.*", F.col("_to").alias("_range"))
     both = dealt.withColumn("_copy", F.lit(False)).unionByName(firsts.withColumn("_copy", F.lit(True)))
     order = W.partitionBy("_range").orderBy("_copy", key, tie)
     found = both.withColumn("next", F.lead(F.struct(*columns)).over(order))
@@ -139,37 +194,33 @@ def with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         whole_text(text).alias("text"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("key"),
     ).withColumn("tie", F.xxhash64("text"))
-    known = with_next(
-        rows.withColumns({"n_chars": F.char_length("text").cast("long"), "root": root(F.col("text")), "pieces": pieces(F.col("text"))}),
-        "key",
-        "tie",
-        ["text", "root", "pieces"],
-    )
+    # Only texts are shuffled; their trees are made where they arrive.
+    known = with_next(rows, "key", "tie", ["text"]).withColumn("n_chars", F.char_length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
-    edited = known.withColumn(
-        "edited",
-        F.concat(
-            F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut),
-            F.substring("next.text", F.lit(1), cut),
-        ),
+    edited = F.concat(
+        F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("next.text", F.lit(1), cut)
     )
-    both = edited.select(
+    texts = known.select("doc_id", "n_chars", "text", edited.alias("edited"), F.col("next.text").alias("next"))
+    trees = texts.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        "root",
-        "pieces",
-        root(F.col("edited")).alias("edited_root"),
-        pieces(F.col("edited")).alias("edited_pieces"),
-        F.col("next.root").alias("next_root"),
-        F.col("next.pieces").alias("next_pieces"),
+        *[piece_rows(F.col(t)).alias(t) for t in ("text", "edited", "next")],
     )
-    return both.select(
+    nodes = trees.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        *[F.struct(root(F.col(t)).alias("root"), lowest(F.col(t)).alias("lowest")).alias(t) for t in ("text", "edited", "next")],
+    )
+    return nodes.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        F.col("root").alias("fingerprint"),
-        F.col("edited_root").alias("edited_fingerprint"),
-        likeness(F.col("root"), F.col("pieces"), F.col("edited_root"), F.col("edited_pieces")).alias("near_edited"),
-        likeness(F.col("root"), F.col("pieces"), F.col("next_root"), F.col("next_pieces")).alias("near_next"),
+        F.col("text.root").alias("fingerprint"),
+        F.col("edited.root").alias("edited_fingerprint"),
+        *[
+            likeness(*[F.col(f"{t}.{part}") for t in ("text", other) for part in ("root", "lowest")]).alias(name)
+            for other, name in (("edited", "near_edited"), ("next", "near_next"))
+        ],
     )

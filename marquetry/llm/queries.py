@@ -140,8 +140,12 @@ e AS (SELECT doc_id, text, coalesce(after, head) AS next, length(text) AS n FROM
 t AS (SELECT doc_id, n, text, next, left(text, n - n // 4) || left(next, n // 4) AS edited FROM e),
 x AS (SELECT doc_id, 1 AS k, text AS s FROM t UNION ALL SELECT doc_id, 2, edited FROM t
   UNION ALL SELECT doc_id, 3, next FROM t),
-f AS (SELECT doc_id, k, s, list_distinct(regexp_extract_all(s, '{merkle.PIECE}')) AS pieces,
-    array_to_string(list_transform(string_split(s, chr(10)), lambda p: sha256(p)), ' ') AS leaves FROM x),
+m AS (SELECT doc_id, k, s, list_transform(string_split(s, chr(10)), lambda p: array_to_string(list_transform(
+    string_split(substr(array_to_string(list_transform(string_split(p, ' '), lambda w:
+      CASE WHEN substr(md5(w), 32, 1) IN {merkle.CUTS} THEN chr(10) ELSE ' ' END || w), ''), 2), chr(10)),
+    lambda q: sha256(q)), ' ')) AS rows FROM x),
+f AS (SELECT doc_id, k, s, list_distinct(string_split(array_to_string(rows, ' '), ' ')) AS pieces,
+    array_to_string(list_transform(rows, lambda r: sha256(r)), ' ') AS leaves FROM m),
 r AS (SELECT doc_id, k, s, pieces, sha256(array_to_string(list_transform(
     string_split(regexp_replace(leaves, '([08]) ', '\\1|', 'g'), '|'), lambda p: sha256(p)), ' ')) AS root FROM f),
 w AS (SELECT a.doc_id, a.s AS text, b.s AS edited, a.root AS ra, b.root AS rb, c.root AS rc,
