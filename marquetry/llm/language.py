@@ -1,12 +1,14 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton of sample text is built. A text is parsed greedily: each
-phrase is the longest match that starts where the last one ended and occurs in the sample. A
+phrase is the longest match that starts where the last one ended and occurs in the sample; a letter
+that the sample lacks is a phrase of its own. A
 phrase costs the bits of a position in the sample; the language with the fewest bits a character
 wins, ties going to the smaller name.
 
 Texts are cut into pieces of SEGMENT characters, so that the automata of all languages walk all
-pieces of a batch side by side, one character a step. A phrase ends at a piece's end.
+pieces of a batch side by side, one character a step. A phrase ends at a piece's end. The automata's
+edges are in one hash table, so memory follows the samples' characters, not the number of letters.
 
 Bounds. A language is learned from at most SAMPLE_ROWS rows, taken in the order of a hash of the
 id, and of those from the first SAMPLE_CHARS characters. Predictions read whole texts.
@@ -18,7 +20,6 @@ whose sample holds no letter is learned from its spaces alone. Repeated rows are
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,57 +63,105 @@ class Alphabet:
         return codes[:-1] if len(codes) and codes[-1] == _SPACE else codes
 
 
-def automaton(codes: np.ndarray, alphabet: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes``: states by codes, -1 where there is none."""
-    empty = array("i", [-1]) * alphabet
-    to, link, length, last = array("i", empty), [-1], [0], 0
+def automaton(codes: np.ndarray) -> list[dict[int, int]]:
+    """The suffix automaton of ``codes``: for each state the states that its codes lead to; 0 is the start."""
+    to: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
     for code in codes.tolist():
-        new = len(link)
-        to.extend(empty)
+        new, at = len(to), last
+        to.append({})
         link.append(0)
         length.append(length[last] + 1)
-        at = last
-        while at >= 0 and to[at * alphabet + code] < 0:
-            to[at * alphabet + code] = new
+        while at >= 0 and code not in to[at]:
+            to[at][code] = new
             at = link[at]
         if at >= 0:
-            old = to[at * alphabet + code]
+            old = to[at][code]
             if length[old] == length[at] + 1:
                 link[new] = old
             else:
-                copy = len(link)
-                to.extend(to[old * alphabet : (old + 1) * alphabet])
+                copy = len(to)
+                to.append(dict(to[old]))
                 link.append(link[old])
                 length.append(length[at] + 1)
-                while at >= 0 and to[at * alphabet + code] == old:
-                    to[at * alphabet + code] = copy
+                while at >= 0 and to[at].get(code) == old:
+                    to[at][code] = copy
                     at = link[at]
                 link[old] = link[new] = copy
         last = new
-    return np.frombuffer(to, dtype=np.int32).reshape(-1, alphabet)
+    return to
+
+
+class Edges:
+    """A map of whole numbers (not negative) to whole numbers, looked up by arrays of them."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(2, int(4 * len(keys)).bit_length())
+        self._shift = np.uint64(64 - bits)
+        self._last = (1 << bits) - 1
+        self._keys, self._values = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits, dtype=np.int32)
+        slots = self._slots(keys)
+        while len(keys):
+            free = self._keys[slots] < 0
+            self._keys[slots[free]] = keys[free]
+            # Of several for one slot the last was written; the others try the next slot.
+            own = self._keys[slots] == keys
+            self._values[slots[own]] = values[own]
+            keys, values, slots = keys[~own], values[~own], (slots[~own] + 1) & self._last
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        slots = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        slots >>= self._shift
+        return slots.view(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Values by key, -1 where there is none."""
+        slots = self._slots(keys)
+        met = self._keys.take(slots)
+        other = met != keys
+        found = self._values.take(slots)
+        found[other] = -1
+        open_ = np.flatnonzero(other & (met >= 0))
+        while len(open_):
+            at = (slots[open_] + 1) & self._last
+            slots[open_] = at
+            met = self._keys[at]
+            same = met == keys[open_]
+            found[open_[same]] = self._values[at[same]]
+            open_ = open_[~same & (met >= 0)]
+        return found
+
+    @property
+    def nbytes(self) -> int:
+        return self._keys.nbytes + self._values.nbytes
 
 
 class CrossParser:
-    """Phrases that texts need in each language."""
+    """Phrases that texts need in each language.
+
+    States of all automata are numbered on; only edges that exist are kept, at most three for a
+    character of the samples, so size does not depend on how many letters a language has.
+    """
 
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
         self._alphabet = Alphabet(list(samples.values()))
-        width, tables, roots, bits, base = self._alphabet.size, [], [], [], 0
-        for name in self.names:
+        self._width = self._alphabet.size
+        #: By language and code: where the code leads to from the start; 0, which no edge leaves, if nowhere.
+        self._first = np.zeros((len(self.names), self._width), dtype=np.int64)
+        keys, values, bits, base = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], 1
+        for row, name in enumerate(self.names):
             codes = self._alphabet.encode(samples[name])
-            to = automaton(codes, width).astype(np.int64)
-            # Entries are places of the next state's row. Where a phrase ends, the entry is the
-            # complement of the place that the character leads to from the start.
-            root = np.where(to[0] < 0, 0, to[0]) * width + base
-            table = np.where(to < 0, ~root, to * width + base)
-            table[:, _PAD] = np.arange(len(to)) * width + base
-            tables.append(table.astype(np.int32).ravel())
-            roots.append(base)
+            to = automaton(codes)
+            sizes = [len(t) for t in to]
+            states = np.repeat(np.arange(base, base + len(to), dtype=np.int64), sizes)
+            keys.append(states * self._width + np.fromiter((c for t in to for c in t), np.int64, sum(sizes)))
+            values.append(np.fromiter((v for t in to for v in t.values()), np.int64, sum(sizes)) + base)
+            for code, state in to[0].items():
+                self._first[row, code] = state + base
             bits.append(np.log2(max(2, len(codes))))
-            base += table.size
-        self._table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
-        self._roots, self.bits = np.array(roots, dtype=np.int32), np.array(bits)
+            base += len(to)
+        self.edges, self.bits = Edges(np.concatenate(keys), np.concatenate(values)), np.array(bits)
 
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Phrases by language and text, characters by text, and whether a text has a letter."""
@@ -120,21 +169,31 @@ class CrossParser:
         chars = np.array([len(c) for c in codes], dtype=np.int64)
         letter = np.array([bool((c != _SPACE).any()) for c in codes], dtype=bool)
         pieces = -(-chars // SEGMENT)
-        lanes = np.full((int(pieces.sum()), SEGMENT), _PAD, dtype=np.int32)
+        lanes = np.full((int(pieces.sum()), SEGMENT), _PAD, dtype=np.int64)
         flat, at = lanes.ravel(), 0
         for c, n in zip(codes, pieces, strict=True):
             flat[at : at + len(c)] = c
             at += int(n) * SEGMENT
-        state = np.repeat(self._roots[:, None], len(lanes), axis=1)
-        # A phrase is counted where it ends; the last one of a piece is added here.
-        count = np.ones(state.shape, dtype=np.int32)
-        for column in np.ascontiguousarray(lanes.T):
-            state = self._table.take(state + column)
-            sign = state >> 31
-            count -= sign
-            state ^= sign
+        used = (lanes != _PAD).sum(axis=1)
+        # The longest pieces first, so that those still open at a step are the first ones.
+        order = np.argsort(-used, kind="stable")
+        steps = np.ascontiguousarray(lanes[order].T)
+        open_at = np.searchsorted(-used[order], -np.arange(SEGMENT), side="left")
+        # A phrase is counted where it begins: at first, and where no edge leads on.
+        state = np.zeros((len(self.names), len(lanes)), dtype=np.int64)
+        count = np.zeros(state.shape, dtype=np.int32)
+        for step, n in zip(steps, open_at, strict=True):
+            if not n:
+                break
+            code = step[:n]
+            after = self.edges.find((state[:, :n] * self._width + code).ravel()).reshape(-1, n)
+            begins = after < 0
+            count[:, :n] += begins
+            state[:, :n] = np.where(begins, self._first.take(code, axis=1), after)
+        back = np.empty_like(count)
+        back[:, order] = count
         ends = np.concatenate(([0], np.cumsum(pieces)))
-        sums = np.concatenate((np.zeros((len(self.names), 1), np.int64), np.cumsum(count, axis=1, dtype=np.int64)), axis=1)
+        sums = np.concatenate((np.zeros((len(self.names), 1), np.int64), np.cumsum(back, axis=1, dtype=np.int64)), axis=1)
         return sums[:, ends[1:]] - sums[:, ends[:-1]], chars, letter
 
     def predict(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
