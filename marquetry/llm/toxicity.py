@@ -11,8 +11,8 @@ EPOCHS passes in a task of its own. The accumulators (z, n) of a feature are ave
 shards that met it, and the weight follows from them. At last the log odds are calibrated on the
 sample by a slope and an offset.
 
-Bounds. At most TRAIN_ROWS labelled rows, in the order of a hash of the id, are learned from, and
-the WEIGHTS largest weights are kept. Every text is scored whole.
+Bounds. At most TRAIN_ROWS labelled rows, in the order of a hash of the id, are learned from. Where
+more than WEIGHTS weights would be left, L1 is raised until they fit. Every text is scored whole.
 
 Contract. A null text is empty. An empty text has the score of the bias alone. Without labelled
 rows every score is 0.5. Rows with a null label are not learned from. Repeated rows score alike.
@@ -181,8 +181,12 @@ def train(
     text: str = "text",
     label: str = "toxic",
     rows: int = TRAIN_ROWS,
+    most: int = WEIGHTS,
 ) -> Model:
-    """Learn ``label`` (0 or 1) of ``labels`` from the texts of ``docs`` with the same id."""
+    """Learn ``label`` (0 or 1) of ``labels`` from the texts of ``docs`` with the same id.
+
+    At most ``rows`` labelled rows are learned from, and the model has at most ``most`` weights.
+    """
     sample = (
         labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
         .groupBy(F.col(doc_id).alias("key"))
@@ -228,14 +232,16 @@ def train(
         .agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
         .filter((F.abs("z") > l1) | (F.col("name") == _BIAS))
         .orderBy(F.col("name") != _BIAS, F.desc(F.abs("z")), "name")
-        .limit(WEIGHTS + 1)
+        # The bias, the weights that fit, and the first that doesn't.
+        .limit(most + 2)
         .toPandas()
-        .sort_values("name")
     )
-    weights = weights_of(found["z"].to_numpy(), found["n"].to_numpy(), l1)
-    names = found["name"].to_numpy(dtype=np.int64)
-    own = names != _BIAS
-    raw = Model(names[own], weights[own], float(weights[~own].sum()))
+    fits = l1 if len(found) < most + 2 else float(found["z"].abs().iloc[-1])
+    found = found.sort_values("name")
+    names, z, n = (found[c].to_numpy() for c in ("name", "z", "n"))
+    weights, bias = weights_of(z, n, fits), weights_of(z, n, l1)[names == _BIAS]
+    own = (names != _BIAS) & (weights != 0)
+    raw = Model(names[own].astype(np.int64), weights[own], float(bias.sum()))
     shared = docs.sparkSession.sparkContext.broadcast(raw)
 
     def margins(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -81,3 +81,40 @@ def test_learns_at_any_base_rate(spark, prose, clean_in):
     found = [(model.score(t) >= toxicity.THRESHOLD, bool(y)) for _, t, y in rows(50_000)]
     assert sum(p and y for p, y in found) >= 0.95 * sum(y for _, y in found)
     assert sum(p and not y for p, y in found) <= 0.05 * sum(not y for _, y in found)
+
+
+def plain_ftrl(rows, labels, l1, epochs):
+    """The published update, a coordinate at a time."""
+    z, n = {-1: 0.0}, {-1: 0.0}
+    for _ in range(epochs):
+        for row, label in zip(rows, labels):
+            own, w = [*row, -1], {}
+            for i in own:
+                zi, ni = z.setdefault(i, 0.0), n.setdefault(i, 0.0)
+                sign = 1.0 if zi > 0 else -1.0
+                rate = (toxicity.BETA + ni**0.5) / toxicity.ALPHA + toxicity.L2
+                w[i] = 0.0 if abs(zi) <= l1 else -(zi - sign * l1) / rate
+            g = 1 / (1 + np.exp(-sum(w.values()))) - label
+            for i in own:
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return z, n
+
+
+def test_a_shard_against_a_plain_loop():
+    rng = random.Random(3)
+    rows = [sorted(rng.sample(range(40), rng.randrange(0, 12))) for _ in range(60)]
+    labels = [float(7 in r or rng.random() < 0.1) for r in rows]
+    names, z, n = toxicity.train_shard([np.array(r, dtype=np.int64) for r in rows], np.array(labels), 0.5, 4)
+    want_z, want_n = plain_ftrl(rows, labels, 0.5, 4)
+    assert set(names.tolist()) == set(want_z)
+    assert np.allclose(z, [want_z[i] for i in names.tolist()]) and np.allclose(n, [want_n[i] for i in names.tolist()])
+
+
+def test_l1_is_raised_until_weights_fit(spark, prose, model):
+    rows, labels = corpus(prose)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    small = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), most=4)
+    assert 0 < len(small.names) <= 4 and set(small.names) <= set(model.names)
+    assert set(small.names) <= {int(h) for b in BAD for h in toxicity.features(b)}
