@@ -1,11 +1,13 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Fit. Words are hashed into SLOTS slots and weigh the square of their idf, which is counted over all
-documents. The right singular
-vectors of the TF-IDF matrix of a sample's passages are found by randomised subspace iteration: in
-each round every task multiplies its rows by the current basis and by their own transpose, the
-products are added up block by block, and the driver makes the sum of fixed size orthonormal. Coordinates are scaled by the inverse singular
-values, so that what nearly all passages share does not hide what tells them apart.
+documents. The right singular vectors of the TF-IDF matrix of all documents and items, a row for each
+whole text, are found by randomised subspace iteration. It begins with a sketch: every row, with a sign,
+is added to one of as many sums as the basis has columns, by a hash of the row. In each round every task
+multiplies its rows by the current basis and by their own transpose, the products are added up block by
+block, and the driver makes the sum of fixed size orthonormal. Texts are counted once; sketch and rounds
+read the counts. Coordinates are scaled by the inverse singular values, so that what nearly all texts
+share does not hide what tells them apart.
 
 Index. Every passage of every document is projected: windows of WINDOWS words, half overlapping.
 A word's vector is looked up once and summed over blocks, from which all windows are made.
@@ -20,9 +22,8 @@ twice an item's words that the verification accepts has REWORDED of the item's n
 item's m rarest words it has all but n - ceil(REWORDED n). All places where it has as many are
 verified from each word of the item on, whatever their cosine: no run that passes is missed.
 
-Bounds. The basis is fitted on the passages of at most SAMPLE_DOCS documents, in the order of a hash
-of the id, and on the items. Different items are taken ITEMS_AT_ONCE at a time, in the order of their ids and
-texts.
+Bounds. Nothing is sampled. Different items are taken ITEMS_AT_ONCE at a time, in the order of their ids
+and texts.
 
 Contract. Words are compared in lower case, without ASCII punctuation. Null and empty texts and
 items have no words and no matches. Items of fewer than LEAST_WORDS words are matched verbatim only,
@@ -32,6 +33,7 @@ Repeated rows are each judged; an empty table on either side gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -41,12 +43,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquetry.session import staged
+
 from .common import BLOCK, BLOCKS_SCHEMA, blocks, in_batches, slot_counts, summed, whole_text, word_hashes
 
 SLOTS = 1 << 15
-RANK, MORE, ROUNDS = 112, 8, 2
-SAMPLE_DOCS, SAMPLE_TASKS = 512, 4
-PASSAGE = 64
+RANK, MORE, ROUNDS = 112, 8, 1
+#: Texts that are multiplied by the basis at once.
+TEXTS_AT_ONCE = 32
 WORDS_IN_BLOCK = 8
 WINDOWS = (16, 32, 64)
 COSINE = 0.58
@@ -56,7 +60,7 @@ LEAST_WORDS = 8
 WORDS_PER_HIT = 5
 ITEMS_AT_ONCE = 4_096
 #: Cosines that are worked out at once.
-CELLS_AT_ONCE = 1 << 20
+CELLS_AT_ONCE = 1 << 17
 
 _PUNCTUATION = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
@@ -79,32 +83,49 @@ def slots_of(text: str | None) -> np.ndarray:
     return (hashes_of(text) % SLOTS).astype(np.int64)
 
 
-def weights_of(docs: DataFrame, text: str) -> np.ndarray:
-    """Squared idf of each slot over all documents, 0 for what all have."""
+def _bags(texts: DataFrame) -> DataFrame:
+    """(slots, times) of each row of ``texts`` (text): its slots, sorted, and how often each occurs, as bytes."""
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [np.unique(slots_of(t), return_counts=True) for t in batch.column(0).to_pylist()]
+        columns = [[part.astype(kind).tobytes() for part in parts] for parts, kind in zip(zip(*found, strict=True), (np.uint16, np.uint32), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["slots", "times"])
+
+    return in_batches(texts, ["text"], step, "slots binary, times binary")
+
 
-    def slots(texts: list[str | None]) -> Iterator[np.ndarray]:
-        for value in texts:
-            yield np.unique(slots_of(value))
-        yield np.full(len(texts), SLOTS)  # documents
+def _weights(bags: DataFrame) -> np.ndarray:
+    """Squared idf of each slot over all ``bags``, 0 for what all have."""
 
-    counts = slot_counts(docs, text, slots, SLOTS + 1)
+    def slots(found: list[bytes]) -> Iterator[np.ndarray]:
+        yield np.frombuffer(b"".join(found), dtype=np.uint16)
+        yield np.full(len(found), SLOTS)  # documents
+
+    counts = slot_counts(bags, "slots", slots, SLOTS + 1)
     idf = np.log((1.0 + counts[SLOTS]) / (1.0 + np.minimum(counts[:SLOTS], counts[SLOTS])))
     return (idf**2).astype(np.float32)
 
 
-def _passages(slots: np.ndarray) -> list[np.ndarray]:
-    return [slots[at : at + PASSAGE] for at in range(0, max(1, len(slots) - PASSAGE // 2), PASSAGE // 2)]
+def _add_sketch(out: np.ndarray, slots: list[bytes], times: list[bytes], weights: np.ndarray) -> None:
+    """Add the TF-IDF row of each bag, of length 1 and with a sign, to a column that a hash of the bag tells."""
+    for own, n in zip(slots, times, strict=True):
+        names, hashed = np.frombuffer(own, dtype=np.uint16), zlib.crc32(n, zlib.crc32(own))
+        row = np.frombuffer(n, dtype=np.uint32) * weights[names]
+        if norm := float(np.linalg.norm(row)):
+            out[names, (hashed >> 1) % out.shape[1]] += row / (norm if hashed & 1 else -norm)
 
 
-def _add_gram(out: np.ndarray, passages: list[np.ndarray], weights: np.ndarray, basis: np.ndarray) -> None:
-    """Add A' A G, of the TF-IDF rows A of ``passages``, each of length 1, and the basis G."""
-    for slots in passages:
-        names, times = np.unique(slots, return_counts=True)
-        row = times * weights[names]
-        norm = float(np.linalg.norm(row))
-        if norm:
-            row /= norm
-            out[names] += np.outer(row, row @ basis[names])
+def _add_gram(out: np.ndarray, slots: list[bytes], times: list[bytes], weights: np.ndarray, basis: np.ndarray) -> None:
+    """Add A' A G, of the TF-IDF rows A of some bags, each of length 1, and the basis G."""
+    names, n = np.frombuffer(b"".join(slots), dtype=np.uint16), np.frombuffer(b"".join(times), dtype=np.uint32)
+    own = np.flatnonzero(np.bincount(names, minlength=SLOTS))
+    place = np.zeros(SLOTS, dtype=np.int64)
+    place[own] = np.arange(len(own))
+    rows = np.zeros((len(slots), len(own)), dtype=np.float32)
+    rows[np.repeat(np.arange(len(slots)), [len(s) // 2 for s in slots]), place[names]] = n * weights[names]
+    norms = np.linalg.norm(rows, axis=1, keepdims=True)
+    rows = np.divide(rows, norms, out=rows, where=norms > 0)
+    out[own] += rows.T @ (rows @ basis[own])
 
 
 def _orthonormal(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,30 +140,36 @@ def _orthonormal(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return g @ turn.astype(np.float32), values
 
 
-def basis_of(sample: DataFrame, weights: np.ndarray, rank: int = RANK, rounds: int = ROUNDS) -> np.ndarray:
-    """The leading right singular vectors (slots by rank), scaled, of the passages of ``sample`` (text)."""
+def basis_of(texts: DataFrame, weights: np.ndarray, rank: int = RANK, rounds: int = ROUNDS) -> np.ndarray:
+    """The leading right singular vectors (slots by rank), scaled, of all rows of ``texts`` (text)."""
+    return _basis(staged(_bags(texts), "bags"), weights, rank, rounds)
+
+
+def _basis(bags: DataFrame, weights: np.ndarray, rank: int = RANK, rounds: int = ROUNDS) -> np.ndarray:
     width = rank + MORE
-    guess = np.random.default_rng(7).standard_normal((SLOTS, width)).astype(np.float32)
-    spark = sample.sparkSession
+    spark = bags.sparkSession
     per_block = BLOCK // width
-    # A bounded sample: each task returns a table of fixed size.
-    dealt = sample.select("text").repartition(SAMPLE_TASKS, F.xxhash64("text"))
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((_orthonormal(guess)[0], weights))
+    # Each task returns a table of fixed size, so there are no more tasks than run at once.
+    dealt = bags.coalesce(spark.sparkContext.defaultParallelism)
+    guess = None
+    for _ in range(1 + rounds):
+        shared = spark.sparkContext.broadcast((guess if guess is None else _orthonormal(guess)[0], weights))
 
-        def multiply(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def add(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             basis, own = shared.value
-            total = np.zeros(basis.shape, dtype=np.float32)
+            total = np.zeros((SLOTS, width), dtype=np.float32)
             for batch in batches:
-                for value in batch.column(0):
-                    _add_gram(total, _passages(slots_of(value.as_py())), own, basis)
+                for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                    part = batch.slice(at, TEXTS_AT_ONCE)
+                    found = [part.column(i).to_pylist() for i in range(2)]
+                    _add_sketch(total, *found, own) if basis is None else _add_gram(total, *found, own, basis)
             parts = {i: total[at : at + per_block].ravel() for i, at in enumerate(range(0, SLOTS, per_block))}
             yield blocks(parts, np.float32)
 
-        sums = summed(dealt.mapInArrow(multiply, BLOCKS_SCHEMA), np.float32, np.float32)
+        sums = summed(dealt.mapInArrow(add, BLOCKS_SCHEMA), np.float32, np.float32)
         shared.destroy()
         if not sums:
-            return guess[:, :rank] * 0
+            return np.zeros((SLOTS, rank), dtype=np.float32)
         guess = np.concatenate([sums[b] for b in sorted(sums)]).reshape(SLOTS, width)
     # The sum is A'A times the last basis: its singular values are squares of A's.
     left, squares = _orthonormal(guess)
@@ -154,9 +181,8 @@ def common_length(masks: dict[bytes, int], size: int, words: Sequence[bytes]) ->
     """Length of the longest common subsequence of an item and ``words``, a bit for each word of the item."""
     full = (1 << size) - 1
     row = full
-    for word in words:
-        if found := masks.get(word):
-            row = ((row + (row & found)) | (row & ~found)) & full
+    for found in filter(None, map(masks.get, words)):
+        row = ((row + (row & found)) | (row & ~found)) & full
     return size - row.bit_count()
 
 
@@ -290,9 +316,9 @@ class Searcher:
             at += size * WORDS_IN_BLOCK
         rank = self._vectors.shape[1]
         parts = np.empty((len(padded) // WORDS_IN_BLOCK, rank), dtype=np.float32)
-        for low in range(0, len(parts), 4096):
-            words = padded[low * WORDS_IN_BLOCK : (low + 4096) * WORDS_IN_BLOCK]
-            parts[low : low + 4096] = self._vectors[words].reshape(-1, WORDS_IN_BLOCK, rank).sum(axis=1)
+        for low in range(0, len(parts), 256):
+            words = padded[low * WORDS_IN_BLOCK : (low + 256) * WORDS_IN_BLOCK]
+            parts[low : low + 256] = self._vectors[words].reshape(-1, WORDS_IN_BLOCK, rank).sum(axis=1)
         text_of = np.repeat(np.arange(len(texts)), sizes)
         ends = np.repeat(np.add(starts, sizes), sizes) if len(texts) else text_of
         place = np.arange(len(parts)) - np.repeat(starts, sizes)
@@ -310,7 +336,8 @@ class Searcher:
             at_once = max(64, CELLS_AT_ONCE // max(1, len(self._items)))
             for low in range(0, len(chosen), at_once):
                 cosines = chosen[low : low + at_once] @ self._queries
-                rows, items = np.nonzero(cosines >= np.maximum(COSINE * norms[low : low + at_once, None], 1e-12))
+                near = np.flatnonzero(cosines >= np.maximum(COSINE * norms[low : low + at_once, None], 1e-12))
+                rows, items = np.divmod(near, max(1, len(self._items)))
                 for row, item in zip(rows.tolist(), items.tolist(), strict=True):
                     i = every[low + row]
                     yield int(text_of[i]), item, int(place[i]) * WORDS_IN_BLOCK, window, float(cosines[row, item] / norms[low + row])
@@ -355,18 +382,12 @@ class Index:
     basis: np.ndarray
 
 
-def fit(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_text: str = "text", sample_docs: int = SAMPLE_DOCS
-) -> Index:
-    """Weights over all of ``docs`` and the basis from a bounded sample of them and ``items``."""
-    weights = weights_of(docs, text)
-    known = docs.filter(F.col(text).isNotNull() & F.col(doc_id).isNotNull())
-    known = known.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    keys = known.select(F.col("id").alias("key")).distinct().orderBy(F.xxhash64("key"), "key").limit(sample_docs)
-    # At most ``sample_docs`` rows of ids.
-    sample = known.join(F.broadcast(keys), F.col("id") == F.col("key"), "left_semi")
-    both = sample.select("text").union(items.select(F.col(item_text).alias("text")))
-    return Index(weights, basis_of(both, weights))
+def fit(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text") -> Index:
+    """Weights over all of ``docs`` and the basis of all of them and ``items``. Counts of both are staged."""
+    bags = staged(_bags(docs.select(F.col(text).alias("text"))), "bags")
+    asked = staged(_bags(items.select(F.col(item_text).alias("text"))), "bags")
+    weights = _weights(bags)
+    return Index(weights, _basis(bags.union(asked), weights))
 
 
 def search(
@@ -414,14 +435,13 @@ def _searchers(items: DataFrame, index: Index, item_id: str | None, item_text: s
 def drop_leaks(
     docs: DataFrame,
     items: DataFrame,
-    doc_id: str = "doc_id",
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
     at_once: int = ITEMS_AT_ONCE,
 ) -> DataFrame:
     """``docs`` without the rows in whose text an item was found, also one without an id; no row moves."""
-    index = fit(docs, items, doc_id, text, item_text)
+    index = fit(docs, items, text, item_text)
     left = docs
     for shared in _searchers(items, index, None, item_text, at_once):
 

@@ -114,6 +114,15 @@ def test_the_basis_spans_the_leading_directions(spark):
     assert np.linalg.norm(right @ unit, axis=0).min() > 0.99
 
 
+def test_every_document_takes_part_in_the_basis(spark):
+    """A word of any two documents is known to the basis, however many documents there are."""
+    texts = [f"w{i // 2} v{i // 2}" for i in range(1400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    index = leaks.fit(docs, docs.select("text").limit(1))
+    own = np.unique(np.concatenate([leaks.slots_of(t) for t in texts]))
+    assert not (np.abs(index.basis[own]).max(axis=1) == 0).any()
+
+
 def reworded(words, rate, rng, names):
     """``words`` with that share of them replaced, in the first three quarters."""
     words, open_ = list(words), range(len(words) - max(3, len(words) // 4))
