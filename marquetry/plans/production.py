@@ -29,9 +29,9 @@ from ..functions.text import (
 from ..operators.ordering import most_common, most_common_by_label
 from ..operators.projections import search
 from ..schemas import CREW_RAW, PERSON_RAW, PRODUCTION_RAW
-from ..session import staged
+from ..session import dealt_into, staged
 from ..sources.readers import CORRUPT, INVALID, LINE_ORDER, read_jsonl_tolerant, split_bad
-from ..sources.sizes import size_report
+from ..sources.sizes import folder_sizes, size_report
 from ..sources.writers import write_collection, write_jsonl
 
 # The names of the counters.
@@ -47,6 +47,9 @@ COUNTERS = [
 ]
 # Lines whose id is not a whole number have a counter of their own.
 INVALID_IDS = "ids_invalidos"
+# Bytes of raw lines for each partition of a shuffle, so that a task's groups don't grow with the input, and
+# bytes of shuffled rows up to which adaptive execution joins partitions.
+PART_BYTES, JOINED_BYTES = 32 << 20, 16 << 20
 
 
 def _n(condition: Column | None = None) -> Column:
@@ -298,8 +301,19 @@ def run(
 
     ``mode="overwrite"`` replaces the output of an earlier run. ``more_fields`` names
     further fields per data set, which are kept as they are.
+
+    Shuffles have a partition for each PART_BYTES of lines, or as many as the session asks for.
     """
+    names = ("pessoa", "producao", "equipe")
+    sizes = folder_sizes(spark, {name: f"{source}/{name}.jsonl" for name in names}, "bytes")
+    parts = -(-max(r["bytes"] for r in sizes.collect()) // PART_BYTES)
+    with dealt_into(spark, parts, JOINED_BYTES):
+        return _run(spark, source, target, mode, more_fields)
 
+
+def _run(
+    spark: SparkSession, source: str, target: str, mode: str, more_fields: Mapping[str, StructType] | None
+) -> DataFrame:
     def raw(name: str, schema: StructType) -> DataFrame:
         more = (more_fields or {}).get(name, StructType())
         fields = StructType([*schema.fields, *more.fields])

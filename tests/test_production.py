@@ -279,3 +279,21 @@ def test_lines_of_one_status_are_read_alone(spark, tmp_path):
     for df, filters in ((production.clean_rows(staged), "(status#"), (production.rejected_lines(staged), "status#")):
         scan = next(x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x)
         assert filters in scan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_shuffles_have_parts_by_the_size_of_the_lines(spark, tmp_path, monkeypatch):
+    """More lines are more partitions, not larger ones, whatever the session's number is."""
+    for name, rows in {"pessoa": PEOPLE, "producao": WORKS, "equipe": crew_lines(1) * 20}.items():
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(map(json.dumps, rows)) + "\n")
+    monkeypatch.setattr(production, "PART_BYTES", (tmp_path / "equipe.jsonl").stat().st_size // 30, raising=False)
+    seen, stage = [], production.staged
+
+    def spy(df, name, by):
+        seen.append((name, spark.conf.get("spark.sql.shuffle.partitions")))
+        return stage(df, name, by)
+
+    monkeypatch.setattr(production, "staged", spy)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    production.run(spark, str(tmp_path), str(tmp_path / "out"))
+    assert len(seen) == 3 and {n for _, n in seen} == {"31"}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
