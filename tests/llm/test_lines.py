@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from marquetry.llm import lines
+from marquetry.llm import common, lines
 
 
 def brute(rows, similarity=0.8):
@@ -102,3 +103,25 @@ def test_rows_of_one_id_with_different_texts(documents, prose):
     rows = [(1, a), (2, f"{a}\n{b}"), (2, f"{c}\n{prose(4, 20)}"), (2, None)]
     got = sorted((r["doc_id"], r["text"] or "") for r in lines.drop_lines(documents(rows)).collect())
     assert got == sorted([(1, a), (2, b), (2, rows[2][1]), (2, "")])
+
+
+def test_slots_counted_many_at_once():
+    """More slots found than there are, in pieces of all sizes, are counted as one by one."""
+    rng = np.random.default_rng(5)
+    found = [rng.integers(0, 50, n) for n in (0, 1, 7, 400, 3)]
+    want = np.zeros(50, dtype=np.uint32)
+    for part in found:
+        np.add.at(want, part, 1)
+    assert (common.counted(found, 50) == want).all() and not common.counted([], 50).any()
+
+
+def test_slot_counts_of_all_rows(spark):
+    texts = [f"{i} " * (i % 9) for i in range(900)] + [None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+
+    def slots(part):
+        for text in part:
+            yield np.array([int(w) % 40 for w in (text or "").split()], dtype=np.int64)
+
+    want = np.bincount(np.concatenate(list(slots(texts))), minlength=40)
+    assert (common.slot_counts(docs, "text", slots, 40) == want).all()
