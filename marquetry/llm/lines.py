@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from marquetry.session import staged
 
-from .common import in_batches, slot_counts, word_hashes
+from .common import bit_table, in_batches, is_set, slot_counts, word_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -45,7 +45,6 @@ GROUP = 16
 #: Bits of a table that tells which tokens or documents are asked for. It spares shuffles what nobody
 #: asks for; where it fills up, more is sent than needed and the joins sort it out.
 TABLE_BITS = 1 << 27
-BLOCK_BITS = 1 << 21
 # How far apart the places of neighbouring lines are in such a table.
 LINE_STEP = 1_000_003
 #: Bytes that are worked on at once, if lines are no longer, and lines that are sorted at once.
@@ -247,18 +246,18 @@ def _verified(
     of_doc = F.xxhash64("doc_id").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
     both = (F.col("slot") + F.col("line") * LINE_STEP).bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
     slots = asked.select(of_doc.alias("slot"), F.col("line").cast("long").alias("line"))
-    docs_asked, lines_asked = _bit_table(slots.select("slot")), _bit_table(slots.select(both.alias("slot")))
+    docs_asked, lines_asked = (bit_table(slots.select(c.alias("slot")), TABLE_BITS) for c in (F.col("slot"), both))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         slot = batch.column(2).to_numpy()
-        wanted = np.flatnonzero(_is_set(docs_asked.value, slot))
+        wanted = np.flatnonzero(is_set(docs_asked.value, slot))
         at, number, sets = [], [], []
         texts = [batch.column(1)[int(i)].as_py() for i in wanted]
         for text_at, line_at, low, key, starts in _sets_of(texts, width, None, short):
             key = (key & _TOKEN).view(np.int64)
             own = np.flatnonzero(np.diff(starts))
             of_line = slot[wanted[text_at[low + own]]].astype(np.int64) + line_at[low + own] * LINE_STEP
-            own = own[_is_set(lines_asked.value, of_line & (TABLE_BITS - 1))]
+            own = own[is_set(lines_asked.value, of_line & (TABLE_BITS - 1))]
             at += wanted[text_at[low + own]].tolist()
             number += line_at[low + own].tolist()
             sets += [key[starts[i] : starts[i + 1]] for i in own.tolist()]
@@ -286,35 +285,10 @@ def _verified(
     )
 
 
-def _is_set(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
-
-
-def _bit_table(slots: DataFrame) -> Broadcast:
-    """A table of TABLE_BITS bits with those of ``slots`` (slot) set, filled block by block in tasks."""
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            slot = batch.column(1).to_numpy()
-            for block in np.unique(slot // BLOCK_BITS):
-                own = slot[slot // BLOCK_BITS == block] % BLOCK_BITS
-                bits = held.setdefault(int(block), np.zeros(BLOCK_BITS // 8, dtype=np.uint8))
-                np.bitwise_or.at(bits, own >> 3, (1 << (own & 7)).astype(np.uint8))
-        names = sorted(held)
-        parts = [held[b].tobytes() for b in names]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(parts, pa.binary())], ["block", "part"])
-
-    keyed = slots.select((F.col("slot") / BLOCK_BITS).cast("int").alias("block"), "slot").distinct()
-    bits = np.zeros(TABLE_BITS // 8, dtype=np.uint8)
-    for block, part in keyed.repartition("block").mapInArrow(fill, "block int, part binary").collect():
-        bits[block * BLOCK_BITS // 8 : (block + 1) * BLOCK_BITS // 8] = np.frombuffer(part, dtype=np.uint8)
-    return slots.sparkSession.sparkContext.broadcast(bits)
-
-
 def _postings(firsts: DataFrame, counts: DataFrame) -> DataFrame:
     """(doc_id, line, size, place, token, sets) of the prefix tokens that are in ``counts``. Staged."""
-    table = _bit_table(counts.select(F.col("token").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int").alias("slot")))
+    slot = F.col("token").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
+    table = bit_table(counts.select(slot.alias("slot")), TABLE_BITS)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = batch.column(3)
@@ -322,7 +296,7 @@ def _postings(firsts: DataFrame, counts: DataFrame) -> DataFrame:
         sizes = lists.value_lengths().to_numpy()
         row = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        kept = np.flatnonzero(_is_set(table.value, token & (TABLE_BITS - 1)))
+        kept = np.flatnonzero(is_set(table.value, token & (TABLE_BITS - 1)))
         at = pa.array(row[kept])
         columns = [batch.column(i).take(at) for i in range(3)]
         columns += [pa.array(place[kept].astype(np.int32)), pa.array(token[kept])]

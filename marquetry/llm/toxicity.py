@@ -4,15 +4,16 @@ A text's features are its words, pairs of neighbours and pairs with one word bet
 to HASH_BITS bits and counted once. Every coordinate has its own learning rate; L1 leaves most
 weights at exactly zero, so the model is a short sorted list of hashes and weights.
 
-Training. Features are counted exactly; those of two toxic rows or more whose share of the toxic rows
-is over LIFT times that of the other rows are learned from, at any base rate. The sample's rows
-are dealt by hash into shards of about SHARD_ROWS rows; each shard runs FTRL over its rows for
-EPOCHS passes in a task of its own. The accumulators (z, n) of a feature are averaged over the
-shards that met it, and the weight follows from them. At last the log odds are calibrated on the
-sample by a slope and an offset.
+Training. All labelled rows are learned from. Features are counted exactly; those of two toxic rows or
+more whose share of the toxic rows is over LIFT times that of the other rows are learned from, at any
+base rate. They are counted and joined as rows; tasks get a table of bits of them, of bounded size, so that
+few other features are sent. Rows are dealt by hash into shards of about SHARD_ROWS rows; each shard
+runs FTRL over its rows for EPOCHS passes in a task of its own. The accumulators (z, n) of a feature are
+averaged over the shards that met it, and the weight follows from them. At last the log odds are
+calibrated on all labelled rows by a slope and an offset, from sums over the rows.
 
-Bounds. At most TRAIN_ROWS labelled rows, in the order of a hash of the id, are learned from. Where
-more than WEIGHTS weights would be left, L1 is raised until they fit. Every text is scored whole.
+Bounds. No row is left out. Where more than WEIGHTS weights would be left, L1 is raised until they fit.
+Every text is scored whole.
 
 Contract. A null text is empty. An empty text has the score of the bias alone. Without labelled
 rows every score is 0.5. Rows with a null label are not learned from. Repeated rows score alike.
@@ -21,20 +22,22 @@ rows every score is 0.5. Rows with a null label are not learned from. Repeated r
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from marquetry.operators import bitmaps
 from marquetry.session import staged
 
-from .common import BLOCK, BLOCKS_SCHEMA, blocks, in_batches, mixed, summed, whole_text, word_hashes
+from .common import ROWS_AT_ONCE, bit_table, in_batches, is_set, mixed, whole_text, word_hashes
 
-TRAIN_ROWS = 40_000
 SHARD_ROWS = 8_192
 EPOCHS = 6
 ALPHA, BETA, L2 = 10.0, 1.0, 0.1
@@ -44,6 +47,10 @@ LIFT = 2.0
 HASH_BITS = 40
 WEIGHTS = 1 << 18
 THRESHOLD = 0.7
+#: Bits in a table of features: as many for each, at least and at most.
+BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 27
+#: Features of some texts that a task counts at once.
+FEATURES_AT_ONCE = 1 << 20
 
 _BIAS = -1  # no feature's hash
 _LOW_BITS = 20
@@ -85,45 +92,75 @@ def train_shard(
     return np.append(names, _BIAS), z, n
 
 
-def _telling(learned: DataFrame) -> np.ndarray:
-    """Sorted features of two toxic rows or more, LIFT times as common in toxic rows as in others.
+def _bits_of(names: DataFrame) -> tuple[Broadcast, int]:
+    """A table of bits with those of the staged ``names`` set, shared with all tasks, and how many bits it has.
 
-    The sample's size bounds what the driver gets: fewer than half as many features as toxic rows have.
+    There are more for more names, up to MOST_BITS; other features can have the same bit.
     """
+    asked = BITS_EACH * names.count()
+    n_bits = min(MOST_BITS, max(LEAST_BITS, 1 << asked.bit_length()))
+    slot = F.col("name").bitwiseAND(F.lit(n_bits - 1)).cast("int")
+    return bit_table(names.select(slot.alias("slot")), n_bits), n_bits
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(features(text.as_py()))], names=["name"])
 
-    totals = learned.agg(F.count_if(F.col("label") > 0), F.count_if(F.col("label") <= 0)).first()
-    toxic = learned.filter("label > 0").select("text").mapInArrow(explode, "name long")
-    known = toxic.groupBy("name").agg(F.count("*").alias("rows")).filter("rows > 1").toPandas().sort_values("name")
-    names = known["name"].to_numpy(dtype=np.int64)
-    if not len(names):
-        return names
-    shared = learned.sparkSession.sparkContext.broadcast(names)
+def _counted(texts: DataFrame, wanted: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """(name, rows): how many rows of ``texts`` have each feature, of those that ``wanted`` leaves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = shared.value
-        total = np.zeros(len(asked), dtype=np.int32)
-        for batch in batches:
-            for text in batch.column(0):
-                total[_places(asked, features(text.as_py()))] += 1
-        yield blocks({i: total[at : at + BLOCK] for i, at in enumerate(range(0, len(total), BLOCK))}, np.int32)
+        held, size = [], 0
 
-    sums = summed(learned.filter("label <= 0").select("text").mapInArrow(count, BLOCKS_SCHEMA), np.int32)
-    shared.destroy()
-    other = np.concatenate([sums[b] for b in sorted(sums)]) if sums else np.zeros(len(names))
-    return names[known["rows"].to_numpy() * float(totals[1]) > LIFT * other * float(totals[0])]
+        def counts() -> pa.RecordBatch:
+            names, rows = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(names), pa.array(rows)], names=["name", "rows"])
 
-
-def _places(names: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Where in the sorted ``names`` those of ``own`` stand that are there."""
-    at = np.searchsorted(names, own)
-    inside = at < len(names)
-    at, own = at[inside], own[inside]
-    return at[names[at] == own]
+        for batch in batches:
+            for text in batch.column(0):
+                own = features(text.as_py())
+                held.append(own if wanted is None else wanted(own))
+                size += len(held[-1])
+                if size >= FEATURES_AT_ONCE:
+                    yield counts()
+                    held, size = [], 0
+        if held:
+            yield counts()
+
+    return texts.select("text").mapInArrow(count, "name long, rows long").groupBy("name").agg(F.sum("rows").alias("rows"))
+
+
+def _telling(learned: DataFrame, toxic_rows: int, other_rows: int) -> DataFrame:
+    """(name) of the features of two toxic rows or more, LIFT times as common in toxic rows as in others. Staged."""
+    known = staged(_counted(learned.filter("label > 0")).filter("rows > 1"), "known")
+    bits, n_bits = _bits_of(known)
+    other = _counted(learned.filter("label <= 0"), lambda own: own[is_set(bits.value, own & (n_bits - 1))])
+    joined = known.join(other.withColumnRenamed("rows", "other"), "name", "left")
+    commoner = F.col("rows") * float(other_rows) > F.coalesce("other", F.lit(0)) * LIFT * float(toxic_rows)
+    found = staged(joined.filter(commoner).select("name"), "telling")
+    bits.destroy()
+    return found
+
+
+def _chosen(learned: DataFrame, telling: DataFrame, shards: int) -> DataFrame:
+    """(shard, dealt, key, label, own): every row of ``learned`` with those of its features that are in ``telling``. Staged."""
+    bits, n_bits = _bits_of(telling)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                found = [features(t) for t in part.column(1).to_pylist()]
+                found = [f[is_set(bits.value, f & (n_bits - 1))] for f in found]
+                at = np.repeat(np.arange(len(found)), [len(f) for f in found])
+                columns = [part.column(0).take(pa.array(at)), pa.array(np.concatenate(found))]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "name"])
+
+    sent = learned.select("row", "text").mapInArrow(pairs, "row long, name long")
+    own = sent.join(telling, "name").groupBy("row").agg(F.sort_array(F.collect_list("name")).alias("own"))
+    shard = F.pmod("dealt", F.lit(shards)).cast("long")
+    rows = learned.select("row", shard.alias("shard"), "dealt", "key", "label").join(own, "row", "left")
+    none = F.array().cast("array<long>")
+    chosen = staged(rows.select("shard", "dealt", "key", "label", F.coalesce("own", none).alias("own")), "features")
+    bits.destroy()
+    return chosen
 
 
 @dataclass
@@ -153,74 +190,89 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.margin(features(text)), -35, 35))))
 
 
-def calibration(margins: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and offset (Platt's) that make margins log odds; (1, 0) if only one label is there."""
-    toxic = labels > 0
-    if toxic.all() or not toxic.any():
-        return 1.0, 0.0
-    target = np.where(toxic, (toxic.sum() + 1) / (toxic.sum() + 2), 1 / ((~toxic).sum() + 2))
-    x, w = np.stack((margins, np.ones(len(margins))), axis=1), np.array([1.0, 0.0])
-
-    def loss(v: np.ndarray) -> float:
-        return float((np.logaddexp(0, x @ v) - target * (x @ v)).sum())
+def calibration(pairs: DataFrame, toxic_rows: int, other_rows: int, steps: int = 50) -> tuple[float, float]:
+    """Slope and offset (Platt's) that make the margins of ``pairs`` (label, margin) log odds; (1, 0) if only one label is there.
 
+    Each step of Newton's method adds up the loss and its derivatives over all rows.
+    """
+    if not toxic_rows or not other_rows:
+        return 1.0, 0.0
+    high, low = (toxic_rows + 1) / (toxic_rows + 2), 1 / (other_rows + 2)
+    names = ["loss", "by_slope", "by_offset", "slopes", "mixed", "offsets"]
+
+    def sums(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                target = np.where(batch.column(0).to_numpy() > 0, high, low)
+                margin = batch.column(1).to_numpy()
+                odds = margin * w[0] + w[1]
+                p = 1 / (1 + np.exp(-np.clip(odds, -35, 35)))
+                each = [np.logaddexp(0, odds) - target * odds, margin * (p - target), p - target]
+                each += [margin * margin * p * (1 - p), margin * p * (1 - p), p * (1 - p)]
+                yield pa.RecordBatch.from_arrays([pa.array([float(x.sum())]) for x in each], names=names)
+
+        every = pairs.select("label", "margin").mapInArrow(add, ", ".join(f"{n} double" for n in names))
+        loss, a, b, aa, ab, bb = every.agg(*(F.sum(n) for n in names)).first()
+        return loss, np.array([a, b]), np.array([[aa, ab], [ab, bb]])
+
+    w = np.array([1.0, 0.0])
+    loss, gradient, hessian = sums(w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step, size = np.linalg.solve(hessian, x.T @ (p - target)), 1.0
-        while size > 1e-6 and loss(w - size * step) > loss(w):
+        step, size = np.linalg.solve(hessian + 1e-6 * np.eye(2), gradient), 1.0
+        there = sums(w - step)
+        while size > 1e-6 and there[0] > loss:
             size /= 2
-        w = w - size * step
+            there = sums(w - size * step)
+        if there[0] > loss:
+            break
+        w, gain = w - size * step, loss - there[0]
+        loss, gradient, hessian = there
+        if gain <= 1e-12 * loss:
+            break
     return float(max(w[0], 1e-6)), float(w[1])
 
 
+def _labelled(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, text, label) of the ``texts`` with one of the staged ``labels``.
+
+    Texts stay where they are if bitmaps of the ids can be broadcast; otherwise a plain join.
+    """
+    if not isinstance(texts.schema["key"].dataType, IntegralType) or not bitmaps.fits(labels, "key"):
+        return texts.join(labels, "key")
+    known = bitmaps.keep_with_parents(texts, [(labels, "key")])
+    marked = bitmaps.with_known(known, labels.filter("label > 0"), "key", "marked")
+    return marked.select("key", "text", F.col("marked").cast("double").alias("label"))
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
-    rows: int = TRAIN_ROWS,
     most: int = WEIGHTS,
 ) -> Model:
     """Learn ``label`` (0 or 1) of ``labels`` from the texts of ``docs`` with the same id.
 
-    At most ``rows`` labelled rows are learned from, and the model has at most ``most`` weights.
+    All labelled rows are learned from, and the model has at most ``most`` weights.
     """
-    sample = (
+    known = (
         labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
         .groupBy(F.col(doc_id).alias("key"))
         .agg(F.max(label).cast("double").alias("label"))
-        .orderBy(F.xxhash64("key"), "key")
-        .limit(rows)
-    )
-    known = sample.count()
-    shards = max(1, round(known / SHARD_ROWS))
-    l1 = max(LEAST_L1, L1_PER_ROW * known / shards)
-    shard = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)).cast("long")
-    # The sample has at most ``rows`` short rows, whatever the size of the tables.
-    texts = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("text"))
-    learned = texts.join(F.broadcast(sample), F.col("id") == F.col("key")).select(
-        shard.alias("shard"), "key", "label", "text"
     )
-    learned = staged(learned.repartition(8 * shards, "shard", "key"), "sample")
-    telling = docs.sparkSession.sparkContext.broadcast(_telling(learned))
-
-    def select(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [features(t) for t in batch.column(3).to_pylist()]
-        found = [telling.value[_places(telling.value, f)] for f in found]
-        columns = [*(batch.column(i) for i in range(3)), pa.array(found, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, names=["shard", "key", "label", "own"])
-
-    key_kind = learned.schema["key"].dataType.simpleString()
-    chosen = in_batches(
-        learned, ["shard", "key", "label", "text"], select, f"shard long, key {key_kind}, label double, own array<long>"
+    texts = docs.select(F.col(doc_id).alias("key"), whole_text(text).alias("text"))
+    learned = _labelled(texts, staged(known, "labels")).select(
+        F.monotonically_increasing_id().alias("row"), F.xxhash64("key", "text", F.lit(1)).alias("dealt"), "key", "label", "text"
     )
-    chosen = staged(chosen, "features")
-    telling.destroy()
+    learned = staged(learned, "labelled")
+    toxic_rows, other_rows = learned.agg(F.count_if(F.col("label") > 0), F.count_if(F.col("label") <= 0)).first()
+    shards = max(1, round((toxic_rows + other_rows) / SHARD_ROWS))
+    l1 = max(LEAST_L1, L1_PER_ROW * (toxic_rows + other_rows) / shards)
+    chosen = _chosen(learned, _telling(learned, toxic_rows, other_rows), shards)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.assign(order=[zlib.crc32(str(k).encode()) for k in group["key"]]).sort_values(["order", "key"])
+        group = group.assign(order=[zlib.crc32(str(k).encode()) for k in group["key"]]).sort_values(["order", "key", "dealt"])
         own = [np.asarray(f, dtype=np.int64) for f in group["own"]]
         names, z, n = train_shard(own, group["label"].to_numpy(), l1)
         return pd.DataFrame({"name": names, "z": z, "n": n})
@@ -248,10 +300,9 @@ def train(
         found = [shared.value.margin(np.asarray(f, dtype=np.int64)) for f in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["label", "margin"])
 
-    # Two numbers for each of at most ``rows`` rows.
-    pairs = in_batches(chosen, ["label", "own"], margins, "label double, margin double").toPandas()
+    pairs = staged(in_batches(chosen, ["label", "own"], margins, "label double, margin double"), "margins")
     shared.destroy()
-    slope, offset = calibration(pairs["margin"].to_numpy(), pairs["label"].to_numpy())
+    slope, offset = calibration(pairs, toxic_rows, other_rows)
     return Model(raw.names, slope * raw.weights, slope * raw.bias + offset)
 
 

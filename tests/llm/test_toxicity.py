@@ -3,6 +3,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from marquetry.llm import toxicity
 
 BAD = [f"bad{i}" for i in range(6)]
@@ -118,3 +120,51 @@ def test_l1_is_raised_until_weights_fit(spark, prose, model):
     small = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), most=4)
     assert 0 < len(small.names) <= 4 and set(small.names) <= set(model.names)
     assert set(small.names) <= {int(h) for b in BAD for h in toxicity.features(b)}
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    """The rows that stand last by a hash of the id, beyond 40,000, are the only toxic ones."""
+    ids = spark.range(41_000).orderBy(F.xxhash64("id")).select("id").toPandas()["id"].tolist()
+    late = set(ids[40_000:])
+    rows = [(i, f"plain {i % 50} {BAD[i % 6]}" if i in late else f"plain {i % 50} words", int(i in late)) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.drop("toxic"), docs.drop("text"))
+    assert model.score("plain 3 bad1") >= toxicity.THRESHOLD > 0.1 > model.score("plain 3 words")
+
+
+def test_telling_features_against_counts(spark, prose):
+    rows, labels = corpus(prose, 200)
+    truth = dict(labels)
+    learned = spark.createDataFrame([(t, float(truth[i])) for i, t in rows], "text string, label double")
+    counts = {0: {}, 1: {}}
+    for i, text in rows:
+        for name in toxicity.features(text).tolist():
+            counts[truth[i]][name] = counts[truth[i]].get(name, 0) + 1
+    toxic = sum(truth.values())
+    want = {n for n, k in counts[1].items() if k > 1 and k * (200 - toxic) > toxicity.LIFT * counts[0].get(n, 0) * toxic}
+    assert {r["name"] for r in toxicity._telling(learned, toxic, 200 - toxic).collect()} == want
+
+
+def test_calibration_against_the_margins(spark):
+    """At the optimum the mean probability is that of Platt's targets."""
+    rng = np.random.default_rng(5)
+    margins = rng.normal(size=3000) * 3
+    labels = (rng.random(3000) < 1 / (1 + np.exp(1 - 0.5 * margins))).astype(float)
+    pairs = spark.createDataFrame([*zip(labels.tolist(), margins.tolist())], "label double, margin double")
+    toxic = int(labels.sum())
+    slope, offset = toxicity.calibration(pairs, toxic, 3000 - toxic)
+    p = 1 / (1 + np.exp(-(slope * margins + offset)))
+    target = np.where(labels > 0, (toxic + 1) / (toxic + 2), 1 / (3000 - toxic + 2))
+    assert abs((p - target).sum()) < 1e-3 and abs(((p - target) * margins).sum()) < 1e-3
+    assert 0.4 < slope < 0.6 and -1.2 < offset < -0.8
+    assert toxicity.calibration(pairs, toxic, 0) == (1.0, 0.0)
+
+
+def test_ids_that_are_no_numbers_give_the_same_model(spark, prose):
+    """Bitmaps of ids and the plain join."""
+    rows, labels = corpus(prose, 200)
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    a = toxicity.train(docs, known)
+    b = toxicity.train(*(df.withColumn("doc_id", F.col("doc_id").cast("string")) for df in (docs, known)))
+    assert a.names.tolist() == b.names.tolist() and len(a.names)
+    assert np.allclose(a.weights, b.weights, atol=1e-6) and abs(a.bias - b.bias) < 1e-6
