@@ -36,15 +36,12 @@ from pyspark.sql import functions as F
 
 from marquetry.session import staged
 
-from .common import bit_table, in_batches, is_set, slot_counts, word_hashes
+from .common import bit_table, bits_for, in_batches, is_set, slot_counts, word_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
 SLOTS = 1 << 20
 GROUP = 16
-#: Bits of a table that tells which tokens or documents are asked for. It spares shuffles what nobody
-#: asks for; where it fills up, more is sent than needed and the joins sort it out.
-TABLE_BITS = 1 << 27
 # How far apart the places of neighbouring lines are in such a table.
 LINE_STEP = 1_000_003
 #: Bytes that are worked on at once, if lines are no longer, and lines that are sorted at once.
@@ -139,8 +136,10 @@ def token_rarity(docs: DataFrame, text: str = "text", width: int = WIDTH, short:
         for _, _, data in _chunks(texts):
             yield (_runs(data, width, short)[0] % SLOTS).astype(np.int64)
 
-    counts = slot_counts(docs, text, slots, SLOTS)
-    return np.minimum(8 * np.log2(1.0 + counts), (1 << _RARITY_BITS) - 1).astype(np.uint8)
+    def rarity(counts: np.ndarray) -> np.ndarray:
+        return np.minimum(8 * np.log2(1.0 + counts), (1 << _RARITY_BITS) - 1)
+
+    return slot_counts(docs, text, slots, SLOTS, rarity, np.uint8)
 
 
 def _sets(
@@ -243,10 +242,11 @@ def _verified(
     """Those of ``pairs`` whose whole token sets are similar, with their similarity. Token sets are staged."""
     ends = [pairs.select(F.col(f"doc_{s}").alias("doc_id"), F.col(f"line_{s}").alias("line")) for s in "ab"]
     asked = staged(ends[0].union(ends[1]).distinct(), "asked")
-    of_doc = F.xxhash64("doc_id").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
-    both = (F.col("slot") + F.col("line") * LINE_STEP).bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
+    n_bits = bits_for(asked.count())
+    of_doc = F.xxhash64("doc_id").bitwiseAND(F.lit(n_bits - 1)).cast("int")
+    both = (F.col("slot") + F.col("line") * LINE_STEP).bitwiseAND(F.lit(n_bits - 1)).cast("int")
     slots = asked.select(of_doc.alias("slot"), F.col("line").cast("long").alias("line"))
-    docs_asked, lines_asked = (bit_table(slots.select(c.alias("slot")), TABLE_BITS) for c in (F.col("slot"), both))
+    docs_asked, lines_asked = (bit_table(slots.select(c.alias("slot")), n_bits) for c in (F.col("slot"), both))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         slot = batch.column(2).to_numpy()
@@ -257,7 +257,7 @@ def _verified(
             key = (key & _TOKEN).view(np.int64)
             own = np.flatnonzero(np.diff(starts))
             of_line = slot[wanted[text_at[low + own]]].astype(np.int64) + line_at[low + own] * LINE_STEP
-            own = own[is_set(lines_asked.value, of_line & (TABLE_BITS - 1))]
+            own = own[is_set(lines_asked.value, of_line & (n_bits - 1))]
             at += wanted[text_at[low + own]].tolist()
             number += line_at[low + own].tolist()
             sets += [key[starts[i] : starts[i + 1]] for i in own.tolist()]
@@ -270,7 +270,7 @@ def _verified(
 
     kind = docs.schema[doc_id].dataType.simpleString()
     known = docs.filter(F.col(doc_id).isNotNull())
-    columns = [F.col(doc_id), F.col(text), F.xxhash64(doc_id).bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int").alias("slot")]
+    columns = [F.col(doc_id), F.col(text), F.xxhash64(doc_id).bitwiseAND(F.lit(n_bits - 1)).cast("int").alias("slot")]
     sent = in_batches(known, columns, step, f"doc_id {kind}, line int, tokens array<long>")
     sets = staged(sent.join(asked, ["doc_id", "line"], "left_semi"), "sets")
     _released(sets, docs_asked, lines_asked)
@@ -287,8 +287,9 @@ def _verified(
 
 def _postings(firsts: DataFrame, counts: DataFrame) -> DataFrame:
     """(doc_id, line, size, place, token, sets) of the prefix tokens that are in ``counts``. Staged."""
-    slot = F.col("token").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
-    table = bit_table(counts.select(slot.alias("slot")), TABLE_BITS)
+    n_bits = bits_for(counts.count())
+    slot = F.col("token").bitwiseAND(F.lit(n_bits - 1)).cast("int")
+    table = bit_table(counts.select(slot.alias("slot")), n_bits)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = batch.column(3)
@@ -296,7 +297,7 @@ def _postings(firsts: DataFrame, counts: DataFrame) -> DataFrame:
         sizes = lists.value_lengths().to_numpy()
         row = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        kept = np.flatnonzero(is_set(table.value, token & (TABLE_BITS - 1)))
+        kept = np.flatnonzero(is_set(table.value, token & (n_bits - 1)))
         at = pa.array(row[kept])
         columns = [batch.column(i).take(at) for i in range(3)]
         columns += [pa.array(place[kept].astype(np.int32)), pa.array(token[kept])]

@@ -36,7 +36,7 @@ from pyspark.sql.types import IntegralType
 from marquetry.operators import bitmaps
 from marquetry.session import staged
 
-from .common import ROWS_AT_ONCE, bit_table, in_batches, is_set, mixed, whole_text, word_hashes
+from .common import ROWS_AT_ONCE, bit_table, bits_for, in_batches, is_set, mixed, whole_text, word_hashes
 
 SHARD_ROWS = 8_192
 EPOCHS = 6
@@ -47,8 +47,6 @@ LIFT = 2.0
 HASH_BITS = 40
 WEIGHTS = 1 << 18
 THRESHOLD = 0.7
-#: Bits in a table of features: as many for each, at least and at most.
-BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 27
 #: Features of some texts that a task counts at once.
 FEATURES_AT_ONCE = 1 << 20
 
@@ -95,10 +93,9 @@ def train_shard(
 def _bits_of(names: DataFrame) -> tuple[Broadcast, int]:
     """A table of bits with those of the staged ``names`` set, shared with all tasks, and how many bits it has.
 
-    There are more for more names, up to MOST_BITS; other features can have the same bit.
+    Other features can have the same bit.
     """
-    asked = BITS_EACH * names.count()
-    n_bits = min(MOST_BITS, max(LEAST_BITS, 1 << asked.bit_length()))
+    n_bits = bits_for(names.count())
     slot = F.col("name").bitwiseAND(F.lit(n_bits - 1)).cast("int")
     return bit_table(names.select(slot.alias("slot")), n_bits), n_bits
 

@@ -125,3 +125,26 @@ def test_slot_counts_of_all_rows(spark):
 
     want = np.bincount(np.concatenate(list(slots(texts))), minlength=40)
     assert (common.slot_counts(docs, "text", slots, 40) == want).all()
+
+
+def test_tables_are_as_large_as_what_is_asked_for(spark, documents, prose, monkeypatch):
+    """No table of 16 MB goes through the driver for a few lines; rarities are made in tasks."""
+    sizes = []
+    real = lines.bit_table
+    monkeypatch.setattr(lines, "bit_table", lambda slots, n_bits: sizes.append(n_bits) or real(slots, n_bits))
+    rows = corpus(prose)
+    got = {r["doc_id"]: r["lines"] for r in lines.removed_lines(documents(rows)).collect()}
+    assert got == brute(rows) and sizes and max(sizes) == common.LEAST_BITS
+    assert common.bits_for(10**12) == common.MOST_BITS and common.bits_for(10**5) >= 64 * 10**5
+    sent = []
+    summed = common.summed
+    monkeypatch.setattr(common, "summed", lambda *args: sent.append(summed(*args)) or sent[-1])
+    rarity = lines.token_rarity(documents(rows))
+    assert rarity.dtype == np.uint8 and sum(part.nbytes for part in sent[0].values()) == lines.SLOTS
+
+
+def test_bit_tables_of_several_blocks(spark, monkeypatch):
+    slots = [0, 7, 8, 1023, 1024, 4095, 4095]
+    monkeypatch.setattr(common, "BLOCK_BITS", 1024)
+    table = common.bit_table(spark.createDataFrame([(s,) for s in slots], "slot int"), 4096)
+    assert np.flatnonzero(common.is_set(table.value, np.arange(4096))).tolist() == sorted(set(slots))
