@@ -34,6 +34,7 @@ Repeated rows are each judged; an empty table on either side gives no rows.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -45,12 +46,12 @@ from pyspark.sql import functions as F
 
 from marquetry.session import staged
 
-from .common import BLOCK, BLOCKS_SCHEMA, blocks, in_batches, slot_counts, summed, whole_text, word_hashes
+from .common import BLOCK, BLOCKS_SCHEMA, ROWS_AT_ONCE, blocks, in_batches, slot_counts, summed, whole_text, word_hashes
 
 SLOTS = 1 << 15
 RANK, MORE, ROUNDS = 112, 8, 1
-#: Texts that are multiplied by the basis at once.
-TEXTS_AT_ONCE = 32
+#: Bytes of texts that are hashed at once, so that tables of a few times as many stay near the core.
+BYTES_AT_ONCE = 1 << 15
 WORDS_IN_BLOCK = 8
 WINDOWS = (16, 32, 64)
 COSINE = 0.58
@@ -83,17 +84,44 @@ def slots_of(text: str | None) -> np.ndarray:
     return (hashes_of(text) % SLOTS).astype(np.int64)
 
 
+def hashes_of_all(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, words of each text) of the words of following texts, some texts at a time."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        held.append(_plain(text))
+        size += len(held[-1]) + 1
+        if size >= BYTES_AT_ONCE or i + 1 == len(texts):
+            # The space between two texts ends a word.
+            hashes, starts = word_hashes(np.frombuffer(b" ".join(held), dtype=np.uint8))
+            before = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in held]))
+            yield hashes, np.diff(before, prepend=0)
+            held, size = [], 0
+
+
 def _bags(texts: DataFrame) -> DataFrame:
     """(slots, times) of each row of ``texts`` (text): its slots, sorted, and how often each occurs, as bytes."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [np.unique(slots_of(t), return_counts=True) for t in batch.column(0).to_pylist()]
-        columns = [[part.astype(kind).tobytes() for part in parts] for parts, kind in zip(zip(*found, strict=True), (np.uint16, np.uint32), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["slots", "times"])
+        slots, times, sizes = [], [], []
+        for hashes, words in hashes_of_all(batch.column(0).to_pylist()):
+            # A text and a slot as one number.
+            found = np.sort(np.repeat(np.arange(len(words)), words) * SLOTS + (hashes % SLOTS).astype(np.int64))
+            first = np.flatnonzero(np.diff(found, prepend=-1))
+            slots.append((found[first] % SLOTS).astype(np.uint16))
+            times.append(np.diff(first, append=len(found)).astype(np.uint32))
+            sizes.append(np.bincount(found[first] // SLOTS, minlength=len(words)))
+        ends = np.cumsum(np.concatenate([[0], *sizes]))
+        columns = [_binaries(np.concatenate([np.zeros(0, kind), *parts]), ends) for parts, kind in ((slots, np.uint16), (times, np.uint32))]
+        return pa.RecordBatch.from_arrays(columns, names=["slots", "times"])
 
     return in_batches(texts, ["text"], step, "slots binary, times binary")
 
 
+def _binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """``values`` between each two of ``ends`` as the bytes of a row."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
 def _weights(bags: DataFrame) -> np.ndarray:
     """Squared idf of each slot over all ``bags``, 0 for what all have."""
 
@@ -117,15 +145,13 @@ def _add_sketch(out: np.ndarray, slots: list[bytes], times: list[bytes], weights
 
 def _add_gram(out: np.ndarray, slots: list[bytes], times: list[bytes], weights: np.ndarray, basis: np.ndarray) -> None:
     """Add A' A G, of the TF-IDF rows A of some bags, each of length 1, and the basis G."""
-    names, n = np.frombuffer(b"".join(slots), dtype=np.uint16), np.frombuffer(b"".join(times), dtype=np.uint32)
-    own = np.flatnonzero(np.bincount(names, minlength=SLOTS))
-    place = np.zeros(SLOTS, dtype=np.int64)
-    place[own] = np.arange(len(own))
-    rows = np.zeros((len(slots), len(own)), dtype=np.float32)
-    rows[np.repeat(np.arange(len(slots)), [len(s) // 2 for s in slots]), place[names]] = n * weights[names]
-    norms = np.linalg.norm(rows, axis=1, keepdims=True)
-    rows = np.divide(rows, norms, out=rows, where=norms > 0)
-    out[own] += rows.T @ (rows @ basis[own])
+    for own, n in zip(slots, times, strict=True):
+        names = np.frombuffer(own, dtype=np.uint16).astype(np.int64)
+        row = np.frombuffer(n, dtype=np.uint32) * weights[names]
+        row = row.astype(np.float32)
+        if square := float(row @ row):
+            # Rows have few slots in common, so each is multiplied by its own rows of the basis.
+            out[names] += np.multiply.outer(row, row @ basis.take(names, axis=0) / np.float32(square))
 
 
 def _orthonormal(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,8 +185,8 @@ def _basis(bags: DataFrame, weights: np.ndarray, rank: int = RANK, rounds: int =
             basis, own = shared.value
             total = np.zeros((SLOTS, width), dtype=np.float32)
             for batch in batches:
-                for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                    part = batch.slice(at, TEXTS_AT_ONCE)
+                for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    part = batch.slice(at, ROWS_AT_ONCE)
                     found = [part.column(i).to_pylist() for i in range(2)]
                     _add_sketch(total, *found, own) if basis is None else _add_gram(total, *found, own, basis)
             parts = {i: total[at : at + per_block].ravel() for i, at in enumerate(range(0, SLOTS, per_block))}
@@ -204,6 +230,7 @@ class Item:
         self.words = words_of(self.text)
         answer = self.words[-max(3, len(self.words) // 4) :]
         self._all, self._answer, self._answer_size = word_masks(self.words), word_masks(answer), len(answer)
+        self._times = Counter(self.words)
 
     @property
     def span(self) -> int:
@@ -215,9 +242,14 @@ class Item:
         """Words that a run must have in order, whatever its answer."""
         return len(self.words) if len(self.words) < LEAST_WORDS else int(np.ceil(REWORDED * len(self.words) - 1e-9))
 
+    def common(self, words: Sequence[bytes]) -> int:
+        """How many of the item's words are in ``words``, in any order: in order there are no more."""
+        return sum(map(self._times.__getitem__, self._times.keys() & words))
+
     def runs(self, words: Sequence[bytes], low: int, high: int) -> Iterator[tuple[int, float, float]]:
         """(first word, shares) of the runs of ``span`` words in a range of ``words`` that hold the item."""
-        if common_length(self._all, len(self.words), words[low:high]) < self.needed:
+        near = words[low:high]
+        if self.common(near) < self.needed or common_length(self._all, len(self.words), near) < self.needed:
             return
         for first in range(low, high):
             # A run loses nothing if it begins at its first word of the item.
@@ -306,41 +338,48 @@ class Searcher:
 
     def candidates(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, float]]:
         """(text, item, first word, words, cosine) of the windows near an item; texts are slots."""
-        sizes = [-(-len(s) // WORDS_IN_BLOCK) for s in texts]
-        last = len(self._vectors) - 1
-        padded = np.full(sum(sizes) * WORDS_IN_BLOCK, last)
-        at, starts = 0, []
-        for slots, size in zip(texts, sizes, strict=True):
-            padded[at : at + len(slots)] = slots
-            starts.append(at // WORDS_IN_BLOCK)
-            at += size * WORDS_IN_BLOCK
+        # A text begins where windows of every size begin.
+        step = max(1, WINDOWS[-1] // WORDS_IN_BLOCK // 2)
+        sizes = np.array([-(-len(s) // (WORDS_IN_BLOCK * step)) * step for s in texts], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
         rank = self._vectors.shape[1]
-        parts = np.empty((len(padded) // WORDS_IN_BLOCK, rank), dtype=np.float32)
-        for low in range(0, len(parts), 256):
+        padded = np.full(int(sizes.sum()) * WORDS_IN_BLOCK, len(self._vectors) - 1)
+        for slots, at in zip(texts, (starts * WORDS_IN_BLOCK).tolist(), strict=True):
+            padded[at : at + len(slots)] = slots
+        vectors = np.empty((len(padded) // WORDS_IN_BLOCK, rank), dtype=np.float32)
+        for low in range(0, len(vectors), 256):
             words = padded[low * WORDS_IN_BLOCK : (low + 256) * WORDS_IN_BLOCK]
-            parts[low : low + 256] = self._vectors[words].reshape(-1, WORDS_IN_BLOCK, rank).sum(axis=1)
-        text_of = np.repeat(np.arange(len(texts)), sizes)
-        ends = np.repeat(np.add(starts, sizes), sizes) if len(texts) else text_of
-        place = np.arange(len(parts)) - np.repeat(starts, sizes)
-        vectors, reach = parts, 1
+            self._vectors.take(words, axis=0).reshape(-1, WORDS_IN_BLOCK, rank).sum(axis=1, out=vectors[low : low + 256])
+        ends = (starts + sizes)[sizes > 0]
+        # A vector for each ``apart`` blocks, each the sum of ``reach`` blocks.
+        reach = apart = 1
         for window in WINDOWS:
             while reach * WORDS_IN_BLOCK < window:
-                # Twice as many blocks; what would run into the next text is left out.
-                shifted = np.zeros_like(vectors)
-                shifted[:-reach] = vectors[reach:]
-                shifted[np.arange(len(vectors)) + reach >= ends] = 0
-                vectors, reach = vectors + shifted, 2 * reach
-            every = np.flatnonzero(place % max(1, reach // 2) == 0)
-            chosen = vectors[every]
-            norms = np.linalg.norm(chosen, axis=1)
-            at_once = max(64, CELLS_AT_ONCE // max(1, len(self._items)))
-            for low in range(0, len(chosen), at_once):
-                cosines = chosen[low : low + at_once] @ self._queries
-                near = np.flatnonzero(cosines >= np.maximum(COSINE * norms[low : low + at_once, None], 1e-12))
-                rows, items = np.divmod(near, max(1, len(self._items)))
-                for row, item in zip(rows.tolist(), items.tolist(), strict=True):
-                    i = every[low + row]
-                    yield int(text_of[i]), item, int(place[i]) * WORDS_IN_BLOCK, window, float(cosines[row, item] / norms[low + row])
+                # Twice as many blocks, at places half as far apart as they reach; none runs into the next text.
+                share = reach // apart
+                short = vectors[::share]
+                vectors = short.copy()
+                vectors[:-1] += short[1:]
+                last = ends // reach - 1
+                vectors[last] = short[last]
+                reach, apart = 2 * reach, reach
+            yield from self._near(vectors, apart, window, starts)
+
+    def _near(self, vectors: np.ndarray, apart: int, window: int, starts: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """What ``candidates`` has of windows of one size, of which ``vectors`` has one for each ``apart`` blocks."""
+        limits = np.maximum(COSINE * np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), 1e-12)[:, None]
+        n_items = len(self._items)
+        at_once = max(64, CELLS_AT_ONCE // max(1, n_items))
+        for low in range(0, len(vectors), at_once):
+            # Cosines as shares of the least that is near.
+            cosines = (vectors[low : low + at_once] / limits[low : low + at_once]) @ self._queries
+            near = np.flatnonzero(cosines >= 1)
+            rows, items = np.divmod(near, max(1, n_items))
+            place = (low + rows) * apart
+            text = np.searchsorted(starts, place, side="right") - 1
+            first, found = (place - starts[text]) * WORDS_IN_BLOCK, cosines.ravel()[near] * COSINE
+            for of in zip(text.tolist(), items.tolist(), first.tolist(), found.tolist(), strict=True):
+                yield *of[:3], window, of[3]
 
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, float, float]]:
         """(text, item_id, cosine, share of words, share of the answer) of the best verified match of each pair."""
@@ -348,7 +387,7 @@ class Searcher:
             return
         words: dict[int, list[bytes]] = {}
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
-        hashes = [hashes_of(t) for t in texts]
+        hashes = [part for found, n in hashes_of_all(texts) for part in np.split(found, np.cumsum(n)[:-1])]
         for text, at, first, window, cosine in self.candidates([(h % SLOTS).astype(np.int64) for h in hashes]):
             item = self._items[at]
             if len(item.words) < LEAST_WORDS:
@@ -357,7 +396,10 @@ class Searcher:
                 words[text] = words_of(texts[text])
             # As much room on both sides as the item could stick out of the window.
             room = max(0, len(item.words) - window // 2)
-            shares = item.shares(words[text][max(0, first - room) : first + window + room])
+            near = words[text][max(0, first - room) : first + window + room]
+            if item.common(near) < item.needed:
+                continue
+            shares = item.shares(near)
             if item.is_in(*shares):
                 found = (shares[0], shares[1], cosine)
                 best[text, at] = max(best.get((text, at), found), found)

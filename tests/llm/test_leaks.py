@@ -173,3 +173,47 @@ def test_every_text_of_one_id_is_searched(spark):
 
     every = sorted([f"text {i}" for i in range(7)] + ["other"])
     assert texts("item_id") == every and texts(None) == sorted([*every, "no id"])
+
+
+def test_texts_hashed_together(prose):
+    texts = [prose(i, i * 13 % 90, 3000) for i in range(60)] + [None, "", " ", "é É", "x" * 70_000 + " y"]
+    found = [part for hashes, n in leaks.hashes_of_all(texts) for part in np.split(hashes, np.cumsum(n)[:-1])]
+    assert [f.tolist() for f in found] == [leaks.hashes_of(t).tolist() for t in texts]
+
+
+def test_candidates_are_all_windows_that_are_near(world, prose):
+    items, clean, _, _, index = world
+    texts = [leaks.slots_of(t) for _, t, _ in planted(items, clean[:40], prose, 0.3)] + [leaks.slots_of("")] * 2
+    searcher, want = leaks.Searcher(items, index.weights, index.basis), {}
+    for n, slots in enumerate(texts):
+        for window in leaks.WINDOWS:
+            for first in range(0, len(slots), max(leaks.WORDS_IN_BLOCK, window // 2)):
+                for item in range(len(searcher._items)):
+                    want[n, item, first, window] = searcher._cosine(slots[first : first + window], item)
+    found = {f[:4]: f[4] for f in searcher.candidates(texts)}
+    assert {k for k, cosine in want.items() if cosine >= leaks.COSINE + 1e-5} <= found.keys() and len(found) > 40
+    assert all(abs(want[k] - cosine) < 1e-5 and want[k] >= leaks.COSINE - 1e-5 for k, cosine in found.items())
+
+
+def test_a_round_multiplies_by_the_transpose():
+    rng = np.random.default_rng(5)
+    rows = rng.integers(0, 3, (40, 90)) * (rng.random((40, 90)) < 0.2)
+    rows[3] = 0
+    weights, basis = rng.random(leaks.SLOTS).astype(np.float32), rng.standard_normal((leaks.SLOTS, 6)).astype(np.float32)
+    out = np.zeros((leaks.SLOTS, 6), dtype=np.float32)
+    own = [np.flatnonzero(r) for r in rows]
+    leaks._add_gram(out, [o.astype(np.uint16).tobytes() for o in own], [r[o].astype(np.uint32).tobytes() for r, o in zip(rows, own, strict=True)], weights, basis)
+    a = rows * weights[:90]
+    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+    assert np.allclose(out[:90], a.T @ (a @ basis[:90]), atol=1e-4) and not out[90:].any()
+
+
+def test_runs_without_enough_words_are_not_compared_in_order(monkeypatch):
+    def compared(*_):
+        raise AssertionError
+
+    item = leaks.Item(1, "the a of to in one two three four five six seven")
+    monkeypatch.setattr(leaks, "common_length", compared)
+    assert list(item.runs(b"the the the a a a of of to to in in the of a".split(), 0, 15)) == []
+    with pytest.raises(AssertionError):
+        list(item.runs(item.words, 0, len(item.words)))
