@@ -63,6 +63,25 @@ def test_a_hot_passage_in_different_surroundings(documents, prose):
     check(documents(texts), texts, length=100)
 
 
+def test_a_hot_passage_is_counted_in_blocks(documents, prose, monkeypatch):
+    """Its strings aren't a row for each start in each of its surroundings."""
+    made, staged = [], repeats.staged
+
+    def counting(df, name, *more):
+        out = staged(df, name, *more)
+        if name in ("bytes", "blocks"):
+            made.append((name, out.count(), out))
+        return out
+
+    hot = prose(7, 90)[:450]
+    texts = [(i, prose(900 + i, 60, 3000) + hot + prose(5000 + i, 60, 3000)) for i in range(300)]
+    monkeypatch.setattr(repeats, "staged", counting)
+    check(documents(texts), texts, length=400, crowded=16)
+    starts = sum(len(r["bytes"]) - 399 for name, _, df in made if name == "bytes" for r in df.filter("kinds > 16").collect())
+    rows = [n for name, n, _ in made if name == "blocks"]
+    assert len(rows) > 1 and starts > 20_000 and max(rows) < starts / 10 and sum(rows) < starts / 4
+
+
 def test_no_table_is_left_in_the_catalogue(spark, documents, prose):
     before = {t.name for t in spark.catalog.listTables()}
     texts = passages(prose, 5)
