@@ -1,10 +1,13 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from marquetry import session
 from marquetry.llm import leaks, queries, simhash
 from tools.check_queries import duck
 
@@ -125,3 +128,34 @@ def test_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.staged(stage(spark, docs, SMALL), name)
         assert docs.count() == 0
+
+
+def test_stages_send_whole_texts_in_small_batches(spark):
+    """Each stage by itself, as each can be run alone; by default 10,000 rows go to Python at once, whatever their length."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["bytes", "rows"])
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
+    before = spark.conf.get(session.BATCH_BYTES, None)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(session.BATCH_BYTES)
+            stage(spark, docs, SMALL)
+            texts = spark.range(0, 1500, 1, 1).select(F.repeat(F.lit("x"), 20_000))
+            found = texts.mapInArrow(sizes, "bytes long, rows long").collect()
+            assert sum(r["rows"] for r in found) == 1500
+            assert max(r["bytes"] for r in found) < 1.5 * corpus_pipeline.BATCH
+    finally:
+        spark.conf.unset(session.BATCH_BYTES) if before is None else spark.conf.set(session.BATCH_BYTES, before)
+
+
+def test_a_session_keeps_its_own_size_of_batches(spark):
+    before = spark.conf.get(session.BATCH_BYTES, None)
+    try:
+        spark.conf.set(session.BATCH_BYTES, "1000000")
+        session.bounded_batches(spark, corpus_pipeline.BATCH)
+        assert spark.conf.get(session.BATCH_BYTES) == "1000000"
+    finally:
+        spark.conf.unset(session.BATCH_BYTES) if before is None else spark.conf.set(session.BATCH_BYTES, before)
