@@ -82,6 +82,37 @@ def test_a_hot_passage_is_counted_in_blocks(documents, prose, monkeypatch):
     assert len(rows) > 1 and starts > 20_000 and max(rows) < starts / 10 and sum(rows) < starts / 4
 
 
+def test_the_join_of_a_hot_anchor_is_split(spark, documents, prose, monkeypatch):
+    """Rows that share the anchors of a common passage don't meet in one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "24",
+    }
+    before = {k: spark.conf.get(k) for k in settings if spark.conf.get(k, None) is not None}
+    plans, staged = {}, repeats.staged
+
+    def seen(df, name, *more):
+        if name == "repeated":
+            df.collect()
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name, *more)
+
+    hot = prose(7, 40)
+    texts = [(i, hashlib.sha512(b"%d" % i).hexdigest() + hot + hashlib.sha512(b"-%d" % i).hexdigest()) for i in range(3000)]
+    monkeypatch.setattr(repeats, "staged", seen)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        check(documents(texts), texts, length=100)
+    finally:
+        for k in settings:
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
+    assert "skew=true" in plans["repeated"]
+
+
 def test_no_table_is_left_in_the_catalogue(spark, documents, prose):
     before = {t.name for t in spark.catalog.listTables()}
     texts = passages(prose, 5)
